@@ -128,3 +128,70 @@ def with_(*ctes: str) -> str:
 
 SILVER = silver_from("trips")
 FACT_CTE = f"fact AS ({fact_from('silver')})"
+
+
+def _num_sql(x: str, is_text: bool) -> str:
+    v = f"TRY_CAST({x} AS DOUBLE)" if is_text else f"CAST({x} AS DOUBLE)"
+    return f"CASE WHEN isnan({v}) THEN NULL ELSE {v} END"
+
+
+def _whole_sql(x: str) -> str:
+    return f"TRY_CAST(trunc({x}) AS BIGINT)"
+
+
+def _id_part_sql(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), '<NA>')"
+
+
+def normalize_sql(src: str, pickup: str, dropoff: str, vendor: str | None = "VendorID",
+                  passenger_text: bool = True) -> str:
+    """Normalized canonical trips over a raw taxi relation."""
+    vendor_expr = _num_sql(vendor, False) if vendor else "CAST(NULL AS DOUBLE)"
+    return f"""
+SELECT 'tlc_' || md5(concat_ws('|',
+           coalesce(strftime(p, '%Y-%m-%d %H:%M:%S.%f'), '<NA>'),
+           coalesce(strftime(d, '%Y-%m-%d %H:%M:%S.%f'), '<NA>'),
+           {_id_part_sql(_whole_sql('pu'))},
+           {_id_part_sql(_whole_sql('dz'))},
+           {_id_part_sql(cents_sql('fare'))},
+           {_id_part_sql(cents_sql('total'))},
+           {_id_part_sql(_whole_sql('vendor'))})) AS trip_id,
+       p AS pickup_datetime,
+       d AS dropoff_datetime,
+       coalesce({_whole_sql('pc')}, 0) AS passenger_count,
+       coalesce(round(dist * 100) / 100, 0.0) AS trip_distance,
+       coalesce({_whole_sql('pu')}, 0) AS pickup_zone_id,
+       coalesce({_whole_sql('dz')}, 0) AS dropoff_zone_id,
+       coalesce(round(fare * 100) / 100, 0.0) AS fare_amount,
+       coalesce(round(tip * 100) / 100, 0.0) AS tip_amount,
+       coalesce(round(total * 100) / 100, 0.0) AS total_amount,
+       CASE pay WHEN 1 THEN 'card' WHEN 2 THEN 'cash' WHEN 3 THEN 'no_charge'
+                WHEN 4 THEN 'dispute' WHEN 5 THEN 'unknown' WHEN 6 THEN 'voided'
+                ELSE 'unknown' END AS payment_type
+FROM (
+  SELECT TRY_CAST({pickup} AS TIMESTAMP) AS p,
+         TRY_CAST({dropoff} AS TIMESTAMP) AS d,
+         {_num_sql('passenger_count', passenger_text)} AS pc,
+         {_num_sql('trip_distance', False)} AS dist,
+         {_num_sql('PULocationID', False)} AS pu,
+         {_num_sql('DOLocationID', False)} AS dz,
+         {_num_sql('fare_amount', False)} AS fare,
+         {_num_sql('tip_amount', False)} AS tip,
+         {_num_sql('total_amount', False)} AS total,
+         {_num_sql('payment_type', False)} AS pay,
+         {vendor_expr} AS vendor
+  FROM {src}
+)"""
+
+
+def iso_sql(ts: str) -> str:
+    """Same text as columns.iso_utc: fraction only when non-zero, Z suffix."""
+    return (f"strftime({ts}, '%Y-%m-%dT%H:%M:%S') || "
+            f"CASE WHEN strftime({ts}, '%f') <> '000000' THEN '.' || strftime({ts}, '%f') ELSE '' END"
+            f" || 'Z'")
+
+
+def batch_key_sql(b: str) -> str:
+    cleaned = f"regexp_replace({b}, '[^\\p{{L}}\\p{{N}}_-]', '_', 'g')"
+    return (f"CASE WHEN {cleaned} = {b} THEN {cleaned} "
+            f"ELSE {cleaned} || '-' || substr(md5({b}), 1, 8) END")

@@ -6,13 +6,18 @@ nothing is sampled, capped or sliced.
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from faresight.functions import columns
 from faresight.operators import gold, silver
 from faresight.plans import oracle as O
 from faresight.plans.registry import register
-from faresight.session import apply_job_conf
-from faresight.sources import fixtures
+from faresight.schemas import TRIP_COLUMNS
+from faresight.session import apply_job_conf, fresh_path
+from faresight.sources import bronze, fixtures, taxi
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,3 +66,145 @@ def q_stg_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
           + O.fact_from("stg_trips"))
 def q_fct_trip_hourly_stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fct_trip_hourly(gold.stg_trips(_silver(spark, sf_dir)))
+
+
+# --- taxi source --------------------------------------------------------------------------
+
+_TAXI_YEAR, _TAXI_MONTH = 2024, 1   # label of the monthly file written from events
+
+
+@register("taxi_normalize", covers="P1-P7 D2 D4 D15",
+          oracle=O.with_(O.RAW_TAXI)
+          + O.normalize_sql("raw_taxi", "tpep_pickup_datetime", "tpep_dropoff_datetime"))
+def q_taxi_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    return taxi.normalize_taxi(fixtures.raw_taxi(spark, sf_dir), "yellow")
+
+
+@register("taxi_read", covers="S1 S2 P1-P7",
+          oracle=O.with_(O.RAW_TAXI)
+          + O.normalize_sql("raw_taxi", "tpep_pickup_datetime", "tpep_dropoff_datetime"))
+def q_taxi_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the raw records as a monthly yellow file, then locate and read it."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "taxi-yellow")
+    path = taxi.monthly_path(root, "yellow", _TAXI_YEAR, _TAXI_MONTH)
+    fixtures.raw_taxi(spark, sf_dir).write.mode("overwrite").parquet(path)
+    trips, _ = taxi.load_taxi(spark, "yellow", year=_TAXI_YEAR, month=_TAXI_MONTH, root=root)
+    return trips
+
+
+@register("taxi_read_green_no_vendor", covers="S1 (no VendorID) P1 (green)",
+          oracle=O.with_(O.RAW_TAXI)
+          + O.normalize_sql("raw_taxi", "tpep_pickup_datetime", "tpep_dropoff_datetime",
+                            vendor=None))
+def q_taxi_read_green(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Green layout without a vendor column: the vendor reads as null."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "taxi-green")
+    path = taxi.monthly_path(root, "green", _TAXI_YEAR, _TAXI_MONTH)
+    raw = (fixtures.raw_taxi(spark, sf_dir).drop("VendorID")
+           .withColumnsRenamed({"tpep_pickup_datetime": "lpep_pickup_datetime",
+                                "tpep_dropoff_datetime": "lpep_dropoff_datetime"}))
+    raw.write.mode("overwrite").parquet(path)
+    trips, _ = taxi.load_taxi(spark, "green", source_path=path)
+    return trips
+
+
+# --- bronze -------------------------------------------------------------------------------
+
+_BRONZE_COLS = O.TRIP_COLS + ", source_batch_id, ingested_at, pickup_date, batch_key"
+_RT_BATCH, _RT_TIME = "roundtrip-1", datetime(2024, 2, 1, tzinfo=UTC)
+
+
+@register("bronze_roundtrip", covers="S3 S4 P10 P12",
+          oracle=O.with_(O.TRIPS) + f"""
+SELECT {O.TRIP_COLS}, '{_RT_BATCH}' AS source_batch_id, '2024-02-01T00:00:00Z' AS ingested_at,
+       CAST(pickup_datetime AS DATE) AS pickup_date, '{_RT_BATCH}' AS batch_key
+FROM trips""")
+def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    out = fresh_path(spark, "bronze")
+    bronze.write_bronze(fixtures.trips(spark, sf_dir).select(*TRIP_COLUMNS), out,
+                        batch_id=_RT_BATCH, ingested_at=_RT_TIME, source_name="synthetic")
+    return bronze.scan_bronze(spark, out).select(*_BRONZE_COLS.split(", "))
+
+
+_REPLAY_BATCH = "replay/1"
+_REPLAY_T1, _REPLAY_T2 = datetime(2024, 2, 1, tzinfo=UTC), datetime(2024, 2, 2, 6, 30, tzinfo=UTC)
+_REPLAY_LAST_DAY = 15
+
+
+@register("bronze_replay_idempotent", covers="S4 D13 D14",
+          oracle=O.with_(O.TRIPS) + f"""
+SELECT trip_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance,
+       pickup_zone_id, dropoff_zone_id,
+       CASE WHEN second_run THEN fare_amount + 1.0 ELSE fare_amount END AS fare_amount,
+       tip_amount, total_amount, payment_type,
+       '{_REPLAY_BATCH}' AS source_batch_id,
+       CASE WHEN second_run THEN '2024-02-02T06:30:00Z' ELSE '2024-02-01T00:00:00Z' END AS ingested_at,
+       CAST(pickup_datetime AS DATE) AS pickup_date,
+       {O.batch_key_sql(f"'{_REPLAY_BATCH}'")} AS batch_key
+FROM (SELECT *, day(pickup_datetime) <= {_REPLAY_LAST_DAY} AS second_run FROM trips)""")
+def q_bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run a batch twice; the re-run (corrected fares, first half of the month)
+    replaces only the dates it writes, twice in a row gives the same result."""
+    apply_job_conf(spark)
+    out = fresh_path(spark, "bronze-replay")
+    trips = fixtures.trips(spark, sf_dir).select(*TRIP_COLUMNS)
+    bronze.write_bronze(trips, out, batch_id=_REPLAY_BATCH, ingested_at=_REPLAY_T1)
+    rerun = (trips.where(F.dayofmonth("pickup_datetime") <= _REPLAY_LAST_DAY)
+                  .withColumn("fare_amount", F.col("fare_amount") + 1.0))
+    for _ in range(2):
+        bronze.write_bronze(rerun, out, batch_id=_REPLAY_BATCH, ingested_at=_REPLAY_T2)
+    return bronze.scan_bronze(spark, out).select(*_BRONZE_COLS.split(", "))
+
+
+def _layout_roots(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Bronze history in two layouts: rows without a batch in the legacy layout
+    (no provenance, narrower types), all others in the current layout."""
+    trips = fixtures.trips(spark, sf_dir)
+    legacy_root, current_root = fresh_path(spark, "bronze-legacy"), fresh_path(spark, "bronze-current")
+    (bronze.legacy_payload(trips.where(F.col("source_batch_id").isNull()))
+        .write.mode("overwrite").partitionBy("pickup_date").parquet(legacy_root))
+    bronze.write_bronze(trips.where(F.col("source_batch_id").isNotNull()), current_root)
+    return [legacy_root, current_root]
+
+
+@register("bronze_scan_merge", covers="S3 U2 D6 S9",
+          oracle=O.with_(O.TRIPS) + f"""
+SELECT {O.TRIP_COLS}, source_batch_id,
+       CASE WHEN source_batch_id IS NULL OR ingested_at IS NULL THEN NULL
+            ELSE {O.iso_sql('ingested_at')} END AS ingested_at,
+       CAST(pickup_datetime AS DATE) AS pickup_date,
+       {O.batch_key_sql('source_batch_id')} AS batch_key
+FROM trips""")
+def q_bronze_scan_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    return bronze.scan_bronze_layouts(spark, _layout_roots(spark, sf_dir)).select(
+        *_BRONZE_COLS.split(", "))
+
+
+@register("silver_from_bronze_layouts", covers="S3 U2 P15 W1 over mixed bronze",
+          oracle=O.with_(O.TRIPS, """
+merged AS (
+  SELECT * REPLACE (CASE WHEN source_batch_id IS NULL THEN NULL ELSE ingested_at END AS ingested_at)
+  FROM trips)""", O.silver_from("merged")) + "\nSELECT * FROM silver")
+def q_silver_from_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    merged = bronze.scan_bronze_layouts(spark, _layout_roots(spark, sf_dir))
+    return silver.silver_trips(merged)
+
+
+@register("batch_key", covers="P11 D14",
+          oracle=f"""
+SELECT DISTINCT batch_id, {O.batch_key_sql('batch_id')} AS batch_key
+FROM (SELECT event_type || CASE event_id % 4 WHEN 0 THEN '/' WHEN 1 THEN ' ' WHEN 2 THEN '_'
+                                ELSE 'é' END || CAST(user_id AS VARCHAR) AS batch_id
+      FROM events)""")
+def q_batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.table(spark, sf_dir, "events")
+    sep = (F.when(F.col("event_id") % 4 == 0, "/").when(F.col("event_id") % 4 == 1, " ")
+             .when(F.col("event_id") % 4 == 2, "_").otherwise("é"))
+    ids = ev.select(F.concat(F.col("event_type"), sep, F.col("user_id").cast("string")).alias("batch_id"))
+    return ids.distinct().select("batch_id", columns.batch_key("batch_id").alias("batch_key"))

@@ -195,3 +195,53 @@ def batch_key_sql(b: str) -> str:
     cleaned = f"regexp_replace({b}, '[^\\p{{L}}\\p{{N}}_-]', '_', 'g')"
     return (f"CASE WHEN {cleaned} = {b} THEN {cleaned} "
             f"ELSE {cleaned} || '-' || substr(md5({b}), 1, 8) END")
+
+
+# The eight checks on silver, in report order (name, failing-row predicate).
+SILVER_CHECKS_SQL = [
+    ("null_pickup_datetime", "pickup_datetime IS NULL"),
+    ("null_dropoff_datetime", "dropoff_datetime IS NULL"),
+    ("non_positive_distance", "trip_distance <= 0"),
+    ("non_positive_fare", "fare_amount <= 0"),
+    ("invalid_passenger_count", "passenger_count < 1 OR passenger_count > 6"),
+    ("duplicate_trip_id", None),
+    ("invalid_trip_duration", "trip_duration_min <= 0 OR trip_duration_min > 180"),
+    ("total_amount_below_fare", "total_amount < fare_amount"),
+]
+
+
+def dup_count_sql(src: str, keys: str, ignore_null: bool = False) -> str:
+    where = (" WHERE " + " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+             if ignore_null else "")
+    return (f"(SELECT count(*) FROM (SELECT {keys} FROM {src}{where} "
+            f"GROUP BY {keys} HAVING count(*) > 1))")
+
+
+def report_sql(src: str, checks: list[tuple[str, str | None]], extra_cols: str = "",
+               unique_keys: str = "trip_id", unique_ignore_null: bool = False) -> str:
+    """One row per check: check_order, name, failures, max_failures (0), passed."""
+    parts = []
+    for i, (name, pred) in enumerate(checks, 1):
+        failures = (f"(SELECT count_if({pred}) FROM {src})" if pred
+                    else dup_count_sql(src, unique_keys, unique_ignore_null))
+        parts.append(f"SELECT CAST({i} AS INTEGER) AS check_order, '{name}' AS name, "
+                     f"CAST({failures} AS BIGINT) AS failures")
+    body = "\n  UNION ALL ".join(parts)
+    return (f"SELECT {extra_cols}check_order, name, failures, CAST(0 AS BIGINT) AS max_failures, "
+            f"failures <= 0 AS passed FROM (\n  {body})")
+
+
+def derived_sql(src: str, name: str, provenance: bool = True) -> str:
+    """Typed trips with the silver-derived columns, no filter, no ranking."""
+    ingested = "COALESCE(ingested_at, pickup_datetime)" if provenance else "pickup_datetime"
+    batch = "COALESCE(source_batch_id, 'legacy')" if provenance else "'legacy'"
+    return f"""
+{name} AS (
+  SELECT {TRIP_COLS},
+         {ingested} AS ingested_at,
+         {batch} AS source_batch_id,
+         CAST(pickup_datetime AS DATE) AS pickup_date,
+         EXTRACT('hour' FROM pickup_datetime) AS pickup_hour,
+         DATE_DIFF('minute', pickup_datetime, dropoff_datetime) AS trip_duration_min
+  FROM {src}
+)"""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.functions import columns
-from faresight.operators import gold, silver
+from faresight.operators import audit, gold, metrics, quality, silver
 from faresight.plans import oracle as O
 from faresight.plans.registry import register
 from faresight.schemas import TRIP_COLUMNS
@@ -208,3 +208,244 @@ def q_batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("event_id") % 4 == 2, "_").otherwise("é"))
     ids = ev.select(F.concat(F.col("event_type"), sep, F.col("user_id").cast("string")).alias("batch_id"))
     return ids.distinct().select("batch_id", columns.batch_key("batch_id").alias("batch_key"))
+
+
+# --- quality ------------------------------------------------------------------------------
+
+@register("quality_report", covers="Q1-Q9 A4 A5 S7",
+          oracle=O.with_(O.TRIPS, O.SILVER) + "\n" + O.report_sql("silver", O.SILVER_CHECKS_SQL))
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_silver(spark, sf_dir), quality.silver_expectations())
+
+
+def _derived(df: DataFrame) -> DataFrame:
+    return silver.with_derived(silver.typed_trips(df))
+
+
+@register("quality_on_bronze", covers="Q1-Q9 on unfiltered trips and normalized raw taxi",
+          oracle=O.with_(O.TRIPS, O.RAW_TAXI, O.derived_sql("trips", "trips_d"),
+                         "taxi AS (" + O.normalize_sql("raw_taxi", "tpep_pickup_datetime",
+                                                       "tpep_dropoff_datetime") + ")",
+                         O.derived_sql("taxi", "taxi_d", provenance=False))
+          + "\n" + O.report_sql("trips_d", O.SILVER_CHECKS_SQL, "'trips' AS dataset, ")
+          + "\nUNION ALL\n" + O.report_sql("taxi_d", O.SILVER_CHECKS_SQL, "'raw_taxi' AS dataset, "))
+def q_quality_on_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    checks = quality.silver_expectations()
+    trips_r = quality.quality_report(_derived(fixtures.trips(spark, sf_dir)), checks)
+    taxi_r = quality.quality_report(
+        _derived(taxi.normalize_taxi(fixtures.raw_taxi(spark, sf_dir), "yellow")), checks)
+    return (trips_r.select(F.lit("trips").alias("dataset"), "*")
+            .unionByName(taxi_r.select(F.lit("raw_taxi").alias("dataset"), "*")))
+
+
+@register("quality_summary", covers="A8 Q9",
+          oracle=O.with_(O.TRIPS, O.SILVER,
+                         "report AS (" + O.report_sql("silver", O.SILVER_CHECKS_SQL) + ")") + """
+SELECT CAST(count_if(passed) AS INTEGER) AS checks_passed,
+       CAST(count_if(NOT passed) AS INTEGER) AS checks_failed,
+       coalesce(bool_and(passed), true) AS overall_pass
+FROM report""")
+def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_summary(q_quality_report(spark, sf_dir))
+
+
+_STG_NOT_NULL = ["trip_id", "pickup_datetime", "dropoff_datetime", "ingested_at", "source_batch_id"]
+_FACT_NOT_NULL = ["pickup_date", "pickup_hour"]
+
+
+@register("column_tests", covers="Q11 Q12",
+          oracle=O.with_(O.TRIPS, O.SILVER, O.FACT_CTE) + "\n"
+          + O.report_sql("silver", [(f"not_null_{c}", f"{c} IS NULL") for c in _STG_NOT_NULL]
+                         + [("unique_trip_id", None)], "'stg_trips' AS model, ",
+                         unique_ignore_null=True)
+          + "\nUNION ALL\n"
+          + O.report_sql("fact", [(f"not_null_{c}", f"{c} IS NULL") for c in _FACT_NOT_NULL],
+                         "'fct_trip_hourly' AS model, "))
+def q_column_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = gold.stg_trips(_silver(spark, sf_dir))
+    fact = gold.fct_trip_hourly(stg)
+    stg_r = quality.quality_report(stg, quality.not_null_tests(_STG_NOT_NULL)
+                                   + [quality.unique_test(["trip_id"])])
+    fact_r = quality.quality_report(fact, quality.not_null_tests(_FACT_NOT_NULL))
+    return (stg_r.select(F.lit("stg_trips").alias("model"), "*")
+            .unionByName(fact_r.select(F.lit("fct_trip_hourly").alias("model"), "*")))
+
+
+@register("duplicate_keys", covers="A5 Q6 Q12",
+          oracle=O.with_(O.TRIPS, O.SILVER) + f"""
+SELECT 'lineitem' AS dataset, 'l_orderkey,l_linenumber' AS key_columns,
+       {O.dup_count_sql('lineitem', 'l_orderkey, l_linenumber')} AS duplicate_keys
+UNION ALL
+SELECT 'trips', 'trip_id', {O.dup_count_sql('trips', 'trip_id')}
+UNION ALL
+SELECT 'silver', 'trip_id', {O.dup_count_sql('silver', 'trip_id')}""")
+def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = fixtures.table(spark, sf_dir, "lineitem")
+    sets = [("lineitem", lineitem, ["l_orderkey", "l_linenumber"]),
+            ("trips", fixtures.trips(spark, sf_dir), ["trip_id"]),
+            ("silver", _silver(spark, sf_dir), ["trip_id"])]
+    parts = [quality.duplicate_key_count(df, keys).select(
+                F.lit(name).alias("dataset"), F.lit(",".join(keys)).alias("key_columns"),
+                F.col("failures").alias("duplicate_keys"))
+             for name, df, keys in sets]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                  "l_shipdate"]
+
+
+@register("latest_per_key", covers="W1 on lineitem",
+          oracle="""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY """
+          + ", ".join(f"{c} DESC NULLS LAST" for c in ["l_shipdate"] + [
+              c for c in _LINEITEM_COLS if c not in ("l_shipdate", "l_orderkey", "l_linenumber")])
+          + """) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def q_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = fixtures.table(spark, sf_dir, "lineitem")
+    rest = [c for c in _LINEITEM_COLS if c not in ("l_shipdate", "l_orderkey", "l_linenumber")]
+    return silver.latest_per_key(lineitem, ["l_orderkey", "l_linenumber"], ["l_shipdate"], rest)
+
+
+# --- audit --------------------------------------------------------------------------------
+
+@register("batch_ingest_stats", covers="S15 A6 A9 R5 D9",
+          oracle=O.with_(O.TRIPS, O.RAW_TAXI, "taxi AS (" + O.normalize_sql(
+              "raw_taxi", "tpep_pickup_datetime", "tpep_dropoff_datetime") + ")") + """
+SELECT source_batch_id, count(*) AS rows, count(DISTINCT pickup_date) AS partitions,
+       min(pickup_date) AS min_pickup_date
+FROM (SELECT source_batch_id, CAST(pickup_datetime AS DATE) AS pickup_date FROM trips
+      UNION ALL
+      SELECT 'taxi-2024-01', CAST(pickup_datetime AS DATE) FROM taxi WHERE pickup_datetime IS NOT NULL)
+GROUP BY source_batch_id""")
+def q_batch_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay of the trip batches plus one taxi batch (with unparseable pickups,
+    which are rejected) into one bronze, then statistics per batch."""
+    apply_job_conf(spark)
+    out = fresh_path(spark, "bronze-stats")
+    bronze.write_bronze(fixtures.trips(spark, sf_dir), out)
+    trips = taxi.normalize_taxi(fixtures.raw_taxi(spark, sf_dir), "yellow")
+    bronze.write_bronze(trips, out, batch_id="taxi-2024-01", ingested_at=_RT_TIME,
+                        source_name=taxi.source_name("yellow"))
+    return audit.batch_ingest_stats(bronze.scan_bronze(spark, out))
+
+
+@register("batch_lineage", covers="A13",
+          oracle=O.with_(O.TRIPS, O.SILVER) + """,
+b AS (SELECT source_batch_id, count(*) AS bronze_rows FROM silver_typed GROUP BY 1),
+v AS (SELECT source_batch_id, count(*) AS valid_rows FROM silver_valid GROUP BY 1),
+s AS (SELECT source_batch_id, count(*) AS silver_rows FROM silver GROUP BY 1)
+SELECT b.source_batch_id, bronze_rows, coalesce(valid_rows, 0) AS valid_rows,
+       coalesce(silver_rows, 0) AS silver_rows,
+       bronze_rows - coalesce(valid_rows, 0) AS rejected_rows,
+       coalesce(valid_rows, 0) - coalesce(silver_rows, 0) AS superseded_rows
+FROM b LEFT JOIN v USING (source_batch_id) LEFT JOIN s USING (source_batch_id)""")
+def q_batch_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    return audit.batch_lineage(fixtures.trips(spark, sf_dir))
+
+
+@register("layer_counts", covers="A3 A12",
+          oracle=O.with_(O.TRIPS, O.SILVER, O.FACT_CTE) + """
+SELECT 'silver_trips' AS layer, count(*) AS rows FROM silver
+UNION ALL SELECT 'fct_trip_hourly', count(*) FROM fact
+UNION ALL SELECT 'dim_zones', count(*) FROM (SELECT pickup_zone_id FROM silver UNION SELECT dropoff_zone_id FROM silver)""")
+def q_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _silver(spark, sf_dir)
+    return audit.layer_counts([("silver_trips", s), ("fct_trip_hourly", gold.fct_trip_hourly(s)),
+                               ("dim_zones", gold.dim_zones(s, ordered=False))])
+
+
+@register("distinct_batches", covers="A10",
+          oracle=O.with_(O.TRIPS, O.SILVER)
+          + "\nSELECT count(DISTINCT source_batch_id) AS distinct_batches FROM silver")
+def q_distinct_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.distinct_batches(_silver(spark, sf_dir))
+
+
+@register("trip_lookup", covers="A11",
+          oracle=O.with_(O.TRIPS, O.SILVER) + """
+SELECT trip_id, count(*) AS copies, max(source_batch_id) AS max_source_batch_id,
+       max(fare_amount) AS max_fare_amount
+FROM silver WHERE trip_id IN (SELECT trip_id FROM trips GROUP BY trip_id HAVING count(*) > 1)
+GROUP BY trip_id""")
+def q_trip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Look up, in silver, every trip that arrived in more than one copy."""
+    trips = fixtures.trips(spark, sf_dir)
+    repeated = trips.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return audit.trip_lookup(_silver(spark, sf_dir), repeated)
+
+
+_RUN8 = ("run_id, source_name, status, started_at, duration_seconds, bronze_rows, silver_rows, "
+         "quality_passed")
+_RUNS_LATEST_SQL = O.with_(O.RUNS) + f"""
+, latest AS (
+  SELECT {_RUN8} FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY run_id
+              ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST) AS rn
+    FROM runs) WHERE rn = 1)"""
+
+
+def _stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows appended to a run table with the full (evolved) schema, read back."""
+    audit_dir = fresh_path(spark, "pipeline-runs")
+    fixtures.runs(spark, sf_dir).write.mode("append").parquet(audit_dir)
+    return audit.read_runs(spark, audit_dir)
+
+
+@register("run_audit_latest", covers="W2 S8 S9 S10 R3",
+          oracle=_RUNS_LATEST_SQL + "\nSELECT * FROM latest")
+def q_run_audit_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.latest_runs(_stored_runs(spark, sf_dir)).select(*_RUN8.split(", "))
+
+
+@register("run_recent", covers="O3 O6 P22 S12",
+          oracle=_RUNS_LATEST_SQL + f"""
+SELECT {_RUN8} FROM latest
+ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST, run_id DESC LIMIT 10""")
+def q_run_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.recent_runs(_stored_runs(spark, sf_dir), 10).select(*_RUN8.split(", "))
+
+
+@register("run_latest", covers="O4",
+          oracle=_RUNS_LATEST_SQL + f"""
+SELECT {_RUN8} FROM latest
+ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST, run_id DESC LIMIT 1""")
+def q_run_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.recent_runs(_stored_runs(spark, sf_dir), 1).select(*_RUN8.split(", "))
+
+
+# --- dashboard ----------------------------------------------------------------------------
+
+_SERIES_SQL = O.with_(O.TRIPS, O.SILVER, O.FACT_CTE) + """
+SELECT CAST(pickup_date AS TIMESTAMP) AS pickup_date, pickup_hour, zone_id, trip_count,
+       avg_trip_distance, avg_fare_amount, total_revenue
+FROM fact ORDER BY pickup_date, pickup_hour, zone_id"""
+
+
+@register("hourly_series", covers="S11 P21 O2", oracle=_SERIES_SQL)
+def q_hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.hourly_series(gold.fct_trip_hourly(_silver(spark, sf_dir)))
+
+
+@register("hourly_head", covers="O5 O6", oracle=_SERIES_SQL + " LIMIT 50")
+def q_hourly_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.hourly_head(gold.fct_trip_hourly(_silver(spark, sf_dir)), 50)
+
+
+@register("dashboard_kpis", covers="A7 D12",
+          oracle=O.with_(O.TRIPS, O.SILVER, O.FACT_CTE) + f"""
+SELECT sum(trip_count) AS total_trips,
+       CAST(sum({O.cents_sql('total_revenue')}) AS DOUBLE) / 100 AS total_revenue,
+       round(CAST(sum({O.cents_sql('avg_fare_amount')}) AS DOUBLE) / count(avg_fare_amount)) / 100
+         AS avg_fare_unweighted,
+       round(CAST(sum({O.cents_sql('avg_fare_amount')} * trip_count) AS DOUBLE)
+             / sum(CASE WHEN avg_fare_amount IS NOT NULL THEN trip_count END)) / 100
+         AS avg_fare_weighted
+FROM fact""")
+def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.dashboard_kpis(gold.fct_trip_hourly(_silver(spark, sf_dir)))

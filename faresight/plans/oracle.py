@@ -100,6 +100,11 @@ def silver_from(src: str, name: str = "silver") -> str:
 )"""
 
 
+def round2_sql(x: str) -> str:
+    """round(x, 2) half away from zero; ``+ 0.0`` turns -0.0 into 0.0 as Spark returns it."""
+    return f"(round({x} * 100) / 100 + 0.0)"
+
+
 def cents_sql(x: str) -> str:
     return f"TRY_CAST(round({x} * 100) AS BIGINT)"
 
@@ -159,12 +164,12 @@ SELECT 'tlc_' || md5(concat_ws('|',
        p AS pickup_datetime,
        d AS dropoff_datetime,
        coalesce({_whole_sql('pc')}, 0) AS passenger_count,
-       coalesce(round(dist * 100) / 100, 0.0) AS trip_distance,
+       coalesce({round2_sql('dist')}, 0.0) AS trip_distance,
        coalesce({_whole_sql('pu')}, 0) AS pickup_zone_id,
        coalesce({_whole_sql('dz')}, 0) AS dropoff_zone_id,
-       coalesce(round(fare * 100) / 100, 0.0) AS fare_amount,
-       coalesce(round(tip * 100) / 100, 0.0) AS tip_amount,
-       coalesce(round(total * 100) / 100, 0.0) AS total_amount,
+       coalesce({round2_sql('fare')}, 0.0) AS fare_amount,
+       coalesce({round2_sql('tip')}, 0.0) AS tip_amount,
+       coalesce({round2_sql('total')}, 0.0) AS total_amount,
        CASE pay WHEN 1 THEN 'card' WHEN 2 THEN 'cash' WHEN 3 THEN 'no_charge'
                 WHEN 4 THEN 'dispute' WHEN 5 THEN 'unknown' WHEN 6 THEN 'voided'
                 ELSE 'unknown' END AS payment_type

@@ -6,18 +6,19 @@ nothing is sampled, capped or sliced.
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.functions import columns
 from faresight.operators import audit, gold, metrics, quality, silver
+from faresight.plans import job
 from faresight.plans import oracle as O
 from faresight.plans.registry import register
 from faresight.schemas import TRIP_COLUMNS
 from faresight.session import apply_job_conf, fresh_path
-from faresight.sources import bronze, fixtures, taxi
+from faresight.sources import bronze, fixtures, generator, taxi
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,3 +450,110 @@ SELECT sum(trip_count) AS total_trips,
 FROM fact""")
 def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.dashboard_kpis(gold.fct_trip_hourly(_silver(spark, sf_dir)))
+
+
+# --- generator, whole job, export ---------------------------------------------------------
+
+@register("generated_trips", covers="S13 P13")
+def q_generated_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One synthetic trip per event id (1,000 per day from 2024-01-01, seed 42)."""
+    ids = fixtures.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    return generator.trips_for_ids(ids, date(2024, 1, 1), rows_per_day=1000, seed=42)
+
+
+_JOB_RUN = "job-taxi-2024-01"
+_JOB_SQL = O.with_(
+    O.RAW_TAXI,
+    "taxi AS (" + O.normalize_sql("raw_taxi", "tpep_pickup_datetime", "tpep_dropoff_datetime") + ")",
+    f"""
+b AS (SELECT *, '{_JOB_RUN}' AS source_batch_id, TIMESTAMP '2000-01-01' AS ingested_at
+      FROM taxi WHERE pickup_datetime IS NOT NULL)""",
+    O.silver_from("b"), O.FACT_CTE,
+    "report AS (" + O.report_sql("silver", O.SILVER_CHECKS_SQL) + ")") + f"""
+SELECT '{_JOB_RUN}' AS run_id, 'taxi_yellow' AS source_name,
+       CASE WHEN (SELECT bool_and(passed) FROM report) THEN 'succeeded' ELSE 'failed' END AS status,
+       (SELECT min(CAST(pickup_datetime AS DATE)) FROM b) AS data_start_date,
+       (SELECT count(*) FROM b) AS bronze_rows,
+       (SELECT count(DISTINCT CAST(pickup_datetime AS DATE)) FROM b) AS bronze_files,
+       (SELECT count(*) FROM silver) AS silver_rows,
+       (SELECT count(*) FROM fact) AS gold_rows,
+       (SELECT count(*) FROM (SELECT pickup_zone_id FROM silver UNION SELECT dropoff_zone_id FROM silver))
+         AS dim_zone_rows,
+       (SELECT bool_and(passed) FROM report) AS quality_passed,
+       (SELECT CAST(count_if(passed) AS INTEGER) FROM report) AS checks_passed,
+       (SELECT CAST(count_if(NOT passed) AS INTEGER) FROM report) AS checks_failed,
+       CASE WHEN (SELECT bool_and(passed) FROM report) THEN NULL ELSE 'Quality checks failed' END
+         AS error_message"""
+
+_JOB_COLS = ["run_id", "source_name", "status", "data_start_date", "bronze_rows", "bronze_files",
+             "silver_rows", "gold_rows", "dim_zone_rows", "quality_passed", "checks_passed",
+             "checks_failed", "error_message"]
+
+
+@register("medallion_job", covers="R1 R2 R3 R4 R5 R6 S5 S8 S10 D9 D10 D11", oracle=_JOB_SQL)
+def q_medallion_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole job on a monthly taxi file written from the raw records; the audit row
+    it stored (quality fails on zero-passenger trips, so the run is 'failed')."""
+    apply_job_conf(spark)
+    taxi_root = fresh_path(spark, "taxi-landing")
+    fixtures.raw_taxi(spark, sf_dir).write.mode("overwrite").parquet(
+        taxi.monthly_path(taxi_root, "yellow", _TAXI_YEAR, _TAXI_MONTH))
+    root = fresh_path(spark, "warehouse")
+    job.run_job(spark, root, run_id=_JOB_RUN, source="taxi", dataset="yellow", year=_TAXI_YEAR,
+                month=_TAXI_MONTH, taxi_root=taxi_root, raise_on_failure=False)
+    runs = audit.latest_runs(audit.read_runs(spark, job.resolve_paths(root).runs_dir))
+    return runs.where(F.col("run_id") == _JOB_RUN).select(*_JOB_COLS)
+
+
+@register("export_roundtrip", covers="S5 S6 R2",
+          oracle=O.with_(O.TRIPS, O.SILVER) + O.fact_from("silver"))
+def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze replay of all trip batches -> transforms -> the fact as read back from parquet."""
+    apply_job_conf(spark)
+    paths = job.resolve_paths(fresh_path(spark, "warehouse"))
+    bronze.write_bronze(fixtures.trips(spark, sf_dir), paths.bronze_dir)
+    job.run_transforms(spark, paths)
+    return spark.read.parquet(paths.fact_dir)
+
+
+# --- scalar functions ---------------------------------------------------------------------
+
+@register("scalar_time", covers="D1 CAST AS DATE, EXTRACT hour, DATE_DIFF minute",
+          oracle="""
+SELECT event_id, ts AS pickup_datetime, d AS dropoff_datetime,
+       CAST(ts AS DATE) AS pickup_date, EXTRACT('hour' FROM ts) AS pickup_hour,
+       DATE_DIFF('minute', ts, d) AS duration_min, DATE_DIFF('minute', d, ts) AS reverse_min
+FROM (SELECT *, ts + to_seconds(CAST(floor(value * 60) AS BIGINT)) AS d FROM events)""")
+def q_scalar_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.table(spark, sf_dir, "events")
+    d = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.floor(F.col("value") * 60.0))
+    return ev.select("event_id", F.col("ts").alias("pickup_datetime"), d.alias("dropoff_datetime")) \
+        .select("event_id", "pickup_datetime", "dropoff_datetime",
+                F.to_date("pickup_datetime").alias("pickup_date"),
+                F.hour("pickup_datetime").cast("long").alias("pickup_hour"),
+                columns.minute_boundaries("pickup_datetime", "dropoff_datetime").alias("duration_min"),
+                columns.minute_boundaries("dropoff_datetime", "pickup_datetime").alias("reverse_min"))
+
+
+@register("scalar_round", covers="D2 ROUND(x, 2) and whole cents",
+          oracle=f"""
+SELECT event_id, value / 8 AS x, {O.round2_sql('value / 8')} AS x_round2,
+       {O.cents_sql('value / 8')} AS x_cents,
+       {O.round2_sql('-value / 8')} AS neg_round2
+FROM events""")
+def q_scalar_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("value") / 8.0
+    return fixtures.table(spark, sf_dir, "events").select(
+        "event_id", x.alias("x"), columns.round2(x).alias("x_round2"),
+        columns.cents(x).alias("x_cents"), columns.round2(-x).alias("neg_round2"))
+
+
+@register("scalar_iso", covers="UTC ISO text with Z",
+          oracle=f"""
+SELECT event_id, {O.iso_sql('ts')} AS ts_iso,
+       {O.iso_sql('CAST(CAST(ts AS DATE) AS TIMESTAMP)')} AS day_iso
+FROM events""")
+def q_scalar_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.table(spark, sf_dir, "events")
+    return ev.select("event_id", columns.iso_utc("ts").alias("ts_iso"),
+                     columns.iso_utc(F.to_date("ts").cast("timestamp_ntz")).alias("day_iso"))

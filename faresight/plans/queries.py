@@ -19,6 +19,7 @@ from faresight.plans.registry import register
 from faresight.schemas import TRIP_COLUMNS
 from faresight.session import apply_job_conf, fresh_path
 from faresight.sources import bronze, fixtures, generator, taxi
+from faresight.streaming import ingest
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -557,3 +558,22 @@ def q_scalar_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = fixtures.table(spark, sf_dir, "events")
     return ev.select("event_id", columns.iso_utc("ts").alias("ts_iso"),
                      columns.iso_utc(F.to_date("ts").cast("timestamp_ntz")).alias("day_iso"))
+
+
+# --- streaming ingestion ------------------------------------------------------------------
+
+@register("stream_ingest", covers="S4 by Structured Streaming (availableNow, foreachBatch)",
+          oracle=O.with_(O.TRIPS) + f"""
+SELECT {O.TRIP_COLS}, CAST(pickup_datetime AS DATE) AS pickup_date, 'stream' AS source_prefix
+FROM trips""")
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips land as several files; a streaming query drains them into bronze,
+    one micro-batch (one bronze batch) per file."""
+    apply_job_conf(spark)
+    landing, out = fresh_path(spark, "landing"), fresh_path(spark, "bronze-stream")
+    fixtures.trips(spark, sf_dir).select(*TRIP_COLUMNS).repartition(4).write.parquet(landing)
+    ingest.drain_into_bronze(spark, landing, out, fresh_path(spark, "stream-checkpoint"),
+                             prefix="stream", max_files_per_trigger=1)
+    return bronze.scan_bronze(spark, out).select(
+        *TRIP_COLUMNS, "pickup_date",
+        F.substring_index("source_batch_id", "-", 1).alias("source_prefix"))

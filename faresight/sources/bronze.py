@@ -87,16 +87,17 @@ def write_bronze(trips: DataFrame, bronze_dir: str, batch_id: str | None = None,
     """
     spark = trips.sparkSession
     apply_job_conf(spark)
-    obs = Observation(f"bronze_{uuid.uuid4().hex[:10]}")
-    stamped = with_provenance(trips, batch_id, ingested_at).observe(
-        obs,
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(F.col("pickup_date").isNull()).alias("rows_rejected"),
-        F.min("pickup_date").alias("min_pickup_date"),
-    )
-    kept = stamped.where(F.col("pickup_date").isNotNull())
+    stamped = with_provenance(trips, batch_id, ingested_at)
     if rebalance:
-        kept = kept.hint("rebalance", "pickup_date")
+        stamped = stamped.hint("rebalance", "pickup_date")
+    # Observed in the writing stage: Spark merges a result task's metrics once
+    # per partition, so a stage re-run after a lost executor does not count twice.
+    obs = Observation(f"bronze_{uuid.uuid4().hex[:10]}")
+    kept = (stamped.observe(obs,
+                            F.count(F.lit(1)).alias("rows_read"),
+                            F.count_if(F.col("pickup_date").isNull()).alias("rows_rejected"),
+                            F.min("pickup_date").alias("min_pickup_date"))
+                   .where(F.col("pickup_date").isNotNull()))
     (kept.write.mode("overwrite")
          .partitionBy(*BRONZE_PARTITION_COLUMNS)
          .parquet(bronze_dir))

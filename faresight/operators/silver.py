@@ -94,3 +94,32 @@ def silver_trips(bronze: DataFrame) -> DataFrame:
     valid = valid_trips(bronze)
     newest = latest_per_key(valid, ["trip_id"], RECENCY_ORDER, TIE_BREAK_ORDER)
     return with_derived(newest).select(*SILVER_COLUMNS)
+
+
+# --- incremental maintenance ---------------------------------------------------------------
+#
+# Exact: silver keeps every ordering column, so the newest valid copy over old
+# bronze plus a new batch is the newest of the stored winner and the batch's
+# valid copies. Only the trips a batch carries are re-ranked. Trip ids match
+# null-safely, so a null id stays one group as in the full build.
+
+def batch_candidates(batch_bronze: DataFrame) -> DataFrame:
+    """Valid rows of a new bronze batch, in silver form."""
+    return with_derived(valid_trips(batch_bronze)).select(*SILVER_COLUMNS)
+
+
+def stored_copies(silver: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored winners of the given trip ids (null-safe semi join)."""
+    stored = silver.select(*SILVER_COLUMNS)
+    return stored.join(ids, stored["trip_id"].eqNullSafe(ids["trip_id"]), "left_semi")
+
+
+def rerank(stored: DataFrame, candidates: DataFrame) -> DataFrame:
+    """New winners of the touched trips."""
+    return latest_per_key(stored.unionByName(candidates), ["trip_id"], RECENCY_ORDER,
+                          TIE_BREAK_ORDER)
+
+
+def without_trips(silver: DataFrame, ids: DataFrame) -> DataFrame:
+    """Silver rows whose trip id is not in ``ids`` (null-safe anti join)."""
+    return silver.join(ids, silver["trip_id"].eqNullSafe(ids["trip_id"]), "left_anti")

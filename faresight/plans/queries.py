@@ -514,7 +514,7 @@ def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = job.resolve_paths(fresh_path(spark, "warehouse"))
     bronze.write_bronze(fixtures.trips(spark, sf_dir), paths.bronze_dir)
     job.run_transforms(spark, paths)
-    return spark.read.parquet(paths.fact_dir)
+    return job.read_fact(spark, paths.fact_dir)
 
 
 # --- scalar functions ---------------------------------------------------------------------
@@ -577,3 +577,35 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.scan_bronze(spark, out).select(
         *TRIP_COLUMNS, "pickup_date",
         F.substring_index("source_batch_id", "-", 1).alias("source_prefix"))
+
+
+# --- incremental silver -------------------------------------------------------------------
+
+_FIRST_BATCHES, _LATER_BATCHES = ("batch_0", "batch_1"), ("batch_2", "batch_3", "batch_4")
+
+
+def _incremental_warehouse(spark: SparkSession, sf_dir: str) -> job.JobPaths:
+    """Full build over the legacy rows and two batches, then three batches folded in
+    one at a time; must equal the full build over everything."""
+    apply_job_conf(spark)
+    paths = job.resolve_paths(fresh_path(spark, "warehouse-inc"))
+    trips = fixtures.trips(spark, sf_dir)
+    batch = F.col("source_batch_id")
+    bronze.write_bronze(trips.where(batch.isNull() | batch.isin(*_FIRST_BATCHES)), paths.bronze_dir)
+    job.run_transforms(spark, paths)
+    for b in _LATER_BATCHES:
+        bronze.write_bronze(trips.where(batch == b), paths.bronze_dir)
+        job.run_transforms_incremental(spark, paths, b)
+    return paths
+
+
+@register("silver_incremental", covers="S5 W1 incremental maintenance = full refresh",
+          oracle=O.with_(O.TRIPS, O.SILVER) + "\nSELECT * FROM silver")
+def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return job.read_silver(spark, _incremental_warehouse(spark, sf_dir).silver_dir)
+
+
+@register("fct_trip_hourly_incremental", covers="A1 incremental maintenance = full refresh",
+          oracle=O.with_(O.TRIPS, O.SILVER) + O.fact_from("silver"))
+def q_fct_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return job.read_fact(spark, _incremental_warehouse(spark, sf_dir).fact_dir)

@@ -80,3 +80,32 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused location under the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_partitions(spark: SparkSession, table_dir: str, column: str, values) -> None:
+    """Remove ``{table_dir}/{column}=<value>`` directories (partitions left empty).
+
+    A dynamic partition overwrite only replaces partitions that receive rows;
+    a partition whose rows all moved elsewhere is removed here, through the
+    Hadoop file system of the path (any scheme the cluster supports).
+    """
+    for value in values:
+        delete_path(spark, f"{table_dir.rstrip('/')}/{column}={value}")
+
+
+def delete_path(spark: SparkSession, location: str) -> None:
+    """Recursively delete a location through its Hadoop file system, if it exists."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any location matches a path or glob pattern."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path)
+    return found is not None and len(found) > 0

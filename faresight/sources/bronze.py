@@ -98,7 +98,7 @@ def write_bronze(trips: DataFrame, bronze_dir: str, batch_id: str | None = None,
                             F.count_if(F.col("pickup_date").isNull()).alias("rows_rejected"),
                             F.min("pickup_date").alias("min_pickup_date"))
                    .where(F.col("pickup_date").isNotNull()))
-    (kept.write.mode("overwrite")
+    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*BRONZE_PARTITION_COLUMNS)
          .parquet(bronze_dir))
     m = obs.get

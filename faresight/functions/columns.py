@@ -6,6 +6,9 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
+import hashlib
+
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,9 @@ UNKNOWN_PAYMENT = "unknown"
 # Fixed value: token standing for a missing field in the trip identity text.
 NULL_TOKEN = "<NA>"
 
+# Fixed value: characters a batch key does not keep (all but letters, digits, "_" and "-").
+BATCH_KEY_UNSAFE = r"[^\p{L}\p{N}_-]"
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -159,11 +165,19 @@ def batch_key(batch_id: str | Column) -> Column:
     that sanitize to the same text (``a/b`` and ``a_b``) stay apart.
     """
     b = col(batch_id)
-    cleaned = F.regexp_replace(b, r"[^\p{L}\p{N}_-]", "_")
+    cleaned = F.regexp_replace(b, BATCH_KEY_UNSAFE, "_")
     return F.when(cleaned == b, cleaned).otherwise(
         F.concat(cleaned, F.lit("-"), F.substring(F.md5(b), 1, 8)))
 
 
+def batch_key_text(batch_id: str) -> str:
+    """The same rule as ``batch_key`` for one id known on the driver."""
+    cleaned = regex.sub(BATCH_KEY_UNSAFE, "_", batch_id)
+    if cleaned == batch_id:
+        return cleaned
+    return f"{cleaned}-{hashlib.md5(batch_id.encode('utf-8')).hexdigest()[:8]}"
+
+
 def _id_part(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(NULL_TOKEN))
 

@@ -102,10 +102,15 @@ def delete_path(spark: SparkSession, location: str) -> None:
         fs.delete(path, True)
 
 
-def path_exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether any location matches a path or glob pattern."""
+def count_matches(spark: SparkSession, pattern: str) -> int:
+    """Number of locations matching a path or glob pattern (a listing, no job)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.globStatus(path)
-    return found is not None and len(found) > 0
+    return 0 if found is None else len(found)
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any location matches a path or glob pattern."""
+    return count_matches(spark, pattern) > 0

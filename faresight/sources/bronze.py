@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faresight.functions.columns import batch_key, iso_utc
+from faresight.functions.columns import batch_key, batch_key_text, iso_utc
 from faresight.schemas import (BRONZE_PARTITION_COLUMNS, BRONZE_PAYLOAD_SCHEMA, BRONZE_SCHEMA,
                                TRIP_COLUMNS, TRIP_SCHEMA)
-from faresight.session import apply_job_conf
+from faresight.session import apply_job_conf, count_matches
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,7 @@ def write_bronze(trips: DataFrame, bronze_dir: str, batch_id: str | None = None,
     key, partitions = None, None
     if batch_id is not None:
         key = sanitized_key(spark, batch_id)
-        partitions = batch_partitions(spark, bronze_dir, key).count()
+        partitions = count_matches(spark, f"{bronze_dir}/pickup_date=*/batch_key={key}")
     return IngestResult(
         source_name=source_name, source_reference=source_reference, batch_id=batch_id,
         batch_key=key, ingested_at=to_iso(ingested_at) if ingested_at else None,
@@ -117,8 +117,8 @@ def write_bronze(trips: DataFrame, bronze_dir: str, batch_id: str | None = None,
 
 
 def sanitized_key(spark: SparkSession, batch_id: str) -> str:
-    """Directory-safe key of one batch id (same expression as the writer)."""
-    return spark.range(1).select(batch_key(F.lit(batch_id))).first()[0]
+    """Directory-safe key of one batch id (the writer's rule, evaluated on the driver)."""
+    return batch_key_text(batch_id)
 
 
 def batch_partitions(spark: SparkSession, bronze_dir: str, key: str) -> DataFrame:

@@ -106,6 +106,8 @@ def test_batch_keys_do_not_collide(spark):
     assert keys["a_b"] == "a_b" and keys["run-1"] == "run-1"
     assert keys["a/b"].startswith("a_b-") and len(keys["a/b"]) == len("a_b-") + 8
     assert keys["été 2"].startswith("été_2-")
+    for b, k in keys.items():
+        assert columns.batch_key_text(b) == k
 
 
 def test_legacy_pandas_bronze_with_nanosecond_times(spark, workdir, tmp_path):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from faresight.session import apply_job_conf
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,10 +25,17 @@ _REGISTRY: dict[str, Registered] = {}
 
 
 def register(name: str, oracle: str | None = None, covers: str = "") -> Callable[[QueryFn], QueryFn]:
+    """Register a query; it always runs with the job's session settings (UTC)."""
     def wrap(fn: QueryFn) -> QueryFn:
         if name in _REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        _REGISTRY[name] = Registered(name, fn, oracle, covers)
+
+        @functools.wraps(fn)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_job_conf(spark)
+            return fn(spark, sf_dir)
+
+        _REGISTRY[name] = Registered(name, build, oracle, covers)
         return fn
     return wrap
 

@@ -394,7 +394,7 @@ _RUNS_LATEST_SQL = O.with_(O.RUNS) + f"""
 
 def _stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows appended to a run table with the full (evolved) schema, read back."""
-    audit_dir = fresh_path(spark, "pipeline-runs")
+    audit_dir = fresh_path(spark, "run-audit")
     fixtures.runs(spark, sf_dir).write.mode("append").parquet(audit_dir)
     return audit.read_runs(spark, audit_dir)
 

@@ -114,3 +114,20 @@ def count_matches(spark: SparkSession, pattern: str) -> int:
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether any location matches a path or glob pattern."""
     return count_matches(spark, pattern) > 0
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Replace ``target`` by ``source`` (delete, then rename on the same file system).
+
+    Readers may see the target missing between the two steps; on object
+    stores the rename is a copy.
+    """
+    jvm = spark.sparkContext._jvm
+    src = jvm.org.apache.hadoop.fs.Path(source)
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")

@@ -135,3 +135,21 @@ def test_rerun_with_same_id_replaces_audit_row(spark, workdir):
     assert runs.count() == 1
     # the re-run rewrote the batch's only date partition: bronze holds 60 rows
     assert runs.first()["bronze_rows"] == 60 and runs.first()["silver_rows"] == 60
+
+
+def test_publish_only_if_passed_keeps_previous_tables(spark, workdir):
+    ok = job.run_job(spark, workdir, run_id="good", source="synthetic", start_date=date(2025, 1, 1),
+                     days=1, rows_per_day=50, seed=5, publish_only_if_passed=True)
+    assert ok["status"] == "succeeded"
+    paths = job.resolve_paths(workdir)
+    assert job.read_silver(spark, paths.silver_dir).count() == 50
+    source = workdir + "/yellow_tripdata_2025-01.parquet"
+    _two_raw_taxi_rows(spark).withColumn("passenger_count", F.lit(0).cast("long")).write.parquet(source)
+    bad = job.run_job(spark, workdir, run_id="bad", source="taxi", source_path=source,
+                      publish_only_if_passed=True, raise_on_failure=False)
+    assert bad["status"] == "failed" and bad["checks_failed"] == 1
+    # published tables are still those of the good run; the candidate holds the failed build
+    assert job.read_silver(spark, paths.silver_dir).count() == 50
+    candidate = job.candidate_paths(paths, "bad")
+    assert job.read_silver(spark, candidate.silver_dir).count() == 52
+    assert job.read_fact(spark, paths.fact_dir).agg(F.sum("trip_count")).first()[0] == 50

@@ -98,13 +98,25 @@ def append_run(spark: SparkSession, audit_dir: str, row: dict) -> None:
     spark.createDataFrame([values], RUN_AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(audit_dir)
 
 
-def read_runs(spark: SparkSession, audit_dir: str) -> DataFrame:
-    """All stored audit rows; an absent table reads as empty with the full schema."""
+def read_runs(spark: SparkSession, location: str) -> DataFrame:
+    """All stored audit rows, from a path or a catalog table / view name.
+
+    An absent table reads as empty with the full schema; columns added to the
+    schema later read as null from older data.
+    """
+    empty = spark.createDataFrame([], RUN_AUDIT_SCHEMA)
+    if "/" not in location and ":" not in location:
+        if not spark.catalog.tableExists(location):
+            return empty
+        stored = spark.table(location)
+        return stored.select(*[F.col(f.name).cast(f.dataType) if f.name in stored.columns
+                               else F.lit(None).cast(f.dataType).alias(f.name)
+                               for f in RUN_AUDIT_SCHEMA.fields])
     try:
-        return spark.read.schema(RUN_AUDIT_SCHEMA).parquet(audit_dir)
+        return spark.read.schema(RUN_AUDIT_SCHEMA).parquet(location)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in (exc.getCondition() or "") or "Path does not exist" in str(exc):
-            return spark.createDataFrame([], RUN_AUDIT_SCHEMA)
+            return empty
         raise
 
 

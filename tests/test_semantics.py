@@ -231,3 +231,13 @@ def test_dashboard_kpis_mean_of_means_and_weighted(spark):
     k = metrics.dashboard_kpis(fact).first()
     assert (k.total_trips, k.total_revenue, k.avg_fare_unweighted, k.avg_fare_weighted) == \
         (4, 70.0, 15.0, 17.5)
+
+
+def test_audit_rows_from_a_catalog_view(spark):
+    runs = spark.createDataFrame([("r1", "succeeded", 10), ("r1", "failed", 12)],
+                                 "run_id string, status string, bronze_rows long")
+    runs.createOrReplaceTempView("faresight_runs_view")
+    stored = audit.read_runs(spark, "faresight_runs_view")
+    assert stored.count() == 2 and stored.first()["summary_path"] is None
+    assert audit.read_runs(spark, "faresight_no_such_table").count() == 0
+    spark.catalog.dropTempView("faresight_runs_view")

@@ -9,7 +9,7 @@ before the shuffle. The report is a small DataFrame with one row per check.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -68,13 +68,33 @@ def duplicate_key_count(df: DataFrame, keys: Sequence[str], ignore_null_keys: bo
                .agg(F.count_if(F.col("_n") > 1).alias("failures")))
 
 
-def quality_report(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """``check_order, name, failures, max_failures, passed`` per expectation."""
+def row_check_metrics(expectations: Sequence[Expectation]) -> list[Column]:
+    """One ``count_if`` per row-level expectation, named ``c<position>``.
+
+    Usable in an aggregate or in an ``observe`` on a write, so the checks can
+    be counted while the data is being written instead of by another scan.
+    """
+    return [F.count_if(e.condition).alias(f"c{i}")
+            for i, e in enumerate(expectations, 1) if e.condition is not None]
+
+
+def quality_report(df: DataFrame, expectations: Sequence[Expectation],
+                   row_counts: Mapping[str, int] | None = None) -> DataFrame:
+    """``check_order, name, failures, max_failures, passed`` per expectation.
+
+    ``row_counts`` are the ``row_check_metrics`` already observed over exactly
+    the rows of ``df`` (for instance while writing it); then only the key
+    checks scan ``df``.
+    """
     row_checks = [(i, e) for i, e in enumerate(expectations, 1) if e.condition is not None]
     key_checks = [(i, e) for i, e in enumerate(expectations, 1) if e.unique_key is not None]
     parts: list[DataFrame] = []
     if row_checks:
-        counts = df.agg(*[F.count_if(e.condition).alias(f"c{i}") for i, e in row_checks])
+        if row_counts is None:
+            counts = df.agg(*row_check_metrics(expectations))
+        else:
+            counts = df.sparkSession.range(1).select(
+                *[F.lit(int(row_counts[f"c{i}"])).cast("long").alias(f"c{i}") for i, _ in row_checks])
         rows = F.array(*[F.struct(F.lit(i).alias("check_order"), F.lit(e.name).alias("name"),
                                   F.col(f"c{i}").alias("failures"),
                                   F.lit(e.max_failures).cast("long").alias("max_failures"))

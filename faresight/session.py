@@ -17,8 +17,11 @@ used when no checkpoint directory is configured at all (unit tests).
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +56,79 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Shuffle sizing. AQE merges small shuffle partitions after each map stage but
+# never splits an ordinary large one, so the initial count has to be large
+# enough for the biggest shuffle of a run; the input splits are widened when a
+# run would otherwise need more map tasks than a scheduler handles well.
+SHUFFLE_BYTES_PER_STORED_BYTE = 2.0   # compressed parquet -> shuffle data, rough
+MAX_SHUFFLE_PARTITIONS = 100_000
+MAX_SCAN_TASKS = 100_000
+MAX_SPLIT_BYTES = 1 << 30
+
+
+def _bytes_conf(spark: SparkSession, key: str, default: str) -> int:
+    text = spark.conf.get(key, default)
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+               .byteStringAsBytes(text))
+
+
+def stored_bytes(spark: SparkSession, locations: Iterable[str]) -> int:
+    """Total size of the files below paths or glob patterns (listings only, no job)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for location in locations:
+        pattern = jvm.org.apache.hadoop.fs.Path(location)
+        fs = pattern.getFileSystem(conf)
+        for status in fs.globStatus(pattern) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
+    return total
+
+
+def shuffle_settings(spark: SparkSession, input_bytes: int,
+                     expansion: float = SHUFFLE_BYTES_PER_STORED_BYTE) -> dict[str, str]:
+    """Initial shuffle partitions and scan split size for a run reading ``input_bytes``.
+
+    Partitions: the expected shuffle bytes over the advisory partition size,
+    never fewer than ``spark.sql.shuffle.partitions`` and at most
+    ``MAX_SHUFFLE_PARTITIONS`` (AQE then coalesces them to the advisory size).
+    Split size: ``spark.sql.files.maxPartitionBytes``, raised (up to 1 GiB)
+    only when the scan would otherwise exceed ``MAX_SCAN_TASKS`` tasks.
+    """
+    advisory = _bytes_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    split = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", "128m")
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = math.ceil(input_bytes * expansion / max(advisory, 1))
+    partitions = max(floor, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    split = max(split, min(math.ceil(input_bytes / MAX_SCAN_TASKS), MAX_SPLIT_BYTES))
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+            "spark.sql.files.maxPartitionBytes": str(split)}
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[dict[str, str]]:
+    """Apply ``shuffle_settings`` for the duration of a block, then restore.
+
+    An initial partition count the caller set explicitly is kept; the split
+    size is only ever raised.
+    """
+    settings = shuffle_settings(spark, input_bytes)
+    previous = {key: spark.conf.get(key, None) for key in settings}
+    pinned = {key for key, value in previous.items()
+              if value is not None and key.endswith("initialPartitionNum")}
+    applied = {key: value for key, value in settings.items() if key not in pinned}
+    for key, value in applied.items():
+        spark.conf.set(key, value)
+    try:
+        yield applied
+    finally:
+        for key in applied:
+            if previous[key] is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, previous[key])
+
+
 def apply_job_conf(spark: SparkSession) -> None:
     """Set the runtime SQL properties the job depends on on an existing session."""
     for key in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):

@@ -92,3 +92,47 @@ def test_hot_trip_id_with_a_third_of_rows(spark, workdir):
                                                         F.col("payment_type").desc()).first())
     got = s.where("trip_id = 'hot'").first()
     assert (got.dropoff_datetime, got.fare_amount) == (expected.dropoff_datetime, expected.fare_amount)
+
+
+def test_shuffles_are_sized_by_input_bytes(spark):
+    from faresight.session import MAX_SHUFFLE_PARTITIONS, shuffle_settings, sized_for
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # small input: the configured count is the floor
+    assert shuffle_settings(spark, 1000)[key] == str(floor)
+    # 1 TB of parquet: about 2 TB shuffled, 128 MB per partition
+    tb = shuffle_settings(spark, 10**12)
+    assert int(tb[key]) == -(-2 * 10**12 // (128 << 20))
+    assert tb["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+    # 100 TB: capped partition count, wider scan splits (at most 1 GiB)
+    huge = shuffle_settings(spark, 100 * 10**12)
+    assert int(huge[key]) == MAX_SHUFFLE_PARTITIONS
+    assert (128 << 20) < int(huge["spark.sql.files.maxPartitionBytes"]) <= 1 << 30
+    # applied inside the block only; a count set by the caller is kept
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with sized_for(spark, 10**12):
+        assert spark.conf.get(key) == tb[key]
+    assert spark.conf.get(key, None) is None
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    spark.conf.set(key, "17")
+    try:
+        with sized_for(spark, 10**12):
+            assert spark.conf.get(key) == "17"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_checks_counted_by_the_silver_write_equal_a_scan(spark, workdir):
+    paths, _ = _bronze(spark, workdir)
+    checks = quality.silver_expectations()
+    result = job.run_transforms(spark, paths, checks)
+    stored = job.read_silver(spark, paths.silver_dir)
+    fused = quality.quality_report(stored, checks, row_counts=result.check_counts)
+    # only the key check still reads silver: one scan, of trip_id
+    plan = _plan(fused)
+    scans = [line for line in plan.splitlines() if line.startswith("(") and "Scan parquet" in line]
+    assert len(scans) == 1
+    read = plan[plan.index("ReadSchema"):].split("\n")[0]
+    assert "trip_id" in read and "fare_amount" not in read
+    scanned = quality.quality_report(stored, checks)
+    assert sorted(fused.collect()) == sorted(scanned.collect())

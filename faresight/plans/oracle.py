@@ -28,8 +28,10 @@ trips AS (
   FROM events
 )"""
 
-RAW_TAXI = """
-raw_taxi AS (
+def raw_taxi_sql(src: str = "events", name: str = "raw_taxi", extra: str = "") -> str:
+    """Raw yellow-layout records over an events-shaped relation (``extra`` adds columns)."""
+    return f"""
+{name} AS (
   SELECT CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id % 2 + 1 END AS VendorID,
          CASE WHEN event_id % 101 = 0 THEN 'not a time'
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS tpep_pickup_datetime,
@@ -43,10 +45,13 @@ raw_taxi AS (
          value * 2.0 - 3.0 AS fare_amount,
          CASE WHEN event_id % 9 = 0 THEN NULL ELSE value / 16 END AS tip_amount,
          value * 2.0 - 2.5 AS total_amount,
-         CASE WHEN event_id % 23 = 0 THEN NULL ELSE CAST(event_id % 8 AS DOUBLE) END AS payment_type
-  FROM events
+         CASE WHEN event_id % 23 = 0 THEN NULL ELSE CAST(event_id % 8 AS DOUBLE) END AS payment_type{extra}
+  FROM {src}
 )"""
 
+
+RAW_TAXI = raw_taxi_sql()
+
 RUNS = """
 runs AS (
   SELECT concat('run_', CAST(user_id AS VARCHAR)) AS run_id,

@@ -113,6 +113,52 @@ def q_taxi_read_green(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips
 
 
+# Four monthly files from one table: each third of January moves 0..3 months on, so every
+# file holds its own month's trips. The months use three layouts: the full one (January and
+# April, read together in one scan), no vendor column (February) and zones and payment
+# codes stored as bigint (March).
+_MONTHS = taxi.month_range((_TAXI_YEAR, 1), (_TAXI_YEAR, 4))
+_MONTH_SHIFT_SQL = """
+ev AS (
+  SELECT * REPLACE (ts + to_months(k) AS ts)
+  FROM (SELECT *, CASE WHEN day(ts) <= 7 THEN 0 WHEN day(ts) <= 14 THEN 1
+                       WHEN day(ts) <= 21 THEN 2 ELSE 3 END AS k FROM events))"""
+
+
+def _month_shift(events: DataFrame) -> DataFrame:
+    day = F.dayofmonth("ts")
+    k = (F.when(day <= 7, 0).when(day <= 14, 1).when(day <= 21, 2).otherwise(3))
+    return (events.withColumn("k", k)
+                  .withColumn("ts", F.col("ts") + F.make_ym_interval(F.lit(0), F.col("k"))))
+
+
+def _month_layout(raw: DataFrame, k: int) -> DataFrame:
+    if k == 1:
+        return raw.drop("VendorID")
+    if k == 2:
+        return raw.withColumns({c: F.col(c).cast("long")
+                                for c in ("PULocationID", "DOLocationID", "payment_type")})
+    return raw
+
+
+@register("taxi_read_months", covers="S1 S2 (a range of months, grouped by file layout) D15",
+          oracle=O.with_(_MONTH_SHIFT_SQL, O.raw_taxi_sql("ev", "raw_m", ", k"), """
+raw_months AS (SELECT * REPLACE (CASE WHEN k = 1 THEN NULL ELSE VendorID END AS VendorID)
+               FROM raw_m)""") + O.normalize_sql("raw_months", "tpep_pickup_datetime",
+                                                 "tpep_dropoff_datetime"))
+def q_taxi_read_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write one file per month (layouts differ by month), then read the month range."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "taxi-months")
+    raw = fixtures.raw_taxi_from_events(_month_shift(fixtures.table(spark, sf_dir, "events")),
+                                        keep=["k"])
+    for k, (year, month) in enumerate(_MONTHS):
+        (_month_layout(raw.where(F.col("k") == k).drop("k"), k)
+            .write.mode("overwrite").parquet(taxi.monthly_path(root, "yellow", year, month)))
+    trips, _ = taxi.load_taxi(spark, "yellow", months=_MONTHS, root=root)
+    return trips
+
+
 # --- bronze -------------------------------------------------------------------------------
 
 _BRONZE_COLS = O.TRIP_COLS + ", source_batch_id, ingested_at, pickup_date, batch_key"

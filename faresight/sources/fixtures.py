@@ -7,6 +7,8 @@ projection of one scan: it keeps every row and grows with the table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +51,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_events(table(spark, sf_dir, "events"))
 
 
-def raw_taxi_from_events(events: DataFrame) -> DataFrame:
-    """Raw yellow-layout taxi records with text times, junk and gaps."""
+def raw_taxi_from_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw yellow-layout taxi records with text times, junk and gaps.
+
+    ``keep`` names columns of ``events`` carried along unchanged.
+    """
     e, ts, v = F.col("event_id"), F.col("ts"), F.col("value")
     fmt = "yyyy-MM-dd HH:mm:ss"
     return events.select(
@@ -69,6 +74,7 @@ def raw_taxi_from_events(events: DataFrame) -> DataFrame:
         F.when(e % 9 == 0, F.lit(None)).otherwise(v / 16.0).alias("tip_amount"),
         (v * 2.0 - 2.5).alias("total_amount"),
         F.when(e % 23 == 0, F.lit(None)).otherwise((e % 8).cast("double")).alias("payment_type"),
+        *keep,
     )
 
 

@@ -12,7 +12,10 @@ The job relies on three session properties:
 Scratch data (bronze written by a query, exported tables, audit rows) goes
 below the session's checkpoint directory, which on a cluster is the shared
 folder named by ``spark.checkpoint.dir``. A local temporary folder is only
-used when no checkpoint directory is configured at all (unit tests).
+used when no checkpoint directory is configured and the master is local
+(unit tests); a cluster session without the setting is refused.
+
+Shuffles of a job run are sized from the bytes it reads (``sized_for``).
 """
 
 from __future__ import annotations
@@ -139,8 +142,9 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for data the job writes between stages.
 
     Uses the session's checkpoint directory (``spark.checkpoint.dir``). Only
-    when none is configured, as in unit tests, a local temporary folder is
-    created and registered as the checkpoint directory.
+    when none is configured and the master is local, as in unit tests, a
+    local temporary folder is created and registered as the checkpoint
+    directory; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -148,6 +152,9 @@ def shared_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot see a folder on the driver
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="faresight-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

@@ -9,6 +9,7 @@ before the shuffle. The report is a small DataFrame with one row per check.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faresight.schemas import QUALITY_REPORT_SCHEMA
+from faresight.session import write_text
+
+REPORT_FILE = "report.json"
 
 
 @dataclass(frozen=True)
@@ -142,16 +146,16 @@ class QualityOutcome:
 
 def evaluate(report: DataFrame, report_dir: str | None = None,
              raise_on_failure: bool = True) -> QualityOutcome:
-    """Compute the report once, optionally store it as JSON, then gate.
+    """Compute the report once, optionally store it as JSON lines, then gate.
 
     The report has one row per check, so collecting it is bounded by the
     number of expectations, not by the data.
     """
     rows = [r.asDict() for r in report.orderBy("check_order").collect()]
     if report_dir is not None:
-        spark = report.sparkSession
-        spark.createDataFrame(rows, QUALITY_REPORT_SCHEMA).coalesce(1) \
-             .write.mode("overwrite").json(report_dir)
+        # one JSON line per check, readable with spark.read.schema(QUALITY_REPORT_SCHEMA).json
+        write_text(report.sparkSession, f"{report_dir.rstrip('/')}/{REPORT_FILE}",
+                   "".join(json.dumps(r) + "\n" for r in rows))
     outcome = QualityOutcome(all(r["passed"] for r in rows), rows)
     if raise_on_failure and not outcome.overall_pass:
         failed = [r["name"] for r in rows if not r["passed"]]

@@ -214,3 +214,30 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
         raise OSError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, location: str, text: str) -> None:
+    """Write a small driver-side document (a run summary, a check report) to one
+    file through the location's Hadoop file system, replacing it; no Spark job."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, location: str) -> str | None:
+    """Content of one small file written by ``write_text``; None when absent."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

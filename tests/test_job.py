@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faresight.operators import audit, quality
 from faresight.plans import job
+from faresight.schemas import QUALITY_REPORT_SCHEMA
 from faresight.sources import bronze, generator, taxi
 
 
@@ -53,7 +54,11 @@ def test_job_records_audit_row_and_summary(spark, workdir):
     assert row["bronze_rows"] == 120 and row["silver_rows"] == 120
     assert row["gold_rows"] > 0 and row["quality_passed"] is True
     assert row["bronze_files"] == 1 and row["checks_passed"] == 8
-    assert job.read_summary(spark, paths, "audit-run")["run_id"] == "audit-run"
+    stored = job.read_summary(spark, paths, "audit-run")
+    assert stored["run_id"] == "audit-run" and stored["checks_passed"] == 8
+    assert row["summary_path"] == job.summary_path(paths, "audit-run")
+    checks = spark.read.schema(QUALITY_REPORT_SCHEMA).json(paths.quality_dir)
+    assert checks.count() == 8 and checks.where("passed").count() == 8
 
 
 def test_newest_copy_of_a_trip_wins(spark, workdir):

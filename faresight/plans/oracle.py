@@ -255,3 +255,62 @@ def derived_sql(src: str, name: str, provenance: bool = True) -> str:
          DATE_DIFF('minute', pickup_datetime, dropoff_datetime) AS trip_duration_min
   FROM {src}
 )"""
+
+
+def _dbl(x: float) -> str:
+    """A DOUBLE literal in DuckDB (an exponent makes it DOUBLE, not DECIMAL)."""
+    text = repr(float(x))
+    return text if "e" in text else text + "e0"
+
+
+def generated_trips_sql(ids: str, start_date: str, rows_per_day: int, seed: int) -> str:
+    """The generator's rows over a relation ``ids(id)``, with the same digests and arithmetic."""
+    from faresight.sources import generator as G
+
+    digests = ",\n         ".join(
+        f"sha256(concat_ws(':', '{seed}', '{b}', CAST(id AS VARCHAR))) AS h{b}" for b in range(3))
+    uniforms = ",\n         ".join(
+        f"CAST('0x' || substr(h{(k - 1) // 4}, {((k - 1) % 4) * 13 + 1}, 13) AS BIGINT)"
+        f" / {_dbl(2.0 ** 52)} AS u{k}" for k in range(1, 13))
+    cumulative, rate_cases = 0.0, []
+    for rate, weight in zip(G.TIP_RATES[:-1], G.TIP_WEIGHTS[:-1]):
+        cumulative += weight
+        rate_cases.append(f"WHEN u9 < {_dbl(cumulative)} THEN {_dbl(rate)}")
+    rate = f"CASE {' '.join(rate_cases)} ELSE {_dbl(G.TIP_RATES[-1])} END"
+    labels = " ".join(f"WHEN {i} THEN '{label}'" for i, label in enumerate(G.PAYMENT_LABELS[:-1]))
+    pay = (f"CASE CAST(floor(u12 * {len(G.PAYMENT_LABELS)}) AS BIGINT) {labels} "
+           f"ELSE '{G.PAYMENT_LABELS[-1]}' END")
+    return f"""
+g_hash AS (
+  SELECT id, md5(concat_ws(':', '{seed}', CAST(id AS VARCHAR))) AS k,
+         {digests}
+  FROM {ids}),
+g_u AS (
+  SELECT id, k,
+         {uniforms}
+  FROM g_hash),
+g_d AS (
+  SELECT *,
+         CAST(DATE '{start_date}' + CAST(id // {rows_per_day} AS INTEGER) AS TIMESTAMP)
+           + to_seconds(CAST(floor(u1 * 86400) AS BIGINT)) AS pickup,
+         {round2_sql('(-1.5e0 * ln((1.0e0 - u4) * (1.0e0 - u5)))')} AS distance,
+         sqrt(-2.0e0 * ln(1.0e0 - u7)) * cos(2 * pi() * u8) AS normal
+  FROM g_u),
+g_f AS (
+  SELECT *, {round2_sql('greatest((distance * (2.2e0 + 0.9e0 * u6) + 3.0e0) + normal, 3.0e0)')} AS fare
+  FROM g_d),
+g_t AS (
+  SELECT *, {round2_sql(f'(fare * {rate})')} AS tip FROM g_f)
+SELECT substr(k, 1, 8) || '-' || substr(k, 9, 4) || '-' || substr(k, 13, 4) || '-'
+         || substr(k, 17, 4) || '-' || substr(k, 21, 12) AS trip_id,
+       pickup AS pickup_datetime,
+       pickup + to_seconds(CAST(180 + floor(u2 * 2520) AS BIGINT)) AS dropoff_datetime,
+       CAST(1 + floor(u3 * 5) AS BIGINT) AS passenger_count,
+       distance AS trip_distance,
+       CAST(1 + floor(u10 * 50) AS BIGINT) AS pickup_zone_id,
+       CAST(1 + floor(u11 * 50) AS BIGINT) AS dropoff_zone_id,
+       fare AS fare_amount,
+       tip AS tip_amount,
+       {round2_sql('((fare + tip) + 0.5e0)')} AS total_amount,
+       {pay} AS payment_type
+FROM g_t"""

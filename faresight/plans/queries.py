@@ -501,11 +501,17 @@ def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- generator, whole job, export ---------------------------------------------------------
 
-@register("generated_trips", covers="S13 P13")
+_GEN_START, _GEN_PER_DAY, _GEN_SEED = date(2024, 1, 1), 1000, 42
+
+
+@register("generated_trips", covers="S13 P13",
+          oracle=O.with_("g_ids AS (SELECT event_id AS id FROM events)",
+                         O.generated_trips_sql("g_ids", _GEN_START.isoformat(), _GEN_PER_DAY,
+                                               _GEN_SEED)))
 def q_generated_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One synthetic trip per event id (1,000 per day from 2024-01-01, seed 42)."""
     ids = fixtures.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
-    return generator.trips_for_ids(ids, date(2024, 1, 1), rows_per_day=1000, seed=42)
+    return generator.trips_for_ids(ids, _GEN_START, rows_per_day=_GEN_PER_DAY, seed=_GEN_SEED)
 
 
 _JOB_RUN = "job-taxi-2024-01"

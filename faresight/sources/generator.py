@@ -1,9 +1,11 @@
 """Seeded synthetic trips, generated on the executors.
 
-Each row's values are functions of ``(seed, stream, row id)`` through
-``xxhash64``, so the output does not depend on partitioning, task order or
+Each row's values are functions of ``(seed, row id)`` through SHA-256
+digests, so the output does not depend on partitioning, task order or
 retries (a re-executed task regenerates identical rows), and any number of
-rows can be produced without the driver holding them.
+rows can be produced without the driver holding them. The digests are the
+standard function, so a SQL engine with ``sha256`` states the same rows
+(``generated_trips_sql``).
 
 Distributions (per row):
 
@@ -32,18 +34,25 @@ PAYMENT_LABELS = ["card", "cash", "app"]
 TIP_RATES = [0.0, 0.1, 0.15, 0.2]
 TIP_WEIGHTS = [0.2, 0.35, 0.3, 0.15]
 
-_MANTISSA = (1 << 53) - 1
+# A digest is 64 hex digits; each uniform takes 13 of them (52 bits).
+_HEX_PER_UNIFORM = 13
+_UNIFORMS_PER_DIGEST = 4
+_SCALE = float(1 << (4 * _HEX_PER_UNIFORM))
 
 
-def _uniform(seed: int, stream: int, row_id: Column) -> Column:
-    """U[0, 1) from 53 bits of ``xxhash64(seed, stream, id)``."""
-    bits = F.xxhash64(F.lit(seed), F.lit(stream), row_id).bitwiseAND(F.lit(_MANTISSA))
-    return bits.cast("double") / F.lit(float(1 << 53))
+def _digest_text(seed: int, block: int, row_id: Column) -> Column:
+    return F.concat_ws(":", F.lit(str(seed)), F.lit(str(block)), row_id.cast("string"))
 
 
-def _open_uniform(seed: int, stream: int, row_id: Column) -> Column:
-    """U(0, 1], safe under ``ln``."""
-    return F.lit(1.0) - _uniform(seed, stream, row_id)
+def _uniforms(seed: int, row_id: Column, n: int) -> dict[int, Column]:
+    """U[0, 1) number ``k`` (1..n) from hex digits of ``sha256(seed:block:id)``."""
+    out = {}
+    for k in range(1, n + 1):
+        block, slot = divmod(k - 1, _UNIFORMS_PER_DIGEST)
+        digest = F.sha2(_digest_text(seed, block, row_id), 256)
+        digits = F.substring(digest, slot * _HEX_PER_UNIFORM + 1, _HEX_PER_UNIFORM)
+        out[k] = F.conv(digits, 16, 10).cast("long").cast("double") / F.lit(_SCALE)
+    return out
 
 
 def _weighted_choice(u: Column, values: list[float], weights: list[float]) -> Column:
@@ -64,13 +73,14 @@ def trips_for_ids(ids: DataFrame, start_date: date, rows_per_day: int, seed: int
     if rows_per_day <= 0:
         raise ValueError("rows_per_day must be positive")
     i = F.col(id_col).cast("long")
-    u = {k: _uniform(seed, k, i) for k in range(1, 13)}
+    u = _uniforms(seed, i, 12)
     day = F.date_add(F.lit(start_date), (i / F.lit(rows_per_day)).cast("int"))
     pickup = F.to_timestamp_ntz(day.cast("string")) + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), F.floor(u[1] * 86400))
     duration = F.lit(180) + F.floor(u[2] * (2700 - 180))
-    distance = round2(F.lit(-1.5) * F.log(_open_uniform(seed, 4, i) * _open_uniform(seed, 5, i)))
-    normal = (F.sqrt(F.lit(-2.0) * F.log(_open_uniform(seed, 7, i)))
+    # 1 - u lies in (0, 1], safe under ln: gamma(2, 1.5) as -1.5 ln(v4 v5), Box-Muller normal
+    distance = round2(F.lit(-1.5) * F.log((F.lit(1.0) - u[4]) * (F.lit(1.0) - u[5])))
+    normal = (F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u[7]))
               * F.cos(F.lit(2 * math.pi) * u[8]))
     fare = round2(F.greatest(distance * (F.lit(2.2) + F.lit(0.9) * u[6]) + F.lit(3.0) + normal,
                              F.lit(3.0)))

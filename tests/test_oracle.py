@@ -11,11 +11,10 @@ from tests.conftest import SF_SMALL
 pytestmark = pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="test data not present")
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
+def test_every_query_has_an_oracle():
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"generated_trips"}
+    assert set(sqls) == set(qs)
 
 
 def test_queries_match_oracle(spark):

@@ -40,7 +40,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")})
     spark.sparkContext.setLogLevel("ERROR")

@@ -136,3 +136,29 @@ def test_checks_counted_by_the_silver_write_equal_a_scan(spark, workdir):
     assert "trip_id" in read and "fare_amount" not in read
     scanned = quality.quality_report(stored, checks)
     assert sorted(fused.collect()) == sorted(scanned.collect())
+
+
+def test_hot_date_is_split_into_several_files(spark, workdir):
+    """A date holding most rows is written as several files, the light dates as few."""
+    import glob
+
+    g = generator.generate_trips(spark, date(2025, 1, 1), days=4, rows_per_day=2000, seed=3)
+    hot = g.withColumn("pickup_datetime",
+                       F.when(F.col("passenger_count") <= 4,
+                              F.col("pickup_datetime") - F.make_dt_interval(F.datediff(
+                                  F.to_date("pickup_datetime"), F.lit(date(2025, 1, 1)))))
+                        .otherwise(F.col("pickup_datetime")))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        out = job.resolve_paths(workdir).bronze_dir
+        bronze.write_bronze(hot, out, batch_id="hot", ingested_at=datetime(2025, 2, 1, tzinfo=UTC))
+    finally:
+        spark.conf.set(key, before)
+    local = out.removeprefix("file:")
+    files = {d: len(glob.glob(f"{local}/pickup_date={d}/batch_key=hot/*.parquet"))
+             for d in ("2025-01-01", "2025-01-02", "2025-01-03", "2025-01-04")}
+    assert files["2025-01-01"] > 1
+    assert files["2025-01-01"] > max(files[d] for d in files if d != "2025-01-01")
+    assert bronze.scan_bronze(spark, out).count() == 8000

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faresight.schemas import QUALITY_REPORT_SCHEMA
-from faresight.session import write_text
+from faresight.session import read_text, write_text
 
 REPORT_FILE = "report.json"
 
@@ -83,27 +83,32 @@ def row_check_metrics(expectations: Sequence[Expectation]) -> list[Column]:
 
 
 def quality_report(df: DataFrame, expectations: Sequence[Expectation],
-                   row_counts: Mapping[str, int] | None = None) -> DataFrame:
+                   known: Mapping[int, int] | None = None) -> DataFrame:
     """``check_order, name, failures, max_failures, passed`` per expectation.
 
-    ``row_counts`` are the ``row_check_metrics`` already observed over exactly
-    the rows of ``df`` (for instance while writing it); then only the key
-    checks scan ``df``.
+    ``known`` gives failures already counted for some checks, by position
+    (1-based): counted while the data was written, or maintained from the
+    previous report. Only the other checks read ``df``.
     """
-    row_checks = [(i, e) for i, e in enumerate(expectations, 1) if e.condition is not None]
-    key_checks = [(i, e) for i, e in enumerate(expectations, 1) if e.unique_key is not None]
+    known = dict(known or {})
+    numbered = list(enumerate(expectations, 1))
+    row_checks = [(i, e) for i, e in numbered if e.condition is not None and i not in known]
+    key_checks = [(i, e) for i, e in numbered if e.unique_key is not None and i not in known]
+    given = [(i, e) for i, e in numbered if i in known]
     parts: list[DataFrame] = []
-    if row_checks:
-        if row_counts is None:
-            counts = df.agg(*row_check_metrics(expectations))
-        else:
-            counts = df.sparkSession.range(1).select(
-                *[F.lit(int(row_counts[f"c{i}"])).cast("long").alias(f"c{i}") for i, _ in row_checks])
+
+    def stacked(source: DataFrame, checks, failures) -> DataFrame:
         rows = F.array(*[F.struct(F.lit(i).alias("check_order"), F.lit(e.name).alias("name"),
-                                  F.col(f"c{i}").alias("failures"),
+                                  failures(i).cast("long").alias("failures"),
                                   F.lit(e.max_failures).cast("long").alias("max_failures"))
-                         for i, e in row_checks])
-        parts.append(counts.select(F.inline(rows)))
+                         for i, e in checks])
+        return source.select(F.inline(rows))
+
+    if given:
+        parts.append(stacked(df.sparkSession.range(1), given, lambda i: F.lit(int(known[i]))))
+    if row_checks:
+        counts = df.agg(*[F.count_if(e.condition).alias(f"c{i}") for i, e in row_checks])
+        parts.append(stacked(counts, row_checks, lambda i: F.col(f"c{i}")))
     for i, e in key_checks:
         parts.append(duplicate_key_count(df, e.unique_key, e.ignore_null_keys).select(
             F.lit(i).alias("check_order"), F.lit(e.name).alias("name"), "failures",
@@ -117,6 +122,31 @@ def quality_report(df: DataFrame, expectations: Sequence[Expectation],
     ).select(*QUALITY_REPORT_SCHEMA.fieldNames())
 
 
+def observed_failures(observed: Mapping[str, int]) -> dict[int, int]:
+    """``row_check_metrics`` values (``c<position>``) as failures by position."""
+    return {int(k[1:]): int(v) for k, v in observed.items() if k.startswith("c") and k[1:].isdigit()}
+
+
+def count_failures(df: DataFrame, expectations: Sequence[Expectation]) -> dict[int, int]:
+    """Failures of every check over ``df``, by position (a small collect)."""
+    return {r["check_order"]: int(r["failures"])
+            for r in quality_report(df, expectations).select("check_order", "failures").collect()}
+
+
+def stored_failures(spark, report_dir: str, expectations: Sequence[Expectation]) -> dict[int, int] | None:
+    """Failures by position from a report written by ``evaluate``; None when the
+    report is absent or was written for another list of checks."""
+    text = read_text(spark, f"{report_dir.rstrip('/')}/{REPORT_FILE}")
+    if text is None:
+        return None
+    rows = [json.loads(line) for line in text.splitlines() if line.strip()]
+    by_order = {int(r["check_order"]): r for r in rows}
+    wanted = {i: e.name for i, e in enumerate(expectations, 1)}
+    if {i: r["name"] for i, r in by_order.items()} != wanted:
+        return None
+    return {i: int(r["failures"]) for i, r in by_order.items()}
+
+
 def quality_summary(report: DataFrame) -> DataFrame:
     """Checks passed, checks failed and the overall verdict, as one row."""
     return report.agg(

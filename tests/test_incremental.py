@@ -78,3 +78,64 @@ def test_job_incremental_mode_and_rerun_fallback(spark, workdir):
                  job.read_silver(spark, full.silver_dir).select(*cols))
     runs = audit.latest_runs(audit.read_runs(spark, paths.runs_dir))
     assert runs.count() == 2 and runs.where("status = 'succeeded'").count() == 2
+
+
+def test_incremental_run_carries_check_counts_forward(spark, workdir, monkeypatch):
+    """The report of an incremental run equals a full scan of the silver it left."""
+    from faresight.operators import quality
+    first = _rows(spark, [
+        ("a", _t("2025-01-01 08:00:00"), _t("2025-01-01 08:10:00"), 0, 1.0, 1, 2, 5.0, 0.0, 4.0, "card"),
+        ("b", _t("2025-01-01 09:00:00"), _t("2025-01-01 13:00:00"), 2, 1.0, 1, 2, 5.0, 0.0, 5.5, "cash"),
+        ("c", _t("2025-01-02 09:00:00"), _t("2025-01-02 09:30:00"), 7, 3.0, 4, 5, 8.0, 1.0, 9.5, "app"),
+        (None, _t("2025-01-02 10:00:00"), _t("2025-01-02 10:30:00"), 1, 3.0, 4, 5, 8.0, 1.0, 9.5, "app"),
+    ])
+    # newer copies: "a" fixed, "c" now fails twice, a new trip "d"; a null id again
+    later = _rows(spark, [
+        ("a", _t("2025-01-01 08:00:00"), _t("2025-01-01 08:12:00"), 1, 1.0, 1, 2, 5.0, 0.0, 5.5, "card"),
+        ("c", _t("2025-01-03 09:00:00"), _t("2025-01-03 09:00:30"), 0, 3.0, 4, 5, 8.0, 1.0, 2.0, "app"),
+        ("d", _t("2025-01-03 11:00:00"), _t("2025-01-03 11:20:00"), 9, 2.0, 6, 7, 7.0, 0.0, 7.5, "card"),
+        (None, _t("2025-01-04 10:00:00"), _t("2025-01-04 10:30:00"), 1, 3.0, 4, 5, 8.0, 1.0, 1.5, "app"),
+    ])
+    seen = []
+    original = quality.quality_report
+
+    def spy(df, expectations, known=None):
+        seen.append(dict(known or {}))
+        return original(df, expectations, known=known)
+
+    monkeypatch.setattr(job.quality, "quality_report", spy)
+    s1 = job.run_job(spark, workdir, run_id="i1", source="frame", trips=first, raise_on_failure=False)
+    s2 = job.run_job(spark, workdir, run_id="i2", source="frame", trips=later, raise_on_failure=False)
+    assert s1["transforms"]["mode"] == "full" and s2["transforms"]["mode"] == "incremental"
+    # the incremental report was computed without reading silver: every check was known
+    assert set(seen[-1]) == set(range(1, 9))
+    monkeypatch.setattr(job.quality, "quality_report", original)
+    paths = job.resolve_paths(workdir)
+    scanned = quality.quality_report(job.read_silver(spark, paths.silver_dir),
+                                     quality.silver_expectations())
+    expected = {r.name: r.failures for r in scanned.collect()}
+    assert {c["name"]: c["failures"] for c in s2["quality"]["checks"]} == expected
+    assert expected["invalid_passenger_count"] == 2 and expected["invalid_trip_duration"] == 2
+    assert expected["total_amount_below_fare"] == 2
+
+
+def test_interrupted_run_forces_a_full_refresh(spark, workdir, monkeypatch):
+    common = dict(source="synthetic", days=1, rows_per_day=30)
+    job.run_job(spark, workdir, run_id="u1", start_date=date(2025, 1, 1), seed=1, **common)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("executor lost beyond retries")
+
+    monkeypatch.setattr(job, "run_transforms_incremental", broken)
+    failed = job.run_job(spark, workdir, run_id="u2", start_date=date(2025, 1, 2), seed=2,
+                         raise_on_failure=False, **common)
+    assert failed["status"] == "failed" and "executor lost" in failed["error_message"]
+    monkeypatch.undo()
+    paths = job.resolve_paths(workdir)
+    assert job.read_silver(spark, paths.silver_dir).count() == 30   # u2 is only in bronze
+    s3 = job.run_job(spark, workdir, run_id="u3", start_date=date(2025, 1, 3), seed=3, **common)
+    assert s3["transforms"]["mode"] == "full"
+    assert job.read_silver(spark, paths.silver_dir).count() == 90
+    s4 = job.run_job(spark, workdir, run_id="u4", start_date=date(2025, 1, 4), seed=4, **common)
+    assert s4["transforms"]["mode"] == "incremental"
+    assert job.read_silver(spark, paths.silver_dir).count() == 120

@@ -127,7 +127,7 @@ def test_checks_counted_by_the_silver_write_equal_a_scan(spark, workdir):
     checks = quality.silver_expectations()
     result = job.run_transforms(spark, paths, checks)
     stored = job.read_silver(spark, paths.silver_dir)
-    fused = quality.quality_report(stored, checks, row_counts=result.check_counts)
+    fused = quality.quality_report(stored, checks, known=result.check_counts)
     # only the key check still reads silver: one scan, of trip_id
     plan = _plan(fused)
     scans = [line for line in plan.splitlines() if line.startswith("(") and "Scan parquet" in line]

@@ -108,6 +108,17 @@ def batch_candidates(batch_bronze: DataFrame) -> DataFrame:
     return with_derived(valid_trips(batch_bronze)).select(*SILVER_COLUMNS)
 
 
+def dates_holding(silver: DataFrame, ids: DataFrame) -> DataFrame:
+    """Distinct pickup dates of the stored rows of the given trip ids.
+
+    Reads only the ``trip_id`` and ``pickup_date`` columns of silver, so full
+    rows need to be read only from these dates.
+    """
+    keys = silver.select("trip_id", "pickup_date")
+    return (keys.join(ids, keys["trip_id"].eqNullSafe(ids["trip_id"]), "left_semi")
+                .select("pickup_date").distinct())
+
+
 def stored_copies(silver: DataFrame, ids: DataFrame) -> DataFrame:
     """Stored winners of the given trip ids (null-safe semi join)."""
     stored = silver.select(*SILVER_COLUMNS)

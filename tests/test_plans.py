@@ -162,3 +162,17 @@ def test_hot_date_is_split_into_several_files(spark, workdir):
     assert files["2025-01-01"] > 1
     assert files["2025-01-01"] > max(files[d] for d in files if d != "2025-01-01")
     assert bronze.scan_bronze(spark, out).count() == 8000
+
+
+def test_incremental_lookup_reads_ids_then_pruned_dates(spark, workdir):
+    paths, _ = _bronze(spark, workdir)
+    job.run_transforms(spark, paths)
+    current = job.read_silver(spark, paths.silver_dir)
+    ids = current.limit(3).select("trip_id")
+    lookup = _plan(silver.dates_holding(current, ids))
+    reads = [line for line in lookup.splitlines() if line.startswith("ReadSchema")]
+    assert reads and all("trip_id" in r and "fare_amount" not in r for r in reads)
+    held = [r["pickup_date"] for r in silver.dates_holding(current, ids).collect()]
+    copies = _plan(silver.stored_copies(current.where(F.col("pickup_date").isin(held)), ids))
+    pruned = [line for line in copies.splitlines() if line.startswith("PartitionFilters")]
+    assert pruned and "pickup_date" in pruned[0] and ("IN" in pruned[0] or " = " in pruned[0])

@@ -185,13 +185,18 @@ def delete_path(spark: SparkSession, location: str) -> None:
         fs.delete(path, True)
 
 
-def count_matches(spark: SparkSession, pattern: str) -> int:
-    """Number of locations matching a path or glob pattern (a listing, no job)."""
+def list_matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Locations matching a path or glob pattern, sorted (a listing, no job)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.globStatus(path)
-    return 0 if found is None else len(found)
+    return sorted(str(status.getPath()) for status in (found or []))
+
+
+def count_matches(spark: SparkSession, pattern: str) -> int:
+    """Number of locations matching a path or glob pattern (a listing, no job)."""
+    return len(list_matches(spark, pattern))
 
 
 def path_exists(spark: SparkSession, pattern: str) -> bool:

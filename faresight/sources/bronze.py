@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from faresight.functions.columns import batch_key, batch_key_text, iso_utc
 from faresight.schemas import (BRONZE_PARTITION_COLUMNS, BRONZE_PAYLOAD_SCHEMA, BRONZE_SCHEMA,
                                TRIP_COLUMNS, TRIP_SCHEMA)
-from faresight.session import apply_job_conf, count_matches
+from faresight.session import apply_job_conf, list_matches
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,8 @@ class IngestResult:
     partitions: int | None
     min_pickup_date: date | None
     bronze_dir: str
+    # the batch's (date, batch) partition folders, one per pickup date
+    written_paths: list[str] | None = None
 
 
 def to_iso(value: datetime) -> str:
@@ -102,17 +104,17 @@ def write_bronze(trips: DataFrame, bronze_dir: str, batch_id: str | None = None,
          .partitionBy(*BRONZE_PARTITION_COLUMNS)
          .parquet(bronze_dir))
     m = obs.get
-    key, partitions = None, None
+    key, written = None, None
     if batch_id is not None:
         key = sanitized_key(spark, batch_id)
-        partitions = count_matches(spark, f"{bronze_dir}/pickup_date=*/batch_key={key}")
+        written = list_matches(spark, f"{bronze_dir}/pickup_date=*/batch_key={key}")
     return IngestResult(
         source_name=source_name, source_reference=source_reference, batch_id=batch_id,
         batch_key=key, ingested_at=to_iso(ingested_at) if ingested_at else None,
         rows_read=int(m["rows_read"]), rows_written=int(m["rows_read"] - m["rows_rejected"]),
         rows_rejected=int(m["rows_rejected"]),
-        partitions=int(partitions) if partitions is not None else None,
-        min_pickup_date=m["min_pickup_date"], bronze_dir=bronze_dir,
+        partitions=len(written) if written is not None else None,
+        min_pickup_date=m["min_pickup_date"], bronze_dir=bronze_dir, written_paths=written,
     )
 
 

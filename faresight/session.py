@@ -37,6 +37,10 @@ SESSION_CONF: dict[str, str] = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call sites are not recorded for every column expression: that is
+    # several JVM round trips per function call while plans are being built,
+    # only to enrich error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

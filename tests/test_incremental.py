@@ -6,7 +6,7 @@ from datetime import UTC, date, datetime
 
 from pyspark.sql import functions as F
 
-from faresight.operators import audit
+from faresight.operators import audit, quality
 from faresight.plans import job
 from faresight.schemas import SILVER_COLUMNS
 from faresight.sources import bronze, generator
@@ -139,3 +139,23 @@ def test_interrupted_run_forces_a_full_refresh(spark, workdir, monkeypatch):
     s4 = job.run_job(spark, workdir, run_id="u4", start_date=date(2025, 1, 4), seed=4, **common)
     assert s4["transforms"]["mode"] == "incremental"
     assert job.read_silver(spark, paths.silver_dir).count() == 120
+
+
+def test_incremental_batch_without_valid_rows(spark, workdir):
+    common = dict(source="synthetic", days=1, rows_per_day=25)
+    job.run_job(spark, workdir, run_id="v1", start_date=date(2025, 1, 1), seed=1, **common)
+    paths = job.resolve_paths(workdir)
+    before = job.read_silver(spark, paths.silver_dir)
+    before_rows = before.collect()
+    junk = _rows(spark, [
+        ("z1", _t("2025-01-05 08:00:00"), _t("2025-01-05 08:10:00"), 1, 0.0, 1, 2, 5.0, 0.0, 5.5, "card"),
+        ("z2", None, _t("2025-01-05 08:10:00"), 1, 1.0, 1, 2, 5.0, 0.0, 5.5, "card"),
+    ])
+    s2 = job.run_job(spark, workdir, run_id="v2", source="frame", trips=junk)
+    assert s2["transforms"]["mode"] == "incremental" and s2["transforms"]["rewritten_dates"] == 0
+    assert s2["ingestion"]["rows_written"] == 1 and s2["ingestion"]["rows_rejected"] == 1
+    after = job.read_silver(spark, paths.silver_dir)
+    assert sorted(after.collect()) == sorted(before_rows)
+    scanned = quality.quality_report(after, quality.silver_expectations())
+    assert {c["name"]: c["failures"] for c in s2["quality"]["checks"]} == \
+        {r.name: r.failures for r in scanned.collect()}

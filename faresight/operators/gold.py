@@ -71,3 +71,30 @@ def dim_zones(silver: DataFrame, ordered: bool = True) -> DataFrame:
     out = zones.select("zone_id",
                        F.concat(F.lit("Zone "), F.col("zone_id").cast("string")).alias("zone_label"))
     return out.orderBy("zone_id") if ordered else out
+
+
+# --- zone references, for incremental maintenance of the dimension -------------------------
+#
+# A zone stays in the dimension while at least one silver row names it as its
+# pickup or dropoff zone. Keeping the number of such references per zone lets
+# an incremental run update the dimension from the rows it adds and removes,
+# without scanning silver.
+
+def zone_refs(trips: DataFrame) -> DataFrame:
+    """Per zone (the null zone included): how many pickup and dropoff fields name it."""
+    return (trips.select(F.explode(F.array("pickup_zone_id", "dropoff_zone_id")).alias("zone_id"))
+                 .groupBy("zone_id").agg(F.count(F.lit(1)).alias("refs")))
+
+
+def adjust_refs(refs: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """Stored counts plus those of ``added`` rows minus those of ``removed`` rows."""
+    removed_refs = zone_refs(removed).select("zone_id", (-F.col("refs")).alias("refs"))
+    return (refs.unionByName(zone_refs(added)).unionByName(removed_refs)
+                .groupBy("zone_id").agg(F.sum("refs").cast("long").alias("refs"))
+                .where(F.col("refs") > 0))
+
+
+def zones_from_refs(refs: DataFrame) -> DataFrame:
+    """The dimension: every zone still referenced, with its label."""
+    return refs.where(F.col("refs") > 0).select(
+        "zone_id", F.concat(F.lit("Zone "), F.col("zone_id").cast("string")).alias("zone_label"))

@@ -51,6 +51,10 @@ def test_moved_winner_empties_its_old_date(spark, workdir):
     job.run_transforms(spark, full)
     assert _same(got, job.read_silver(spark, full.silver_dir))
     assert _same(job.read_fact(spark, paths.fact_dir), job.read_fact(spark, full.fact_dir))
+    # t1 moved to zones 3 and 4; zones 1 and 2 stay, named by t2 and the null-id trip
+    zones = lambda p: spark.read.parquet(p.zones_dir)
+    assert _same(zones(paths), zones(full))
+    assert _same(job.read_refs(spark, paths.zones_dir), job.read_refs(spark, full.zones_dir))
     assert result.silver_rows == 3 and result.rewritten_dates == 3
     dates = {r.pickup_date for r in got.select("pickup_date").distinct().collect()}
     assert dates == {date(2025, 1, 2), date(2025, 1, 3)}
@@ -117,6 +121,11 @@ def test_incremental_run_carries_check_counts_forward(spark, workdir, monkeypatc
     assert {c["name"]: c["failures"] for c in s2["quality"]["checks"]} == expected
     assert expected["invalid_passenger_count"] == 2 and expected["invalid_trip_duration"] == 2
     assert expected["total_amount_below_fare"] == 2
+    # the dimension kept from reference counts equals the distinct zones of silver
+    from faresight.operators import gold
+    stored_zones = spark.read.parquet(paths.zones_dir)
+    assert _same(stored_zones, gold.dim_zones(job.read_silver(spark, paths.silver_dir), ordered=False))
+    assert {r.zone_id for r in stored_zones.collect()} == {1, 2, 4, 5, 6, 7}
 
 
 def test_interrupted_run_forces_a_full_refresh(spark, workdir, monkeypatch):
@@ -159,3 +168,22 @@ def test_incremental_batch_without_valid_rows(spark, workdir):
     scanned = quality.quality_report(after, quality.silver_expectations())
     assert {c["name"]: c["failures"] for c in s2["quality"]["checks"]} == \
         {r.name: r.failures for r in scanned.collect()}
+
+
+def test_zone_without_references_leaves_the_dimension(spark, workdir):
+    paths = job.resolve_paths(workdir)
+    first = _rows(spark, [
+        ("x", _t("2025-01-01 08:00:00"), _t("2025-01-01 08:10:00"), 1, 1.0, 10, 11, 5.0, 0.0, 5.5, "card"),
+        ("y", _t("2025-01-01 09:00:00"), _t("2025-01-01 09:10:00"), 1, 1.0, 12, 12, 5.0, 0.0, 5.5, "card"),
+    ])
+    later = _rows(spark, [
+        ("x", _t("2025-01-01 08:00:00"), _t("2025-01-01 08:11:00"), 1, 1.0, 13, 11, 5.0, 0.0, 5.5, "card"),
+    ])
+    bronze.write_bronze(first, paths.bronze_dir, batch_id="z1", ingested_at=datetime(2025, 2, 1, tzinfo=UTC))
+    job.run_transforms(spark, paths)
+    bronze.write_bronze(later, paths.bronze_dir, batch_id="z2", ingested_at=datetime(2025, 2, 2, tzinfo=UTC))
+    result = job.run_transforms_incremental(spark, paths, "z2")
+    zones = {r.zone_id: r.zone_label for r in spark.read.parquet(paths.zones_dir).collect()}
+    assert zones == {11: "Zone 11", 12: "Zone 12", 13: "Zone 13"} and result.dim_zone_rows == 3
+    refs = {r.zone_id: r.refs for r in job.read_refs(spark, paths.zones_dir).collect()}
+    assert refs == {11: 1, 12: 2, 13: 1}

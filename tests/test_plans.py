@@ -176,3 +176,29 @@ def test_incremental_lookup_reads_ids_then_pruned_dates(spark, workdir):
     copies = _plan(silver.stored_copies(current.where(F.col("pickup_date").isin(held)), ids))
     pruned = [line for line in copies.splitlines() if line.startswith("PartitionFilters")]
     assert pruned and "pickup_date" in pruned[0] and ("IN" in pruned[0] or " = " in pruned[0])
+
+
+def test_hot_null_id_is_split_in_the_incremental_semi_join(spark):
+    """With the id list too large to broadcast, AQE splits the null id (a third of silver)."""
+    g = generator.generate_trips(spark, date(2025, 1, 1), days=1, rows_per_day=30000, seed=9)
+    s = g.withColumn("trip_id", F.when(F.col("passenger_count") <= 2, F.lit(None))
+                                 .otherwise(F.col("trip_id")))
+    s = silver.with_derived(s.withColumns({"ingested_at": F.col("pickup_datetime"),
+                                           "source_batch_id": F.lit("b")}))
+    ids = s.select("trip_id").distinct()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = silver.stored_copies(s, ids)
+        assert len(df.collect()) == 30000
+        assert "SortMergeJoin(skew=true)" in _plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

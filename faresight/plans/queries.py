@@ -118,6 +118,9 @@ def q_taxi_read_green(spark: SparkSession, sf_dir: str) -> DataFrame:
 # April, read together in one scan), no vendor column (February) and zones and payment
 # codes stored as bigint (March).
 _MONTHS = taxi.month_range((_TAXI_YEAR, 1), (_TAXI_YEAR, 4))
+_RAW_MONTHS_SQL = """
+raw_months AS (SELECT * REPLACE (CASE WHEN k = 1 THEN NULL ELSE VendorID END AS VendorID)
+               FROM raw_m)"""
 _MONTH_SHIFT_SQL = """
 ev AS (
   SELECT * REPLACE (ts + to_months(k) AS ts)
@@ -141,20 +144,25 @@ def _month_layout(raw: DataFrame, k: int) -> DataFrame:
     return raw
 
 
+def _write_months(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
+    """One raw yellow file per month under ``root`` (layouts differ by month); their paths."""
+    raw = fixtures.raw_taxi_from_events(_month_shift(fixtures.table(spark, sf_dir, "events")),
+                                        keep=["k"])
+    paths = []
+    for k, (year, month) in enumerate(_MONTHS):
+        paths.append(taxi.monthly_path(root, "yellow", year, month))
+        _month_layout(raw.where(F.col("k") == k).drop("k"), k).write.mode("overwrite").parquet(paths[-1])
+    return paths
+
+
 @register("taxi_read_months", covers="S1 S2 (a range of months, grouped by file layout) D15",
-          oracle=O.with_(_MONTH_SHIFT_SQL, O.raw_taxi_sql("ev", "raw_m", ", k"), """
-raw_months AS (SELECT * REPLACE (CASE WHEN k = 1 THEN NULL ELSE VendorID END AS VendorID)
-               FROM raw_m)""") + O.normalize_sql("raw_months", "tpep_pickup_datetime",
-                                                 "tpep_dropoff_datetime"))
+          oracle=O.with_(_MONTH_SHIFT_SQL, O.raw_taxi_sql("ev", "raw_m", ", k"), _RAW_MONTHS_SQL)
+          + O.normalize_sql("raw_months", "tpep_pickup_datetime", "tpep_dropoff_datetime"))
 def q_taxi_read_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write one file per month (layouts differ by month), then read the month range."""
     apply_job_conf(spark)
     root = fresh_path(spark, "taxi-months")
-    raw = fixtures.raw_taxi_from_events(_month_shift(fixtures.table(spark, sf_dir, "events")),
-                                        keep=["k"])
-    for k, (year, month) in enumerate(_MONTHS):
-        (_month_layout(raw.where(F.col("k") == k).drop("k"), k)
-            .write.mode("overwrite").parquet(taxi.monthly_path(root, "yellow", year, month)))
+    _write_months(spark, sf_dir, root)
     trips, _ = taxi.load_taxi(spark, "yellow", months=_MONTHS, root=root)
     return trips
 
@@ -661,3 +669,62 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
           oracle=O.with_(O.TRIPS, O.SILVER) + O.fact_from("silver"))
 def q_fct_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.read_fact(spark, _incremental_warehouse(spark, sf_dir).fact_dir)
+
+
+# --- the job twice: a full first run, then the default incremental run --------------------
+
+_INC_RUNS = ("job-taxi-2024-01-02", "job-taxi-2024-03-04")
+
+
+def _norm_cte(name: str, months: str) -> str:
+    return (f"{name} AS (" + O.normalize_sql(f"(SELECT * FROM raw_months WHERE k IN ({months}))",
+                                            "tpep_pickup_datetime", "tpep_dropoff_datetime") + ")")
+
+
+_JOB_INC_SQL = O.with_(
+    _MONTH_SHIFT_SQL, O.raw_taxi_sql("ev", "raw_m", ", k"), _RAW_MONTHS_SQL,
+    _norm_cte("taxi1", "0, 1"), _norm_cte("taxi2", "2, 3"), f"""
+b2 AS (SELECT * FROM taxi2 WHERE pickup_datetime IS NOT NULL),
+b AS (SELECT *, '{_INC_RUNS[0]}' AS source_batch_id, TIMESTAMP '2000-01-01' AS ingested_at
+      FROM taxi1 WHERE pickup_datetime IS NOT NULL
+      UNION ALL
+      SELECT *, '{_INC_RUNS[1]}', TIMESTAMP '2000-01-02' FROM b2)""",
+    O.silver_from("b"), O.FACT_CTE,
+    "report AS (" + O.report_sql("silver", O.SILVER_CHECKS_SQL) + ")") + f"""
+SELECT '{_INC_RUNS[1]}' AS run_id, 'taxi_yellow' AS source_name,
+       CASE WHEN (SELECT bool_and(passed) FROM report) THEN 'succeeded' ELSE 'failed' END AS status,
+       (SELECT min(CAST(pickup_datetime AS DATE)) FROM b2) AS data_start_date,
+       (SELECT count(*) FROM b2) AS bronze_rows,
+       (SELECT count(DISTINCT CAST(pickup_datetime AS DATE)) FROM b2) AS bronze_files,
+       (SELECT count(*) FROM silver) AS silver_rows,
+       (SELECT count(*) FROM fact) AS gold_rows,
+       (SELECT count(*) FROM (SELECT pickup_zone_id FROM silver UNION SELECT dropoff_zone_id FROM silver))
+         AS dim_zone_rows,
+       (SELECT bool_and(passed) FROM report) AS quality_passed,
+       (SELECT CAST(count_if(passed) AS INTEGER) FROM report) AS checks_passed,
+       (SELECT CAST(count_if(NOT passed) AS INTEGER) FROM report) AS checks_failed,
+       CASE WHEN (SELECT bool_and(passed) FROM report) THEN NULL ELSE 'Quality checks failed' END
+         AS error_message,
+       'incremental' AS transform_mode,
+       (SELECT string_agg(CAST(failures AS VARCHAR), ',' ORDER BY check_order) FROM report)
+         AS check_failures"""
+
+
+@register("medallion_job_incremental",
+          covers="R1 with the default incremental mode: checks carried forward, zone counts",
+          oracle=_JOB_INC_SQL)
+def q_medallion_job_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs into one warehouse: January-February (full build), then March-April
+    (folded in incrementally). The second run's audit row, the mode it took and its
+    failures per check, which it carried forward from the first run's report."""
+    apply_job_conf(spark)
+    files = _write_months(spark, sf_dir, fresh_path(spark, "taxi-months-landing"))
+    root = fresh_path(spark, "warehouse")
+    for run_id, part in zip(_INC_RUNS, (files[:2], files[2:])):
+        summary = job.run_job(spark, root, run_id=run_id, source="taxi", dataset="yellow",
+                              source_path=part, raise_on_failure=False)
+    runs = audit.latest_runs(audit.read_runs(spark, job.resolve_paths(root).runs_dir))
+    failures = ",".join(str(int(c["failures"])) for c in summary["quality"]["checks"])
+    return runs.where(F.col("run_id") == _INC_RUNS[1]).select(
+        *_JOB_COLS, F.lit(summary["transforms"]["mode"]).alias("transform_mode"),
+        F.lit(failures).alias("check_failures"))

@@ -13,7 +13,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faresight.schemas import QUALITY_REPORT_SCHEMA
@@ -122,9 +122,44 @@ def quality_report(df: DataFrame, expectations: Sequence[Expectation],
     ).select(*QUALITY_REPORT_SCHEMA.fieldNames())
 
 
+COPIES_COL, FIRST_COL = "_key_copies", "_key_first"
+
+
+def with_key_copies(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Each row with the number of rows sharing its key, and a flag on one row per key.
+
+    Meant for data already partitioned by ``keys`` and sorted by ``keys`` then
+    ``order`` (the output of a newest-per-key window with that order): then
+    these window columns need no new exchange and no new sort, and
+    ``key_check_metrics`` can count duplicated keys while the rows are written.
+    """
+    by_key = Window.partitionBy(*keys).orderBy(*(list(order) or keys))
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.withColumns({
+        COPIES_COL: F.count(F.lit(1)).over(whole),
+        FIRST_COL: F.row_number().over(by_key) == 1,
+    })
+
+
+def key_check_metrics(expectations: Sequence[Expectation], keys: Sequence[str]) -> list[Column]:
+    """For unique-key checks on exactly ``keys``: keys occurring more than once,
+    named ``k<position>``, over rows carrying ``with_key_copies`` columns."""
+    out = []
+    for i, e in enumerate(expectations, 1):
+        if e.unique_key is None or tuple(e.unique_key) != tuple(keys):
+            continue
+        duplicated = (F.col(COPIES_COL) > 1) & F.col(FIRST_COL)
+        if e.ignore_null_keys:
+            for k in keys:
+                duplicated = duplicated & F.col(k).isNotNull()
+        out.append(F.count_if(duplicated).alias(f"k{i}"))
+    return out
+
+
 def observed_failures(observed: Mapping[str, int]) -> dict[int, int]:
-    """``row_check_metrics`` values (``c<position>``) as failures by position."""
-    return {int(k[1:]): int(v) for k, v in observed.items() if k.startswith("c") and k[1:].isdigit()}
+    """Observed check metrics (``c<position>``, ``k<position>``) as failures by position."""
+    return {int(k[1:]): int(v) for k, v in observed.items()
+            if k[:1] in ("c", "k") and k[1:].isdigit()}
 
 
 def count_failures(df: DataFrame, expectations: Sequence[Expectation]) -> dict[int, int]:

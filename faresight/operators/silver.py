@@ -63,6 +63,11 @@ def valid_trips(bronze: DataFrame) -> DataFrame:
     return typed_trips(bronze).where(validity_condition())
 
 
+def newest_first_order(newest_first: Sequence[str], tie_break: Sequence[str] = ()) -> list[Column]:
+    """The ordering of ``latest_per_key`` within a key: descending, nulls last."""
+    return [F.col(c).desc_nulls_last() for c in [*newest_first, *tie_break]]
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str],
                    tie_break: Sequence[str] = ()) -> DataFrame:
     """Keep the newest row per key (``ROW_NUMBER() ... = 1``).
@@ -72,9 +77,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[st
     most one row per key: a key holding a large share of all rows costs one
     row per task in the exchange, not all of its copies.
     """
-    order = [F.col(c).desc_nulls_last() for c in newest_first]
-    order += [F.col(c).desc_nulls_last() for c in tie_break]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*newest_first_order(newest_first, tie_break))
     return (df.withColumn("_rank", F.row_number().over(w))
               .where(F.col("_rank") == 1)
               .drop("_rank"))

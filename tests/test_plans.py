@@ -123,17 +123,21 @@ def test_shuffles_are_sized_by_input_bytes(spark):
 
 
 def test_checks_counted_by_the_silver_write_equal_a_scan(spark, workdir):
-    paths, _ = _bronze(spark, workdir)
+    paths, b = _bronze(spark, workdir)
     checks = quality.silver_expectations()
+    # the per-trip counts ride on the newest-per-trip window: no new exchange or sort
+    annotated = quality.with_key_copies(
+        silver.silver_trips(b), ["trip_id"],
+        silver.newest_first_order(silver.RECENCY_ORDER, silver.TIE_BREAK_ORDER))
+    tree = _plan(annotated.hint("rebalance", "pickup_date")).split("\n\n")[0]
+    assert tree.count("Exchange") == 2 and tree.count("Sort") == 2
     result = job.run_transforms(spark, paths, checks)
+    assert set(result.check_counts) == set(range(1, 9))
     stored = job.read_silver(spark, paths.silver_dir)
+    assert quality.COPIES_COL not in stored.columns
     fused = quality.quality_report(stored, checks, known=result.check_counts)
-    # only the key check still reads silver: one scan, of trip_id
-    plan = _plan(fused)
-    scans = [line for line in plan.splitlines() if line.startswith("(") and "Scan parquet" in line]
-    assert len(scans) == 1
-    read = plan[plan.index("ReadSchema"):].split("\n")[0]
-    assert "trip_id" in read and "fare_amount" not in read
+    # every check was counted while silver was written: the report reads nothing
+    assert "Scan parquet" not in _plan(fused)
     scanned = quality.quality_report(stored, checks)
     assert sorted(fused.collect()) == sorted(scanned.collect())
 
@@ -202,3 +206,14 @@ def test_hot_null_id_is_split_in_the_incremental_semi_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_key_copies_count_duplicated_keys_like_a_grouped_count(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("c",), ("a",)], "trip_id string")
+    checks = [quality.Expectation("dup", unique_key=("trip_id",)),
+              quality.Expectation("dup_non_null", unique_key=("trip_id",), ignore_null_keys=True)]
+    annotated = quality.with_key_copies(df, ["trip_id"])
+    observed = annotated.agg(*quality.key_check_metrics(checks, ["trip_id"])).first().asDict()
+    assert quality.observed_failures(observed) == {1: 2, 2: 1}
+    grouped = {r.check_order: r.failures for r in quality.quality_report(df, checks).collect()}
+    assert grouped == {1: 2, 2: 1}

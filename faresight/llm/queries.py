@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm import exact_dedup, simhash
+from faresight.llm import exact_dedup, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": mixing.op2_mixing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op10_simhash": simhash.op10_simhash,
 }

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm import exact_dedup, mixing, simhash
+from faresight.llm import exact_dedup, mixing, simhash, token_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_token_ids": token_ids.op6_token_ids,
     "op10_simhash": simhash.op10_simhash,
 }
 

@@ -34,6 +34,8 @@ THRESHOLD = 0.7
 SAMPLE = 8_000
 #: Share of positives that the calibration aims to keep.
 KEPT_POSITIVES = 0.995
+#: Room below that share's score, as a part of its distance from the median positive.
+MARGIN = 0.5
 
 STEPS, RATE, DECAY = 300, 0.05, 1e-4
 
@@ -220,7 +222,9 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
 
     w = _descend(gradient, width)
     # calibration: a share of KEPT_POSITIVES of the positives lies above the threshold
-    shift = np.log(THRESHOLD / (1 - THRESHOLD)) - np.quantile(p @ w, 1 - KEPT_POSITIVES)
+    # with room for what the model makes of positives it has not seen
+    low, middle = np.quantile(p @ w, [1 - KEPT_POSITIVES, 0.5])
+    shift = np.log(THRESHOLD / (1 - THRESHOLD)) - (low - MARGIN * (middle - low))
     return Model(mean, scale, w[:-1], float(w[-1]), float(shift), prior)
 
 

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm import exact_dedup, mixing, quality_pu, simhash, token_ids
+from faresight.llm import decontaminate, exact_dedup, mixing, quality_pu, simhash, token_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_token_ids": token_ids.op6_token_ids,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality": quality_pu.op8_quality,
     "op10_simhash": simhash.op10_simhash,
 }

@@ -26,7 +26,7 @@ class Writer:
         self.location = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex[:16]}.{suffix}"
         system, path = opened(self.location)
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        self._out, self.at = system.open_output_stream(path), 0
+        self._out, self.at = system.open_output_stream(path, compression=None), 0
 
     def write(self, data: bytes) -> int:
         """Append; returns the offset at which ``data`` starts."""

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm import decontaminate, exact_dedup, mixing, quality_pu, simhash, token_ids
+from faresight.llm import decontaminate, exact_dedup, mixing, quality_pu, simhash, token_ids, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": warc.op1_warc,
     "op2_mixing": mixing.op2_mixing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_token_ids": token_ids.op6_token_ids,
@@ -18,5 +19,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_warc": warc.OP1_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
 }

@@ -7,6 +7,7 @@ costs a reread and not a result.
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import zipfile
@@ -39,6 +40,13 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Free what finished stages have left: Spark's cleaner deletes shuffle files once the
+    driver's garbage collection finds that nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(name: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

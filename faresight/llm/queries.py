@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm import decontaminate, exact_dedup, mixing, quality_pu, simhash, token_ids, warc
+from faresight.llm import decontaminate, exact_dedup, mixing, quality_pu, simhash, substring_dedup, token_ids, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_ids": token_ids.op6_token_ids,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality": quality_pu.op8_quality,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
 

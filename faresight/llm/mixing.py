@@ -37,7 +37,7 @@ BLOCK_WORDS = 1000
 #: Words of an output shard; the number of shards follows from the total.
 SHARD_WORDS = 10_000_000
 #: Rows of a bucket in which running sums are taken.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 20_000
 SEED = 7
 
 
@@ -82,10 +82,9 @@ def _targets(sources: DataFrame, weights: tuple[int, ...], repeats: int) -> Data
 def _running(rows: DataFrame, values: dict[str, Column], ties: list[str]) -> DataFrame:
     """``rows`` with, for each value, its sum over the rows of the same ``sid`` that come
     before in the order of ``at`` (a hashed long) and ``ties``."""
-    sizes = rows.groupBy("sid").agg(F.ceil(F.count("*") / BUCKET_ROWS).alias("buckets"))
+    buckets = max(1, -(-rows.count() // BUCKET_ROWS))  # of each sid
     share = F.col("at").cast("double") / F.lit(2.0 ** 64) + 0.5
-    bucketed = (rows.join(sizes, "sid")
-                .withColumn("bucket", F.least(F.floor(share * F.col("buckets")), F.col("buckets") - 1)).drop("buckets"))
+    bucketed = rows.withColumn("bucket", F.least(F.floor(share * buckets), F.lit(buckets - 1)))
     sums = bucketed.groupBy("sid", "bucket").agg(*[F.sum(v).alias(f"{n}_sum") for n, v in values.items()])
     over = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("sid", "bucket", *[F.coalesce(F.sum(f"{n}_sum").over(over), F.lit(0)).alias(f"{n}_base")

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm import decontaminate, exact_dedup, mixing, quality_pu, simhash, substring_dedup, suffix_tree, token_ids, warc
+from faresight.llm import decontaminate, exact_dedup, mixing, pii, quality_pu, simhash, substring_dedup, suffix_tree, token_ids, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
     "op2_mixing": mixing.op2_mixing,
     "op3_suffix_tree": suffix_tree.op3_suffix_tree,
+    "op4_pii": pii.op4_pii,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_token_ids": token_ids.op6_token_ids,
     "op7_decontaminate": decontaminate.op7_decontaminate,
@@ -23,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
     "op3_suffix_tree": suffix_tree.op3_suffix_tree,
+    "op4_pii": pii.op4_pii,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
 }

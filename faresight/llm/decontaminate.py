@@ -277,19 +277,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTE
 
 def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the rows that hold an item; columns as they were."""
-    kept = docs.schema
-
     def kernel_of(items: Items):
         def kernel(batches):
-            for batch in slices(batches, "__text"):
-                data, starts, _ = normalised(batch.column("__text"))
+            for batch in slices(batches):
+                data, starts, _ = normalised(batch.column("text").fill_null(""))
                 good = np.ones(batch.num_rows, bool)
                 good[[t for t, *_ in find(items, data, starts)]] = False
-                yield batch.select(list(range(len(kept)))).filter(pa.array(good))
+                yield batch.filter(pa.array(good))
         return kernel
 
     for items in _blocks(benchmark, block_bytes):
-        docs = map_arrow(docs.withColumn("__text", text_of()), kernel_of(items), kept)
+        docs = map_arrow(docs, kernel_of(items), docs.schema)
     return docs
 
 

@@ -17,6 +17,8 @@ the pieces are joined again; all else stays byte for byte.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -182,7 +184,7 @@ def _candidates() -> str:
     """One pattern for all kinds; back-references renumbered to their place in it."""
     parts, groups = [], 0
     for pattern in FORMATS.values():
-        own = pattern.count("([")  # capturing groups hold a separator that has to repeat
+        own = re.compile(pattern).groups  # each holds a separator that has to repeat
         for k in range(own, 0, -1):
             pattern = pattern.replace(f"\\{k}", f"\\{groups + k}")
         parts.append(pattern)

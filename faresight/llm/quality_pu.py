@@ -232,7 +232,7 @@ def _stream(name: str = "text"):
     """A kernel's (batch, features) in runs of bounded size."""
     def runs(batches):
         for batch in slices(batches, name, 2 << 20):
-            yield batch, features(*bytes_of(batch.column(name)))
+            yield batch, features(*bytes_of(batch.column(name).fill_null("")))
     return runs
 
 
@@ -297,15 +297,13 @@ def held_out_fold(doc_id: Column) -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text is predicted to be poor; columns as they were."""
     model = learn(docs, labels, held_out_fold(F.col("doc_id")))
-    runs = _stream("__text")
-    kept = docs.schema
+    runs = _stream()
 
     def kernel(batches):
         for batch, x in runs(batches):
-            good = pa.array(model.score(x) >= THRESHOLD)
-            yield batch.select(list(range(len(kept)))).filter(good)
+            yield batch.filter(pa.array(model.score(x) >= THRESHOLD))
 
-    return map_arrow(docs.withColumn("__text", text_of()), kernel, kept)
+    return map_arrow(docs, kernel, docs.schema)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
-    "op3_suffix_tree": suffix_tree.op3_suffix_tree,
-    "op4_pii": pii.op4_pii,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
 }

@@ -107,7 +107,7 @@ def _tiled(nodes: DataFrame, radius: int) -> DataFrame:
     """(band, tile, visitor, fp): a fingerprint's own tile and those it visits, for each band."""
     entries = []
     for band, segments in enumerate(_bands(radius)):
-        counts = [F.bit_count(F.shiftrightunsigned("fp", 4 * s).bitwiseAND(F.lit(15))) for s in segments]
+        counts = [F.bit_count(F.shiftrightunsigned("fp", 4 * s).bitwiseAND(F.lit(15))).cast("long") for s in segments]
         weights = [5 ** k for k in range(len(segments))]
         own = sum((c * F.lit(w) for c, w in zip(counts, weights)), F.lit(0)).cast("long")
         entries.append(F.struct(F.lit(band).alias("band"), own.alias("tile"), F.lit(0).alias("visitor")))

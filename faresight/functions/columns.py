@@ -6,9 +6,8 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
-import hashlib
+from urllib.parse import quote
 
-import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +27,9 @@ UNKNOWN_PAYMENT = "unknown"
 # Fixed value: token standing for a missing field in the trip identity text.
 NULL_TOKEN = "<NA>"
 
-# Fixed value: characters a batch key does not keep (all but letters, digits, "_" and "-").
-BATCH_KEY_UNSAFE = r"[^\p{L}\p{N}_-]"
+# Type in which amounts are added exactly: nine decimals, up to 10^15. A sum of it times 100
+# still has all its digits in Spark's widest decimal.
+EXACT = "decimal(24,9)"
 
 
 def col(c: str | Column) -> Column:
@@ -66,18 +66,24 @@ def cents(x: str | Column) -> Column:
     return F.round(col(x) * F.lit(100.0)).try_cast("long")
 
 
-def mean2_from_cents(sum_cents: str | Column, n: str | Column) -> Column:
-    """Mean rounded to 2 decimals, from an exact integer sum of cents.
+def exact(x: str | Column) -> Column:
+    """A double as a decimal of nine digits after the point; null for NaN, infinity and beyond 10^15."""
+    return col(x).try_cast(EXACT)
 
-    ``sum_cents / n`` is one correctly rounded division, so values that are
-    exactly half a cent round the same way on every engine and every
-    partitioning; the result is the 2-decimal rounding of the exact mean.
+
+def mean2(total: str | Column, n: str | Column) -> Column:
+    """Mean rounded to 2 decimals from an exact decimal sum.
+
+    The sum in hundredths is exact, so the division is the only rounding
+    before the last one, and means that are exactly half a cent round the same
+    way on every engine and every partitioning.
     """
-    return F.round(col(sum_cents).cast("double") / col(n)) / F.lit(100.0)
+    return F.round((col(total) * F.lit(100)).cast("double") / col(n)) / F.lit(100.0)
 
 
-def money_from_cents(sum_cents: str | Column) -> Column:
-    return col(sum_cents).cast("double") / F.lit(100.0)
+def sum2(total: str | Column) -> Column:
+    """An exact decimal sum rounded to 2 decimals, as a double."""
+    return F.round(col(total), 2).cast("double")
 
 
 def nan_to_null(x: str | Column) -> Column:
@@ -158,24 +164,22 @@ def as_ingest_time(x: str | Column, source_type: T.DataType) -> Column:
 
 
 def batch_key(batch_id: str | Column) -> Column:
-    """File-safe form of a batch id.
+    """File-safe form of a batch id, different for different ids.
 
-    Letters, digits, ``-`` and ``_`` are kept, anything else becomes ``_``.
-    When that changed the id, 8 hex digits of its md5 are appended, so two ids
-    that sanitize to the same text (``a/b`` and ``a_b``) stay apart.
+    ASCII letters, digits, ``-`` and ``_`` stay; every other byte of the UTF-8
+    text becomes ``~`` and its two hex digits. The empty id is a lone ``~``.
     """
     b = col(batch_id)
-    cleaned = F.regexp_replace(b, BATCH_KEY_UNSAFE, "_")
-    return F.when(cleaned == b, cleaned).otherwise(
-        F.concat(cleaned, F.lit("-"), F.substring(F.md5(b), 1, 8)))
+    written = F.url_encode(b)
+    # what URL encoding writes in its own way: "+" for a space, and "*" and "." as they are
+    for mark, code in (("+", "%20"), ("*", "%2A"), (".", "%2E"), ("%", "~")):
+        written = F.replace(written, F.lit(mark), F.lit(code))
+    return F.when(b == "", F.lit("~")).otherwise(written)
 
 
 def batch_key_text(batch_id: str) -> str:
     """The same rule as ``batch_key`` for one id known on the driver."""
-    cleaned = regex.sub(BATCH_KEY_UNSAFE, "_", batch_id)
-    if cleaned == batch_id:
-        return cleaned
-    return f"{cleaned}-{hashlib.md5(batch_id.encode('utf-8')).hexdigest()[:8]}"
+    return quote(batch_id, safe="").replace(".", "%2E").replace("~", "%7E").replace("%", "~") or "~"
 
 
 def _id_part(c: Column) -> Column:

@@ -1,15 +1,16 @@
 """Gold layer: hourly fact, zone dimension and the staging view.
 
-Averages and sums are computed from exact integer cents, so the rounded
-results do not depend on summation order (partitioning, AQE, engine).
+Averages and sums are computed from exact decimals and rounded once at the end,
+so they do not depend on summation order (partitioning, AQE, engine). A group
+that holds a value no such decimal can hold keeps the double arithmetic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.functions.columns import cents, mean2_from_cents, money_from_cents
+from faresight.functions.columns import exact, mean2, round2, sum2
 from faresight.schemas import FACT_HOURLY_COLUMNS, SILVER_COLUMNS
 
 STAGING_COLUMNS = list(SILVER_COLUMNS)
@@ -20,43 +21,46 @@ def stg_trips(silver: DataFrame) -> DataFrame:
     return silver.select(*STAGING_COLUMNS)
 
 
+def create_staging_view(spark: SparkSession, silver: DataFrame, name: str = "stg_trips") -> str:
+    """Register the staging projection as a view of the session; returns its name."""
+    stg_trips(silver).createOrReplaceTempView(name)
+    return name
+
+
 def _measure_aggs(name: str) -> list:
-    """Buffers for one averaged measure: exact cents, count, plain double sum."""
-    return [F.sum(cents(name)).alias(f"_{name}_cents"),
+    """Buffers for one measure: exact sum, values in it, values in all, double sum."""
+    return [F.sum(exact(name)).alias(f"_{name}_exact"),
+            F.count(exact(name)).alias(f"_{name}_fit"),
             F.count(name).alias(f"_{name}_n"),
             F.sum(name).alias(f"_{name}_sum")]
 
 
-def _finite(c: Column) -> Column:
-    return ~(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
+def _if_exact(name: str, by_decimal: Column, by_double: Column) -> Column:
+    """The exact result unless some value of the group did not fit."""
+    return F.when(F.col(f"_{name}_fit") == F.col(f"_{name}_n"), by_decimal).otherwise(by_double)
 
 
 def _mean2(name: str) -> Column:
-    """Exact 2-decimal mean; groups holding NaN or infinity keep the double mean."""
-    s, n = F.col(f"_{name}_sum"), F.col(f"_{name}_n")
-    return F.when(_finite(s), mean2_from_cents(f"_{name}_cents", n)).otherwise(s / n)
+    n = F.col(f"_{name}_n")
+    return _if_exact(name, mean2(f"_{name}_exact", n), round2(F.col(f"_{name}_sum") / n))
 
 
 def fct_trip_hourly(trips: DataFrame) -> DataFrame:
     """Trips, mean distance, mean fare and revenue per date, hour and pickup zone.
 
-    One hash aggregation with fixed-width buffers (counts, long and double
+    One hash aggregation with fixed-width buffers (counts, decimal and double
     sums): partial aggregation runs before the shuffle, so a hot
     (date, hour, zone) group sends one row per map task.
     """
     agg = (trips.groupBy("pickup_date", "pickup_hour", F.col("pickup_zone_id").alias("zone_id"))
-                .agg(F.count(F.lit(1)).alias("trip_count"),
-                     *_measure_aggs("trip_distance"),
-                     *_measure_aggs("fare_amount"),
-                     F.sum(cents("total_amount")).alias("_total_amount_cents"),
-                     F.sum("total_amount").alias("_total_amount_sum")))
-    revenue_sum = F.col("_total_amount_sum")
+                .agg(F.count(F.lit(1)).alias("trip_count"), *_measure_aggs("trip_distance"),
+                     *_measure_aggs("fare_amount"), *_measure_aggs("total_amount")))
+    revenue = _if_exact("total_amount", sum2("_total_amount_exact"), round2("_total_amount_sum"))
     return agg.select(
         "pickup_date", "pickup_hour", "zone_id", "trip_count",
         _mean2("trip_distance").alias("avg_trip_distance"),
         _mean2("fare_amount").alias("avg_fare_amount"),
-        F.when(_finite(revenue_sum), money_from_cents("_total_amount_cents"))
-         .otherwise(revenue_sum).alias("total_revenue"),
+        revenue.alias("total_revenue"),
     ).select(*FACT_HOURLY_COLUMNS)
 
 

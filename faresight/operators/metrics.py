@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faresight.functions.columns import cents, mean2_from_cents, money_from_cents
+from faresight.functions.columns import exact, mean2, nan_to_null, round2, sum2
 
 SERIES_ORDER = ["pickup_date", "pickup_hour", "zone_id"]
 
@@ -27,21 +27,29 @@ def dashboard_kpis(fact: DataFrame) -> DataFrame:
     """Total trips, total revenue, the unweighted mean of hourly average fares
     (as the dashboard shows it) and the trip-weighted mean beside it.
 
-    Sums run over whole cents, so the figures do not depend on the order in
-    which partitions are added.
+    NaN counts as missing: such a group is in no mean and adds no revenue. An
+    infinite value shows in the result. Sums run over exact decimals, so the
+    figures do not depend on the order in which partitions are added.
     """
-    fare_cents = cents("avg_fare_amount")
+    fare, revenue, trips = nan_to_null("avg_fare_amount"), nan_to_null("total_revenue"), F.col("trip_count")
     agg = fact.agg(
         F.sum("trip_count").alias("total_trips"),
-        F.sum(cents("total_revenue")).alias("_revenue_cents"),
-        F.sum(fare_cents).alias("_fare_cents"),
-        F.count("avg_fare_amount").alias("_fare_n"),
-        F.sum(fare_cents * F.col("trip_count")).alias("_weighted_cents"),
-        F.sum(F.when(F.col("avg_fare_amount").isNotNull(), F.col("trip_count"))).alias("_weight"),
+        F.sum(exact(revenue)).alias("_revenue"), F.sum(revenue).alias("_revenue_sum"),
+        F.count(exact(revenue)).alias("_revenue_fit"), F.count(revenue).alias("_revenue_n"),
+        F.sum(exact(fare)).alias("_fare"), F.sum(fare).alias("_fare_sum"),
+        F.count(exact(fare)).alias("_fare_fit"), F.count(fare).alias("_fare_n"),
+        F.sum((exact(fare) * trips.cast("decimal(10,0)")).cast("decimal(28,9)")).alias("_weighted"),
+        F.sum(fare * trips).alias("_weighted_sum"),
+        F.sum(F.when(fare.isNotNull(), trips)).alias("_weight"),
     )
+    fits = F.col("_fare_fit") == F.col("_fare_n")
+    weighted = F.round(F.col("_weighted").cast("double") * 100 / F.col("_weight")) / F.lit(100.0)
     return agg.select(
         "total_trips",
-        money_from_cents("_revenue_cents").alias("total_revenue"),
-        mean2_from_cents("_fare_cents", "_fare_n").alias("avg_fare_unweighted"),
-        mean2_from_cents("_weighted_cents", "_weight").alias("avg_fare_weighted"),
+        F.when(F.col("_revenue_fit") == F.col("_revenue_n"), sum2("_revenue"))
+         .otherwise(round2("_revenue_sum")).alias("total_revenue"),
+        F.when(fits, mean2("_fare", "_fare_n")).otherwise(round2(F.col("_fare_sum") / F.col("_fare_n")))
+         .alias("avg_fare_unweighted"),
+        F.when(fits, weighted).otherwise(round2(F.col("_weighted_sum") / F.col("_weight")))
+         .alias("avg_fare_weighted"),
     )

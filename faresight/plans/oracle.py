@@ -93,7 +93,7 @@ def silver_from(src: str, name: str = "silver") -> str:
   WHERE trip_distance > 0 AND fare_amount > 0 AND dropoff_datetime > pickup_datetime
 ),
 {name}_ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY trip_id ORDER BY {RANK_ORDER}) AS trip_rank
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY trip_id ORDER BY {RANK_ORDER}) AS copy_no
   FROM {name}_valid
 ),
 {name} AS (
@@ -101,7 +101,7 @@ def silver_from(src: str, name: str = "silver") -> str:
          CAST(pickup_datetime AS DATE) AS pickup_date,
          EXTRACT('hour' FROM pickup_datetime) AS pickup_hour,
          DATE_DIFF('minute', pickup_datetime, dropoff_datetime) AS trip_duration_min
-  FROM {name}_ranked WHERE trip_rank = 1
+  FROM {name}_ranked WHERE copy_no = 1
 )"""
 
 
@@ -114,10 +114,24 @@ def cents_sql(x: str) -> str:
     return f"TRY_CAST(round({x} * 100) AS BIGINT)"
 
 
+def exact_sql(x: str) -> str:
+    """A double as a decimal of nine digits; NULL for NaN, infinity and beyond 10^15."""
+    return f"CASE WHEN isfinite({x}) THEN TRY_CAST({x} AS DECIMAL(24,9)) END"
+
+
+def if_exact_sql(x: str, by_decimal: str, by_double: str) -> str:
+    return f"CASE WHEN count({exact_sql(x)}) = count({x}) THEN {by_decimal} ELSE {by_double} END"
+
+
 def mean2_sql(x: str) -> str:
-    return (f"CASE WHEN isfinite(sum({x})) "
-            f"THEN round(CAST(sum({cents_sql(x)}) AS DOUBLE) / count({x})) / 100 "
-            f"ELSE sum({x}) / count({x}) END")
+    """ROUND(AVG(x), 2) over exact decimals: the sum in hundredths, divided and rounded once."""
+    cents = f"CAST(sum(({exact_sql(x)}) * CAST(100 AS DECIMAL(3,0))) AS DOUBLE)"
+    return if_exact_sql(x, f"round({cents} / count({x})) / 100", round2_sql(f"(sum({x}) / count({x}))"))
+
+
+def sum2_sql(x: str) -> str:
+    """ROUND(SUM(x), 2) over exact decimals."""
+    return if_exact_sql(x, f"CAST(round(sum({exact_sql(x)}), 2) AS DOUBLE)", round2_sql(f"sum({x})"))
 
 
 def fact_from(src: str) -> str:
@@ -126,12 +140,23 @@ SELECT pickup_date, pickup_hour, pickup_zone_id AS zone_id,
        COUNT(*) AS trip_count,
        {mean2_sql('trip_distance')} AS avg_trip_distance,
        {mean2_sql('fare_amount')} AS avg_fare_amount,
-       CASE WHEN isfinite(sum(total_amount)) THEN CAST(sum({cents_sql('total_amount')}) AS DOUBLE) / 100
-            ELSE sum(total_amount) END AS total_revenue
+       {sum2_sql('total_amount')} AS total_revenue
 FROM {src}
 GROUP BY 1, 2, 3"""
 
 
+def kpis_from(fact: str) -> str:
+    """Totals and mean fares over a fact; NaN is missing, infinity shows."""
+    return f"""
+SELECT sum(trip_count) AS total_trips, {sum2_sql('revenue')} AS total_revenue,
+       {mean2_sql('fare')} AS avg_fare_unweighted,
+       {if_exact_sql('fare', f"round(CAST(sum(({exact_sql('fare')}) * CAST(trip_count AS DECIMAL(10,0))) AS DOUBLE) * 100 / sum(CASE WHEN fare IS NOT NULL THEN trip_count END)) / 100",
+                     round2_sql('(sum(fare * trip_count) / sum(CASE WHEN fare IS NOT NULL THEN trip_count END))'))}
+         AS avg_fare_weighted
+FROM (SELECT trip_count, CASE WHEN NOT isnan(total_revenue) THEN total_revenue END AS revenue,
+             CASE WHEN NOT isnan(avg_fare_amount) THEN avg_fare_amount END AS fare FROM {fact})"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -202,9 +227,9 @@ def iso_sql(ts: str) -> str:
 
 
 def batch_key_sql(b: str) -> str:
-    cleaned = f"regexp_replace({b}, '[^\\p{{L}}\\p{{N}}_-]', '_', 'g')"
-    return (f"CASE WHEN {cleaned} = {b} THEN {cleaned} "
-            f"ELSE {cleaned} || '-' || substr(md5({b}), 1, 8) END")
+    """Letters, digits, "-" and "_" stay, other bytes are "~" and two hex digits; "~" for no text."""
+    return (f"CASE WHEN {b} = '' THEN '~' ELSE "
+            f"replace(replace(replace(url_encode({b}), '.', '%2E'), '~', '%7E'), '%', '~') END")
 
 
 # The eight checks on silver, in report order (name, failing-row predicate).

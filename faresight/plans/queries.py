@@ -6,9 +6,10 @@ nothing is sampled, capped or sliced.
 
 from __future__ import annotations
 
+import math
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faresight.functions import columns
@@ -254,16 +255,27 @@ def q_silver_from_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batch_key", covers="P11 D14",
           oracle=f"""
-SELECT DISTINCT batch_id, {O.batch_key_sql('batch_id')} AS batch_key
-FROM (SELECT event_type || CASE event_id % 4 WHEN 0 THEN '/' WHEN 1 THEN ' ' WHEN 2 THEN '_'
-                                ELSE 'é' END || CAST(user_id AS VARCHAR) AS batch_id
-      FROM events)""")
+SELECT batch_id, {O.batch_key_sql('batch_id')} AS batch_key,
+       count(*) OVER (PARTITION BY {O.batch_key_sql('batch_id')}) AS ids_of_key
+FROM (SELECT DISTINCT CASE event_id % 8
+        WHEN 0 THEN event_type || '/' || CAST(user_id AS VARCHAR) WHEN 1 THEN event_type || ' ' || CAST(user_id AS VARCHAR)
+        WHEN 2 THEN event_type || '_' || CAST(user_id AS VARCHAR) WHEN 3 THEN event_type || 'é' || CAST(user_id AS VARCHAR)
+        WHEN 4 THEN '00' || CAST(user_id AS VARCHAR) WHEN 5 THEN event_type || '~2F' || CAST(user_id AS VARCHAR)
+        WHEN 6 THEN event_type || '=%+*.:' || CAST(user_id AS VARCHAR)
+        ELSE event_type || '_' || CAST(user_id AS VARCHAR) || '-' || substr(md5(event_type || '/' || CAST(user_id AS VARCHAR)), 1, 8)
+      END AS batch_id FROM events)""")
 def q_batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that differ in reserved characters only, that look like other ids' keys, or like numbers."""
     ev = fixtures.table(spark, sf_dir, "events")
-    sep = (F.when(F.col("event_id") % 4 == 0, "/").when(F.col("event_id") % 4 == 1, " ")
-             .when(F.col("event_id") % 4 == 2, "_").otherwise("é"))
-    ids = ev.select(F.concat(F.col("event_type"), sep, F.col("user_id").cast("string")).alias("batch_id"))
-    return ids.distinct().select("batch_id", columns.batch_key("batch_id").alias("batch_key"))
+    kind, text, user = F.col("event_id") % 8, F.col("event_type"), F.col("user_id").cast("string")
+    slashed = F.concat(text, F.lit("/"), user)
+    ids = (F.when(kind == 0, slashed).when(kind == 1, F.concat(text, F.lit(" "), user))
+            .when(kind == 2, F.concat(text, F.lit("_"), user)).when(kind == 3, F.concat(text, F.lit("é"), user))
+            .when(kind == 4, F.concat(F.lit("00"), user)).when(kind == 5, F.concat(text, F.lit("~2F"), user))
+            .when(kind == 6, F.concat(text, F.lit("=%+*.:"), user))
+            .otherwise(F.concat(text, F.lit("_"), user, F.lit("-"), F.substring(F.md5(slashed), 1, 8))))
+    keyed = ev.select(ids.alias("batch_id")).distinct().select("batch_id", columns.batch_key("batch_id").alias("batch_key"))
+    return keyed.withColumn("ids_of_key", F.count(F.lit(1)).over(Window.partitionBy("batch_key")))
 
 
 # --- quality ------------------------------------------------------------------------------
@@ -494,19 +506,56 @@ def q_hourly_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("dashboard_kpis", covers="A7 D12",
-          oracle=O.with_(O.TRIPS, O.SILVER, O.FACT_CTE) + f"""
-SELECT sum(trip_count) AS total_trips,
-       CAST(sum({O.cents_sql('total_revenue')}) AS DOUBLE) / 100 AS total_revenue,
-       round(CAST(sum({O.cents_sql('avg_fare_amount')}) AS DOUBLE) / count(avg_fare_amount)) / 100
-         AS avg_fare_unweighted,
-       round(CAST(sum({O.cents_sql('avg_fare_amount')} * trip_count) AS DOUBLE)
-             / sum(CASE WHEN avg_fare_amount IS NOT NULL THEN trip_count END)) / 100
-         AS avg_fare_weighted
-FROM fact""")
+          oracle=O.with_(O.TRIPS, O.SILVER, O.FACT_CTE) + O.kpis_from("fact"))
 def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.dashboard_kpis(gold.fct_trip_hourly(_silver(spark, sf_dir)))
 
 
+# Amounts that whole cents and doubles get wrong, by pickup zone: parts of a cent, amounts
+# beyond the exact decimals (a power of two, so that double sums are exact), NaN, infinity.
+_HUGE = 2.0 ** 70
+_EXTREMES_SQL = f"""
+extremes AS (
+  SELECT * REPLACE (
+    CASE pickup_zone_id % 5 WHEN 1 THEN total_amount / 1000 WHEN 2 THEN {_HUGE!r}
+         WHEN 3 THEN CASE WHEN hour(pickup_datetime) % 3 = 0 THEN 'nan'::DOUBLE ELSE total_amount END
+         WHEN 4 THEN CASE WHEN hour(pickup_datetime) % 3 = 0 THEN 'inf'::DOUBLE ELSE total_amount END
+         ELSE total_amount END AS total_amount,
+    CASE pickup_zone_id % 5 WHEN 1 THEN fare_amount / 1000 WHEN 2 THEN {_HUGE!r}
+         WHEN 3 THEN CASE WHEN hour(pickup_datetime) % 3 = 0 THEN 'nan'::DOUBLE ELSE fare_amount END
+         ELSE fare_amount END AS fare_amount)
+  FROM silver)"""
+
+
+def _extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _silver(spark, sf_dir)
+    kind = F.col("pickup_zone_id") % 5
+    third = F.hour("pickup_datetime") % 3 == 0
+
+    def changed(name: str, odd: list[tuple[int, float]]) -> Column:
+        out = F.when(kind == 1, F.col(name) / 1000.0).when(kind == 2, F.lit(_HUGE))
+        for k, value in odd:
+            out = out.when((kind == k) & third, F.lit(value))
+        return out.otherwise(F.col(name))
+    return trips.withColumns({"total_amount": changed("total_amount", [(3, math.nan), (4, math.inf)]),
+                              "fare_amount": changed("fare_amount", [(3, math.nan)])})
+
+
+@register("fct_trip_hourly_extremes", covers="A1 D3 with sub-cent, huge, NaN and infinite amounts",
+          oracle=O.with_(O.TRIPS, O.SILVER, _EXTREMES_SQL) + O.fact_from("extremes"))
+def q_fct_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.fct_trip_hourly(_extremes(spark, sf_dir))
+
+
+@register("dashboard_kpis_extremes", covers="A7 D12 with NaN and infinite groups",
+          oracle=O.with_(O.TRIPS, O.SILVER, _EXTREMES_SQL, f"fact AS ({O.fact_from('extremes')})") + """
+, finite AS (SELECT * FROM fact WHERE zone_id % 5 <> 2)""" + O.kpis_from("finite"))
+def q_kpis_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the huge groups, whose double sums would depend on the order of addition."""
+    fact = gold.fct_trip_hourly(_extremes(spark, sf_dir))
+    return metrics.dashboard_kpis(fact.where(F.col("zone_id") % 5 != 2))
+
+
 # --- generator, whole job, export ---------------------------------------------------------
 
 _GEN_START, _GEN_PER_DAY, _GEN_SEED = date(2024, 1, 1), 1000, 42

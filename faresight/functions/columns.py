@@ -27,6 +27,9 @@ UNKNOWN_PAYMENT = "unknown"
 # Fixed value: token standing for a missing field in the trip identity text.
 NULL_TOKEN = "<NA>"
 
+# Fixed value: what a trip id made from the trip itself begins with.
+TRIP_ID_PREFIX = "tlc_"
+
 # Type in which amounts are added exactly: nine decimals, up to 10^15. A sum of it times 100
 # still has all its digits in Spark's widest decimal.
 EXACT = "decimal(24,9)"
@@ -204,4 +207,4 @@ def trip_identity(pickup: Column, dropoff: Column, pickup_zone: Column, dropoff_
         _id_part(cents(total)),
         _id_part(whole_number(vendor)),
     )
-    return F.concat(F.lit("tlc_"), F.md5(text))
+    return F.concat(F.lit(TRIP_ID_PREFIX), F.md5(text))

@@ -122,6 +122,21 @@ def quality_report(df: DataFrame, expectations: Sequence[Expectation],
     ).select(*QUALITY_REPORT_SCHEMA.fieldNames())
 
 
+def report_in_one_pass(df: DataFrame, expectations: Sequence[Expectation], keys: Sequence[str]) -> DataFrame:
+    """``quality_report`` over rows carrying ``with_key_copies`` columns for ``keys``, as one
+    aggregate of one scan; unique-key checks have to be on exactly ``keys``."""
+    numbered = list(enumerate(expectations, 1))
+    other = [e.name for _, e in numbered if e.unique_key is not None and tuple(e.unique_key) != tuple(keys)]
+    if other:
+        raise ValueError(f"checks on other keys than {tuple(keys)}: {other}")
+    counts = df.agg(*row_check_metrics(expectations), *key_check_metrics(expectations, keys))
+    rows = F.array(*[F.struct(F.lit(i).cast("int").alias("check_order"), F.lit(e.name).alias("name"),
+                              F.col(f"{'c' if e.unique_key is None else 'k'}{i}").cast("long").alias("failures"),
+                              F.lit(e.max_failures).cast("long").alias("max_failures")) for i, e in numbered])
+    return (counts.select(F.inline(rows)).withColumn("passed", F.col("failures") <= F.col("max_failures"))
+            .select(*QUALITY_REPORT_SCHEMA.fieldNames()))
+
+
 COPIES_COL, FIRST_COL = "_key_copies", "_key_first"
 
 

@@ -61,6 +61,7 @@ runs AS (
          value AS duration_seconds,
          event_id AS bronze_rows,
          CASE WHEN event_type = 'error' THEN NULL ELSE event_id - event_id % 10 END AS silver_rows,
+         CASE WHEN event_type = 'error' THEN NULL ELSE event_id % 1000 END AS gold_rows,
          event_type <> 'error' AS quality_passed
   FROM events
 )"""

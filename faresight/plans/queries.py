@@ -17,7 +17,7 @@ from faresight.operators import audit, gold, metrics, quality, silver
 from faresight.plans import job
 from faresight.plans import oracle as O
 from faresight.plans.registry import register
-from faresight.schemas import TRIP_COLUMNS
+from faresight.schemas import QUALITY_REPORT_SCHEMA, TRIP_COLUMNS
 from faresight.session import apply_job_conf, fresh_path
 from faresight.sources import bronze, fixtures, generator, taxi
 from faresight.streaming import ingest
@@ -28,6 +28,20 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_trips(fixtures.trips(spark, sf_dir))
 
 
+def _silver_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with the copies of each trip id counted where it is ranked: no other exchange."""
+    return quality.with_key_copies(_silver(spark, sf_dir), ["trip_id"], silver.newest_first_order(
+        silver.RECENCY_ORDER, silver.TIE_BREAK_ORDER))
+
+
+def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written once: what several results are made of is read, not built, again."""
+    out = fresh_path(spark, "silver")
+    built = _silver_with_copies(spark, sf_dir)
+    built.write.parquet(out)
+    return spark.read.schema(built.schema).parquet(out)
+
+
 # --- minimum slice: silver and the hourly fact -----------------------------------------
 
 @register("valid_trips", covers="P14 P15 P16",
@@ -61,7 +75,8 @@ def q_dim_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stg_trips", covers="S14",
           oracle=O.with_(O.TRIPS, O.SILVER) + f"\nSELECT {O.SILVER_COLS} FROM silver")
 def q_stg_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.stg_trips(_silver(spark, sf_dir))
+    """The staging view, read by its name."""
+    return spark.table(gold.create_staging_view(spark, _silver(spark, sf_dir)))
 
 
 @register("fct_trip_hourly_stg", covers="A2",
@@ -168,6 +183,22 @@ def q_taxi_read_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips
 
 
+@register("taxi_read_folder", covers="S1 S2 (a folder and a pattern of files of several layouts)",
+          oracle=O.with_(_MONTH_SHIFT_SQL, O.raw_taxi_sql("ev", "raw_m", ", k"), _RAW_MONTHS_SQL,
+                         "taxi AS (" + O.normalize_sql("raw_months", "tpep_pickup_datetime",
+                                                       "tpep_dropoff_datetime") + ")")
+          + "\nSELECT 'folder' AS given, * FROM taxi UNION ALL SELECT 'pattern', * FROM taxi")
+def q_taxi_read_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly files (one without vendor, one with bigint codes) by their folder, and by a pattern."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "taxi-folder")
+    _write_months(spark, sf_dir, root)
+    folder, _ = taxi.load_taxi(spark, "yellow", source_path=root)
+    pattern, _ = taxi.load_taxi(spark, "yellow", source_path=f"{root}/yellow_tripdata_*.parquet")
+    return (folder.select(F.lit("folder").alias("given"), "*")
+            .unionByName(pattern.select(F.lit("pattern").alias("given"), "*")))
+
+
 # --- bronze -------------------------------------------------------------------------------
 
 _BRONZE_COLS = O.TRIP_COLS + ", source_batch_id, ingested_at, pickup_date, batch_key"
@@ -280,10 +311,18 @@ def q_batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- quality ------------------------------------------------------------------------------
 
-@register("quality_report", covers="Q1-Q9 A4 A5 S7",
+@register("quality_report", covers="Q1-Q9 A4 A5",
           oracle=O.with_(O.TRIPS, O.SILVER) + "\n" + O.report_sql("silver", O.SILVER_CHECKS_SQL))
 def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(_silver(spark, sf_dir), quality.silver_expectations())
+    return quality.report_in_one_pass(_silver_with_copies(spark, sf_dir), quality.silver_expectations(), ["trip_id"])
+
+
+@register("quality_report_stored", covers="S7 Q9: the report written as JSON and read back",
+          oracle=O.with_(O.TRIPS, O.SILVER) + "\n" + O.report_sql("silver", O.SILVER_CHECKS_SQL))
+def q_quality_report_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fresh_path(spark, "quality-report")
+    quality.evaluate(q_quality_report(spark, sf_dir), out, raise_on_failure=False)
+    return spark.read.schema(QUALITY_REPORT_SCHEMA).json(out)
 
 
 def _derived(df: DataFrame) -> DataFrame:
@@ -331,10 +370,10 @@ _FACT_NOT_NULL = ["pickup_date", "pickup_hour"]
           + O.report_sql("fact", [(f"not_null_{c}", f"{c} IS NULL") for c in _FACT_NOT_NULL],
                          "'fct_trip_hourly' AS model, "))
 def q_column_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = gold.stg_trips(_silver(spark, sf_dir))
-    fact = gold.fct_trip_hourly(stg)
-    stg_r = quality.quality_report(stg, quality.not_null_tests(_STG_NOT_NULL)
-                                   + [quality.unique_test(["trip_id"])])
+    stg = _stored_silver(spark, sf_dir)
+    fact = gold.fct_trip_hourly(gold.stg_trips(stg))
+    stg_r = quality.report_in_one_pass(stg, quality.not_null_tests(_STG_NOT_NULL)
+                                       + [quality.unique_test(["trip_id"])], ["trip_id"])
     fact_r = quality.quality_report(fact, quality.not_null_tests(_FACT_NOT_NULL))
     return (stg_r.select(F.lit("stg_trips").alias("model"), "*")
             .unionByName(fact_r.select(F.lit("fct_trip_hourly").alias("model"), "*")))
@@ -423,7 +462,7 @@ SELECT 'silver_trips' AS layer, count(*) AS rows FROM silver
 UNION ALL SELECT 'fct_trip_hourly', count(*) FROM fact
 UNION ALL SELECT 'dim_zones', count(*) FROM (SELECT pickup_zone_id FROM silver UNION SELECT dropoff_zone_id FROM silver)""")
 def q_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
+    s = _stored_silver(spark, sf_dir)
     return audit.layer_counts([("silver_trips", s), ("fct_trip_hourly", gold.fct_trip_hourly(s)),
                                ("dim_zones", gold.dim_zones(s, ordered=False))])
 
@@ -448,11 +487,11 @@ def q_trip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.trip_lookup(_silver(spark, sf_dir), repeated)
 
 
-_RUN8 = ("run_id, source_name, status, started_at, duration_seconds, bronze_rows, silver_rows, "
-         "quality_passed")
+_RUN_LIST = ("run_id, source_name, status, started_at, duration_seconds, bronze_rows, silver_rows, "
+             "gold_rows, quality_passed")
 _RUNS_LATEST_SQL = O.with_(O.RUNS) + f"""
 , latest AS (
-  SELECT {_RUN8} FROM (
+  SELECT {_RUN_LIST} FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY run_id
               ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST) AS rn
     FROM runs) WHERE rn = 1)"""
@@ -465,26 +504,43 @@ def _stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.read_runs(spark, audit_dir)
 
 
-@register("run_audit_latest", covers="W2 S8 S9 S10 R3",
+@register("run_audit_latest", covers="W2 S9 S10 P22",
           oracle=_RUNS_LATEST_SQL + "\nSELECT * FROM latest")
 def q_run_audit_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.latest_runs(_stored_runs(spark, sf_dir)).select(*_RUN8.split(", "))
-
-
-@register("run_recent", covers="O3 O6 P22 S12",
+    return audit.latest_runs(_stored_runs(spark, sf_dir)).select(*_RUN_LIST.split(", "))
+
+
+@register("run_audit_replaced", covers="S10: a later row of a run id replaces the stored one",
+          oracle=O.with_(O.RUNS) + f"""
+, again AS (SELECT * REPLACE (started_at + INTERVAL 1 YEAR AS started_at, 'retried' AS status)
+            FROM runs WHERE bronze_rows % 3 = 0)
+SELECT {_RUN_LIST} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY run_id
+            ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST) AS rn
+  FROM (SELECT * FROM runs UNION ALL SELECT * FROM again)) WHERE rn = 1""")
+def q_run_audit_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit_dir, runs = fresh_path(spark, "run-audit"), fixtures.runs(spark, sf_dir)
+    runs.write.mode("append").parquet(audit_dir)
+    again = (runs.where(F.col("bronze_rows") % 3 == 0).withColumn("status", F.lit("retried"))
+             .withColumn("started_at", F.col("started_at") + F.make_ym_interval(F.lit(1))))
+    again.write.mode("append").parquet(audit_dir)
+    return audit.latest_runs(audit.read_runs(spark, audit_dir)).select(*_RUN_LIST.split(", "))
+
+
+@register("run_recent", covers="O3 O6 P22",
           oracle=_RUNS_LATEST_SQL + f"""
-SELECT {_RUN8} FROM latest
+SELECT {_RUN_LIST} FROM latest
 ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST, run_id DESC LIMIT 10""")
 def q_run_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.recent_runs(_stored_runs(spark, sf_dir), 10).select(*_RUN8.split(", "))
+    return audit.recent_runs(_stored_runs(spark, sf_dir), 10).select(*_RUN_LIST.split(", "))
 
 
 @register("run_latest", covers="O4",
           oracle=_RUNS_LATEST_SQL + f"""
-SELECT {_RUN8} FROM latest
+SELECT {_RUN_LIST} FROM latest
 ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST, run_id DESC LIMIT 1""")
 def q_run_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.recent_runs(_stored_runs(spark, sf_dir), 1).select(*_RUN8.split(", "))
+    return audit.recent_runs(_stored_runs(spark, sf_dir), 1).select(*_RUN_LIST.split(", "))
 
 
 # --- dashboard ----------------------------------------------------------------------------
@@ -671,21 +727,58 @@ def q_scalar_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming ingestion ------------------------------------------------------------------
 
+_LANDINGS = 4
+_LANDING_SQL = f"(day(pickup_datetime) % {_LANDINGS})"
+
+
+def _landed(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """Trips of one landing: those of every fourth day of the month."""
+    return (fixtures.trips(spark, sf_dir).select(*TRIP_COLUMNS)
+            .where(F.dayofmonth("pickup_datetime") % _LANDINGS == part))
+
+
+def _named_batch(checkpoints: dict[str, str], spark: SparkSession) -> Column:
+    """``source_batch_id`` with each query's own id, which is random, written as its name."""
+    out = F.col("source_batch_id")
+    for name, checkpoint in checkpoints.items():
+        out = F.replace(out, F.lit(ingest.query_id_of(spark, checkpoint)), F.lit(name))
+    return out
+
+
 @register("stream_ingest", covers="S4 by Structured Streaming (availableNow, foreachBatch)",
           oracle=O.with_(O.TRIPS) + f"""
-SELECT {O.TRIP_COLS}, CAST(pickup_datetime AS DATE) AS pickup_date, 'stream' AS source_prefix
+SELECT {O.TRIP_COLS}, CAST(pickup_datetime AS DATE) AS pickup_date,
+       'stream-one-0000000' || CAST({_LANDING_SQL} AS VARCHAR) AS batch_id,
+       'stream-one-0000000' || CAST({_LANDING_SQL} AS VARCHAR) AS batch_folder
 FROM trips""")
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips land as several files; a streaming query drains them into bronze,
-    one micro-batch (one bronze batch) per file."""
+    """Trips land in four turns; after each the streaming query, started again on its
+    checkpoint, drains what is new into bronze as one batch."""
     apply_job_conf(spark)
     landing, out = fresh_path(spark, "landing"), fresh_path(spark, "bronze-stream")
-    fixtures.trips(spark, sf_dir).select(*TRIP_COLUMNS).repartition(4).write.parquet(landing)
-    ingest.drain_into_bronze(spark, landing, out, fresh_path(spark, "stream-checkpoint"),
-                             prefix="stream", max_files_per_trigger=1)
+    checkpoint = fresh_path(spark, "stream-checkpoint")
+    for part in range(_LANDINGS):
+        _landed(spark, sf_dir, part).write.mode("append").parquet(landing)
+        ingest.drain_into_bronze(spark, landing, out, checkpoint)
+    named = _named_batch({"one": checkpoint}, spark)
     return bronze.scan_bronze(spark, out).select(
-        *TRIP_COLUMNS, "pickup_date",
-        F.substring_index("source_batch_id", "-", 1).alias("source_prefix"))
+        *TRIP_COLUMNS, "pickup_date", named.alias("batch_id"),
+        F.replace(F.col("batch_key"), F.lit(ingest.query_id_of(spark, checkpoint)), F.lit("one")).alias("batch_folder"))
+
+
+@register("stream_two_queries", covers="S4: two streams with the default prefix into one bronze",
+          oracle=O.with_(O.TRIPS) + f"""
+SELECT {O.TRIP_COLS}, 'stream-' || CASE WHEN {_LANDING_SQL} < 2 THEN 'one' ELSE 'two' END || '-00000000' AS batch_id
+FROM trips""")
+def q_stream_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    out, checkpoints = fresh_path(spark, "bronze-streams"), {}
+    for name, parts in (("one", (0, 1)), ("two", (2, 3))):
+        landing, checkpoints[name] = fresh_path(spark, "landing"), fresh_path(spark, "stream-checkpoint")
+        for part in parts:
+            _landed(spark, sf_dir, part).write.mode("append").parquet(landing)
+        ingest.drain_into_bronze(spark, landing, out, checkpoints[name])
+    return bronze.scan_bronze(spark, out).select(*TRIP_COLUMNS, _named_batch(checkpoints, spark).alias("batch_id"))
 
 
 # --- incremental silver -------------------------------------------------------------------
@@ -704,7 +797,7 @@ def _incremental_warehouse(spark: SparkSession, sf_dir: str) -> job.JobPaths:
     job.run_transforms(spark, paths)
     for b in _LATER_BATCHES:
         bronze.write_bronze(trips.where(batch == b), paths.bronze_dir)
-        job.run_transforms_incremental(spark, paths, b)
+        job.run_transforms_incremental(spark, paths)
     return paths
 
 
@@ -777,3 +870,87 @@ def q_medallion_job_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.where(F.col("run_id") == _INC_RUNS[1]).select(
         *_JOB_COLS, F.lit(summary["transforms"]["mode"]).alias("transform_mode"),
         F.lit(failures).alias("check_failures"))
+
+
+# --- the job and bronze that others wrote ---------------------------------------------------
+
+_FOREIGN_COLS = [c for c in O.SILVER_COLS.split(", ") if c not in ("ingested_at", "source_batch_id")]
+
+
+@register("job_after_foreign_batches", covers="R1 R2: the default job folds in what a stream and a direct writer added",
+          oracle=O.with_(O.TRIPS, f"""
+written AS (SELECT * REPLACE (
+              CASE {_LANDING_SQL} WHEN 0 THEN 'job-first' WHEN 1 THEN 'stream' WHEN 2 THEN 'direct/write' ELSE 'job-last' END
+                AS source_batch_id,
+              TIMESTAMP '2000-01-01' + to_days(CAST({_LANDING_SQL} AS INTEGER)) AS ingested_at)
+            FROM trips)""", O.silver_from("written")) + f"""
+SELECT {', '.join(_FOREIGN_COLS)}, source_batch_id AS batch, 'incremental' AS transform_mode FROM silver""")
+def q_job_after_foreign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job, a stream's drain, a plain bronze write and a job again: silver as a full build has it."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "warehouse-foreign")
+    paths = job.resolve_paths(root)
+    job.run_job(spark, root, run_id="job-first", source="frame", trips=_landed(spark, sf_dir, 0), raise_on_failure=False)
+    landing = fresh_path(spark, "landing")
+    _landed(spark, sf_dir, 1).write.parquet(landing)
+    ingest.drain_into_bronze(spark, landing, paths.bronze_dir, fresh_path(spark, "stream-checkpoint"))
+    bronze.write_bronze(_landed(spark, sf_dir, 2), paths.bronze_dir, batch_id="direct/write", ingested_at=datetime.now(UTC))
+    summary = job.run_job(spark, root, run_id="job-last", source="frame", trips=_landed(spark, sf_dir, 3),
+                          raise_on_failure=False)
+    batch = F.when(F.col("source_batch_id").startswith("stream-"), "stream").otherwise(F.col("source_batch_id"))
+    return job.read_silver(spark, paths.silver_dir).select(
+        *_FOREIGN_COLS, batch.alias("batch"), F.lit(summary["transforms"]["mode"]).alias("transform_mode"))
+
+
+@register("medallion_job_mixed_bronze", covers="R1 S3 U2 P15: current, older and flat bronze files side by side",
+          oracle=O.with_(O.TRIPS, """
+written AS (SELECT * REPLACE (
+              CASE WHEN source_batch_id IS NULL THEN NULL
+                   WHEN source_batch_id = 'batch_4' THEN TIMESTAMP '2100-01-01' ELSE ingested_at END AS ingested_at)
+            FROM trips)""", O.silver_from("written")) + f"""
+SELECT {', '.join(_FOREIGN_COLS)}, source_batch_id FROM silver""")
+def q_medallion_job_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a batch lie in bronze as older writers left them, in date folders without
+    a batch level and as flat files with other types; the job ingests the last batch."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "warehouse-mixed")
+    paths = job.resolve_paths(root)
+    trips, batch = fixtures.trips(spark, sf_dir), F.col("source_batch_id")
+    early = F.dayofmonth("pickup_datetime") <= 15
+    (bronze.legacy_payload(trips.where(batch.isNull() & early))
+     .write.partitionBy("pickup_date").parquet(paths.bronze_dir))
+    (trips.where(batch.isNull() & ~early).select(*TRIP_COLUMNS).withColumn("pickup_zone_id", F.col("pickup_zone_id").cast("double"))
+     .write.parquet(f"{paths.bronze_dir}/flat"))
+    bronze.write_bronze(trips.where(batch.isNotNull() & (batch != "batch_4")), paths.bronze_dir)
+    job.run_job(spark, root, run_id="batch_4", source="frame", trips=trips.where(batch == "batch_4"), raise_on_failure=False)
+    return job.read_silver(spark, paths.silver_dir).select(*_FOREIGN_COLS, "source_batch_id")
+
+
+@register("run_summary_stored", covers="S8 R3: the run summary read back from its JSON file",
+          oracle=_JOB_SQL.replace("SELECT '" + _JOB_RUN, "SELECT run_id, status, source_name, dataset, bronze_rows, silver_rows, "
+                                  "gold_rows, checks_passed, checks_failed, error_message FROM (SELECT 'yellow' AS dataset, '" + _JOB_RUN)
+          + ")")
+def q_run_summary_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    root, taxi_root = fresh_path(spark, "warehouse"), fresh_path(spark, "taxi-landing")
+    fixtures.raw_taxi(spark, sf_dir).write.parquet(taxi.monthly_path(taxi_root, "yellow", _TAXI_YEAR, _TAXI_MONTH))
+    job.run_job(spark, root, run_id=_JOB_RUN, source="taxi", dataset="yellow", year=_TAXI_YEAR,
+                month=_TAXI_MONTH, taxi_root=taxi_root, raise_on_failure=False)
+    stored = spark.read.json(job.summary_path(job.resolve_paths(root), _JOB_RUN))
+    return stored.select("run_id", "status", F.col("ingestion.source_name").alias("source_name"),
+                         F.col("config.dataset").alias("dataset"), F.col("ingestion.rows_written").alias("bronze_rows"),
+                         F.col("transforms.silver_rows").alias("silver_rows"), F.col("transforms.gold_rows").alias("gold_rows"),
+                         F.col("checks_passed").cast("int").alias("checks_passed"),
+                         F.col("checks_failed").cast("int").alias("checks_failed"), "error_message")
+
+
+@register("export_zones", covers="S6 U1: the exported dimension read back",
+          oracle=O.with_(O.TRIPS, O.SILVER) + """
+SELECT zone_id, 'Zone ' || CAST(zone_id AS VARCHAR) AS zone_label
+FROM (SELECT pickup_zone_id AS zone_id FROM silver UNION SELECT dropoff_zone_id FROM silver)""")
+def q_export_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    paths = job.resolve_paths(fresh_path(spark, "warehouse"))
+    bronze.write_bronze(fixtures.trips(spark, sf_dir), paths.bronze_dir)
+    job.run_transforms(spark, paths)
+    return spark.read.parquet(paths.zones_dir)

@@ -1,11 +1,9 @@
 """Session settings and shared storage locations.
 
-The job relies on three session properties:
+The job relies on two session properties:
 
 * ``spark.sql.session.timeZone = UTC``: ingest timestamps travel as ISO text
   with a ``Z`` suffix and are turned into wall-clock (NTZ) UTC times.
-* ``spark.sql.sources.partitionOverwriteMode = dynamic``: re-running a batch
-  replaces only the ``(pickup_date, batch_key)`` partitions it writes.
 * AQE with partition coalescing and skew handling, so that shuffle partition
   counts follow the data instead of a fixed number.
 
@@ -26,7 +24,8 @@ import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SESSION_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
@@ -34,7 +33,6 @@ SESSION_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Python call sites are not recorded for every column expression: that is
@@ -65,12 +63,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 # Shuffle sizing. AQE merges small shuffle partitions after each map stage but
 # never splits an ordinary large one, so the initial count has to be large
-# enough for the biggest shuffle of a run; the input splits are widened when a
-# run would otherwise need more map tasks than a scheduler handles well.
+# enough for the biggest shuffle of a run.
 SHUFFLE_BYTES_PER_STORED_BYTE = 2.0   # compressed parquet -> shuffle data, rough
-MAX_SHUFFLE_PARTITIONS = 100_000
-MAX_SCAN_TASKS = 100_000
-MAX_SPLIT_BYTES = 1 << 30
+
+STORED_FILES_SCHEMA = "path string, length long, modified long"
 
 
 def _bytes_conf(spark: SparkSession, key: str, default: str) -> int:
@@ -79,45 +75,44 @@ def _bytes_conf(spark: SparkSession, key: str, default: str) -> int:
                .byteStringAsBytes(text))
 
 
+def stored_files(spark: SparkSession, locations: Iterable[str]) -> DataFrame:
+    """(path, length, modified) of every parquet file below paths or glob patterns.
+
+    A scan that lists and reads no content, so the listing is Spark's own
+    (parallel for many folders) and the files are rows, not driver objects.
+    """
+    existing = [p for p in locations if path_exists(spark, p)]
+    if not existing:
+        return spark.createDataFrame([], STORED_FILES_SCHEMA)
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load(existing)
+                 .select("path", "length", F.unix_micros("modificationTime").alias("modified")))
+
+
 def stored_bytes(spark: SparkSession, locations: Iterable[str]) -> int:
-    """Total size of the files below paths or glob patterns (listings only, no job)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for location in locations:
-        pattern = jvm.org.apache.hadoop.fs.Path(location)
-        fs = pattern.getFileSystem(conf)
-        for status in fs.globStatus(pattern) or []:
-            total += fs.getContentSummary(status.getPath()).getLength()
-    return total
+    """Total size of the files below paths or glob patterns."""
+    return stored_files(spark, locations).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def shuffle_settings(spark: SparkSession, input_bytes: int,
                      expansion: float = SHUFFLE_BYTES_PER_STORED_BYTE) -> dict[str, str]:
-    """Initial shuffle partitions and scan split size for a run reading ``input_bytes``.
+    """Initial shuffle partitions for a run reading ``input_bytes``.
 
-    Partitions: the expected shuffle bytes over the advisory partition size,
-    never fewer than ``spark.sql.shuffle.partitions`` and at most
-    ``MAX_SHUFFLE_PARTITIONS`` (AQE then coalesces them to the advisory size).
-    Split size: ``spark.sql.files.maxPartitionBytes``, raised (up to 1 GiB)
-    only when the scan would otherwise exceed ``MAX_SCAN_TASKS`` tasks.
+    The expected shuffle bytes over the advisory partition size, never fewer
+    than ``spark.sql.shuffle.partitions`` (AQE then coalesces them to the
+    advisory size); there is no upper bound.
     """
     advisory = _bytes_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    split = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", "128m")
     floor = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     wanted = math.ceil(input_bytes * expansion / max(advisory, 1))
-    partitions = max(floor, min(wanted, MAX_SHUFFLE_PARTITIONS))
-    split = max(split, min(math.ceil(input_bytes / MAX_SCAN_TASKS), MAX_SPLIT_BYTES))
-    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-            "spark.sql.files.maxPartitionBytes": str(split)}
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(floor, wanted))}
 
 
 @contextmanager
 def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[dict[str, str]]:
     """Apply ``shuffle_settings`` for the duration of a block, then restore.
 
-    An initial partition count the caller set explicitly is kept; the split
-    size is only ever raised.
+    An initial partition count the caller set explicitly is kept.
     """
     settings = shuffle_settings(spark, input_bytes)
     previous = {key: spark.conf.get(key, None) for key in settings}
@@ -137,9 +132,8 @@ def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[dict[str, str]]
 
 
 def apply_job_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL properties the job depends on on an existing session."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
-        spark.conf.set(key, SESSION_CONF[key])
+    """Set the one runtime property that the results of the job depend on."""
+    spark.conf.set("spark.sql.session.timeZone", SESSION_CONF["spark.sql.session.timeZone"])
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -1,7 +1,8 @@
 """Bronze layer: append-only, date-partitioned parquet with provenance.
 
-Layout: ``{bronze}/pickup_date=<d>/batch_key=<k>/part-*.parquet``. Writes use
-dynamic partition overwrite, so re-running a batch id replaces exactly the
+Layout: ``{bronze}/pickup_date=<d>/batch_key=<k>/part-*.parquet``; older files
+without the batch level may lie beside it (``scan_files``). Writes use dynamic
+partition overwrite, so re-running a batch id replaces exactly the
 ``(date, batch)`` partitions it produces and leaves every other partition,
 including other dates of an earlier run of the same batch, in place.
 """
@@ -9,7 +10,9 @@ including other dates of an earlier run of the same batch, in place.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
@@ -17,10 +20,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faresight.functions.columns import batch_key, batch_key_text, iso_utc
+from faresight.functions.columns import batch_key, batch_key_text, iso_utc, parse_timestamp
 from faresight.schemas import (BRONZE_PARTITION_COLUMNS, BRONZE_PAYLOAD_SCHEMA, BRONZE_SCHEMA,
                                TRIP_COLUMNS, TRIP_SCHEMA)
-from faresight.session import apply_job_conf, list_matches
+from faresight.session import apply_job_conf, list_matches, path_exists, stored_files
+
+#: Footers that are read at a time (they hold no rows).
+FOOTER_READERS = 16
 
 
 @dataclass(frozen=True)
@@ -90,11 +96,13 @@ def write_bronze(trips: DataFrame, bronze_dir: str, batch_id: str | None = None,
     spark = trips.sparkSession
     apply_job_conf(spark)
     stamped = with_provenance(trips, batch_id, ingested_at)
-    if rebalance:
-        stamped = stamped.hint("rebalance", "pickup_date")
     # Observed in the writing stage: Spark merges a result task's metrics once
     # per partition, so a stage re-run after a lost executor does not count twice.
     obs = Observation(f"bronze_{uuid.uuid4().hex[:10]}")
+    if rebalance:
+        # rows without a date, which are only counted, are spread by trip and not gathered in one task
+        deal = F.coalesce(F.col("pickup_date").cast("string"), F.col("trip_id"))
+        stamped = stamped.withColumn("_deal", deal).hint("rebalance", "_deal").drop("_deal")
     kept = (stamped.observe(obs,
                             F.count(F.lit(1)).alias("rows_read"),
                             F.count_if(F.col("pickup_date").isNull()).alias("rows_rejected"),
@@ -171,6 +179,18 @@ def canonical_bronze(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+@contextmanager
+def _directory_text(spark: SparkSession) -> Iterator[None]:
+    """Directory values are read as the text they are (``007`` stays ``007``)."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scan_bronze_layouts(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     """Merge bronze roots written with different layouts, by column name.
 
@@ -180,17 +200,67 @@ def scan_bronze_layouts(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     ``mergeSchema`` would fail on such type conflicts.
     """
     parts = []
-    for root in roots:
-        raw = spark.read.option("basePath", root).parquet(root)
-        if "batch_key" not in raw.columns:
-            raw = raw.withColumn("batch_key", F.lit(None).cast("string"))
-        parts.append(canonical_bronze(raw))
+    with _directory_text(spark):
+        for root in roots:
+            raw = spark.read.option("basePath", root).parquet(root)
+            if "batch_key" not in raw.columns:
+                raw = raw.withColumn("batch_key", F.lit(None).cast("string"))
+            parts.append(canonical_bronze(raw))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+#: Marks a file of the current layout in its path.
+BATCH_LEVEL = "/batch_key="
+
+
+def scan_files(spark: SparkSession, bronze_dir: str, paths: Sequence[str] | None = None) -> DataFrame:
+    """Bronze rows of every layout below ``bronze_dir``, or of the files ``paths`` only.
+
+    Files of the current layout are one scan with the given schema. Files
+    without the batch level (older writers, pandas) are grouped by the columns
+    and types in their footers, one scan each; what their folders would say
+    follows from the rows: the date from the pickup time, the batch key from
+    the batch id.
+    """
+    if paths is None:
+        older = [r.path for r in stored_files(spark, [bronze_dir])
+                 .where(~F.col("path").contains(BATCH_LEVEL)).select("path").collect()]
+        current = [f"{bronze_dir}/pickup_date=*{BATCH_LEVEL}*"]
+        current = [p for p in current if path_exists(spark, p)]
+    else:
+        older = [p for p in paths if BATCH_LEVEL not in p]
+        current = [p for p in paths if BATCH_LEVEL in p]
+    parts = []
+    if current:
+        parts.append(spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir).parquet(*current))
+    for group in by_layout(spark, older):
+        raw = spark.read.parquet(*group).drop("pickup_date", "batch_key")
+        raw = raw.withColumn("pickup_date", F.to_date(parse_timestamp("pickup_datetime", raw.schema["pickup_datetime"].dataType)))
+        if "source_batch_id" not in raw.columns:
+            raw = raw.withColumn("source_batch_id", F.lit(None).cast("string"))
+        parts.append(canonical_bronze(raw.withColumn("batch_key", batch_key(F.col("source_batch_id")))))
+    if not parts:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def by_layout(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files grouped by the columns and types that their footers give, in first-seen order."""
+    groups: dict[tuple, list[str]] = {}
+    with ThreadPoolExecutor(max_workers=max(1, min(FOOTER_READERS, len(paths)))) as pool:
+        layouts = list(pool.map(lambda p: tuple((f.name, f.dataType.simpleString())
+                                                for f in spark.read.parquet(p).schema.fields), paths))
+    for path, layout in zip(paths, layouts):
+        groups.setdefault(layout, []).append(path)
+    return list(groups.values())
+
+
 def legacy_payload(trips: DataFrame) -> DataFrame:
     """Trips in the older bronze layout: no provenance, 32-bit zone ids, double passengers."""
     return trips.select(

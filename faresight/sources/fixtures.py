@@ -94,6 +94,7 @@ def runs_from_events(events: DataFrame) -> DataFrame:
         F.col("value").alias("duration_seconds"),
         e.alias("bronze_rows"),
         F.when(failed, F.lit(None)).otherwise(e - e % 10).alias("silver_rows"),
+        F.when(failed, F.lit(None)).otherwise(e % 1000).alias("gold_rows"),
         (F.col("event_type") != "error").alias("quality_passed"),
     )
 

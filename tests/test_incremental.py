@@ -43,7 +43,7 @@ def test_moved_winner_empties_its_old_date(spark, workdir):
         (None, _t("2025-01-03 10:00:00"), _t("2025-01-03 10:10:00"), 1, 1.0, 1, 2, 6.0, 0.0, 6.5, "app"),
     ])
     bronze.write_bronze(later, paths.bronze_dir, batch_id="b2", ingested_at=datetime(2025, 2, 2, tzinfo=UTC))
-    result = job.run_transforms_incremental(spark, paths, "b2")
+    result = job.run_transforms_incremental(spark, paths)
     got = job.read_silver(spark, paths.silver_dir)
     full = job.resolve_paths(workdir + "-full")
     bronze.write_bronze(first, full.bronze_dir, batch_id="b1", ingested_at=datetime(2025, 2, 1, tzinfo=UTC))
@@ -182,8 +182,59 @@ def test_zone_without_references_leaves_the_dimension(spark, workdir):
     bronze.write_bronze(first, paths.bronze_dir, batch_id="z1", ingested_at=datetime(2025, 2, 1, tzinfo=UTC))
     job.run_transforms(spark, paths)
     bronze.write_bronze(later, paths.bronze_dir, batch_id="z2", ingested_at=datetime(2025, 2, 2, tzinfo=UTC))
-    result = job.run_transforms_incremental(spark, paths, "z2")
+    result = job.run_transforms_incremental(spark, paths)
     zones = {r.zone_id: r.zone_label for r in spark.read.parquet(paths.zones_dir).collect()}
     assert zones == {11: "Zone 11", 12: "Zone 12", 13: "Zone 13"} and result.dim_zone_rows == 3
     refs = {r.zone_id: r.refs for r in job.read_refs(spark, paths.zones_dir).collect()}
     assert refs == {11: 1, 12: 2, 13: 1}
+
+
+def _day(spark, day, seed, rows=20):
+    return generator.generate_trips(spark, date(2025, 1, day), days=1, rows_per_day=rows, seed=seed)
+
+
+def test_default_job_folds_in_what_others_wrote(spark, workdir):
+    paths = job.resolve_paths(workdir)
+    job.run_job(spark, workdir, run_id="w1", source="frame", trips=_day(spark, 1, 1))
+    bronze.write_bronze(_day(spark, 2, 2), paths.bronze_dir, batch_id="other", ingested_at=datetime(2025, 2, 1, tzinfo=UTC))
+    last = job.run_job(spark, workdir, run_id="w2", source="frame", trips=_day(spark, 3, 3))
+    assert last["transforms"]["mode"] == "incremental" and last["transforms"]["silver_rows"] == 60
+    got = job.read_silver(spark, paths.silver_dir)
+    assert {r.source_batch_id for r in got.select("source_batch_id").distinct().collect()} == {"w1", "other", "w2"}
+    assert last["transforms"]["gold_rows"] == job.read_fact(spark, paths.fact_dir).count()
+
+
+def test_changed_or_removed_batches_force_a_full_build(spark, workdir):
+    from faresight.session import delete_path
+    paths = job.resolve_paths(workdir)
+    job.run_job(spark, workdir, run_id="w1", source="frame", trips=_day(spark, 1, 1))
+    job.run_job(spark, workdir, run_id="w2", source="frame", trips=_day(spark, 2, 2))
+    # the same batch again, with other rows on the same day
+    bronze.write_bronze(_day(spark, 2, 9, rows=7), paths.bronze_dir, batch_id="w2", ingested_at=datetime(2025, 2, 1, tzinfo=UTC))
+    s3 = job.run_job(spark, workdir, run_id="w3", source="frame", trips=_day(spark, 3, 3))
+    assert s3["transforms"]["mode"] == "full" and s3["transforms"]["silver_rows"] == 47
+    delete_path(spark, f"{paths.bronze_dir}/pickup_date=2025-01-01")
+    s4 = job.run_job(spark, workdir, run_id="w4", source="frame", trips=_day(spark, 4, 4))
+    assert s4["transforms"]["mode"] == "full" and job.read_silver(spark, paths.silver_dir).count() == 47
+
+
+def test_one_run_leaves_another_runs_marker_until_its_rows_are_in(spark, workdir):
+    from faresight.session import path_exists, write_text
+    paths = job.resolve_paths(workdir)
+    job.run_job(spark, workdir, run_id="w1", source="frame", trips=_day(spark, 1, 1))
+    stopped = job.pending_marker(paths, "stopped/run")
+    write_text(spark, stopped, "stopped/run")
+    s2 = job.run_job(spark, workdir, run_id="w2", source="frame", trips=_day(spark, 2, 2))
+    assert s2["transforms"]["mode"] == "full" and not path_exists(spark, stopped)
+    assert not path_exists(spark, job.pending_marker(paths, "w2"))
+
+
+def test_a_failed_scan_does_not_block_later_runs(spark, workdir):
+    from faresight.session import delete_path, write_text
+    paths = job.resolve_paths(workdir)
+    write_text(spark, f"{paths.bronze_dir}/broken.parquet", "no parquet")
+    failed = job.run_job(spark, workdir, run_id="w1", source="frame", trips=_day(spark, 1, 1), raise_on_failure=False)
+    assert failed["status"] == "failed"
+    delete_path(spark, f"{paths.bronze_dir}/broken.parquet")
+    s2 = job.run_job(spark, workdir, run_id="w2", source="frame", trips=_day(spark, 2, 2))
+    assert s2["status"] == "succeeded" and s2["transforms"]["silver_rows"] == 40

@@ -95,25 +95,18 @@ def test_hot_trip_id_with_a_third_of_rows(spark, workdir):
 
 
 def test_shuffles_are_sized_by_input_bytes(spark):
-    from faresight.session import MAX_SHUFFLE_PARTITIONS, shuffle_settings, sized_for
+    from faresight.session import shuffle_settings, sized_for
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # small input: the configured count is the floor
-    assert shuffle_settings(spark, 1000)[key] == str(floor)
-    # 1 TB of parquet: about 2 TB shuffled, 128 MB per partition
-    tb = shuffle_settings(spark, 10**12)
-    assert int(tb[key]) == -(-2 * 10**12 // (128 << 20))
-    assert tb["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
-    # 100 TB: capped partition count, wider scan splits (at most 1 GiB)
-    huge = shuffle_settings(spark, 100 * 10**12)
-    assert int(huge[key]) == MAX_SHUFFLE_PARTITIONS
-    assert (128 << 20) < int(huge["spark.sql.files.maxPartitionBytes"]) <= 1 << 30
+    assert shuffle_settings(spark, 1000) == {key: str(floor)}
+    # about two bytes shuffled for a stored byte, 128 MB per partition, at any size
+    for stored in (10**12, 100 * 10**12, 10**15):
+        assert int(shuffle_settings(spark, stored)[key]) == -(-2 * stored // (128 << 20))
     # applied inside the block only; a count set by the caller is kept
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     with sized_for(spark, 10**12):
-        assert spark.conf.get(key) == tb[key]
+        assert spark.conf.get(key) == shuffle_settings(spark, 10**12)[key]
     assert spark.conf.get(key, None) is None
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     spark.conf.set(key, "17")
     try:
         with sized_for(spark, 10**12):
@@ -122,6 +115,39 @@ def test_shuffles_are_sized_by_input_bytes(spark):
         spark.conf.unset(key)
 
 
+def test_the_session_keeps_its_overwrite_mode(spark, workdir):
+    """A user's own overwrite of a partitioned table still replaces the whole table."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    paths, _ = _bronze(spark, workdir)
+    job.run_transforms(spark, paths)
+    assert spark.conf.get(key) == before
+    spark.range(4).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(f"{workdir}/own")
+    spark.range(1).withColumn("p", F.lit(1)).write.mode("overwrite").partitionBy("p").parquet(f"{workdir}/own")
+    assert spark.read.parquet(f"{workdir}/own").count() == 1
+
+
+def test_stored_files_are_listed_without_reading_them(spark, workdir):
+    from faresight.session import stored_bytes, stored_files
+    spark.range(100).repartition(3).write.parquet(f"{workdir}/a/x=1")
+    listed = stored_files(spark, [f"{workdir}/a", f"{workdir}/nothing"])
+    assert listed.count() == 3 and stored_bytes(spark, [f"{workdir}/a"]) > 0
+    assert "content" not in _plan(listed) and stored_bytes(spark, [f"{workdir}/nothing"]) == 0
+
+
+def test_reports_scan_the_source_once_and_shuffle_trip_ids_once(spark):
+    from faresight.plans.registry import registered
+    sf = "/root/testdata/sf0.001"
+    report = registered()["quality_report"].build(spark, sf)
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("hashpartitioning(trip_id") == 1
+    # these read silver as it was written once; nothing of it is built or shuffled by trip again
+    for name in ("column_tests", "layer_counts"):
+        plan = _plan(registered()[name].build(spark, sf))
+        assert "events.parquet" not in plan and "hashpartitioning(trip_id" not in plan
+
+
 def test_checks_counted_by_the_silver_write_equal_a_scan(spark, workdir):
     paths, b = _bronze(spark, workdir)
     checks = quality.silver_expectations()
@@ -182,6 +208,21 @@ def test_incremental_lookup_reads_ids_then_pruned_dates(spark, workdir):
     assert pruned and "pickup_date" in pruned[0] and ("IN" in pruned[0] or " = " in pruned[0])
 
 
+def test_ids_made_from_trips_are_looked_for_on_their_own_dates(spark, workdir):
+    """No scan of stored ids: a content id holds the pickup time, so only its date can hold a copy."""
+    paths, _ = _bronze(spark, workdir)
+    job.run_transforms(spark, paths)
+    current = job.read_silver(spark, paths.silver_dir)
+    derived = current.limit(5).withColumn("trip_id", F.concat(F.lit("tlc_"), "trip_id"))
+    days = {r.pickup_date for r in derived.collect()}
+    before = job.silver.dates_holding
+    job.silver.dates_holding = None   # not called
+    try:
+        assert set(job._dates_of_copies(current, derived)) == days
+    finally:
+        job.silver.dates_holding = before
+
+
 def test_hot_null_id_is_split_in_the_incremental_semi_join(spark):
     """With the id list too large to broadcast, AQE splits the null id (a third of silver)."""
     g = generator.generate_trips(spark, date(2025, 1, 1), days=1, rows_per_day=30000, seed=9)

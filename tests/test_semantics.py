@@ -101,13 +101,44 @@ def test_replay_rewrites_only_dates_it_writes(spark, workdir):
 
 
 def test_batch_keys_do_not_collide(spark):
-    ids = spark.createDataFrame([("a/b",), ("a_b",), ("run-1",), ("été 2",)], "b string")
+    names = ["a/b", "a_b", "a_b-a7e86136", "run-1", "été 2", "", "~", "~7E", "007", "7", "a+b", "a b", "a*b", "a.b", "%20",
+             "=x", "a~b", "日本", "A_B", "a:b?c#d&e"]
+    ids = spark.createDataFrame([(n,) for n in names], "b string")
     keys = {r.b: r.k for r in ids.select("b", columns.batch_key("b").alias("k")).collect()}
-    assert keys["a_b"] == "a_b" and keys["run-1"] == "run-1"
-    assert keys["a/b"].startswith("a_b-") and len(keys["a/b"]) == len("a_b-") + 8
-    assert keys["été 2"].startswith("été_2-")
-    for b, k in keys.items():
-        assert columns.batch_key_text(b) == k
+    assert len(set(keys.values())) == len(names)
+    for plain in ("a_b", "run-1", "a_b-a7e86136", "007"):
+        assert keys[plain] == plain
+    assert keys["a/b"] == "a~2Fb" and keys["été 2"] == "~C3~A9t~C3~A9~202" and keys[""] == "~"
+    assert all(columns.batch_key_text(b) == k for b, k in keys.items())
+
+
+def test_batches_whose_ids_resemble_each_other_keep_their_rows(spark, workdir):
+    g = generator.generate_trips(spark, date(2025, 1, 1), days=1, rows_per_day=20, seed=1)
+    for n in ("a/b", "a_b-a7e86136", "007", "7", ""):
+        bronze.write_bronze(g, workdir, batch_id=n, ingested_at=datetime(2025, 2, 1, tzinfo=UTC))
+    counts = {r.source_batch_id: r["count"] for r in
+              bronze.scan_files(spark, workdir).groupBy("source_batch_id").count().collect()}
+    assert counts == dict.fromkeys(["a/b", "a_b-a7e86136", "007", "7", ""], 20)
+    kept = {r.batch_key for r in bronze.scan_bronze_layouts(spark, [workdir]).select("batch_key").distinct().collect()}
+    assert kept == {"a~2Fb", "a_b-a7e86136", "007", "7", "~"}
+
+
+def test_fact_keeps_parts_of_cents_and_huge_amounts(spark):
+    rows = [(date(2025, 1, 1), 8, 1, 1.0, 0.004, 0.004)] * 1000 + [(date(2025, 1, 1), 8, 2, 1.0, x, x) for x in (10.0, 1e17)]
+    df = spark.createDataFrame(rows, "pickup_date date, pickup_hour long, pickup_zone_id long, "
+                                     "trip_distance double, fare_amount double, total_amount double")
+    got = {r.zone_id: r for r in gold.fct_trip_hourly(df).collect()}
+    assert (got[1].total_revenue, got[1].avg_fare_amount) == (4.0, 0.0)
+    assert (got[2].total_revenue, got[2].avg_fare_amount) == (1e17 + 10, (1e17 + 10) / 2)
+
+
+def test_kpis_leave_nan_out_and_show_infinity(spark):
+    schema = "trip_count long, avg_fare_amount double, total_revenue double"
+    nan, inf = float("nan"), float("inf")
+    r = metrics.dashboard_kpis(spark.createDataFrame([(1, 10.0, 1.0), (3, nan, nan)], schema)).first()
+    assert (r.total_trips, r.total_revenue, r.avg_fare_unweighted, r.avg_fare_weighted) == (4, 1.0, 10.0, 10.0)
+    r = metrics.dashboard_kpis(spark.createDataFrame([(1, 10.0, inf), (3, inf, 2.0)], schema)).first()
+    assert (r.total_revenue, r.avg_fare_unweighted, r.avg_fare_weighted) == (inf, inf, inf)
 
 
 def test_legacy_pandas_bronze_with_nanosecond_times(spark, workdir, tmp_path):

@@ -34,6 +34,8 @@ HEADLINE = [
     "latest_per_key",
     "run_audit_latest",
     "medallion_job",
+    "medallion_job_incremental",
+    "job_after_foreign_batches",
 ]
 
 

@@ -54,7 +54,7 @@ def test_synthetic_run_leaves_tables_report_summary_and_audit_row(spark, workdir
     assert [r.passed for r in report.orderBy("check_order").collect()] == [True] * 8
     # nothing of the run stays in the session or between the layers
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
-    assert not list_matches(spark, f"{job.pending_folder(paths)}/*")
+    assert not list_matches(spark, f"{job.pending_folder(paths)}/*") and not list_matches(spark, f"{workdir}/_staging/*")
 
 
 def test_green_files_without_vendor(spark, workdir):

@@ -308,9 +308,8 @@ def look_up(index: DataFrame, keys: DataFrame) -> DataFrame:
                              "shard": got["shard"].astype(np.int32), "offset": got["offset"].astype(np.int64),
                              "n_tokens": got["n"].astype(np.int64)})
 
-    # a bucket's keys are looked up in runs of a bucket's size, so that a long list of
-    # keys for one bucket is spread as well
-    run = F.pmod(F.monotonically_increasing_id(), F.lit(4)).cast("int")
+    # a bucket's keys are dealt to several tasks, by hash, so that a rerun task deals them alike
+    run = F.pmod(F.xxhash64(F.lit(1), "doc_id", "occurrence"), F.lit(4)).cast("int")
     rows = _bucketed(keys, first[0]).join(index.select("bucket", "path"), "bucket").withColumn("run", run)
     return rows.groupBy("bucket", "run").applyInPandas(
         find, "doc_id long, occurrence long, shard int, offset long, n_tokens long")

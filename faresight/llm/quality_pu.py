@@ -269,8 +269,9 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     unlabelled = unlabelled.orderBy("h", "doc_id").limit(SAMPLE)
     chosen = saved(positive.withColumn("p", F.lit(1)).union(unlabelled.withColumn("p", F.lit(0)))
                    .select(F.col("doc_id").alias("__id"), "h", "p"), "training-sample")
+    # of rows with equal doc_id one stands for all, so that the sample stays within its bound
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(F.broadcast(chosen), "__id")
-    texts = saved(texts, "training-texts")
+    texts = saved(texts.groupBy("__id", "h", "p").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "training-texts")
     return fit(sample_features(texts.where("p = 1")), sample_features(texts.where("p = 0")))
 
 

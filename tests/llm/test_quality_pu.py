@@ -67,3 +67,15 @@ def test_odd_rows_and_empty_tables(spark):
     blank = quality_pu.learn(odd.nothing(spark), labels, F.lit(False))
     assert {round(r.score, 6) for r in quality_pu.scored(docs, blank).collect()} == {0.5}
     assert quality_pu.scored(odd.nothing(spark), model).count() == 0
+
+
+def test_the_sample_is_bounded_when_one_doc_id_has_many_rows(spark, monkeypatch):
+    sizes = []
+    fit = quality_pu.fit
+    monkeypatch.setattr(quality_pu, "fit", lambda p, u: (sizes.append((len(p), len(u))), fit(p, u))[1])
+    monkeypatch.setattr(quality_pu, "SAMPLE", 20)
+    docs = spark.range(600).select((F.col("id") % 40 * (F.col("id") % 3)).alias("doc_id"),
+                                   F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(0, 80, 2).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    quality_pu.learn(docs, labels, F.lit(False))
+    assert sizes and all(0 < n <= 20 for n in sizes[0])

@@ -22,6 +22,7 @@ sums inside a bucket, so a source with a third of all rows is not one task.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,8 +37,9 @@ MAX_REPEATS = 3
 BLOCK_WORDS = 1000
 #: Words of an output shard; the number of shards follows from the total.
 SHARD_WORDS = 10_000_000
-#: Rows of a bucket in which running sums are taken.
-BUCKET_ROWS = 20_000
+#: Fewest rows of a bucket in which running sums are taken. Beyond its square, buckets have
+#: as many rows as there are buckets, so that neither step grows faster than the root of the rows.
+BUCKET_ROWS = 1000
 SEED = 7
 
 
@@ -82,7 +84,8 @@ def _targets(sources: DataFrame, weights: tuple[int, ...], repeats: int) -> Data
 def _running(rows: DataFrame, values: dict[str, Column], ties: list[str]) -> DataFrame:
     """``rows`` with, for each value, its sum over the rows of the same ``sid`` that come
     before in the order of ``at`` (a hashed long) and ``ties``."""
-    buckets = max(1, -(-rows.count() // BUCKET_ROWS))  # of each sid
+    count = rows.count()
+    buckets = max(1, -(-count // max(BUCKET_ROWS, math.isqrt(count))))  # of each sid
     share = F.col("at").cast("double") / F.lit(2.0 ** 64) + 0.5
     bucketed = rows.withColumn("bucket", F.least(F.floor(share * buckets), F.lit(buckets - 1)))
     sums = bucketed.groupBy("sid", "bucket").agg(*[F.sum(v).alias(f"{n}_sum") for n, v in values.items()])

@@ -35,7 +35,6 @@ HEADLINE = [
     "run_audit_latest",
     "medallion_job",
     "medallion_job_incremental",
-    "job_after_foreign_batches",
 ]
 
 

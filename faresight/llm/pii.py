@@ -11,14 +11,14 @@ values different ones, and nobody without the key can undo them. Where a format
 has invalid members the network is applied again until it yields a valid one
 (cycle walking), which keeps it a permutation.
 
-The text is cut at the candidates, candidates that validate are replaced, and
-the pieces are joined again; all else stays byte for byte.
+The formats are looked for one after the other, those with the strongest check
+first. Each cuts what is left of the text at its candidates; those that validate
+are replaced and set apart, those that do not stay part of the text, so that
+later formats are found inside them. All else stays byte for byte.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,18 +29,35 @@ ROUNDS = 8
 #: values with probability 0.12 at most, so that this many never all miss.
 WALKS = 40
 
-#: Candidates of each kind, in the order in which they are tried at a place.
+#: Countries by the length of their IBANs (the registry's and those in use without an entry).
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban(length: int, countries: str) -> str:
+    """Pattern of the IBANs of one length, written together or in groups of four."""
+    groups, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+#: Candidates in the order in which they are looked for; a kind is the name up to a blank.
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "iban": rf"\b(?:{'|'.join(_iban(n, c) for n, c in IBAN_COUNTRIES.items())})\b",
+    "iban of another code": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "card": r"(?<![0-9-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})"
+            r"(?![0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9/-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])(?:(?:\+?1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
              r"|(?:\+?1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|\+[0-9]{7,15}"
              r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,3})(?![0-9])",
-    "card": r"(?<![0-9-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})"
-            r"(?![0-9])",
 }
 
 #: Days that dates are permuted among: 400 years, a whole cycle of the calendar.
@@ -180,16 +197,10 @@ def _pseudonym(key: str, kind: str, v: str) -> tuple[str, str]:
     raise ValueError(kind)
 
 
-def _candidates() -> str:
-    """One pattern for all kinds; back-references renumbered to their place in it."""
-    parts, groups = [], 0
-    for pattern in FORMATS.values():
-        own = re.compile(pattern).groups  # each holds a separator that has to repeat
-        for k in range(own, 0, -1):
-            pattern = pattern.replace(f"\\{k}", f"\\{groups + k}")
-        parts.append(pattern)
-        groups += own
-    return "|".join(parts)
+#: Stands before and after a value that is set apart. ``BAR`` of the text itself is
+#: followed by ``OWN``, so that the text never holds a mark.
+BAR, OWN = "\x01", "\x02"
+MARK = BAR + "\x03"
 
 
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
@@ -199,35 +210,33 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     order of the text), pseudonyms, text. Null text stays null with 0 values;
     empty texts stay empty; rows without doc_id and repeated rows are treated
     like any other. Candidates that fail their check (Luhn, remainder of 97,
-    calendar, octets, length) stay as they are. Other columns are not read. An
-    empty table gives an empty result.
+    calendar, octets, length) stay as they are, but for values of other kinds
+    in them. Other columns are not read. An empty table gives an empty result.
     """
-    pattern = F.lit(_candidates())
-    may = F.col("text").rlike("[0-9@]")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = F.when(may, F.regexp_extract_all("text", pattern, F.lit(0)))
-    rows = rows.withColumn("found", F.coalesce(found, F.expr("cast(array() as array<string>)")))
-    replaced = F.expr(f"transform(found, c -> {_replacement(key)})")
-    rows = rows.withColumn("new", F.when(F.size("found") > 0, replaced).otherwise(
-        F.expr("cast(array() as array<struct<kind:string,written:string>>)")))
-    pieces = F.split("text", _candidates(), -1)
-    # one piece more than candidates: piece, value, piece, ..., piece
-    joined = F.array_join(F.zip_with(pieces, F.col("new"), lambda p, n: F.concat(p, F.coalesce(n["written"], F.lit("")))), "")
-    changed = F.filter("new", lambda n: n["kind"].isNotNull())
-    return rows.select("doc_id", F.size(changed).cast("long").alias("n_values"),
-                       F.transform(changed, lambda n: n["kind"]).alias("kinds"),
-                       F.transform(changed, lambda n: n["written"]).alias("pseudonyms"),
-                       F.when(F.size(changed) > 0, joined).otherwise(F.col("text")).alias("text"))
-
-
-def _replacement(key: str) -> str:
-    """SQL: (kind, written) of a candidate ``c``; kind null and ``c`` itself if no check holds."""
-    branches = []
-    for kind, pattern in FORMATS.items():
-        valid, written = _pseudonym(key, kind, "v")
-        branches.append(f"WHEN v RLIKE {_sql_text(f'^(?:{pattern})$')} AND {valid} THEN "
-                        f"named_struct('kind', '{kind}', 'written', {written})")
-    return _let("v", "c", f"CASE {' '.join(branches)} ELSE named_struct('kind', cast(null as string), 'written', v) END")
+    # pieces of the text at even places; kind, a blank and the pseudonym at odd ones
+    cut = F.when(F.col("text").rlike("[0-9@]"), F.replace("text", F.lit(BAR), F.lit(BAR + OWN)))
+    rows = rows.withColumn("cut", cut)
+    for name, pattern in FORMATS.items():
+        rows = rows.withColumn("cut", F.expr(_replaced(key, name.split(" ")[0], pattern)))
+    rows = rows.withColumn("cut", F.coalesce(F.split("cut", MARK, -1), F.expr("cast(array() as array<string>)")))
+    rows = rows.withColumn("new", F.filter("cut", lambda _, i: i % 2 == 1))
+    joined = F.array_join(F.transform("cut", lambda c, i: F.when(
+        i % 2 == 1, F.regexp_replace(c, "^[a-z]+ ", "")).otherwise(F.replace(c, F.lit(BAR + OWN), F.lit(BAR)))), "")
+    return rows.select("doc_id", F.size("new").cast("long").alias("n_values"),
+                       F.transform("new", lambda n: F.substring_index(n, " ", 1)).alias("kinds"),
+                       F.transform("new", lambda n: F.regexp_replace(n, "^[a-z]+ ", "")).alias("pseudonyms"),
+                       F.when(F.size("new") > 0, joined).otherwise(F.col("text")).alias("text"))
+
+
+def _replaced(key: str, kind: str, pattern: str) -> str:
+    """SQL: ``cut`` with the valid candidates of one format in its pieces of text set apart."""
+    valid, written = _pseudonym(key, kind, "v")
+    mark = _sql_text(MARK)
+    candidates = f"split(regexp_replace(s, {_sql_text(pattern)}, {_sql_text(MARK + '$0' + MARK)}), {mark}, -1)"
+    own = (f"array_join(transform({candidates}, (v, j) -> CASE WHEN j % 2 = 1 AND {valid} "
+           f"THEN concat({mark}, '{kind} ', {written}, {mark}) ELSE v END), '')")
+    return f"array_join(transform(split(cut, {mark}, -1), (s, i) -> if(i % 2 = 1, s, {own})), {mark})"
 
 
 #: Key of the registered query; a real run brings its own secret.

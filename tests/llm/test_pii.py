@@ -89,3 +89,27 @@ def test_odd_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.pseudonymised(odd.documents(spark), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_ibans_before_capitals_and_digits(spark):
+    """An IBAN ends at its country's length, whatever follows; a failed one hides no other value."""
+    ibans = ["BE68539007547034", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "LT121000011101001000",
+             "SE45 5000 0000 0583 9825 7466", "PL61109010140000071219812874"]
+    tails = ["EUR", "2024", "A1", "X"]
+    texts = [f"{v} {tail}" for v in ibans for tail in tails]
+    for text, got in zip(texts, run(spark, texts)):
+        value, tail = text.rsplit(" ", 1)
+        new, rest = got.rsplit(" ", 1)
+        assert rest == tail and new != value and iban_ok(new) and shape(new) == shape(value) and new[:2] == value[:2]
+    alone = run(spark, ibans)
+    assert [g.rsplit(" ", 1)[0] for g in run(spark, [f"{v} EUR" for v in ibans])] == alone
+    number = "4539 1488 0343 6467"
+    new = run(spark, [number])[0]
+    hidden = [f"AB12 {number}", f"DE12 {number} 12"]
+    assert run(spark, hidden) == [v.replace(number, new) for v in hidden] and new != number
+
+
+def test_texts_with_the_marks_of_the_module(spark):
+    marks = [pii.MARK, pii.BAR, pii.OWN, pii.BAR + pii.OWN, pii.MARK + "card 1" + pii.MARK]
+    ip = run(spark, ["10.0.0.7"])[0]
+    assert run(spark, [f"{m} 10.0.0.7 {m}" for m in marks]) == [f"{m} {ip} {m}" for m in marks]

@@ -50,14 +50,23 @@ FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": rf"\b(?:{'|'.join(_iban(n, c) for n, c in IBAN_COUNTRIES.items())})\b",
     "iban of another code": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "card": r"(?<![0-9-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})"
-            r"(?![0-9])",
+    # a run of up to 15 digits after '+' is a telephone number
+    "card": r"(?<![0-9])(?:(?<!\+)[0-9]{13,15}|[0-9]{16,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}"
+            r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9/-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9+])(?:(?:\+?1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
-             r"|(?:\+?1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|\+[0-9]{7,15}"
-             r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,3})(?![0-9])",
+    # '+' and 7 to 15 digits in groups of any length; a group in brackets may follow the country code
+    "phone": r"(?<![0-9+])\+(?:" + "|".join(
+        rf"[0-9]{{{c}}}[ .-]?\([0-9]{{{p}}}\)(?:[ ./-]?[0-9]){{{max(2, 7 - c - p)},{15 - c - p}}}"
+        for c in (1, 2, 3) for p in (1, 2, 3, 4, 5)) + r"|[0-9](?:[ ./-]?[0-9]){6,14})(?![0-9])",
+    # three, three and four digits
+    "phone of ten digits": r"(?<![0-9+])(?:(?:\+?1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+                           r"|(?:\+?1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])",
+    # an area code that begins with 0, in brackets or not, and one or two groups; or five pairs
+    "phone with 0": r"(?<![0-9+.,/-])(?<![0-9] )(?:0[1-9](?:([ .-])[0-9]{2})(?:\1[0-9]{2}){3}"
+                    r"|(?:\(0[1-9][0-9]{0,4}\) ?|0[1-9][0-9]{0,4}(?: ?[/-] ?| ))(?:[0-9]{5,8}|[0-9]{3,4}[ -][0-9]{3,5}))"
+                    r"(?![0-9])(?![.,/-][0-9])",
 }
 
 #: Days that dates are permuted among: 400 years, a whole cycle of the calendar.
@@ -143,9 +152,14 @@ def _pseudonym(key: str, kind: str, v: str) -> tuple[str, str]:
     """SQL conditions and replacements of a candidate ``v``: (is valid, pseudonym)."""
     d = _digits(v)
     if kind == "email":
-        local = f"substring_index({v}, '@', 1)"
-        # one character says nothing about a person and has no two halves
-        return f"length({local}) > 1", f"concat({permuted(key, kind, local)}, '@', substring_index({v}, '@', -1))"
+        local, domain = f"substring_index({v}, '@', 1)", f"substring_index({v}, '@', -1)"
+        # one character has no two halves: it is moved by an amount that depends on the domain, and never by none
+        amount = _random(key, kind, "'one'", f"lower({domain})")
+        one = f"""CASE WHEN {local} RLIKE '^[0-9]$' THEN char(48 + (ascii({local}) - 47 + {amount} % 9) % 10)
+            WHEN {local} RLIKE '^[a-z]$' THEN char(97 + (ascii({local}) - 96 + {amount} % 25) % 26)
+            ELSE char(65 + (ascii({local}) - 64 + {amount} % 25) % 26) END"""
+        return (f"{local} RLIKE '[A-Za-z0-9]'",
+                f"concat(if(length({local}) > 1, {permuted(key, kind, local)}, {one}), '@', {domain})")
     if kind == "card":
         payload = f"substr({d}, 1, length({d}) - 1)"
         checked = _let("p", permuted(key, kind, payload), f"concat(p, cast((10 - {_luhn("concat(p, '0')")}) % 10 as string))")
@@ -167,7 +181,7 @@ def _pseudonym(key: str, kind: str, v: str) -> tuple[str, str]:
         return valid(d), _let("ds", _walked(d, lambda x: permuted(key, kind, x), valid), _written("ds", v))
     if kind == "phone":
         # the country code stays, what follows is permuted
-        code = rf"regexp_extract({v}, '^\\+[0-9]+(?=[^0-9])|^\\+[0-9]', 0)"
+        code = rf"regexp_extract({v}, '^\\+[0-9]{{1,3}}(?=[^0-9])|^\\+[0-9]', 0)"
         return (f"length({d}) BETWEEN 7 AND 15",
                 _let("code", code, _let("own", f"substr({v}, length(code) + 1)", _let(
                     "ds", permuted(key, kind, _digits("own")), f"concat(code, {_written('ds', 'own')})"))))

@@ -113,3 +113,33 @@ def test_texts_with_the_marks_of_the_module(spark):
     marks = [pii.MARK, pii.BAR, pii.OWN, pii.BAR + pii.OWN, pii.MARK + "card 1" + pii.MARK]
     ip = run(spark, ["10.0.0.7"])[0]
     assert run(spark, [f"{m} 10.0.0.7 {m}" for m in marks]) == [f"{m} {ip} {m}" for m in marks]
+
+
+def test_telephone_numbers_in_groups_of_any_length(spark):
+    phones = ["+49 171 1234567", "+49 30 123456", "+44 7700 900123", "+33 1 23 45 67 89", "555 123 4567", "+1 555 123 4567",
+              "+49 (0)30 123456", "+49 (0) 171 1234567", "+49-171-1234567", "+358.9.1234567", "+4930123456", "+8613812345678",
+              "020 7946 0958", "0171 1234567", "030/123456", "(030) 123456", "01 23 45 67 89", "07700 900123"]
+    got = run(spark, phones)
+    for v, new in zip(phones, got):
+        assert shape(new) == shape(v) and new != v
+        assert not v.startswith("+") or new[:2] == v[:2]
+    assert all(new.startswith(v.split(" ")[0] + " ") for v, new in zip(phones, got) if re.match(r"\+[0-9]+ ", v))
+    # what follows in words, dates and separate short numbers is no part of the number
+    assert run(spark, [f"({v}), 7 days" for v in phones[:6]]) == [f"({new}), 7 days" for new in got[:6]]
+
+
+def test_numbers_that_are_no_telephone_numbers_stay(spark):
+    values = ["+49 30 12", "1 000 000 000", "0.12 345678", "10 000 12345", "4539 0148 0343 6468", "2023-02-29", "02/30/2020",
+              "31-02-2020", "55 123 4567", "1234 5678"]
+    assert run(spark, values) == values
+
+
+def test_cards_after_a_hyphen_and_short_local_parts(spark):
+    number = "4539148803436467"
+    new, after = run(spark, [number, f"ref-{number}"])
+    assert after == f"ref-{new}" and luhn(new) and new != number
+    mails = ["j@example.org", "J@example.org", "7@example.org"] + [f"{c}@ex.org" for c in "abcdefghijklmnopqrstuvwxyz"]
+    got = run(spark, mails)
+    assert all(shape(g) == shape(m) and g[0] != m[0] and g[1:] == m[1:] for g, m in zip(got, mails))
+    assert got[0] == got[1].lower() and len(set(got[3:])) == 26
+    assert run(spark, ["_@example.org"]) == ["_@example.org"]

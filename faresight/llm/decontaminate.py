@@ -10,7 +10,7 @@ an alignment confined to the band's diagonals finds the fewest edits. The
 filter loses nothing; the alignment accepts what meets the budget.
 
 The items are a stated set: they go to the tasks in blocks of at most
-``BLOCK_BYTES``, and every block meets all documents whole.
+``BLOCK_BYTES`` and about ``BLOCK_ITEMS``, and every block meets all documents whole.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ BUDGET = 0.08
 BAND = 32
 #: Bytes of benchmark text that are looked for in one pass over the documents.
 BLOCK_BYTES = 32 << 20
+#: Items that are looked for in one pass, about.
+BLOCK_ITEMS = 100_000
 #: Size of the table that tells most grams that are in no item, as a power of two.
 TABLE_BITS = 22
 
@@ -175,17 +177,19 @@ def find(items: Items, data: np.ndarray, starts: np.ndarray, gram: int = GRAM) -
     text = np.searchsorted(starts, j, side="right") - 1
     diagonal = j - starts[text] - items.place[post] + (1 << 20)  # never negative: items are shorter
     band, over = np.divmod(diagonal, items.widths[item])
-    pair = (text * len(items.ids) + item) << 32
+    # pairs are numbered as they occur: a key of text, item and band would not fit into 64 bits
+    pairs, pair = np.unique(text * len(items.ids) + item, return_inverse=True)
+    pair = pair << 32
     again = over < items.budgets[item]
     key, shared = np.unique(np.r_[pair + band, (pair + band - 1)[again]], return_counts=True)
-    item = (key >> 32) % max(1, len(items.ids))
-    key, item = key[shared >= items.needed[item]], item[shared >= items.needed[item]]
-    return _verified(items, data, starts, key, item)
+    text, item = np.divmod(pairs[key >> 32], len(items.ids))
+    enough = shared >= items.needed[item]
+    return _verified(items, data, starts, text[enough], item[enough], (key & 0xFFFFFFFF)[enough])
 
 
-def _verified(items: Items, data: np.ndarray, starts: np.ndarray, key: np.ndarray, item: np.ndarray) -> list:
+def _verified(items: Items, data: np.ndarray, starts: np.ndarray, text: np.ndarray, item: np.ndarray,
+              band: np.ndarray) -> list:
     out = []
-    text, band = (key >> 32) // max(1, len(items.ids)), key & 0xFFFFFFFF
     for i in np.unique(item):
         pattern, k, w = items.texts[i], int(items.budgets[i]), int(items.widths[i])
         rows = np.flatnonzero(item == i)
@@ -246,11 +250,11 @@ def _kernel_matches(items: Items):
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
-    """Item blocks of at most about ``block_bytes``; one at a time reaches the driver."""
+    """Item blocks of at most about ``block_bytes`` and ``BLOCK_ITEMS``; one at a time reaches the driver."""
     rows = saved(benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).distinct(),
                  "benchmark")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-size // block_bytes))
+    size, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    count = max(1, -(-size // block_bytes), -(-n // BLOCK_ITEMS))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     for block in range(count):
         yield Items.of([tuple(r) for r in rows.where(number == block).orderBy("item_id", "text").collect()])

@@ -102,3 +102,29 @@ def test_odd_rows_and_empty_tables(spark):
         [1, 2, 3, 4, 5, 10, 12, 13, 100, None, None], key=str)
     assert dc.matches(odd.nothing(spark), items).count() == 0
     assert dc.matches(docs, items.where("false")).count() == 0
+
+
+def test_many_items_against_many_texts():
+    """Texts in a slice times items in a block beyond 2^31."""
+    import pyarrow as pa
+
+    words = [f"{i * 2654435761 % (1 << 32):08x} {i * 40503 % 65521:05d}" for i in range(250_000)]
+    items = dc.Items.of(list(enumerate(words)))
+    texts = ["nothing of note"] * 10_000
+    planted = {(0, 249_999), (5_000, 3), (9_000, 240_000), (9_999, 0), (9_999, 249_999)}
+    for t, i in planted:
+        texts[t] += " and " + words[i]
+    data, starts, _ = dc.normalised(pa.array(texts))
+    found = dc.find(items, data, starts)
+    assert {(t, i) for t, i, *_ in found} == planted
+    assert all(data[starts[t] + a:starts[t] + b].tobytes().decode() == words[i] and e == 0 for t, i, a, b, e in found)
+
+
+def test_blocks_are_bounded_by_their_number_of_items(spark, monkeypatch):
+    monkeypatch.setattr(dc, "BLOCK_ITEMS", 4)
+    items = [(i, f"item number {i} of a few short ones") for i in range(10)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(dc._blocks(frame, dc.BLOCK_BYTES))) == 3
+    docs = spark.createDataFrame([(i, f"here is {t} again") for i, t in items], "doc_id long, text string")
+    rows = dc.matches(docs, frame).collect()
+    assert {(r.doc_id, r.item_id) for r in rows if r.edits == 0} == {(i, i) for i in range(10)}

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm import (decontaminate, exact_dedup, mixing, pii, quality_pu, simhash, substring_dedup, suffix_tree, token_ids,
-                           warc, whitening)
+from faresight.llm import (alignment, decontaminate, exact_dedup, mixing, pii, quality_pu, simhash, substring_dedup, suffix_tree,
+                           token_ids, warc, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality_pu.op8_quality,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_simhash": simhash.op10_simhash,
+    "op11_alignment": alignment.op11_alignment,
     "op12_whitening": whitening.op12_whitening,
 }
 

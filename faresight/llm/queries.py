@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from faresight.llm import (alignment, decontaminate, exact_dedup, mixing, pii, quality_pu, simhash, substring_dedup, suffix_tree,
-                           token_ids, warc, whitening)
+                           token_ids, toxicity, warc, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": simhash.op10_simhash,
     "op11_alignment": alignment.op11_alignment,
     "op12_whitening": whitening.op12_whitening,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 SQL: dict[str, str] = {

@@ -47,7 +47,7 @@ FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Segments, and bytes of them, that a Python worker keeps aligned.
 CACHED_SEGMENTS, CACHED_BYTES = 300_000, 32 << 20
 #: Bytes of text of a slice.
-SLICE = 6 << 20
+SLICE = 3 << 20
 
 SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: White space of another kind before a space or line end: a run that must not be cut.

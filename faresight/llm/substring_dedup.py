@@ -84,7 +84,8 @@ def anchors(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np
     gram = _mix(_word(data, 0, n) + np.uint64(0x632BE59BD9B4E019))
     for shift in range(8, GRAM, 8):
         gram = _mix(gram + _word(data, shift, n))
-    value = (gram >> np.uint64(32)).astype(np.uint32)
+    # 0 stands for places outside every window below, so no gram has it
+    value = np.maximum((gram >> np.uint64(32)).astype(np.uint32), np.uint32(1))
     low = _slide(value, np.minimum, REACH + 1)
     # windows are inside one text
     windows = np.zeros(len(low) + 1, np.int32)
@@ -125,6 +126,8 @@ def _anchor_kernel(batches):
             continue
         data, starts = _spaced(raw, ends)
         at, gram = anchors(data, starts, sizes)
+        if not len(at):
+            continue
         text = np.searchsorted(starts, at, side="right") - 1
         place = at - starts[text]
         before, after = np.minimum(place, REACH), np.minimum(sizes[text] - place, LENGTH)

@@ -77,6 +77,21 @@ def test_crafted_texts(spark, group_rows):
     assert found(sd.deduplicated(docs, group_rows=group_rows)) == brute(rows)
 
 
+def test_a_gram_whose_hash_begins_with_zero_bits(spark):
+    gram = "the quick brown fox jump]Pjv8LaD"   # upper 32 bits of its hash are 0
+    raw = np.frombuffer((gram + "\0" * 8).encode(), np.uint8)
+    value = sd._mix(sd._word(raw, 0, 1) + np.uint64(0x632BE59BD9B4E019))
+    for shift in range(8, sd.GRAM, 8):
+        value = sd._mix(value + sd._word(raw, shift, 1))
+    assert len(gram) == sd.GRAM and int(value[0]) >> 32 == 0
+    rng = random.Random(2)
+    side = ["".join(rng.choice("efgh") for _ in range(34)) for _ in range(2)]
+    for rows in ([(i, side[0] + gram + side[1]) for i in range(3)],
+                 [(i, f"{i}" * 150 + side[0] + gram + side[1] + f"{i}" * 70) for i in range(3)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        assert found(sd.deduplicated(docs)) == brute(rows)
+
+
 def test_table_and_kept_bytes(spark):
     docs = table(spark, SF_SMALL, "documents").where("length(text) < 20000")
     got = sd.deduplicated(docs).collect()

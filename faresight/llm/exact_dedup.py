@@ -5,6 +5,10 @@ row per digest, compared with the index by a sort-merge anti-join that reads
 the buckets in place (the index side is not shuffled), and what is new is
 appended to the same buckets. Batches may come over years; the table outlives
 the session that wrote it, since its location is all that is needed to open it.
+
+Every row names the run that brought it. A run that stopped part way and comes
+again, under its own id, takes the rows it had appended as its own, so it tells
+what a run without a stop would have told.
 """
 
 from __future__ import annotations
@@ -30,49 +34,73 @@ class DigestIndex:
     """A digest index at a location in storage that all executors share.
 
     Rows: digest, keep_id (smallest doc_id of the batch that brought the
-    digest; null if that batch had none), batch (number of that batch).
+    digest; null if that batch had none), batch (number within its run), run
+    (id of the run; null in an index from before runs had ids). ``close``, or
+    the end of a ``with`` block, removes the session's catalogue entry; the
+    index stays.
     """
 
     def __init__(self, spark: SparkSession, location: str, buckets: int = BUCKETS):
         self.spark, self.location, self.buckets = spark, location, buckets
         self.name = f"digest_index_{uuid.uuid4().hex}"
         # the catalogue entry carries the bucket layout; files that are already there are taken over
-        spark.sql(f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT, batch INT) USING parquet "
+        spark.sql(f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT, batch INT, run STRING) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{location}'")
 
     def rows(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def add(self, rows: DataFrame, batch: int) -> None:
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def __enter__(self) -> DigestIndex:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+    def add(self, rows: DataFrame, batch: int, run: str) -> None:
         """Append the digests of ``rows(doc_id, digest)`` that the index lacks."""
         heads = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
         new = heads.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-        new = saved(new.withColumn("batch", F.lit(batch)), "new-digests")
+        new = saved(new.withColumns({"batch": F.lit(batch), "run": F.lit(run)}), "new-digests")
         (new.repartition(self.buckets, "digest").sortWithinPartitions("digest")
          .write.insertInto(self.name))
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataFrame:
+def run_of(counted: DataFrame) -> str:
+    """An id that equal sets of (digest, doc_id, copies) share: their number and the sums of two hashes of them."""
+    one, two = (F.xxhash64(F.lit(salt), "digest", "doc_id", "copies").cast("decimal(38,0)") for salt in (1, 2))
+    row = counted.agg(F.count("*"), F.sum(one), F.sum(two)).first()
+    return "-".join(str(v or 0) for v in row)
+
+
+def deduplicate(docs: DataFrame, index: DigestIndex, batches: int = 2, run: str | None = None) -> DataFrame:
     """Feed ``docs`` to the index in ``batches`` runs of ascending doc_id and tell what stays.
 
     One row per row of ``docs``: doc_id, keep_id (doc_id of the row that
     stays), group_size (rows with this text in ``docs``), kept, text_sha256.
     Null text counts as empty. Rows without doc_id come in the last batch and
     stay only if no row of their group has a doc_id; keep_id is then null. Of
-    rows with equal doc_id and equal text exactly one is kept. Texts that the
-    index held before are kept nowhere. Other columns are not read. An empty
-    table gives an empty result.
+    rows with equal doc_id and equal text exactly one is kept. Texts that
+    another run brought to the index before are kept nowhere. Other columns are
+    not read. An empty table gives an empty result.
+
+    ``run`` names the run; without it the rows themselves do. A run that was
+    stopped anywhere, or had ended, and is made again with the same rows and
+    batches in mind gives the result of the first time: batches ascend by
+    doc_id, so whatever batch brought a digest holds its smallest doc_id.
     """
     counted = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest(text_of()).alias("digest"))
                     .groupBy("digest", "doc_id").agg(F.count("*").alias("copies")), "digests")
     shares = [k / batches for k in range(1, batches)]
     cuts = counted.agg(F.percentile_approx("doc_id", shares)).first()[0] or [] if shares else []
-    before = index.rows().agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0] + 1
+    run = run or run_of(counted)
     number = sum(((F.col("doc_id") > F.lit(c)).cast("int") for c in cuts), F.lit(0))
     number = F.coalesce(number, F.lit(len(cuts)))
     for k in range(len(cuts) + 1):
-        index.add(counted.where(number == k).select("doc_id", "digest"), before + k)
+        index.add(counted.where(number == k).select("doc_id", "digest"), k, run)
 
     sizes = counted.groupBy("digest").agg(F.sum("copies").alias("group_size"))
     resolved = saved(sizes.join(index.rows(), "digest"), "resolved")
@@ -80,13 +108,14 @@ def deduplicate(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataFr
     return (counted.join(resolved, "digest").select("*", copy.alias("copy"))
             .select("doc_id", "keep_id", "group_size",
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
-                     & (F.col("batch") >= before)).alias("kept"),
+                     & F.col("run").eqNullSafe(run)).alias("kept"),
                     F.col("digest").alias("text_sha256")))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` against an index that starts empty."""
-    return deduplicate(table(spark, sf_dir, "documents"), DigestIndex(spark, fresh_path(spark, "digest-index")))
+    with DigestIndex(spark, fresh_path(spark, "digest-index")) as index:
+        return deduplicate(table(spark, sf_dir, "documents"), index)
 
 
 OP5_SQL = r"""

@@ -34,6 +34,14 @@ TRIP_ID_PREFIX = "tlc_"
 # still has all its digits in Spark's widest decimal.
 EXACT = "decimal(24,9)"
 
+# Where amounts are split for exact sums: from BIG on into a whole number of UNITs, which below
+# BEYOND is a long, and a rest; from BEYOND (about 10^33) on they are only counted.
+BIG, UNIT, BEYOND = 1e15, 2.0 ** 49, 2.0 ** 111
+
+#: Parts of an exact sum of doubles (see ``sum_parts``), with the types they are stored in.
+SUM_PARTS = {"high": "decimal(38,0)", "low": "decimal(38,9)", "fit": "long", "nan": "long", "up": "long",
+             "down": "long", "beyond": "long", "far": "double"}
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -74,6 +82,72 @@ def exact(x: str | Column) -> Column:
     return col(x).try_cast(EXACT)
 
 
+def high_part(x: str | Column) -> Column:
+    """Whole ``UNIT``s of an amount of ``BIG`` or more, 0 below; null for NaN, infinity and from ``BEYOND`` on."""
+    c = col(x)
+    return (F.when(F.abs(c) < F.lit(BIG), F.lit(0).cast("decimal(19,0)"))
+             .when(F.abs(c) < F.lit(BEYOND), (c / F.lit(UNIT)).cast("long").cast("decimal(19,0)")))
+
+
+def low_part(x: str | Column) -> Column:
+    """What ``high_part`` leaves of an amount, as a decimal; null where that is null."""
+    c = col(x)
+    rest = c - (c / F.lit(UNIT)).cast("long").cast("double") * F.lit(UNIT)
+    return F.when(F.abs(c) < F.lit(BIG), exact(c)).when(F.abs(c) < F.lit(BEYOND), exact(rest))
+
+
+def sum_parts(x: str | Column, name: str) -> list[Column]:
+    """Aggregates that hold the sum of doubles without regard to their order.
+
+    ``high`` and ``low`` are exact decimals, ``fit`` counts the amounts in
+    them; NaN, the infinities and amounts from ``BEYOND`` on are counted, the
+    last with their double sum ``far``. The parts of two sets of rows add up
+    to those of their union, and those of removed rows can be subtracted
+    (``far`` only where no such amount is left).
+    """
+    c = col(x)
+    far = F.abs(c).between(F.lit(BEYOND), F.lit(1.7976931348623157e308))
+    return [F.sum(high_part(c)).alias(f"{name}_high"), F.sum(low_part(c)).alias(f"{name}_low"),
+            F.count(low_part(c)).alias(f"{name}_fit"), F.count_if(F.isnan(c)).alias(f"{name}_nan"),
+            F.count_if(c == F.lit(float("inf"))).alias(f"{name}_up"),
+            F.count_if(c == F.lit(float("-inf"))).alias(f"{name}_down"),
+            F.count_if(far).alias(f"{name}_beyond"), F.sum(F.when(far, c)).alias(f"{name}_far")]
+
+
+def parts_count(name: str) -> Column:
+    """How many amounts ``sum_parts`` has seen, nulls aside."""
+    return sum((F.col(f"{name}_{k}") for k in ("nan", "up", "down", "beyond")), F.col(f"{name}_fit"))
+
+
+def of_parts(name: str, plain: Column, double: Column) -> Column:
+    """A result from ``sum_parts``: ``plain`` if every amount was below ``BIG``, else ``double``, which is given
+    the sum as a double (``parts_total``); NaN and infinities show as in double arithmetic."""
+    nan, up, down = (F.col(f"{name}_{k}") > 0 for k in ("nan", "up", "down"))
+    return (F.when(nan | (up & down), F.lit(float("nan")))
+             .when(up, F.lit(float("inf"))).when(down, F.lit(float("-inf")))
+             .when((F.col(f"{name}_beyond") == 0) & (F.col(f"{name}_high") == 0), plain)
+             .otherwise(double))
+
+
+def parts_total(name: str) -> Column:
+    """The sum of ``sum_parts`` as a double: exact parts, each rounded once."""
+    high = F.col(f"{name}_high").cast("double") * F.lit(UNIT)
+    return high + F.col(f"{name}_low").cast("double") + F.coalesce(F.col(f"{name}_far"), F.lit(0.0))
+
+
+def parts_sum2(name: str) -> Column:
+    """ROUND(SUM(x), 2) from ``sum_parts``; null without amounts."""
+    value = of_parts(name, sum2(f"{name}_low"), round2(parts_total(name)))
+    return F.when(parts_count(name) > 0, value)
+
+
+def parts_mean2(name: str) -> Column:
+    """ROUND(AVG(x), 2) from ``sum_parts``; null without amounts."""
+    n = parts_count(name)
+    value = of_parts(name, mean2(F.col(f"{name}_low").cast("decimal(36,9)"), n), round2(parts_total(name) / n))
+    return F.when(n > 0, value)
+
+
 def mean2(total: str | Column, n: str | Column) -> Column:
     """Mean rounded to 2 decimals from an exact decimal sum.
 

@@ -1,16 +1,17 @@
 """Gold layer: hourly fact, zone dimension and the staging view.
 
-Averages and sums are computed from exact decimals and rounded once at the end,
-so they do not depend on summation order (partitioning, AQE, engine). A group
-that holds a value no such decimal can hold keeps the double arithmetic.
+Averages and sums are computed from exact sums in two parts and rounded once at
+the end, so they do not depend on summation order (partitioning, AQE, engine),
+huge amounts included. The sums can be stored and changed by the trips that come
+and go, so that the fact follows without reading silver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.functions.columns import exact, mean2, round2, sum2
+from faresight.functions.columns import SUM_PARTS, parts_mean2, parts_sum2, sum_parts
 from faresight.schemas import FACT_HOURLY_COLUMNS, SILVER_COLUMNS
 
 STAGING_COLUMNS = list(SILVER_COLUMNS)
@@ -27,41 +28,64 @@ def create_staging_view(spark: SparkSession, silver: DataFrame, name: str = "stg
     return name
 
 
-def _measure_aggs(name: str) -> list:
-    """Buffers for one measure: exact sum, values in it, values in all, double sum."""
-    return [F.sum(exact(name)).alias(f"_{name}_exact"),
-            F.count(exact(name)).alias(f"_{name}_fit"),
-            F.count(name).alias(f"_{name}_n"),
-            F.sum(name).alias(f"_{name}_sum")]
+#: What the hourly fact measures, and what one row of it stands for.
+MEASURES = ["trip_distance", "fare_amount", "total_amount"]
+GROUP = ["pickup_date", "pickup_hour", "zone_id"]
+HOURLY_SUMS_SCHEMA = ("pickup_date date, pickup_hour long, zone_id long, trip_count long, "
+                      + ", ".join(f"{m}_{k} {t}" for m in MEASURES for k, t in SUM_PARTS.items()))
 
 
-def _if_exact(name: str, by_decimal: Column, by_double: Column) -> Column:
-    """The exact result unless some value of the group did not fit."""
-    return F.when(F.col(f"_{name}_fit") == F.col(f"_{name}_n"), by_decimal).otherwise(by_double)
+def hourly_sums(trips: DataFrame) -> DataFrame:
+    """Trips and exact sums of the measures per date, hour and pickup zone (see ``columns.sum_parts``).
+
+    One hash aggregation with fixed-width buffers: partial aggregation runs
+    before the shuffle, so a hot (date, hour, zone) group sends one row per
+    map task.
+    """
+    return (trips.groupBy("pickup_date", "pickup_hour", F.col("pickup_zone_id").alias("zone_id"))
+                 .agg(F.count(F.lit(1)).alias("trip_count"), *[p for m in MEASURES for p in sum_parts(m, m)]))
 
 
-def _mean2(name: str) -> Column:
-    n = F.col(f"_{name}_n")
-    return _if_exact(name, mean2(f"_{name}_exact", n), round2(F.col(f"_{name}_sum") / n))
+def fact_from_sums(sums: DataFrame) -> DataFrame:
+    """The hourly fact: means and revenue, each rounded once from its exact sum."""
+    return sums.select(
+        *GROUP, "trip_count",
+        parts_mean2("trip_distance").alias("avg_trip_distance"),
+        parts_mean2("fare_amount").alias("avg_fare_amount"),
+        parts_sum2("total_amount").alias("total_revenue"),
+    ).select(*FACT_HOURLY_COLUMNS)
 
 
 def fct_trip_hourly(trips: DataFrame) -> DataFrame:
-    """Trips, mean distance, mean fare and revenue per date, hour and pickup zone.
+    """Trips, mean distance, mean fare and revenue per date, hour and pickup zone."""
+    return fact_from_sums(hourly_sums(trips))
+
 
-    One hash aggregation with fixed-width buffers (counts, decimal and double
-    sums): partial aggregation runs before the shuffle, so a hot
-    (date, hour, zone) group sends one row per map task.
+def stored_sums(sums: DataFrame) -> DataFrame:
+    """``hourly_sums`` in the types they are stored in."""
+    types = {f"{m}_{k}": t for m in MEASURES for k, t in SUM_PARTS.items()}
+    return sums.select(*GROUP, "trip_count", *[F.col(c).cast(t).alias(c) for c, t in types.items()])
+
+
+def changed_sums(stored: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """Stored sums plus those of ``added`` trips minus those of ``removed`` trips; groups without trips go.
+
+    Exact for every amount that ``columns.sum_parts`` adds exactly. Groups that
+    keep amounts beyond that are told by ``far_dates`` and have to be summed anew.
     """
-    agg = (trips.groupBy("pickup_date", "pickup_hour", F.col("pickup_zone_id").alias("zone_id"))
-                .agg(F.count(F.lit(1)).alias("trip_count"), *_measure_aggs("trip_distance"),
-                     *_measure_aggs("fare_amount"), *_measure_aggs("total_amount")))
-    revenue = _if_exact("total_amount", sum2("_total_amount_exact"), round2("_total_amount_sum"))
-    return agg.select(
-        "pickup_date", "pickup_hour", "zone_id", "trip_count",
-        _mean2("trip_distance").alias("avg_trip_distance"),
-        _mean2("fare_amount").alias("avg_fare_amount"),
-        revenue.alias("total_revenue"),
-    ).select(*FACT_HOURLY_COLUMNS)
+    parts = [f"{m}_{k}" for m in MEASURES for k in SUM_PARTS]
+    minus = stored_sums(hourly_sums(removed)).select(*GROUP, (-F.col("trip_count")).alias("trip_count"),
+                                                     *[(-F.col(c)).alias(c) for c in parts])
+    every = stored_sums(stored).unionByName(stored_sums(hourly_sums(added))).unionByName(minus)
+    merged = (every.groupBy(*GROUP).agg(F.sum("trip_count").alias("trip_count"), *[F.sum(c).alias(c) for c in parts])
+                   .where(F.col("trip_count") > 0))
+    return stored_sums(merged.withColumns({f"{m}_far": F.when(F.col(f"{m}_beyond") > 0, F.col(f"{m}_far")) for m in MEASURES}))
+
+
+def far_dates(sums: DataFrame) -> DataFrame:
+    """Dates with a group that holds amounts whose sum is not kept exactly."""
+    far = [F.col(f"{m}_beyond") > 0 for m in MEASURES]
+    return sums.where(far[0] | far[1] | far[2]).select("pickup_date").distinct()
 
 
 def dim_zones(silver: DataFrame, ordered: bool = True) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faresight.functions.columns import exact, mean2, nan_to_null, round2, sum2
+from faresight.functions.columns import (BEYOND, high_part, low_part, nan_to_null, of_parts, parts_count, parts_mean2,
+                                         parts_sum2, parts_total, round2, sum_parts)
 
 SERIES_ORDER = ["pickup_date", "pickup_hour", "zone_id"]
 
@@ -28,28 +29,27 @@ def dashboard_kpis(fact: DataFrame) -> DataFrame:
     (as the dashboard shows it) and the trip-weighted mean beside it.
 
     NaN counts as missing: such a group is in no mean and adds no revenue. An
-    infinite value shows in the result. Sums run over exact decimals, so the
-    figures do not depend on the order in which partitions are added.
+    infinite value shows in the result. Sums are exact in two parts, so the
+    figures do not depend on the order in which partitions are added, however
+    large the amounts.
     """
     fare, revenue, trips = nan_to_null("avg_fare_amount"), nan_to_null("total_revenue"), F.col("trip_count")
+    times = trips.cast("decimal(10,0)")
     agg = fact.agg(
         F.sum("trip_count").alias("total_trips"),
-        F.sum(exact(revenue)).alias("_revenue"), F.sum(revenue).alias("_revenue_sum"),
-        F.count(exact(revenue)).alias("_revenue_fit"), F.count(revenue).alias("_revenue_n"),
-        F.sum(exact(fare)).alias("_fare"), F.sum(fare).alias("_fare_sum"),
-        F.count(exact(fare)).alias("_fare_fit"), F.count(fare).alias("_fare_n"),
-        F.sum((exact(fare) * trips.cast("decimal(10,0)")).cast("decimal(28,9)")).alias("_weighted"),
-        F.sum(fare * trips).alias("_weighted_sum"),
-        F.sum(F.when(fare.isNotNull(), trips)).alias("_weight"),
+        *sum_parts(revenue, "revenue"), *sum_parts(fare, "fare"),
+        # fares times trips, in the same two parts
+        F.sum((high_part(fare) * times).cast("decimal(29,0)")).alias("weighted_high"),
+        F.sum((low_part(fare) * times).cast("decimal(28,9)")).alias("weighted_low"),
+        F.sum(F.when(F.abs(fare) >= F.lit(BEYOND), fare * trips)).alias("weighted_far"),
+        F.sum(F.when(fare.isNotNull(), trips)).alias("weight"),
     )
-    fits = F.col("_fare_fit") == F.col("_fare_n")
-    weighted = F.round(F.col("_weighted").cast("double") * 100 / F.col("_weight")) / F.lit(100.0)
+    weight = F.col("weight")
+    plain = F.round(F.col("weighted_low").cast("double") * 100 / weight) / F.lit(100.0)
+    weighted = of_parts("fare", plain, round2(parts_total("weighted") / weight))
     return agg.select(
         "total_trips",
-        F.when(F.col("_revenue_fit") == F.col("_revenue_n"), sum2("_revenue"))
-         .otherwise(round2("_revenue_sum")).alias("total_revenue"),
-        F.when(fits, mean2("_fare", "_fare_n")).otherwise(round2(F.col("_fare_sum") / F.col("_fare_n")))
-         .alias("avg_fare_unweighted"),
-        F.when(fits, weighted).otherwise(round2(F.col("_weighted_sum") / F.col("_weight")))
-         .alias("avg_fare_weighted"),
+        parts_sum2("revenue").alias("total_revenue"),
+        parts_mean2("fare").alias("avg_fare_unweighted"),
+        F.when(parts_count("fare") > 0, weighted).alias("avg_fare_weighted"),
     )

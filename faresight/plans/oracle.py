@@ -146,6 +146,43 @@ FROM {src}
 GROUP BY 1, 2, 3"""
 
 
+def parts_sql(x: str, times: str = "1") -> str:
+    """The sum of doubles below 2^111 (times a whole number) as one double: whole 2^49s and rests are added
+    apart, as integers and decimals, so that the order of rows does not matter."""
+    units = f"CAST(trunc({x} / {_dbl(2.0 ** 49)}) AS HUGEINT)"
+    big = f"abs({x}) >= 1e15"
+    high = f"sum(CASE WHEN {big} THEN {units} ELSE 0 END * {times})"
+    rest = f"CASE WHEN {big} THEN {x} - CAST({units} AS DOUBLE) * {_dbl(2.0 ** 49)} ELSE {x} END"
+    low = f"sum(CAST({rest} AS DECIMAL(24,9)) * CAST({times} AS DECIMAL(10,0)))"
+    return f"(CAST({high} AS DOUBLE) * {_dbl(2.0 ** 49)} + CAST({low} AS DOUBLE))"
+
+
+def huge_fact_from(src: str) -> str:
+    """``fact_from`` for finite amounts of any size below 2^111."""
+    return f"""
+SELECT pickup_date, pickup_hour, pickup_zone_id AS zone_id, COUNT(*) AS trip_count,
+       {mean2_sql('trip_distance')} AS avg_trip_distance,
+       CASE WHEN max(abs(fare_amount)) < 1e15 THEN {mean2_sql('fare_amount')}
+            ELSE {round2_sql(f"({parts_sql('fare_amount')} / count(fare_amount))")} END AS avg_fare_amount,
+       CASE WHEN max(abs(total_amount)) < 1e15 THEN {sum2_sql('total_amount')}
+            ELSE {round2_sql(parts_sql('total_amount'))} END AS total_revenue
+FROM {src}
+GROUP BY 1, 2, 3"""
+
+
+def huge_kpis_from(fact: str) -> str:
+    """``kpis_from`` for facts with amounts of 10^15 and more; infinite revenue shows."""
+    finite = "CASE WHEN isfinite(revenue) THEN revenue END"
+    weight = "sum(CASE WHEN fare IS NOT NULL THEN trip_count END)"
+    return f"""
+SELECT sum(trip_count) AS total_trips,
+       CASE WHEN bool_or(isinf(revenue)) THEN 'inf'::DOUBLE ELSE {round2_sql(parts_sql(f'({finite})'))} END AS total_revenue,
+       {round2_sql(f"({parts_sql('fare')} / count(fare))")} AS avg_fare_unweighted,
+       {round2_sql(f"({parts_sql('fare', 'trip_count')} / {weight})")} AS avg_fare_weighted
+FROM (SELECT trip_count, CASE WHEN NOT isnan(total_revenue) THEN total_revenue END AS revenue,
+             CASE WHEN NOT isnan(avg_fare_amount) THEN avg_fare_amount END AS fare FROM {fact})"""
+
+
 def kpis_from(fact: str) -> str:
     """Totals and mean fares over a fact; NaN is missing, infinity shows."""
     return f"""

@@ -18,8 +18,8 @@ from faresight.plans import job
 from faresight.plans import oracle as O
 from faresight.plans.registry import register
 from faresight.schemas import QUALITY_REPORT_SCHEMA, TRIP_COLUMNS
-from faresight.session import apply_job_conf, fresh_path
-from faresight.sources import bronze, fixtures, generator, taxi
+from faresight.session import apply_job_conf, fresh_path, read_text
+from faresight.sources import bronze, fixtures, generator, taxi, tripdates
 from faresight.streaming import ingest
 
 
@@ -584,7 +584,10 @@ extremes AS (
 
 
 def _extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = _silver(spark, sf_dir)
+    return _with_extremes(_silver(spark, sf_dir))
+
+
+def _with_extremes(trips: DataFrame) -> DataFrame:
     kind = F.col("pickup_zone_id") % 5
     third = F.hour("pickup_datetime") % 3 == 0
 
@@ -603,13 +606,38 @@ def q_fct_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fct_trip_hourly(_extremes(spark, sf_dir))
 
 
-@register("dashboard_kpis_extremes", covers="A7 D12 with NaN and infinite groups",
-          oracle=O.with_(O.TRIPS, O.SILVER, _EXTREMES_SQL, f"fact AS ({O.fact_from('extremes')})") + """
-, finite AS (SELECT * FROM fact WHERE zone_id % 5 <> 2)""" + O.kpis_from("finite"))
+@register("dashboard_kpis_extremes", covers="A7 D12 with huge, NaN and infinite groups",
+          oracle=O.with_(O.TRIPS, O.SILVER, _EXTREMES_SQL, f"fact AS ({O.fact_from('extremes')})") + O.huge_kpis_from("fact"))
 def q_kpis_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the huge groups, whose double sums would depend on the order of addition."""
-    fact = gold.fct_trip_hourly(_extremes(spark, sf_dir))
-    return metrics.dashboard_kpis(fact.where(F.col("zone_id") % 5 != 2))
+    return metrics.dashboard_kpis(gold.fct_trip_hourly(_extremes(spark, sf_dir)))
+
+
+# Amounts of very different sizes, none of them a power of two: their double sums depend on the order of rows.
+_SCALES = {1: 1e6, 2: 1e18, 3: 1e21, 4: -1e19}
+_HUGE_SQL = """
+huge AS (
+  SELECT * REPLACE (total_amount * scale AS total_amount, fare_amount * scale AS fare_amount)
+  FROM (SELECT *, CASE passenger_count %s ELSE 1e0 END AS scale FROM silver))""" % " ".join(
+    f"WHEN {k} THEN {v!r}" for k, v in _SCALES.items())
+
+
+def _huge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scale = F.lit(1.0)
+    for k, v in _SCALES.items():
+        scale = F.when(F.col("passenger_count") == k, F.lit(v)).otherwise(scale)
+    return _silver(spark, sf_dir).withColumns({c: F.col(c) * scale for c in ("total_amount", "fare_amount")})
+
+
+@register("fct_trip_hourly_huge", covers="A1 D3: amounts up to 10^23 and of both signs in one group",
+          oracle=O.with_(O.TRIPS, O.SILVER, _HUGE_SQL) + O.huge_fact_from("huge"))
+def q_fct_huge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.fct_trip_hourly(_huge(spark, sf_dir))
+
+
+@register("dashboard_kpis_huge", covers="A7 D12: totals of the same amounts, exact whatever the order",
+          oracle=O.with_(O.TRIPS, O.SILVER, _HUGE_SQL, f"fact AS ({O.huge_fact_from('huge')})") + O.huge_kpis_from("fact"))
+def q_kpis_huge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.dashboard_kpis(gold.fct_trip_hourly(_huge(spark, sf_dir)))
 
 
 # --- generator, whole job, export ---------------------------------------------------------
@@ -786,12 +814,12 @@ def q_stream_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FIRST_BATCHES, _LATER_BATCHES = ("batch_0", "batch_1"), ("batch_2", "batch_3", "batch_4")
 
 
-def _incremental_warehouse(spark: SparkSession, sf_dir: str) -> job.JobPaths:
+def _incremental_warehouse(spark: SparkSession, sf_dir: str, change=lambda trips: trips) -> job.JobPaths:
     """Full build over the legacy rows and two batches, then three batches folded in
     one at a time; must equal the full build over everything."""
     apply_job_conf(spark)
     paths = job.resolve_paths(fresh_path(spark, "warehouse-inc"))
-    trips = fixtures.trips(spark, sf_dir)
+    trips = change(fixtures.trips(spark, sf_dir))
     batch = F.col("source_batch_id")
     bronze.write_bronze(trips.where(batch.isNull() | batch.isin(*_FIRST_BATCHES)), paths.bronze_dir)
     job.run_transforms(spark, paths)
@@ -813,6 +841,28 @@ def q_fct_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.read_fact(spark, _incremental_warehouse(spark, sf_dir).fact_dir)
 
 
+def _batches_so_far(n: int) -> str:
+    names = ", ".join(f"'{b}'" for b in [*_FIRST_BATCHES, *_LATER_BATCHES[:n]])
+    return f"upto_{n} AS (SELECT * FROM trips WHERE source_batch_id IS NULL OR source_batch_id IN ({names}))"
+
+
+@register("trip_dates_incremental", covers="W1: the id table beside silver names every date that held a trip after any build",
+          oracle=O.with_(O.TRIPS, *[c for n in range(4) for c in (_batches_so_far(n), O.silver_from(f"upto_{n}", f"silver_{n}"))])
+          + "\nUNION ".join(f"\nSELECT trip_id, pickup_date FROM silver_{n}" for n in range(4)))
+def q_trip_dates_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _incremental_warehouse(spark, sf_dir)
+    table = tripdates.opened(spark, paths.silver_dir, read_text(spark, job.state_path(paths.silver_dir)))
+    return table.rows().select("trip_id", "pickup_date").distinct()
+
+
+@register("fct_trip_hourly_incremental_extremes",
+          covers="A1 D3: the fact kept by differences, with parts of cents, huge, NaN and infinite amounts",
+          oracle=O.with_(O.TRIPS, _EXTREMES_SQL.replace("FROM silver", "FROM trips"), O.silver_from("extremes"))
+          + O.fact_from("silver"))
+def q_fct_incremental_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return job.read_fact(spark, _incremental_warehouse(spark, sf_dir, _with_extremes).fact_dir)
+
+
 # --- the job twice: a full first run, then the default incremental run --------------------
 
 _INC_RUNS = ("job-taxi-2024-01-02", "job-taxi-2024-03-04")

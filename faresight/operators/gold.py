@@ -8,7 +8,7 @@ and go, so that the fact follows without reading silver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.functions.columns import SUM_PARTS, parts_mean2, parts_sum2, sum_parts
@@ -82,10 +82,10 @@ def changed_sums(stored: DataFrame, added: DataFrame, removed: DataFrame) -> Dat
     return stored_sums(merged.withColumns({f"{m}_far": F.when(F.col(f"{m}_beyond") > 0, F.col(f"{m}_far")) for m in MEASURES}))
 
 
-def far_dates(sums: DataFrame) -> DataFrame:
-    """Dates with a group that holds amounts whose sum is not kept exactly."""
+def far_dates() -> Column:
+    """Aggregate over stored sums: the dates with a group that holds amounts whose sum is not kept exactly."""
     far = [F.col(f"{m}_beyond") > 0 for m in MEASURES]
-    return sums.where(far[0] | far[1] | far[2]).select("pickup_date").distinct()
+    return F.collect_set(F.when(far[0] | far[1] | far[2], F.col("pickup_date"))).alias("far_dates")
 
 
 def dim_zones(silver: DataFrame, ordered: bool = True) -> DataFrame:

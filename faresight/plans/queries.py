@@ -952,6 +952,31 @@ def q_job_after_foreign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_FOREIGN_COLS, batch.alias("batch"), F.lit(summary["transforms"]["mode"]).alias("transform_mode"))
 
 
+_VERSION_RUNS = ("v-first", "v-second", "v-third", "v-second")
+
+
+@register("job_published_versions", covers="S5 D10 R1: two versions published by pointer, a run folded into the second, a batch made again",
+          oracle=O.with_(O.TRIPS, f"""
+written AS (SELECT * REPLACE (
+              CASE {_LANDING_SQL} WHEN 0 THEN 'v-first' WHEN 1 THEN 'v-second' WHEN 2 THEN 'v-third' ELSE 'v-second' END
+                AS source_batch_id,
+              TIMESTAMP '2000-01-01' + to_days(CAST(CASE {_LANDING_SQL} WHEN 1 THEN 3 ELSE {_LANDING_SQL} END AS INTEGER))
+                AS ingested_at)
+            FROM trips)""", O.silver_from("written"), O.FACT_CTE) + """
+SELECT fact.*, (SELECT count(*) FROM silver) AS silver_rows FROM fact""")
+def q_job_published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact and the size of silver, both of the version that the pointer names in the end."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "warehouse-versions")
+    lenient = {c.name: 10 ** 12 for c in quality.silver_expectations()}
+    for part, run in enumerate(_VERSION_RUNS):
+        job.run_job(spark, root, run_id=run, source="frame", trips=_landed(spark, sf_dir, part), max_failures=lenient,
+                    publish_only_if_passed=run != "v-third")
+    tables = job.published(spark, job.resolve_paths(root))
+    return job.read_fact(spark, tables.fact_dir).crossJoin(
+        job.read_silver(spark, tables.silver_dir).agg(F.count(F.lit(1)).alias("silver_rows")))
+
+
 @register("medallion_job_mixed_bronze", covers="R1 S3 U2 P15: current, older and flat bronze files side by side",
           oracle=O.with_(O.TRIPS, """
 written AS (SELECT * REPLACE (

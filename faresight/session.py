@@ -232,6 +232,37 @@ def write_text(spark: SparkSession, location: str, text: str) -> None:
         out.close()
 
 
+def create_text(spark: SparkSession, location: str, text: str) -> bool:
+    """Write a small document to a file that must not be there yet; False if it is."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(path, False)
+    except Exception:
+        if fs.exists(path):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def replace_text(spark: SparkSession, location: str, text: str) -> None:
+    """Like ``write_text``, but a reader finds the old document or the new one, never a part: the text is
+    written beside it and put in its place by one rename."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    beside = f"{location}.{uuid.uuid4().hex[:8]}"
+    write_text(spark, beside, text)
+    over = sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    source, target = hadoop.Path(beside), hadoop.Path(location)
+    hadoop.FileContext.getFileContext(target.toUri(), sc._jsc.hadoopConfiguration()).rename(source, target, over)
+
+
 def read_text(spark: SparkSession, location: str) -> str | None:
     """Content of one small file written by ``write_text``; None when absent."""
     jvm = spark.sparkContext._jvm

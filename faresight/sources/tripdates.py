@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.functions.columns import TRIP_ID_PREFIX
-from faresight.session import delete_path, move_path, path_exists, read_text, write_text
+from faresight.session import delete_path, path_exists, read_text, write_text
 
 PAIRS_SCHEMA = "trip_id string, pickup_date date"
 
@@ -46,6 +46,12 @@ def foreign(trips: DataFrame) -> DataFrame:
     return trips.where(own.isNull() | ~own).select("trip_id", "pickup_date")
 
 
+def foreign_rows() -> Column:
+    """Aggregate: how many rows ``foreign`` would give."""
+    own = F.col("trip_id").startswith(TRIP_ID_PREFIX)
+    return F.count_if(own.isNull() | ~own).alias("foreign_rows")
+
+
 def bucket_of(buckets: int) -> Column:
     return F.pmod(F.xxhash64("trip_id"), F.lit(buckets)).cast("int")
 
@@ -70,6 +76,10 @@ class TripDates:
         return (self.spark.read.schema(f"{PAIRS_SCHEMA}, bucket int").option("basePath", self.location)
                     .parquet(self.location))
 
+    def no_pairs(self) -> DataFrame:
+        """What ``dates_of`` gives for trips of which none has an entry."""
+        return self.spark.createDataFrame([], PAIRS_SCHEMA)
+
     def dates_of(self, trips: DataFrame, stage: str) -> DataFrame:
         """The entries of the trips' ids, kept at ``stage``: what is read for it are the ids' buckets."""
         ids = foreign(trips).select("trip_id").distinct().withColumn("bucket", bucket_of(self.buckets))
@@ -111,12 +121,15 @@ def _dealt(pairs: DataFrame) -> DataFrame:
 def _write(spark: SparkSession, silver_dir: str, pairs: DataFrame, rows: int) -> TripDates:
     buckets = max(1, -(-rows // BUCKET_IDS))
     table = TripDates(spark, silver_dir, f"{pointer_path(silver_dir).rsplit('/', 1)[-1]}-{uuid.uuid4().hex[:8]}", buckets, 0)
+    if not rows:
+        pairs = spark.createDataFrame([], PAIRS_SCHEMA)
     _dealt(pairs.withColumn("bucket", bucket_of(buckets))).write.partitionBy("bucket").parquet(table.location)
     return table
 
 
 def rebuild(spark: SparkSession, silver_dir: str, silver: DataFrame, rows: int) -> TripDates:
-    """A new table from silver's ids and dates; the one before is removed. ``rows`` is silver's row count."""
+    """A new table from silver's ids and dates; the one before is removed. ``rows`` says how many of silver's
+    rows need an entry, at most; without any, silver is not read."""
     table, before = _write(spark, silver_dir, foreign(silver), rows), _pointer(spark, silver_dir)
     # no state until the run that asked for it is through
     write_text(spark, pointer_path(silver_dir), json.dumps({"folder": table.folder, "buckets": table.buckets, "appends": 0}))
@@ -137,14 +150,3 @@ def opened(spark: SparkSession, silver_dir: str, state: str | None) -> TripDates
         return None
     table = TripDates(spark, silver_dir, held["folder"], held["buckets"], held["appends"])
     return table if path_exists(spark, table.location) else None
-
-
-def move(spark: SparkSession, source_silver: str, target_silver: str) -> None:
-    """The table of one silver folder beside another, which it replaces."""
-    held, before = _pointer(spark, source_silver), _pointer(spark, target_silver)
-    if held:
-        move_path(spark, TripDates(spark, source_silver, held["folder"], 1, 0).location,
-                  TripDates(spark, target_silver, held["folder"], 1, 0).location)
-        move_path(spark, pointer_path(source_silver), pointer_path(target_silver))
-    if before and (not held or before["folder"] != held["folder"]):
-        delete_path(spark, TripDates(spark, target_silver, before["folder"], 1, 0).location)

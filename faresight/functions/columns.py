@@ -106,12 +106,25 @@ def sum_parts(x: str | Column, name: str) -> list[Column]:
     (``far`` only where no such amount is left).
     """
     c = col(x)
-    far = F.abs(c).between(F.lit(BEYOND), F.lit(1.7976931348623157e308))
-    return [F.sum(high_part(c)).alias(f"{name}_high"), F.sum(low_part(c)).alias(f"{name}_low"),
-            F.count(low_part(c)).alias(f"{name}_fit"), F.count_if(F.isnan(c)).alias(f"{name}_nan"),
-            F.count_if(c == F.lit(float("inf"))).alias(f"{name}_up"),
-            F.count_if(c == F.lit(float("-inf"))).alias(f"{name}_down"),
-            F.count_if(far).alias(f"{name}_beyond"), F.sum(F.when(far, c)).alias(f"{name}_far")]
+    far = F.abs(c) >= F.lit(BEYOND)
+    # two counts share a long: amounts that do not fit are rare, and a group holds fewer than 2^32 of a kind
+    one, two = F.lit(1).cast("long"), F.lit(1 << 32)
+    apart = F.sum(F.when(far, F.when(F.isnan(c), one).when(c == F.lit(float("inf")), two).otherwise(F.lit(0).cast("long"))))
+    others = F.sum(F.when(far, F.when(c == F.lit(float("-inf")), one)
+                                .when(F.isnan(c) | (c == F.lit(float("inf"))), F.lit(0).cast("long")).otherwise(two)))
+
+    def low_half(counts: Column) -> Column:
+        return F.coalesce(counts.bitwiseAND(F.lit((1 << 32) - 1)), F.lit(0).cast("long"))
+
+    def high_half(counts: Column) -> Column:
+        return F.coalesce(F.shiftright(counts, 32), F.lit(0).cast("long"))
+
+    fit = F.count(c) - low_half(apart) - high_half(apart) - low_half(others) - high_half(others)
+    finite = far & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+    return [F.sum(high_part(c)).alias(f"{name}_high"), F.sum(low_part(c)).alias(f"{name}_low"), fit.alias(f"{name}_fit"),
+            low_half(apart).alias(f"{name}_nan"), high_half(apart).alias(f"{name}_up"),
+            low_half(others).alias(f"{name}_down"), high_half(others).alias(f"{name}_beyond"),
+            F.sum(F.when(finite, c)).alias(f"{name}_far")]
 
 
 def parts_count(name: str) -> Column:

@@ -199,6 +199,19 @@ def q_taxi_read_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(pattern.select(F.lit("pattern").alias("given"), "*")))
 
 
+@register("taxi_read_kept_layouts", covers="S1 S2 (layouts kept by file: two months, then all four)",
+          oracle=O.with_(_MONTH_SHIFT_SQL, O.raw_taxi_sql("ev", "raw_m", ", k"), _RAW_MONTHS_SQL)
+          + O.normalize_sql("raw_months", "tpep_pickup_datetime", "tpep_dropoff_datetime"))
+def q_taxi_read_kept_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months read with their layouts kept, then all: only the new files' footers are read."""
+    apply_job_conf(spark)
+    root, kept = fresh_path(spark, "taxi-kept"), fresh_path(spark, "taxi-layouts")
+    _write_months(spark, sf_dir, root)
+    taxi.load_taxi(spark, "yellow", months=_MONTHS[:2], root=root, layouts=kept)
+    trips, _ = taxi.load_taxi(spark, "yellow", months=_MONTHS, root=root, layouts=kept)
+    return trips
+
+
 # --- bronze -------------------------------------------------------------------------------
 
 _BRONZE_COLS = O.TRIP_COLS + ", source_batch_id, ingested_at, pickup_date, batch_key"

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
@@ -23,11 +22,9 @@ from pyspark.sql import types as T
 from faresight.functions.columns import batch_key, batch_key_text, iso_utc, parse_timestamp
 from faresight.schemas import (BRONZE_PARTITION_COLUMNS, BRONZE_PAYLOAD_SCHEMA, BRONZE_SCHEMA,
                                TRIP_COLUMNS, TRIP_SCHEMA)
+from faresight.sources.layouts import by_layout, files_of
 from faresight.session import apply_job_conf, list_matches, path_exists, stored_files
 
-#: Footers that are read at a time (they hold no rows).
-FOOTER_READERS = 16
-
 
 @dataclass(frozen=True)
 class IngestResult:
@@ -216,28 +213,29 @@ def scan_bronze_layouts(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
 BATCH_LEVEL = "/batch_key="
 
 
-def scan_files(spark: SparkSession, bronze_dir: str, paths: Sequence[str] | None = None) -> DataFrame:
+def scan_files(spark: SparkSession, bronze_dir: str, paths: Sequence[str] | None = None,
+               layouts: str | None = None) -> DataFrame:
     """Bronze rows of every layout below ``bronze_dir``, or of the files ``paths`` only.
 
     Files of the current layout are one scan with the given schema. Files
     without the batch level (older writers, pandas) are grouped by the columns
-    and types in their footers, one scan each; what their folders would say
+    and types in their footers (kept in the folder ``layouts``, if given, see
+    ``sources.layouts``), one scan each; what their folders would say
     follows from the rows: the date from the pickup time, the batch key from
     the batch id.
     """
     if paths is None:
-        older = [r.path for r in stored_files(spark, [bronze_dir])
-                 .where(~F.col("path").contains(BATCH_LEVEL)).select("path").collect()]
+        older = stored_files(spark, [bronze_dir]).where(~F.col("path").contains(BATCH_LEVEL))
         current = [f"{bronze_dir}/pickup_date=*{BATCH_LEVEL}*"]
         current = [p for p in current if path_exists(spark, p)]
     else:
-        older = [p for p in paths if BATCH_LEVEL not in p]
+        older = files_of(spark, [p for p in paths if BATCH_LEVEL not in p])
         current = [p for p in paths if BATCH_LEVEL in p]
     parts = []
     if current:
         parts.append(spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir).parquet(*current))
-    for group in by_layout(spark, older):
-        raw = spark.read.parquet(*group).drop("pickup_date", "batch_key")
+    for layout in by_layout(spark, older, layouts):
+        raw = spark.read.parquet(*layout.paths).drop("pickup_date", "batch_key")
         raw = raw.withColumn("pickup_date", F.to_date(parse_timestamp("pickup_datetime", raw.schema["pickup_datetime"].dataType)))
         if "source_batch_id" not in raw.columns:
             raw = raw.withColumn("source_batch_id", F.lit(None).cast("string"))
@@ -250,17 +248,6 @@ def scan_files(spark: SparkSession, bronze_dir: str, paths: Sequence[str] | None
     return out
 
 
-def by_layout(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Files grouped by the columns and types that their footers give, in first-seen order."""
-    groups: dict[tuple, list[str]] = {}
-    with ThreadPoolExecutor(max_workers=max(1, min(FOOTER_READERS, len(paths)))) as pool:
-        layouts = list(pool.map(lambda p: tuple((f.name, f.dataType.simpleString())
-                                                for f in spark.read.parquet(p).schema.fields), paths))
-    for path, layout in zip(paths, layouts):
-        groups.setdefault(layout, []).append(path)
-    return list(groups.values())
-
-
 def legacy_payload(trips: DataFrame) -> DataFrame:
     """Trips in the older bronze layout: no provenance, 32-bit zone ids, double passengers."""
     return trips.select(

@@ -1,12 +1,18 @@
 """Batch statistics, per-batch lineage and the run audit table.
 
-The audit table is append-only parquet; replacing a run's row is expressed as
+Audit rows are appended as parquet; replacing a run's row is expressed as
 "newest row per run id" on read (no table format with MERGE is needed).
-Columns added to the schema later read as null from older files.
+Columns added to the schema later read as null from older files. Once many
+files have come together, ``merge_runs`` folds them into a base sorted by run
+id with one row per run, from which a look-up reads the row groups that may
+hold its id.
 """
 
 from __future__ import annotations
 
+import json
+import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,6 +22,12 @@ from pyspark.sql import functions as F
 from faresight.operators.silver import (RECENCY_ORDER, TIE_BREAK_ORDER, latest_per_key,
                                         typed_trips, validity_condition)
 from faresight.schemas import RUN_AUDIT_COLUMNS, RUN_AUDIT_SCHEMA, RUN_LIST_COLUMNS
+from faresight.session import create_text, delete_path, list_matches, read_text
+
+#: Appended files that are merged into the base when as many have come together.
+MERGE_FILES = 64
+#: Runs in a file of the base, and bytes in a row group of it (some thousands of runs).
+BASE_FILE_RUNS, BASE_GROUP_BYTES = 1_000_000, 1 << 20
 
 
 def batch_ingest_stats(bronze: DataFrame) -> DataFrame:
@@ -93,16 +105,94 @@ def trip_lookup(silver: DataFrame, trip_ids: DataFrame | None = None) -> DataFra
 # --- run audit table ---------------------------------------------------------------------
 
 def append_run(spark: SparkSession, audit_dir: str, row: dict) -> None:
-    """Append one audit row (a later row for the same run id replaces it on read)."""
+    """Append one audit row (a later row for the same run id replaces it on read).
+
+    Every append is a folder of its own: runs that end at the same time share no staging folder."""
     values = {name: row.get(name) for name in RUN_AUDIT_COLUMNS}
-    spark.createDataFrame([values], RUN_AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(audit_dir)
+    target = f"{audit_dir.rstrip('/')}/run-{uuid.uuid4().hex}"
+    spark.createDataFrame([values], RUN_AUDIT_SCHEMA).coalesce(1).write.parquet(target)
+
+
+def _versions(spark: SparkSession, audit_dir: str) -> list[str]:
+    """The small files that name the bases made so far, oldest first."""
+    return list_matches(spark, f"{audit_dir.rstrip('/')}/_base/[0-9]*.json")
+
+
+def _current(spark: SparkSession, audit_dir: str) -> dict | None:
+    """The last base: its folder, the files merged into it and into the one before it."""
+    versions = _versions(spark, audit_dir)
+    return json.loads(read_text(spark, versions[-1])) if versions else None
+
+
+def _appended(spark: SparkSession, audit_dir: str) -> list[str]:
+    """Files of appended rows: in folders of their own, or (other writers) in the table's folder itself."""
+    root = audit_dir.rstrip("/")
+    found = list_matches(spark, f"{root}/*.parquet") + list_matches(spark, f"{root}/[!_]*/*.parquet")
+    return sorted(p for p in found if not p.rsplit("/", 1)[1].startswith(("_", ".")))
+
+
+def merge_runs(spark: SparkSession, audit_dir: str, least: int = MERGE_FILES) -> bool:
+    """Fold the appended rows into a new base if ``least`` files have come together; whether it did.
+
+    The base holds the newest row per run, sorted by run id. It is published by
+    a numbered file made exclusively: of two merges at a time one wins and the
+    other throws its base away. Readers leave out the files that a base names.
+    They and the base before are deleted one merge later, so that who began to
+    read before a merge can end; a stop at any place loses and repeats no row.
+    """
+    root, before = audit_dir.rstrip("/"), _current(spark, audit_dir) or {"base": None, "files": [], "older": []}
+    stored = _appended(spark, root)
+    merged = {*before["files"], *before["older"]}
+    fresh = [p for p in stored if p.rsplit("/", 1)[1] not in merged]
+    if len(fresh) < least:
+        return False
+    # what a merge that stopped has left: the new base does not name these any more
+    _delete_files(spark, stored, before["older"])
+    versions = _versions(spark, root)
+    number = int(versions[-1].rsplit("/", 1)[1].removesuffix(".json")) + 1 if versions else 1
+    rows = spark.read.schema(RUN_AUDIT_SCHEMA).parquet(*fresh)
+    if before["base"]:
+        rows = rows.unionByName(_base(spark, root, before["base"]))
+    folder = f"{number:012d}-{uuid.uuid4().hex[:8]}"
+    files = max(1, math.ceil(rows.count() / BASE_FILE_RUNS))
+    (latest_runs(rows).repartitionByRange(files, "run_id").sortWithinPartitions("run_id")
+     .write.option("parquet.block.size", BASE_GROUP_BYTES).parquet(f"{root}/_base/{folder}"))
+    names = [p.rsplit("/", 1)[1] for p in fresh]
+    if not create_text(spark, f"{root}/_base/{number:012d}.json",
+                       json.dumps({"base": folder, "files": names, "older": before["files"]})):
+        delete_path(spark, f"{root}/_base/{folder}")
+        return False
+    _delete_files(spark, stored, before["files"])
+    if len(versions) > 1:
+        _delete_versions(spark, root, versions[:-1])
+    return True
+
+
+def _delete_files(spark: SparkSession, stored: Sequence[str], names: Sequence[str]) -> None:
+    for path in stored:
+        folder, name = path.rsplit("/", 1)
+        if name in names:
+            delete_path(spark, folder if folder.rsplit("/", 1)[1].startswith("run-") else path)
+
+
+def _delete_versions(spark: SparkSession, root: str, outdated: list[str]) -> None:
+    for version in outdated:
+        text = read_text(spark, version)
+        if text:
+            delete_path(spark, f"{root}/_base/{json.loads(text)['base']}")
+        delete_path(spark, version)
+
+
+def _base(spark: SparkSession, root: str, folder: str) -> DataFrame:
+    return spark.read.schema(RUN_AUDIT_SCHEMA).parquet(f"{root}/_base/{folder}")
 
 
 def read_runs(spark: SparkSession, location: str) -> DataFrame:
     """All stored audit rows, from a path or a catalog table / view name.
 
     An absent table reads as empty with the full schema; columns added to the
-    schema later read as null from older data.
+    schema later read as null from older data. Rows that ``merge_runs`` found
+    replaced by a newer one are no longer stored.
     """
     empty = spark.createDataFrame([], RUN_AUDIT_SCHEMA)
     if "/" not in location and ":" not in location:
@@ -112,12 +202,23 @@ def read_runs(spark: SparkSession, location: str) -> DataFrame:
         return stored.select(*[F.col(f.name).cast(f.dataType) if f.name in stored.columns
                                else F.lit(None).cast(f.dataType).alias(f.name)
                                for f in RUN_AUDIT_SCHEMA.fields])
+    current = _current(spark, location)
     try:
-        return spark.read.schema(RUN_AUDIT_SCHEMA).parquet(location)
+        recent = spark.read.schema(RUN_AUDIT_SCHEMA).option("recursiveFileLookup", "true").parquet(location)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in (exc.getCondition() or "") or "Path does not exist" in str(exc):
             return empty
         raise
+    if current is None:
+        return recent
+    merged = [*current["files"], *current["older"]]
+    recent = recent.where(~F.col("_metadata.file_name").isin(merged)).select(*RUN_AUDIT_COLUMNS)
+    return _base(spark, location.rstrip("/"), current["base"]).unionByName(recent)
+
+
+def run_of(runs: DataFrame, run_id: str) -> DataFrame:
+    """The row of one run. The id reaches the scans, which skip the base's row groups without it."""
+    return latest_runs(runs.where(F.col("run_id") == run_id))
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

@@ -540,6 +540,44 @@ def q_run_audit_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.latest_runs(audit.read_runs(spark, audit_dir)).select(*_RUN_LIST.split(", "))
 
 
+_RUNS_AGAIN_SQL = O.with_(O.RUNS) + f"""
+, again AS (SELECT * REPLACE (started_at + INTERVAL 1 YEAR AS started_at, 'retried' AS status)
+            FROM runs WHERE bronze_rows % 3 = 0)
+, newest AS (
+  SELECT {_RUN_LIST} FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY run_id
+              ORDER BY started_at DESC NULLS LAST, bronze_rows DESC NULLS LAST) AS rn
+    FROM (SELECT * FROM runs UNION ALL SELECT * FROM again)) WHERE rn = 1)"""
+
+
+def _merged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows appended, merged, replaced in part, merged again, and one replacement left beside the base."""
+    audit_dir, runs = fresh_path(spark, "run-merged"), fixtures.runs(spark, sf_dir)
+    again = (runs.where(F.col("bronze_rows") % 3 == 0).withColumn("status", F.lit("retried"))
+             .withColumn("started_at", F.col("started_at") + F.make_ym_interval(F.lit(1))))
+    late = F.col("bronze_rows") % 2 == 0
+    runs.write.mode("append").parquet(audit_dir)
+    audit.merge_runs(spark, audit_dir, least=1)
+    again.where(~late).write.mode("append").parquet(audit_dir)
+    audit.merge_runs(spark, audit_dir, least=1)
+    again.where(late).write.mode("append").parquet(audit_dir)
+    return audit.read_runs(spark, audit_dir)
+
+
+@register("run_audit_merged", covers="S10 W2 (appended files merged into a base sorted by run id)",
+          oracle=_RUNS_AGAIN_SQL + "\nSELECT * FROM newest")
+def q_run_audit_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.latest_runs(_merged_runs(spark, sf_dir)).select(*_RUN_LIST.split(", "))
+
+
+@register("run_lookup_merged", covers="O4 (one run, looked up by its id in base and appended rows)",
+          oracle=_RUNS_AGAIN_SQL + "\nSELECT * FROM newest WHERE run_id = (SELECT MAX(run_id) FROM runs)")
+def q_run_lookup_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = _merged_runs(spark, sf_dir)
+    last = runs.agg(F.max("run_id")).first()[0]
+    return audit.run_of(runs, last).select(*_RUN_LIST.split(", "))
+
+
 @register("run_recent", covers="O3 O6 P22",
           oracle=_RUNS_LATEST_SQL + f"""
 SELECT {_RUN_LIST} FROM latest

@@ -124,11 +124,13 @@ def _current(spark: SparkSession, audit_dir: str) -> dict | None:
     return json.loads(read_text(spark, versions[-1])) if versions else None
 
 
-def _appended(spark: SparkSession, audit_dir: str) -> list[str]:
-    """Files of appended rows: in folders of their own, or (other writers) in the table's folder itself."""
+def _appended(spark: SparkSession, audit_dir: str) -> dict[str, str]:
+    """Files of appended rows, each with what is deleted with it: the folder of its append, or, where another
+    writer put it into the table's folder itself, the file alone."""
     root = audit_dir.rstrip("/")
-    found = list_matches(spark, f"{root}/*.parquet") + list_matches(spark, f"{root}/[!_]*/*.parquet")
-    return sorted(p for p in found if not p.rsplit("/", 1)[1].startswith(("_", ".")))
+    found = {p: p for p in list_matches(spark, f"{root}/*.parquet")}
+    found |= {p: p.rsplit("/", 1)[0] for p in list_matches(spark, f"{root}/run-*/*.parquet")}
+    return {p: own for p, own in sorted(found.items()) if not p.rsplit("/", 1)[1].startswith(("_", "."))}
 
 
 def merge_runs(spark: SparkSession, audit_dir: str, least: int = MERGE_FILES) -> bool:
@@ -168,11 +170,10 @@ def merge_runs(spark: SparkSession, audit_dir: str, least: int = MERGE_FILES) ->
     return True
 
 
-def _delete_files(spark: SparkSession, stored: Sequence[str], names: Sequence[str]) -> None:
-    for path in stored:
-        folder, name = path.rsplit("/", 1)
-        if name in names:
-            delete_path(spark, folder if folder.rsplit("/", 1)[1].startswith("run-") else path)
+def _delete_files(spark: SparkSession, stored: dict[str, str], names: Sequence[str]) -> None:
+    for path, own in stored.items():
+        if path.rsplit("/", 1)[1] in names:
+            delete_path(spark, own)
 
 
 def _delete_versions(spark: SparkSession, root: str, outdated: list[str]) -> None:

@@ -47,6 +47,19 @@ def test_merges_keep_the_newest_row_and_delete_one_merge_later(spark, workdir):
     assert not audit.merge_runs(spark, workdir, least=1)
 
 
+def test_files_in_the_table_folder_itself(spark, workdir):
+    """Another writer's files, and a table whose own folder is called like that of an append."""
+    table = f"{workdir}/run-table"
+    for turn in range(3):
+        rows = [{**dict.fromkeys(audit.RUN_AUDIT_COLUMNS), **row(i, turn)} for i in range(turn, turn + 2)]
+        spark.createDataFrame(rows, audit.RUN_AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(table)
+        audit.append_run(spark, table, row(50 + turn, turn))
+        assert audit.merge_runs(spark, table, least=2)
+    assert newest(spark, table) == {"run-00000": "turn 0", "run-00001": "turn 1", "run-00002": "turn 2",
+                                    "run-00003": "turn 2", "run-00050": "turn 0", "run-00051": "turn 1",
+                                    "run-00052": "turn 2"}
+
+
 def test_a_reader_from_before_a_merge_can_end(spark, workdir):
     for i in range(3):
         audit.append_run(spark, workdir, row(i))

@@ -37,6 +37,10 @@ IBAN_COUNTRIES = {
     28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
     31: "MT SC", 32: "LC", 33: "RU"}
 
+#: Country calling codes of one and two digits; all others have three.
+CALLING_CODES = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                 "81 82 84 86 90 91 92 93 94 95 98")
+
 
 def _iban(length: int, countries: str) -> str:
     """Pattern of the IBANs of one length, written together or in groups of four."""
@@ -180,11 +184,13 @@ def _pseudonym(key: str, kind: str, v: str) -> tuple[str, str]:
             return f"NOT {x} RLIKE '^(000|666|9)' AND substr({x}, 4, 2) <> '00' AND substr({x}, 6) <> '0000'"
         return valid(d), _let("ds", _walked(d, lambda x: permuted(key, kind, x), valid), _written("ds", v))
     if kind == "phone":
-        # the country code stays, what follows is permuted
-        code = rf"regexp_extract({v}, '^\\+[0-9]{{1,3}}(?=[^0-9])|^\\+[0-9]', 0)"
+        # the country code stays, what follows is permuted; both are told by the digits, so that a number
+        # keeps its pseudonym however it is grouped. Eleven digits from 1 without '+' have a country code too.
+        code = (f"CASE WHEN {v} LIKE '+%' THEN regexp_extract({d}, '^(?:{CALLING_CODES.replace(' ', '|')}|[0-9]{{3}})', 0) "
+                f"WHEN length({d}) = 11 AND {d} LIKE '1%' THEN '1' ELSE '' END")
         return (f"length({d}) BETWEEN 7 AND 15",
-                _let("code", code, _let("own", f"substr({v}, length(code) + 1)", _let(
-                    "ds", permuted(key, kind, _digits("own")), f"concat(code, {_written('ds', 'own')})"))))
+                _let("code", code, _let("ds", f"concat(code, {permuted(key, kind, f'substr({d}, length(code) + 1)')})",
+                                        _written("ds", v))))
     if kind == "ip":
         octets = f"transform(split({v}, '\\\\.'), x -> cast(x as bigint))"
         number = f"aggregate({octets}, 0L, (s, x) -> s * 256 + x)"

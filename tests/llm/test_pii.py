@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import random
 import re
 
@@ -143,3 +144,48 @@ def test_cards_after_a_hyphen_and_short_local_parts(spark):
     assert all(shape(g) == shape(m) and g[0] != m[0] and g[1:] == m[1:] for g, m in zip(got, mails))
     assert got[0] == got[1].lower() and len(set(got[3:])) == 26
     assert run(spark, ["_@example.org"]) == ["_@example.org"]
+
+
+def plain_permuted(key, kind, text, rounds=8):
+    """The Feistel network of digit strings, by itself."""
+    def moved(own, other, r):
+        return "".join(str((int(c) + int(hashlib.sha256(f"{key}|{kind}|{r}|{i}|{other}".encode()).hexdigest()[:12], 16)) % 10)
+                       for i, c in enumerate(own))
+    a, b = text[:len(text) // 2], text[len(text) // 2:]
+    for r in range(1, rounds + 1):
+        a, b = (moved(a, b, r), b) if r % 2 else (a, moved(b, a, r))
+    return a + b
+
+
+def digits(value):
+    return re.sub("[^0-9]", "", value)
+
+
+def test_a_telephone_number_keeps_its_pseudonym_however_it_is_grouped(spark):
+    alike = [("49", ["+49 171 1234567", "+491711234567", "+49-171-123-4567", "+49 (171) 1234567", "+4 9171 1234567"]),
+             ("358", ["+358 9 1234567", "+35891234567", "+358.9.1234567"]),
+             ("1", ["+1 555 123 4567", "+15551234567", "1-555-123-4567", "+1 (555) 123-4567", "(555) 123-4567",
+                    "555-123-4567", "555 123 4567"]),
+             ("7", ["+7 495 123 45 67", "+74951234567"]), ("44", ["+44 20 7946 0958", "+442079460958"]),
+             ("998", ["+998 71 123 45 67", "+998711234567"])]
+    values = [v for _, group in alike for v in group]
+    got = dict(zip(values, run(spark, values)))
+    for code, group in alike:
+        for v in group:
+            has_code = v.startswith("+") or len(digits(v)) == 11
+            own = digits(v)[len(code):] if has_code else digits(v)
+            assert digits(got[v]) == (code if has_code else "") + plain_permuted("k", "phone", own)
+            assert shape(got[v]) == shape(v) and got[v] != v
+
+
+def test_telephone_numbers_of_a_country_are_permuted_among_themselves(spark):
+    values = [f"+423 {n:04d}" for n in range(0, 10000, 5)]
+    got = run(spark, values)
+    assert len(set(got)) == len(values) and all(re.fullmatch(r"\+423 [0-9]{4}", v) for v in got)
+
+
+def test_card_payloads_against_a_plain_network(spark):
+    rng = random.Random(7)
+    cards = [card(rng) for _ in range(30)]
+    for v, new in zip(cards, run(spark, cards)):
+        assert new[:-1] == plain_permuted("k", "card", v[:-1]) and luhn(new)

@@ -117,6 +117,47 @@ def test_a_run_id_used_again_replaces_its_batch_and_its_row(spark, workdir):
     assert audit.latest_runs(audit.read_runs(spark, job.resolve_paths(workdir).runs_dir)).count() == 1
 
 
+def test_a_failed_run_is_made_again_under_its_id(spark, workdir, monkeypatch):
+    folded, tried = job._fold_and_check, []
+
+    def unsteady(*args):
+        tried.append(len(tried))
+        if len(tried) < 3:
+            raise OSError("a disk is away")
+        return folded(*args)
+    monkeypatch.setattr(job, "_fold_and_check", unsteady)
+    settings = dict(source="frame", trips=_frame(spark, 9, 37, 5), delay=0.0)
+    summary = job.run_job_retrying(spark, workdir, run_id="shaky", **settings)
+    row = _audit_row(spark, workdir, "shaky")
+    assert len(tried) == 3 and summary["status"] == row.status == "succeeded" and (row.bronze_rows, row.silver_rows) == (37, 37)
+    assert audit.latest_runs(audit.read_runs(spark, job.resolve_paths(workdir).runs_dir)).count() == 1
+    tried.clear()
+    with pytest.raises(OSError, match="a disk is away"):
+        job.run_job_retrying(spark, workdir, run_id="worse", retries=1, **settings)
+    assert len(tried) == 2 and _audit_row(spark, workdir, "worse").status == "failed"
+    tried.clear()
+    kept = job.run_job_retrying(spark, workdir, run_id="kept", retries=0, raise_on_failure=False, **settings)
+    assert (kept["status"], kept["error_message"]) == ("failed", "a disk is away")
+
+
+def test_what_would_fail_again_is_not_tried_again(spark, workdir, monkeypatch):
+    once, tried = job.run_job, []
+    monkeypatch.setattr(job, "run_job", lambda *args, **settings: tried.append(1) or once(*args, **settings))
+    empty = generator.generate_trips(spark, date(2022, 11, 9), days=1, rows_per_day=20, seed=3).withColumn(
+        "passenger_count", F.lit(0).cast("long"))
+    with pytest.raises(quality.QualityGateError):
+        job.run_job_retrying(spark, workdir, run_id="cabs", source="frame", trips=empty,
+                             max_failures={e.name: 0 for e in quality.silver_expectations(None)})
+    assert tried == [1] and _audit_row(spark, workdir, "cabs").status == "failed"
+    for wrong in (dict(source="kafka"), dict(source="frame")):
+        with pytest.raises(ValueError):
+            job.run_job_retrying(spark, workdir, **wrong)
+    assert tried == [1, 1, 1]
+    with pytest.raises(ValueError):
+        job.run_job_retrying(spark, workdir, source="frame", trips=empty, retries=-1)
+    assert tried == [1, 1, 1]
+
+
 def test_publishing_waits_for_the_checks(spark, workdir):
     paths = job.resolve_paths(workdir)
     job.run_job(spark, workdir, run_id="fine", source="frame", trips=_frame(spark, 4, 17, 2), publish_only_if_passed=True)

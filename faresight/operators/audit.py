@@ -118,10 +118,21 @@ def _versions(spark: SparkSession, audit_dir: str) -> list[str]:
     return list_matches(spark, f"{audit_dir.rstrip('/')}/_base/[0-9]*.json")
 
 
+def _described(spark: SparkSession, version: str) -> dict | None:
+    """What a version's file says; None while it is being written, or if who made it stopped before."""
+    try:
+        return json.loads(read_text(spark, version) or "null")
+    except json.JSONDecodeError:
+        return None
+
+
 def _current(spark: SparkSession, audit_dir: str) -> dict | None:
-    """The last base: its folder, the files merged into it and into the one before it."""
-    versions = _versions(spark, audit_dir)
-    return json.loads(read_text(spark, versions[-1])) if versions else None
+    """The last base: its version, its folder, the files merged into it and into the one before it."""
+    for version in reversed(_versions(spark, audit_dir)):
+        described = _described(spark, version)
+        if described:
+            return described | {"version": version}
+    return None
 
 
 def _appended(spark: SparkSession, audit_dir: str) -> dict[str, str]:
@@ -142,7 +153,7 @@ def merge_runs(spark: SparkSession, audit_dir: str, least: int = MERGE_FILES) ->
     They and the base before are deleted one merge later, so that who began to
     read before a merge can end; a stop at any place loses and repeats no row.
     """
-    root, before = audit_dir.rstrip("/"), _current(spark, audit_dir) or {"base": None, "files": [], "older": []}
+    root, before = audit_dir.rstrip("/"), _current(spark, audit_dir) or {"version": None, "base": None, "files": [], "older": []}
     stored = _appended(spark, root)
     merged = {*before["files"], *before["older"]}
     fresh = [p for p in stored if p.rsplit("/", 1)[1] not in merged]
@@ -165,8 +176,7 @@ def merge_runs(spark: SparkSession, audit_dir: str, least: int = MERGE_FILES) ->
         delete_path(spark, f"{root}/_base/{folder}")
         return False
     _delete_files(spark, stored, before["files"])
-    if len(versions) > 1:
-        _delete_versions(spark, root, versions[:-1])
+    _delete_versions(spark, root, [v for v in versions if v != before["version"]])
     return True
 
 
@@ -178,9 +188,9 @@ def _delete_files(spark: SparkSession, stored: dict[str, str], names: Sequence[s
 
 def _delete_versions(spark: SparkSession, root: str, outdated: list[str]) -> None:
     for version in outdated:
-        text = read_text(spark, version)
-        if text:
-            delete_path(spark, f"{root}/_base/{json.loads(text)['base']}")
+        described = _described(spark, version)
+        if described:
+            delete_path(spark, f"{root}/_base/{described['base']}")
         delete_path(spark, version)
 
 

@@ -233,10 +233,20 @@ def write_text(spark: SparkSession, location: str, text: str) -> None:
 
 
 def create_text(spark: SparkSession, location: str, text: str) -> bool:
-    """Write a small document to a file that must not be there yet; False if it is."""
+    """Write a small document to a file that must not be there yet; False if it is. Of several that want
+    the same file one gets it. For a moment readers may find the file empty."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(location)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() == "file":
+        # the local file system of Hadoop looks and then creates, which two can do at a time
+        fs.mkdirs(path.getParent())
+        try:
+            with open(path.toUri().getPath(), "x", encoding="utf-8") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
     try:
         out = fs.create(path, False)
     except Exception:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faresight.operators import audit
-from faresight.session import list_matches, read_text
+from faresight.session import list_matches, read_text, write_text
 
 START = datetime(2024, 1, 1)
 
@@ -94,6 +94,16 @@ def test_a_stop_loses_and_repeats_no_row(spark, workdir, monkeypatch, stop):
     assert audit.read_runs(spark, workdir).count() == len(want) + 1
 
 
+def test_a_version_that_says_nothing_yet_is_passed_over(spark, workdir):
+    audit.append_run(spark, workdir, row(0))
+    assert audit.merge_runs(spark, workdir, least=1)
+    write_text(spark, f"{workdir}/_base/{2:012d}.json", "")   # its maker stopped before it wrote
+    audit.append_run(spark, workdir, row(1))
+    assert set(newest(spark, workdir)) == {"run-00000", "run-00001"}
+    assert audit.merge_runs(spark, workdir, least=1)
+    assert audit.read_runs(spark, workdir).count() == 2 and len(bases(spark, workdir)) == 2
+
+
 def test_of_two_merges_one_wins(spark, workdir, monkeypatch):
     for i in range(2):
         audit.append_run(spark, workdir, row(i))

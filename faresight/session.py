@@ -183,6 +183,19 @@ def delete_path(spark: SparkSession, location: str) -> None:
         fs.delete(path, True)
 
 
+def delete_if_empty(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that holds nothing; one that does, also since a moment, stays."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path) and not len(fs.listStatus(path)):
+        try:
+            fs.delete(path, False)
+        except Exception:
+            if fs.exists(path) and not len(fs.listStatus(path)):
+                raise
+
+
 def list_matches(spark: SparkSession, pattern: str) -> list[str]:
     """Locations matching a path or glob pattern, sorted (a listing, no job)."""
     jvm = spark.sparkContext._jvm

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from faresight.functions.columns import batch_key, batch_key_text, iso_utc, parse_timestamp
 from faresight.schemas import (BRONZE_PARTITION_COLUMNS, BRONZE_PAYLOAD_SCHEMA, BRONZE_SCHEMA,
                                TRIP_COLUMNS, TRIP_SCHEMA)
+from faresight.sources import merges
 from faresight.sources.layouts import by_layout, files_of
 from faresight.session import apply_job_conf, list_matches, path_exists, stored_files
 
@@ -129,10 +130,8 @@ def sanitized_key(spark: SparkSession, batch_id: str) -> str:
 
 
 def batch_partitions(spark: SparkSession, bronze_dir: str, key: str) -> DataFrame:
-    """Distinct pickup dates of one batch, listing only that batch's directories."""
-    return (spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir)
-                 .parquet(f"{bronze_dir}/pickup_date=*/batch_key={key}")
-                 .select("pickup_date").distinct())
+    """Distinct pickup dates of one batch: its own directories, and row groups of merged files with its key."""
+    return scan_bronze(spark, bronze_dir).where(F.col("batch_key") == key).select("pickup_date").distinct()
 
 
 def scan_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
@@ -140,11 +139,11 @@ def scan_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
 
     The schema is given, so no footer is sampled for inference; filters on
     ``pickup_date`` / ``batch_key`` prune directories, value filters reach
-    the parquet reader.
+    the parquet reader. Rows of merged files (``sources.merges``) are included.
     """
-    return (spark.read.schema(BRONZE_SCHEMA)
-                 .option("basePath", bronze_dir)
-                 .parquet(bronze_dir))
+    rows = spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir).parquet(bronze_dir)
+    merged = merges.merged_rows(spark, bronze_dir)
+    return rows if merged is None else merges.without_replaced(spark, bronze_dir, rows).unionByName(merged)
 
 
 # Canonical type of every bronze column, used to widen or narrow old layouts.
@@ -222,7 +221,8 @@ def scan_files(spark: SparkSession, bronze_dir: str, paths: Sequence[str] | None
     and types in their footers (kept in the folder ``layouts``, if given, see
     ``sources.layouts``), one scan each; what their folders would say
     follows from the rows: the date from the pickup time, the batch key from
-    the batch id.
+    the batch id. Without ``paths``, files that a merge has replaced are passed
+    over for the merged ones (``sources.merges``).
     """
     if paths is None:
         older = stored_files(spark, [bronze_dir]).where(~F.col("path").contains(BATCH_LEVEL))
@@ -233,7 +233,11 @@ def scan_files(spark: SparkSession, bronze_dir: str, paths: Sequence[str] | None
         current = [p for p in paths if BATCH_LEVEL in p]
     parts = []
     if current:
-        parts.append(spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir).parquet(*current))
+        rows = spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir).parquet(*current)
+        parts.append(merges.without_replaced(spark, bronze_dir, rows) if paths is None else rows)
+    merged = merges.merged_rows(spark, bronze_dir) if paths is None else None
+    if merged is not None:
+        parts.append(merged)
     for layout in by_layout(spark, older, layouts):
         raw = spark.read.parquet(*layout.paths).drop("pickup_date", "batch_key")
         raw = raw.withColumn("pickup_date", F.to_date(parse_timestamp("pickup_datetime", raw.schema["pickup_datetime"].dataType)))

@@ -973,6 +973,46 @@ def q_medallion_job_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(failures).alias("check_failures"))
 
 
+# --- bronze merged --------------------------------------------------------------------------
+
+_MERGED_PARTS, _MERGED_AGAIN = 4, 1
+_PART_SQL = f"(hour(pickup_datetime) % {_MERGED_PARTS})"
+
+
+@register("bronze_merged", covers="S4 S3 R1: small files merged twice, a merged batch written again in part, a run folded in after it",
+          oracle=O.with_(O.TRIPS) + f"""
+SELECT {O.TRIP_COLS.replace('fare_amount', 'CASE WHEN again THEN fare_amount + 1.0 ELSE fare_amount END AS fare_amount')},
+       source_batch_id, CASE WHEN again THEN '2024-02-09T00:00:00Z' ELSE '2024-02-0' || (part + 1) || 'T00:00:00Z' END AS ingested_at,
+       pickup_date, {O.batch_key_sql("source_batch_id")} AS batch_key, 'full,full,incremental' AS modes
+FROM (SELECT * EXCLUDE (source_batch_id, ingested_at), {_PART_SQL} AS part, 'part/' || {_PART_SQL} AS source_batch_id,
+             CAST(pickup_datetime AS DATE) AS pickup_date,
+             {_PART_SQL} = {_MERGED_AGAIN} AND day(pickup_datetime) <= {_REPLAY_LAST_DAY} AS again FROM trips)""")
+def q_bronze_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips land in four batches by pickup hour. Three are built and merged, one of them is written again for
+    half of its dates, all is built and merged again, and the fourth is folded in."""
+    apply_job_conf(spark)
+    root = fresh_path(spark, "warehouse-merged")
+    paths = job.resolve_paths(root)
+    trips = fixtures.trips(spark, sf_dir).select(*TRIP_COLUMNS)
+
+    def land(part: int, rows: DataFrame, day: int) -> None:
+        bronze.write_bronze(rows.where(F.hour("pickup_datetime") % _MERGED_PARTS == part), paths.bronze_dir,
+                            batch_id=f"part/{part}", ingested_at=datetime(2024, 2, day, tzinfo=UTC))
+
+    modes = []
+    for part in range(_MERGED_PARTS - 1):
+        land(part, trips, part + 1)
+    modes.append(job.run_transforms_incremental(spark, paths).mode)
+    job.merge_bronze(spark, root, least_files=2)
+    land(_MERGED_AGAIN, trips.where(F.dayofmonth("pickup_datetime") <= _REPLAY_LAST_DAY)
+         .withColumn("fare_amount", F.col("fare_amount") + 1.0), 9)
+    modes.append(job.run_transforms_incremental(spark, paths).mode)
+    job.merge_bronze(spark, root, least_files=2)
+    land(_MERGED_PARTS - 1, trips, _MERGED_PARTS)
+    modes.append(job.run_transforms_incremental(spark, paths).mode)
+    return bronze.scan_files(spark, paths.bronze_dir).select(*_BRONZE_COLS.split(", "), F.lit(",".join(modes)).alias("modes"))
+
+
 # --- the job and bronze that others wrote ---------------------------------------------------
 
 _FOREIGN_COLS = [c for c in O.SILVER_COLS.split(", ") if c not in ("ingested_at", "source_batch_id")]

@@ -60,7 +60,7 @@ def test_every_stage_against_brute_force(spark):
 
 def test_registered_queries_against_sql(spark):
     found, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in found if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in found if q.startswith("op")}
     assert "pipeline" in found and set(queries.SQL) <= set(sql)
     con = duckdb.connect()
     for name in ("documents", "pages"):

@@ -183,17 +183,27 @@ def delete_path(spark: SparkSession, location: str) -> None:
         fs.delete(path, True)
 
 
-def delete_if_empty(spark: SparkSession, folder: str) -> None:
-    """Delete a folder that holds nothing; one that does, also since a moment, stays."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path) and not len(fs.listStatus(path)):
-        try:
-            fs.delete(path, False)
-        except Exception:
-            if fs.exists(path) and not len(fs.listStatus(path)):
-                raise
+def delete_files(spark: SparkSession, files: Iterable[str]) -> int:
+    """Delete single files, and of their folders those that are empty then; returns the files.
+
+    A folder that holds something, also since a moment, stays.
+    """
+    jvm, fs, deleted, folders = spark.sparkContext._jvm, None, 0, set()
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = fs or path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(path, False)
+        folders.add(name.rsplit("/", 1)[0])
+        deleted += 1
+    for name in folders:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        if not fs.getContentSummary(path).getFileCount():
+            try:
+                fs.delete(path, False)
+            except Exception:
+                if not fs.getContentSummary(path).getFileCount():
+                    raise
+    return deleted
 
 
 def list_matches(spark: SparkSession, pattern: str) -> list[str]:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faresight.schemas import BRONZE_PAYLOAD_SCHEMA, BRONZE_SCHEMA
-from faresight.session import (STORED_FILES_SCHEMA, create_text, delete_if_empty, delete_path, list_matches,
+from faresight.session import (STORED_FILES_SCHEMA, create_text, delete_files, delete_path, list_matches,
                                path_exists, stored_files)
 
 #: Stored bytes of a merged file, and the fewest small files of a date that are worth a merge.
@@ -230,11 +230,11 @@ def _rows_of(spark: SparkSession, bronze_dir: str, replaced: DataFrame, bins: Da
     own = replaced.where("batch_key IS NOT NULL")
     columns = [f.name for f in BRONZE_PAYLOAD_SCHEMA.fields] + BATCH
     dates = [r.pickup_date for r in replaced.select("pickup_date").distinct().collect()]   # one value a calendar day
-    folders = [p for p in (f"{bronze_dir}/pickup_date={d}/batch_key=*" for d in dates) if path_exists(spark, p)]
+    folders = f"{bronze_dir}/pickup_date={{{','.join(map(str, dates))}}}/batch_key=*"
     parts = []
-    if folders:
+    if path_exists(spark, folders):
         files = own.select(*BATCH, F.element_at(F.split("path", "/"), -1).alias("_file"))
-        parts.append(spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir).parquet(*folders)
+        parts.append(spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_dir).parquet(folders)
                      .withColumn("_file", F.col("_metadata.file_name")).join(files, [*BATCH, "_file"], "left_semi"))
     older = merged_rows(spark, bronze_dir)
     if older is not None:
@@ -268,11 +268,7 @@ def delete_replaced(spark: SparkSession, bronze_dir: str) -> int:
     folders = _folders(spark, bronze_dir)
     old = _table(spark, folders, "replaced", REPLACED_SCHEMA)
     there = stored_files(spark, [bronze_dir, *[f"{f}/rows" for f in folders]]).join(old.select(*FILE), FILE, "left_semi")
-    deleted = 0
-    for r in there.toLocalIterator():
-        delete_path(spark, r.path)
-        delete_if_empty(spark, r.path.rsplit("/", 1)[0])
-        deleted += 1
+    deleted = delete_files(spark, (r.path for r in there.select("path").toLocalIterator()))
     live = {r.id for r in _held(spark, folders).select(F.regexp_extract("path", "/([^/]+)/rows/", 1).alias("id"))
             .distinct().collect()}   # one value a merge
     for folder in folders:

@@ -138,8 +138,8 @@ def test_a_merge_that_stops_changes_nothing_and_is_finished(spark, workdir, monk
             write, calls = job._write_manifest, []
             patched.setattr(job, "_write_manifest", lambda *a: stop() if calls else (calls.append(1), write(*a)))
         else:                     # one of the replaced files is deleted
-            delete, calls = merges.delete_path, []
-            patched.setattr(merges, "delete_path", lambda *a: stop() if calls else (calls.append(1), delete(*a)))
+            delete = merges.delete_files
+            patched.setattr(merges, "delete_files", lambda spark, files: (delete(spark, list(files)[:1]), stop()))
         with pytest.raises(Stop):
             job.merge_bronze(spark, workdir, least_files=4)
     assert _seen(spark, workdir) == before

@@ -52,6 +52,11 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that none meets a name that an operator gives to a column of its own."""
+    return F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+
+
 def row_key() -> Column:
     """Identity of a documents row: equal for equal (doc_id, text), null doc_id included."""
     return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\n"), text_of()))

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faresight.llm.common import SPACE, WORD, row_key, saved, table, text_of
+from faresight.llm.common import SPACE, WORD, row_key, saved, table, text_of, whole_row
 
 #: Contract of the registered query: weights of the sources by code point, repeating.
 WEIGHTS = (5, 2, 1)
@@ -238,17 +238,16 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     ``n_chars``, if there is such a column, counts what is left.
     """
     draws = mix(docs, weights, repeats).draws
-    alike = Window.partitionBy("__key").orderBy(F.col("source").asc_nulls_last())
-    keyed = docs.withColumn("__key", row_key()).withColumn("__copy", F.row_number().over(alike))
-    taken = draws.select(F.col("key").alias("__key"), F.col("copy").alias("__copy"), F.col("words").alias("__words"),
-                         (F.col("words") < F.col("size")).alias("__cut"))
-    words = F.regexp_extract_all(text_of(), F.lit(f"{WORD}(?:{SPACE})?"), F.lit(0))
-    some = F.array_join(F.slice(words, F.lit(1), F.col("__words").cast("int")), "")
-    out = keyed.join(taken, ["__key", "__copy"]).withColumn("text", F.when(F.col("__cut"), some).otherwise(F.col("text")))
+    alike = Window.partitionBy("key").orderBy(F.col("row.source").asc_nulls_last())
+    keyed = docs.select(whole_row(docs), row_key().alias("key")).withColumn("copy", F.row_number().over(alike))
+    taken = draws.select("key", "copy", "words", (F.col("words") < F.col("size")).alias("cut"))
+    words = F.regexp_extract_all(text_of("row.text"), F.lit(f"{WORD}(?:{SPACE})?"), F.lit(0))
+    some = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")
+    text = F.when(F.col("cut"), some).otherwise(F.col("row.text"))
+    made = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__cut"), F.length("text")).otherwise(F.col("n_chars"))
-                             .cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        made["n_chars"] = F.when(F.col("cut"), F.length(text)).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return keyed.join(taken, ["key", "copy"]).select(*[made.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faresight.llm.common import bytes_of, map_arrow, record, row_key, saved, slices, table, text_of
+from faresight.llm.common import bytes_of, map_arrow, record, row_key, saved, slices, table, text_of, whole_row
 
 #: Contract of the registered query.
 SHINGLE_WORDS = 3
@@ -296,10 +296,10 @@ def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = RADIUS)
     """
     found = near_duplicates(docs, width, radius)
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_key")
-    stays = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.row_key").alias("__row_key"))
-    one = Window.partitionBy("__row_key").orderBy("__row_key")
-    return (docs.withColumn("__row_key", row_key()).join(stays, "__row_key", "left_semi")
-            .withColumn("__row_number", F.row_number().over(one)).where("__row_number = 1").select(*docs.columns))
+    stays = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.row_key").alias("row_key"))
+    one = Window.partitionBy("row_key").orderBy("row_key")
+    return (docs.select(whole_row(docs), row_key().alias("row_key")).join(stays, "row_key", "left_semi")
+            .withColumn("number", F.row_number().over(one)).where("number = 1").select("row.*"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,8 @@ ROWS = [
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use for columns of their own.
 CLASHING = ["fp", "root", "component_id", "digest", "key", "copy", "size", "sid", "shard", "occurrence", "kept", "g", "at",
-            "held_out", "score", "h", "bucket", "block", "taken", "start", "payload", "original", "url_key", "found", "new"]
+            "held_out", "score", "h", "bucket", "block", "taken", "start", "payload", "original", "url_key", "found", "new",
+            "row", "row_key", "number", "words", "cut", "__key", "__copy", "__words", "__cut", "__row_key", "__row_number"]
 
 
 def documents(spark):

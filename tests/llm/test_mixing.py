@@ -106,6 +106,8 @@ def test_mixed_documents_have_the_words_drawn(spark):
     want = sorted(r.words for r in drawn.collect())
     got = sorted(len(r.text.encode().split()) for r in out.select("text").collect())
     assert got == want
+    for name in odd.CLASHING:   # what a user's column holds comes back
+        assert {r[name] for r in out.select(name).collect()} == {f"extra {name}"}
 
 
 def test_empty_table(spark):

@@ -252,9 +252,10 @@ def sample_features(rows: DataFrame) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     """A model from ``labels(doc_id, quality)``, without the rows where ``held_out`` holds.
 
-    Positives are rows labelled 1; unlabelled are rows without a label, or all
-    rows that are not positive if every row has one. Of each at most
-    ``SAMPLE`` rows, those with the smallest hashes of doc_id, are used.
+    Positives are rows labelled 1. Unlabelled are rows of any label or none,
+    whose label is not looked at, so that they are spread like the whole table,
+    as the risk and the prior assume. Of each at most ``SAMPLE`` rows, those
+    with the smallest hashes of doc_id, are used.
     Rows without doc_id are never used.
     """
     known = (labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -263,10 +264,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull() & ~held_out).distinct()
     ids = saved(ids.join(known, "doc_id", "left").withColumn("h", F.xxhash64(F.lit(8), "doc_id")), "training-ids")
     positive = ids.where("__quality = 1").orderBy("h", "doc_id").limit(SAMPLE)
-    unlabelled = ids.where("__quality IS NULL")
-    if unlabelled.isEmpty():
-        unlabelled = ids.where("__quality = 0")
-    unlabelled = unlabelled.orderBy("h", "doc_id").limit(SAMPLE)
+    unlabelled = ids.orderBy("h", "doc_id").limit(SAMPLE)
     chosen = saved(positive.withColumn("p", F.lit(1)).union(unlabelled.withColumn("p", F.lit(0)))
                    .select(F.col("doc_id").alias("__id"), "h", "p"), "training-sample")
     # of rows with equal doc_id one stands for all, so that the sample stays within its bound

@@ -139,7 +139,13 @@ def test_a_merge_that_stops_changes_nothing_and_is_finished(spark, workdir, monk
             patched.setattr(job, "_write_manifest", lambda *a: stop() if calls else (calls.append(1), write(*a)))
         else:                     # one of the replaced files is deleted
             delete = merges.delete_files
-            patched.setattr(merges, "delete_files", lambda spark, files: (delete(spark, list(files)[:1]), stop()))
+
+            def first_only(spark, files):
+                files = list(files)
+                delete(spark, files[:1])
+                return stop() if files else 0
+
+            patched.setattr(merges, "delete_files", first_only)
         with pytest.raises(Stop):
             job.merge_bronze(spark, workdir, least_files=4)
     assert _seen(spark, workdir) == before

@@ -7,6 +7,7 @@ costs a reread and not a result.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import io
 import os
@@ -97,9 +98,28 @@ def write_bytes(spark: SparkSession, location: str, data: bytes) -> None:
 
 
 def map_arrow(df: DataFrame, kernel, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers first."""
+    """``mapInArrow`` with the package shipped to the workers first.
+
+    Workers outlive their tasks, so that a task gives back what it has freed:
+    else every executor holds the largest need of each stage before.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(kernel, schema)
+
+    def task(batches):
+        try:
+            yield from kernel(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return the memory that this process has freed to the system, where it is glibc's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",

@@ -34,6 +34,8 @@ BAND = 32
 BLOCK_BYTES = 32 << 20
 #: Items that are looked for in one pass, about.
 BLOCK_ITEMS = 100_000
+#: Text bytes that are searched at a time; a task takes some 65 bytes of memory for each.
+SEARCH_BYTES = 1 << 20
 #: Size of the table that tells most grams that are in no item, as a power of two.
 TABLE_BITS = 22
 
@@ -235,7 +237,7 @@ def _note(best: dict, text: int, start: int, end: int, edits: int) -> None:
 
 def _kernel_matches(items: Items):
     def kernel(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SEARCH_BYTES):
             data, starts, origins = normalised(batch.column(1))
             found = find(items, data, starts)
             if not found:
@@ -283,7 +285,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
     """``docs`` without the rows that hold an item; columns as they were."""
     def kernel_of(items: Items):
         def kernel(batches):
-            for batch in slices(batches):
+            for batch in slices(batches, limit=SEARCH_BYTES):
                 data, starts, _ = normalised(batch.column("text").fill_null(""))
                 good = np.ones(batch.num_rows, bool)
                 good[[t for t, *_ in find(items, data, starts)]] = False

@@ -231,7 +231,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
 def _stream(name: str = "text"):
     """A kernel's (batch, features) in runs of bounded size."""
     def runs(batches):
-        for batch in slices(batches, name, 2 << 20):
+        for batch in slices(batches, name, 1 << 20):
             yield batch, features(*bytes_of(batch.column(name).fill_null("")))
     return runs
 

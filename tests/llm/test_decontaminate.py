@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from faresight.llm import decontaminate as dc
 from faresight.llm.common import table
@@ -128,3 +130,24 @@ def test_blocks_are_bounded_by_their_number_of_items(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"here is {t} again") for i, t in items], "doc_id long, text string")
     rows = dc.matches(docs, frame).collect()
     assert {(r.doc_id, r.item_id) for r in rows if r.edits == 0} == {(i, i) for i in range(10)}
+
+
+def test_a_search_takes_little_memory(spark, monkeypatch):
+    """Both kernels work on a run of texts at a time, however large the batches are that they are given."""
+    kernels = []
+    monkeypatch.setattr(dc, "map_arrow", lambda df, kernel, schema: kernels.append(kernel) or df)
+    items = spark.createDataFrame([(1, "a passage of the benchmark that some of the texts hold")], "item_id long, text string")
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    dc.clean(docs, items)
+    dc.matches(docs, items)
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(["passage", "benchmark", "words", "that", "tell", "little"], k=300)) for _ in range(4_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(4_000)), "text": texts})
+    assert len(kernels) == 2 and batch.nbytes > 6 << 20
+    for kernel in kernels:
+        tracemalloc.start()
+        for _ in kernel([batch]):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 150 << 20

@@ -15,12 +15,18 @@ on the text alone. Scores are shifted so that the threshold of every language
 lies at ``THRESHOLD``; languages with fewer than ``LEAST`` toxic rows to set
 one by share the threshold of all.
 
-The model is fitted on a bounded sample of labelled rows: at most ``TOXIC`` and
-``OTHERS`` rows of either kind and ``SAMPLE_BYTES`` of their whole texts.
+All labelled rows train the model. At most ``TOXIC`` and ``OTHERS`` rows of
+either kind and ``SAMPLE_BYTES`` of their whole texts are fitted at once. Where
+there are more, that net is only the start: the rows are dealt into shards of
+about ``SHARD_BYTES``, and in each of ``ROUNDS`` rounds every shard trains the
+net in a task of its own and the changes are averaged, those of an embedding
+over the shards that changed it. Log odds are counted, and thresholds set, over
+all rows; then scores to set thresholds by are rounded to 1 / ``STEPS``.
 """
 
 from __future__ import annotations
 
+import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,13 +34,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.common import bytes_of, map_arrow, saved, slices, table, text_of
+from faresight.llm.common import bytes_of, map_arrow, record, saved, ship, slices, table, text_of
 
 #: Contract of the registered query.
 THRESHOLD = 0.7
 
-#: Most rows of either kind, and bytes of their texts, that a model is fitted on.
+#: Most rows of either kind, and bytes of their texts, that are fitted at once.
 TOXIC, OTHERS, SAMPLE_BYTES = 3_000, 5_000, 48 << 20
+#: Bytes of texts that a task trains on at once, and rounds over all of them.
+SHARD_BYTES, ROUNDS = 16 << 20, 4
+#: Steps to which a score is rounded where thresholds are set over many rows, and the largest score told apart.
+STEPS, FARTHEST = 256, 64
 #: Toxic rows kept from training that a threshold of a language's own takes.
 LEAST = 8
 
@@ -167,6 +177,7 @@ class Net:
 
     def __init__(self, odds: np.ndarray):
         rng = np.random.default_rng(13)
+        self.odds = odds
         self.embedding = rng.normal(0, 0.02, (BUCKETS, NUMBERS)).astype(np.float32)
         self.embedding[:, 0] = odds
         self.embedding[0] = 0
@@ -223,6 +234,11 @@ def pooled(z: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def log_odds(w: Words, toxic: np.ndarray) -> np.ndarray:
     """By bucket: log odds of toxic against other texts that hold it, two standard errors nearer to zero."""
+    return odds_of(*held_by(w, toxic), (toxic == 0).sum(), toxic.sum())
+
+
+def held_by(w: Words, toxic: np.ndarray) -> list[np.ndarray]:
+    """By bucket: how many of the other texts, and of the toxic ones, hold it."""
     text = np.repeat(np.arange(len(toxic)), np.diff(w.ends))
     own = np.unique(text * len(w.hashes) + w.at)   # different words of a text
     text, word = own // max(1, len(w.hashes)), own % max(1, len(w.hashes))
@@ -232,24 +248,38 @@ def log_odds(w: Words, toxic: np.ndarray) -> np.ndarray:
         for column in range(FEATURES):
             pairs = np.unique(text[own_kind] * BUCKETS + w.features[word[own_kind], column])
             held[kind] += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
-    n, p = held[0] + 0.5, held[1] + 0.5
-    odds = np.log(p / (toxic.sum() + 1)) - np.log(n / ((toxic == 0).sum() + 1))
+    return held
+
+
+def odds_of(in_others: np.ndarray, in_toxic: np.ndarray, others: int, toxic: int) -> np.ndarray:
+    n, p = in_others + 0.5, in_toxic + 0.5
+    odds = np.log(p / (toxic + 1)) - np.log(n / (others + 1))
     sure = np.maximum(0, np.abs(odds) - 2 * np.sqrt(1 / p + 1 / n))
     return (np.sign(odds) * sure).astype(np.float32)
 
 
 def train(w: Words, toxic: np.ndarray, rows: np.ndarray) -> Net:
-    """A net fitted to the texts ``rows``; each step follows the gradient, scaled by the root of its past squares."""
+    """A net fitted to the texts ``rows``."""
     chosen = Words(*_texts(w, rows))
     net = Net(log_odds(chosen, toxic[rows]))
+    descend(net, chosen, toxic[rows], EPOCHS, weight_of((toxic[rows] == 0).sum(), toxic[rows].sum()))
+    return net
+
+
+def weight_of(others: int, toxic: int) -> float:
+    """What a toxic text counts in training, against another one."""
+    return min(4.0, max(1.0, others / max(1, toxic)))
+
+
+def descend(net: Net, chosen: Words, toxic: np.ndarray, epochs: int, heavy: float) -> None:
+    """Train ``net`` on all texts; each step follows the gradient, scaled by the root of its past squares."""
     parts = [net.embedding, *net.filters, net.bias, net.unit]
     squares = [np.full(p.shape, 0.1, np.float32) for p in parts]
     constant_squares = 0.1
-    heavy = min(4.0, max(1.0, (toxic[rows] == 0).sum() / max(1, toxic[rows].sum())))
     rng = np.random.default_rng(17)
-    for _ in range(EPOCHS):
-        for batch in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH)):
-            y = toxic[rows][batch]
+    for _ in range(epochs):
+        for batch in np.array_split(rng.permutation(len(toxic)), max(1, len(toxic) // BATCH)):
+            y = toxic[batch]
             place, starts, valid = padded(chosen, batch)
             features = np.where(place[:, None] >= 0, chosen.features[place], 0) if len(chosen.features) else \
                 np.zeros((len(place), FEATURES), np.int32)
@@ -288,7 +318,6 @@ def train(w: Words, toxic: np.ndarray, rows: np.ndarray) -> Net:
                 part -= RATE * slope / np.sqrt(square)
             constant_squares += float(d.sum()) ** 2
             net.constant = np.float32(net.constant - RATE * d.sum() / np.sqrt(constant_squares))
-    return net
 
 
 def _texts(w: Words, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -299,12 +328,17 @@ def _texts(w: Words, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return at, ends, w.hashes, w.features
 
 
-def threshold(z: np.ndarray, toxic: np.ndarray) -> float:
-    """The middle of the widest gap among those cuts that misjudge the smallest shares of both kinds together."""
+def threshold(z: np.ndarray, toxic: np.ndarray, times: np.ndarray | None = None) -> float:
+    """The middle of the widest gap among those cuts that misjudge the smallest shares of both kinds together.
+
+    ``times``: how many rows each score stands for.
+    """
     order = np.argsort(z, kind="stable")
+    times = np.ones(len(z), np.int64) if times is None else times[order]
     z, toxic = z[order], toxic[order]
-    missed = np.r_[0, np.cumsum(toxic)] / max(1, toxic.sum())
-    wrong = 1 - np.r_[0, np.cumsum(toxic == 0)] / max(1, (toxic == 0).sum())
+    bad, good = times * (toxic == 1), times * (toxic == 0)
+    missed = np.r_[0, np.cumsum(bad)] / max(1, bad.sum())
+    wrong = 1 - np.r_[0, np.cumsum(good)] / max(1, good.sum())
     cost = missed + wrong
     # a cut lies between two rows; beyond the ends it lies one away
     low, high = np.r_[z[0] - 2, z], np.r_[z, z[-1] + 2]
@@ -336,28 +370,116 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
     if len(kinds) < 2:
         return Model(None, np.zeros(len(LANGUAGES)))
     w = words_of(texts)
-    number = np.zeros(len(toxic), np.int64)
-    for kind in kinds:
-        number[toxic == kind] = np.arange((toxic == kind).sum())
-    apart = number % 4 == 3
+    apart = set_apart(toxic)
     if len(np.unique(toxic[apart])) < 2:
         apart = np.zeros(len(toxic), bool)
     net = train(w, toxic, np.flatnonzero(~apart))
     judge = np.flatnonzero(apart) if apart.any() else np.arange(len(toxic))
-    z, y, spoken = net.logits(Words(*_texts(w, judge))), toxic[judge], language(w)[judge]
-    cuts = np.full(len(LANGUAGES), threshold(z, y))
+    return Model(net, thresholds(net.logits(Words(*_texts(w, judge))), toxic[judge], language(w)[judge],
+                                 np.ones(len(judge), np.int64)))
+
+
+def set_apart(toxic: np.ndarray) -> np.ndarray:
+    """Every fourth text of either kind."""
+    number = np.zeros(len(toxic), np.int64)
+    for kind in np.unique(toxic):
+        number[toxic == kind] = np.arange((toxic == kind).sum())
+    return number % 4 == 3
+
+
+def thresholds(z: np.ndarray, toxic: np.ndarray, spoken: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """By language; ``times`` as for ``threshold``."""
+    cuts = np.full(len(LANGUAGES), threshold(z, toxic, times))
     for k in range(len(LANGUAGES)):
         own = spoken == k
-        if y[own].sum() >= LEAST and (y[own] == 0).sum() >= LEAST:
-            cuts[k] = threshold(z[own], y[own])
-    return Model(net, cuts)
+        if min(times[own & (toxic == 1)].sum(), times[own & (toxic == 0)].sum()) >= LEAST:
+            cuts[k] = threshold(z[own], toxic[own], times[own])
+    return cuts
+
+
+def _flat(net: Net) -> np.ndarray:
+    """All that is trained, in rows of ``NUMBERS``: the embeddings first."""
+    rest = np.concatenate([*[f.ravel() for f in net.filters], net.bias, net.unit.ravel(), [net.constant]])
+    rest = np.r_[rest, np.zeros(-len(rest) % NUMBERS)].astype(np.float32)
+    return np.concatenate([net.embedding, rest.reshape(-1, NUMBERS)])
+
+
+def _moved(net: Net, change: np.ndarray) -> None:
+    """Add a change in the form of ``_flat``."""
+    net.embedding += change[:BUCKETS]
+    rest, at = change[BUCKETS:].ravel(), 0
+    for part in (*net.filters, net.bias, net.unit):
+        part += rest[at:at + part.size].reshape(part.shape)
+        at += part.size
+    net.constant = np.float32(net.constant + rest[at])
+
+
+def _shard_of(rows: pa.Table) -> tuple[Words, np.ndarray]:
+    """The texts of a shard, in an order of their own, and whether they are toxic."""
+    rows = rows.sort_by([("h", "ascending"), ("id", "ascending")])
+    return words_of([t.encode() for t in rows["text"].to_pylist()]), rows["y"].to_numpy().astype(np.int64)
+
+
+def carried_on(start: Model | None, rows: DataFrame) -> Model:
+    """``start`` trained further on ``rows(id, h, y, text, apart, shard)``, whose ``apart`` ones set the thresholds."""
+    counts = {(r["apart"], r["y"]): r["n"] for r in rows.groupBy("apart", "y").agg(F.count("*").alias("n")).collect()}
+    if not any(y for _, y in counts) or all(y for _, y in counts):
+        return Model(None, np.zeros(len(LANGUAGES)))
+    learnt = rows.where(~F.col("apart")) if counts.get((False, 0)) and counts.get((False, 1)) else rows
+    judging = rows.where("apart") if counts.get((True, 0)) and counts.get((True, 1)) else rows
+    others, toxic = (sum(n for (apart, y), n in counts.items() if y == k and (learnt is rows or not apart)) for k in (0, 1))
+    ship(rows.sparkSession)
+
+    def count(shard: pa.Table) -> pa.Table:
+        in_others, in_toxic = held_by(*_shard_of(shard))
+        at = np.flatnonzero(in_others + in_toxic)
+        return pa.table({"key": at, "n": in_others[at].astype(np.int64), "p": in_toxic[at].astype(np.int64)})
+
+    found = (learnt.groupBy("shard").applyInArrow(count, "key long, n long, p long")
+             .groupBy("key").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).toArrow())   # BUCKETS rows at most
+    held = np.zeros((2, BUCKETS))
+    held[:, found["key"].to_numpy()] = found["n"].to_numpy(), found["p"].to_numpy()
+    odds = odds_of(*held, others, toxic)
+    net = start.net if start and start.net else Net(odds)
+    # the odds of all rows in the place of those that the start began with; what it learnt besides stays
+    net.embedding[1:, 0] += (odds - net.odds)[1:]
+    net.odds = odds
+    names = [f"c{i}" for i in range(NUMBERS)]
+
+    def step(shard: pa.Table) -> pa.Table:
+        own = copy.deepcopy(net)
+        descend(own, *_shard_of(shard), 1, weight_of(others, toxic))
+        change = _flat(own) - _flat(net)
+        at = np.flatnonzero((change != 0).any(1) | (np.arange(len(change)) >= BUCKETS))
+        return pa.table({"key": at} | {c: change[at, i].astype(np.float64) for i, c in enumerate(names)})
+
+    for _ in range(ROUNDS):
+        got = (learnt.groupBy("shard").applyInArrow(step, "key long, " + ", ".join(f"{c} double" for c in names))
+               .groupBy("key").agg(*[F.avg(c).alias(c) for c in names]).toArrow())   # the net's own size at most
+        change = np.zeros(_flat(net).shape, np.float32)
+        change[got["key"].to_numpy()] = np.stack([got[c].to_numpy() for c in names], 1)
+        _moved(net, change)
+
+    schema = pa.schema([("cell", pa.int32()), ("spoken", pa.int32()), ("y", pa.int32())])
+
+    def judge(batches):
+        for batch in slices(batches, limit=1 << 20):
+            w = words(*bytes_of(batch.column("text")))
+            cell = np.floor(np.clip(net.logits(w), -FARTHEST, FARTHEST) * STEPS)
+            yield record(schema, cell.astype(np.int32), language(w).astype(np.int32), batch.column("y"))
+
+    cells = (map_arrow(judging.select("text", "y"), judge, "cell int, spoken int, y int")
+             .groupBy("cell", "spoken", "y").agg(F.count("*").alias("n")).toArrow())   # bounded by the steps
+    cell, spoken, y, n = (cells[c].to_numpy() for c in ("cell", "spoken", "y", "n"))
+    return Model(net, thresholds((cell + 0.5) / STEPS, y, spoken, n))
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     """A model from ``labels(doc_id, toxic)``, without the rows where ``held_out`` holds.
 
-    Of each kind, the rows with the smallest hashes of doc_id are used up to
-    the sample's bounds; texts that come twice are used once. If a doc_id has
+    All of them are used. Of each kind, the rows with the smallest hashes of
+    doc_id are fitted first, up to the bounds of one fit; if there are more, all
+    train the net further. Texts that come twice are used once. If a doc_id has
     several labels the highest holds; rows without doc_id or label are not
     used. Only doc_id and text are read of ``docs``.
     """
@@ -377,10 +499,26 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).join(F.broadcast(picked), "id")
     texts = texts.groupBy("id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     got = texts.toArrow().sort_by([("h", "ascending"), ("id", "ascending")])
-    unlike = {}
-    for text, y in zip(got["text"].to_pylist(), got["y"].to_pylist()):
+    unlike, first = {}, {}
+    for text, y, own in zip(got["text"].to_pylist(), got["y"].to_pylist(), got["id"].to_pylist()):
         unlike[text] = max(y, unlike.get(text, 0))
-    return fit([t.encode() for t in unlike], np.array([*unlike.values()], np.int64))
+        first.setdefault(text, own)
+    toxic = np.array([*unlike.values()], np.int64)
+    start = fit([t.encode() for t in unlike], toxic)
+    rows, size = ids.agg(F.count("*"), F.sum("size")).first()
+    if rows == len(chosen):
+        return start
+    # what the start was trained on sets no thresholds
+    told = spark.createDataFrame(list(zip(first.values(), set_apart(toxic).tolist())), "id long, told boolean")
+    shards = -(-size // SHARD_BYTES)
+    every = (docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).join(ids, "id")
+             .groupBy("id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+             .groupBy(F.sha2("text", 256)).agg(F.min(F.struct("h", "id")).alias("first"), F.max("y").alias("y"),
+                                               F.any_value("text").alias("text"))
+             .select("first.*", "y", "text").join(F.broadcast(told), "id", "left")
+             .select("id", "h", "y", "text", F.coalesce("told", F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(4)) == 3).alias("apart"),
+                     F.pmod("h", F.lit(max(1, shards))).alias("shard")))
+    return carried_on(start, saved(every, "training-texts"))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

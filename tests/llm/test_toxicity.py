@@ -141,3 +141,28 @@ def test_the_sample_is_bounded(spark, monkeypatch):
     labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     toxicity.learn(docs, labels, F.lit(False))
     assert sizes[0][0] == 5 and 0 < sizes[0][1] <= 30 and sizes[0][2] <= 400
+
+
+def test_all_labelled_rows_train_and_set_thresholds(spark, monkeypatch):
+    """More rows than are fitted at once: markers that the first fit can't know are learnt from the others."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(800):
+        toxic = i % 4 == 0
+        plain = " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "epsilon"], 20))
+        marker = ["clownish", "moronic", "wretched", "pathetic", "loathsome", "vile", "stupid", "idiotic"][i // 4 % 8]
+        rows.append((i, f"{plain} number{i} {marker if toxic else 'kind'}", int(toxic)))
+    table_ = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    for name, most in (("TOXIC", 4), ("OTHERS", 12), ("SHARD_BYTES", 30_000)):
+        monkeypatch.setattr(toxicity, name, most)
+    model = toxicity.learn(table_.select("doc_id", "text"), table_.select("doc_id", "toxic"), F.col("doc_id") % 5 == 0)
+    got = {r.doc_id: r.predicted for r in toxicity.scored(table_, model).collect()}
+    held = [(got[i], y) for i, _, y in rows if i % 5 == 0]
+    assert sum(p == y for p, y in held) / len(held) > 0.97
+
+
+def test_threshold_of_scores_that_stand_for_many():
+    rng = np.random.default_rng(1)
+    z, y = rng.normal(0, 1, 200).round(1), rng.integers(0, 2, 200)
+    cells, times = np.unique(np.c_[z, y], axis=0, return_counts=True)
+    assert np.isclose(toxicity.threshold(z, y), toxicity.threshold(cells[:, 0], cells[:, 1].astype(int), times))

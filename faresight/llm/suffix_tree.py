@@ -4,12 +4,13 @@ Symbols are the words of the training texts, an end symbol after each text,
 and one symbol for every word that training has not seen. A state of the tree
 is a context of any number of symbols (a text's beginning counts as one); levels
 are added until no candidate of a level becomes a state. Contexts
-that make up at least ``CONTEXT_SHARE`` of training are candidates; a
+that training holds ``FLOOR`` times are candidates, and symbols that follow one
+``LEAST`` times are listed, however large the training is; a
 candidate becomes a state if its next-symbol distribution diverges from that of
 its longest shorter state by more than its own size explains: the log-likelihood
 it gains on its counts has to exceed half a logarithm of its count for each
 symbol that it lists; from contexts of three symbols on, by the logarithm of the
-number of candidates in its level too, since of many some gain by chance. Distributions are smoothed with the shorter state's, the
+number of candidates of two symbols too, since of many some gain by chance. Distributions are smoothed with the shorter state's, the
 root's by absolute discounting, whose mass is the unseen symbol's. A text is
 scored with the longest suffix state at every place.
 
@@ -18,9 +19,15 @@ writes each as token numbers with the block's own vocabulary, bucketed by
 block. Counts of a vocabulary entry meet by the word's 64-bit hash and go back
 to their block, so that what is shuffled is a row per block and word, never a
 row per token. Words are counted over all training texts; context counts too,
-level by level. What the tasks receive of the model is bounded: at most
-1 / CONTEXT_SHARE contexts and 1 / ENTRY_SHARE listed symbols per level, since
-counts in a level add up to no more than the training tokens.
+level by level. The model of up to ``SMALL`` training tokens is sent whole to
+the tasks (``learn``). A larger one is nowhere whole (``joined``): for every
+level, each block sends its different pairs of a candidate and a symbol to
+buckets by context, where counts of all blocks meet and the test is made; the
+counts and what states leave to the shorter one go back to the block, which
+knows with them the probabilities that the next level starts from. The pairs of
+contexts with at least ``HEAD_SHARE`` of training, 1 / HEAD_SHARE a level at
+most, are dealt to buckets by pair instead, and their test is made on the sums
+of all buckets.
 """
 
 from __future__ import annotations
@@ -32,22 +39,29 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.common import bytes_of, map_arrow, record, release, saved, slices, table, text_of
-from faresight.session import fresh_path
-
-CONTEXT_SHARE = 2e-4
-ENTRY_SHARE = 5e-7
+from faresight.llm.common import bytes_of, give_back, map_arrow, record, release, saved, slices, table, text_of
+from faresight.session import delete_path, fresh_path
+
+#: Least count of a context that is a candidate, and of a symbol that is listed after it.
+FLOOR, LEAST = 4, 2
+#: Training tokens up to which the model is sent whole: at most half as many listed symbols a level.
+SMALL = 1_000_000
+#: From this share of training on, a context's pairs are spread over all buckets.
+HEAD_SHARE = 2e-4
+#: Training tokens for each bucket of pairs.
+BUCKET_TOKENS = 1_000_000
 #: Weight, in counts, of the shorter state in a state's distribution.
 PRIOR = 20.0
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 
-#: Hashes of the end symbol and of a text's beginning; words hash to XXH64 with seed 42.
-END, BEGIN = 1, 2
+#: Hashes of any symbol that cannot be listed, the end symbol and a text's beginning; words hash to XXH64 with seed 42.
+RARE, END, BEGIN = 0, 1, 2
 
 _BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
                     ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary()), ("hashes", pa.list_(pa.int64())),
@@ -85,8 +99,8 @@ def _block_kernel(batches):
                      [hashes.view(np.int64)], [learnt.astype(np.int32)])
 
 
-def _bucketed(df: DataFrame, label: str, buckets: int, placed: bool) -> DataFrame:
-    """``df`` as a table bucketed by block, so that joins on block read it in place.
+def _bucketed(df: DataFrame, label: str, buckets: int, placed: bool) -> tuple[DataFrame, str]:
+    """``df`` as a table bucketed by block, so that joins on block read it in place; and its folder.
 
     ``placed``: rows are few and large and are written from where they are;
     else they are gathered by bucket first.
@@ -94,9 +108,9 @@ def _bucketed(df: DataFrame, label: str, buckets: int, placed: bool) -> DataFram
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
     rows = df if placed else df.repartition(buckets, "block")
-    (rows.write.bucketBy(buckets, "block").option("path", fresh_path(spark, label)).option("compression", "zstd")
-     .saveAsTable(name))
-    return spark.table(name)
+    folder = fresh_path(spark, label)
+    rows.write.bucketBy(buckets, "block").option("path", folder).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name), folder
 
 
 @dataclass
@@ -196,8 +210,24 @@ def _prob(tree: Tree, roots: dict[int, float], states: np.ndarray, symbols: np.n
     return out
 
 
+def _judged(totals: np.ndarray, listed: np.ndarray, n: np.ndarray, mass: np.ndarray, below_mass: np.ndarray,
+            gain: np.ndarray, depth: int, candidates: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which candidates pass the divergence test, and the log weight of the shorter state for what they do not list.
+
+    ``totals``: how often each occurs. Of its listed symbols: ``listed`` the number, ``n`` the counts,
+    ``mass`` and ``below_mass`` the probabilities in it and in the shorter state, ``gain`` the log-likelihood gained.
+    ``candidates``: those of two symbols.
+    """
+    rest = np.log(np.maximum(1 - mass, 1e-12)) - np.log(np.maximum(1 - below_mass, 1e-12))
+    cost = 0.5 * np.log(np.maximum(2, totals)) * listed
+    if depth > 2:
+        # without an end to the levels there are many candidates, some of which gain by chance
+        cost = cost + math.log(candidates)
+    return (gain + np.maximum(0, totals - n) * rest > cost) & (listed > 0), rest
+
+
 def _grow(tree: Tree, found: pa.Table, totals: np.ndarray, parents: np.ndarray, roots: dict[int, float],
-          codes: np.ndarray) -> Tree:
+          codes: np.ndarray, candidates: int) -> Tree:
     """The tree with the candidates that pass the divergence test as states of a new level.
 
     ``found``: listed symbols of the candidates; ``totals``: how often each
@@ -210,15 +240,9 @@ def _grow(tree: Tree, found: pa.Table, totals: np.ndarray, parents: np.ndarray,
     smooth = (n + PRIOR * below) / (totals[context] + PRIOR)
     listed = np.bincount(context, minlength=len(codes))
     mass, below_mass = np.bincount(context, smooth, len(codes)), np.bincount(context, below, len(codes))
-    rest = np.log(np.maximum(1 - mass, 1e-12)) - np.log(np.maximum(1 - below_mass, 1e-12))
-    others = np.maximum(0, totals - np.bincount(context, n, len(codes)))
-    gain = np.bincount(context, n * (np.log(smooth) - np.log(below)), len(codes)) + others * rest
-    cost = 0.5 * np.log(np.maximum(2, totals)) * listed
-    if len(tree.levels) > 1:
-        # without an end to the levels there are ever more candidates, some of which gain by chance
-        cost += math.log(len(codes))
-    kept = gain > cost
-    kept &= listed > 0
+    kept, rest = _judged(totals, listed, np.bincount(context, n, len(codes)), mass, below_mass,
+                         np.bincount(context, n * (np.log(smooth) - np.log(below)), len(codes)),
+                         len(tree.levels) + 1, candidates)
     first = len(tree.parent)
     states = np.where(kept, first + np.cumsum(kept) - 1, -1)
     use = kept[context]
@@ -259,35 +283,39 @@ class Root:
         return np.log10((total + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
 
 
-def learn(blocks: DataFrame, words: DataFrame) -> tuple[Root, Tree]:
-    """``blocks`` with totals by vocabulary entry; ``words``: (hash, total) of all symbols."""
-    seen = words.where("total > 0")
-    tokens, kinds, ones, twos = seen.agg(
+def root_of(words: DataFrame) -> Root:
+    """``words``: (hash, total) of all symbols."""
+    tokens, kinds, ones, twos = words.where("total > 0").agg(
         F.coalesce(F.sum("total"), F.lit(0)), F.count("*"), F.count(F.when(F.col("total") == 1, 1)),
         F.count(F.when(F.col("total") == 2, 1))).first()
-    root = Root(tokens, kinds, ones / (ones + 2 * twos) if ones and twos else 0.5)
-    least = max(2, math.ceil(ENTRY_SHARE * tokens))
-    floor = max(2 * least, math.ceil(CONTEXT_SHARE * tokens))
-    frequent = seen.where(F.col("total") >= floor).toArrow()
+    return Root(tokens, kinds, ones / (ones + 2 * twos) if ones and twos else 0.5)
+
+
+def learn(blocks: DataFrame, words: DataFrame, root: Root) -> Tree:
+    """The tree, whole. ``blocks`` with totals by vocabulary entry; ``words`` as for ``root_of``."""
+    seen = words.where("total > 0")
+    frequent = seen.where(F.col("total") >= FLOOR).toArrow()
     counts = dict(zip(frequent["hash"].to_pylist(), frequent["total"].to_pylist()))
     counts[BEGIN] = counts.pop(END, 0)  # as a context, the beginning stands for the end before it
-    tree = Tree(words=np.sort(np.array([h for h, n in counts.items() if n >= floor], np.int64)))
+    tree = Tree(words=np.sort(np.array([h for h, n in counts.items() if n >= FLOOR], np.int64)))
     if not len(tree.words):
-        return root, tree
+        return tree
     codes = np.arange(len(tree.words))
     totals = np.array([counts[h] for h in tree.words.tolist()], np.int64)
     roots: dict[int, float] = {}
     # of each candidate: its place without the first symbol, and the longest shorter state
     suffix, below = np.full(len(codes), -1, np.int64), np.full(len(codes), -1, np.int64)
+    candidates = 0
     while len(codes):
         depth = len(tree.levels) + 1
-        found = _next_counts(blocks, tree, depth, codes, least)
+        found = _next_counts(blocks, tree, depth, codes, LEAST)
         new = np.setdiff1d(np.unique(found["symbol"].to_numpy()), np.array(list(roots), np.int64))
         if len(new):
             listed = words.sparkSession.createDataFrame(pa.table({"hash": new}))
             got = seen.join(listed, "hash").toArrow()
             roots.update(zip(got["hash"].to_pylist(), root.log(got["total"].to_numpy()).tolist()))
-        grown = _grow(tree, found, totals, below, roots, codes)
+        candidates = len(codes) if depth == 2 else candidates
+        grown = _grow(tree, found, totals, below, roots, codes, candidates)
         states = grown.levels[-1].states
         if depth > 1 and not (states >= 0).any():
             break
@@ -295,7 +323,7 @@ def learn(blocks: DataFrame, words: DataFrame) -> tuple[Root, Tree]:
         # contexts that are one longer: a context and a frequent word that follows it
         after = _find(tree.words, found["symbol"].to_numpy())
         n = found["n"].to_numpy()
-        use = (after >= 0) & (n >= floor)
+        use = (after >= 0) & (n >= FLOOR)
         before, after, n = found["context"].to_numpy()[use], after[use], n[use]
         order = np.lexsort((after, before))
         before, after, totals = before[order], after[order], n[order]
@@ -304,13 +332,18 @@ def learn(blocks: DataFrame, words: DataFrame) -> tuple[Root, Tree]:
         shorter = after if depth == 1 else _find(last, suffix[before] * len(tree.words) + after)
         codes, below = longer, np.where(states >= 0, states, below)[shorter]
         suffix = shorter
-    return root, tree
+    return tree
 
 
-def _score_kernel(tree: Tree, root: Root):
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+_SCORED_SQL = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+               "score double")
+
 
+def _score_kernel(tree: Tree, root: Root):
     def kernel(batches):
         for batch in batches:
             for ids, held, sizes, tokens, hashes, totals in _rows(batch):
@@ -334,11 +367,339 @@ def _score_kernel(tree: Tree, root: Root):
                 first = np.cumsum(sizes) - sizes
                 base = np.add.reduceat(root.base_log10(totals)[tokens], first)
                 known = np.add.reduceat((totals > 0)[tokens].astype(np.int64), first)
-                yield record(schema, ids, held, sizes, known, np.full(len(sizes), root.tokens), base,
+                yield record(_SCORED, ids, held, sizes, known, np.full(len(sizes), root.tokens), base,
                              np.add.reduceat(logs, first) / math.log(10))
     return kernel
 
 
+# --- a model that is nowhere whole ------------------------------------------------------------
+
+_ASKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary()),
+                    ("below", pa.binary()), ("contexts", pa.binary()), ("seen", pa.binary()), ("sizes", pa.binary()),
+                    ("alive", pa.binary())])
+_ANSWERED = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("totals", pa.binary()), ("rests", pa.binary()), ("alive", pa.binary()),
+                       ("states", pa.int64()), ("longer", pa.int64()), ("head", pa.int64()), ("sums", pa.list_(pa.float64()))])
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How pairs are dealt: the number of buckets, and the count from which a context is spread over them."""
+
+    buckets: int
+    head: float
+
+
+@dataclass(frozen=True)
+class Heads:
+    """The contexts of a level that are spread and are states: codes, ascending, and logs of the shorter state's weight."""
+
+    codes: np.ndarray
+    rests: np.ndarray
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    x = keys + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return len(values).to_bytes(4, "little") + pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data, kind: type) -> np.ndarray:
+    data = memoryview(data)
+    size = int.from_bytes(data[:4], "little") * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(data[4:], decompressed_size=size, codec="zstd"), kind)
+
+
+class Walk:
+    """The tokens of a block, level by level. Those whose next longer context is a candidate are open: ``place`` and
+    ``doc`` in the block, ``symbol``, whether it is ``learnt``, ``log`` probability in the longest suffix state so far,
+    code of the ``context`` before it, how often training has ``seen`` that, and whether it is ``alive``: it, or a longer
+    one that it ends, may be a state (``_answer``). Others are open if the context of an open token after them
+    needs their counts. ``sums``: logs of the closed by document."""
+
+    OPEN = {"place": np.int32, "doc": np.int32, "symbol": np.uint64, "learnt": np.bool_, "log": np.float64,
+            "context": np.uint64, "seen": np.int64, "alive": np.bool_}
+
+    def __init__(self, sums: np.ndarray, **opened: np.ndarray):
+        self.sums = sums
+        for name, values in opened.items():
+            setattr(self, name, values)
+
+    @classmethod
+    def begun(cls, sizes: np.ndarray, held: np.ndarray, tokens: np.ndarray, hashes: np.ndarray, totals: np.ndarray,
+              root: Root) -> Walk:
+        hashes = hashes.view(np.uint64)
+        rare = totals < LEAST   # needs no counts: it cannot be listed
+        first = np.cumsum(sizes) - sizes
+        context, seen = np.r_[hashes[:1], hashes[tokens[:-1]]], np.r_[0, totals[tokens[:-1]]]
+        # entry 0 is the end symbol; as a context, the beginning stands for the end before it
+        context[first], seen[first] = BEGIN, totals[0]
+        walk = cls(np.zeros(len(sizes)), place=np.arange(len(tokens), dtype=np.int32),
+                   doc=np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
+                   symbol=np.where(rare, np.uint64(RARE), hashes)[tokens],
+                   learnt=np.repeat(~held, sizes) & ~rare[tokens], log=root.log(totals)[tokens], context=context, seen=seen,
+                   alive=np.ones(len(tokens), np.bool_))
+        walk._close(seen >= FLOOR)
+        return walk
+
+    def _close(self, open_: np.ndarray) -> None:
+        self.sums = self.sums + np.bincount(self.doc[~open_], self.log[~open_], len(self.sums))
+        for name in self.OPEN:
+            setattr(self, name, getattr(self, name)[open_])
+
+    def logs(self) -> np.ndarray:
+        """Log probability of each document."""
+        return self.sums + np.bincount(self.doc, self.log, len(self.sums))
+
+    def pairs(self, plan: Plan) -> None:
+        """Number the different pairs of a context and the symbol after it by bucket, context and code.
+        A pair's code is that of the context which it makes together, and odd where it ends a text."""
+        codes = (_mixed(_mixed(self.context) ^ self.symbol) & ~np.uint64(1)) | (self.symbol == END)
+        by_code = np.argsort(codes)
+        codes = codes[by_code]
+        new = np.ones(len(codes), bool)
+        new[1:] = codes[1:] != codes[:-1]
+        at, codes = by_code[new], codes[new]
+        own = _mixed(self.context[at])
+        bucket = (np.where(self.seen[at] >= plan.head, codes, own) >> np.uint64(32)) * np.uint64(plan.buckets) >> np.uint64(32)
+        # by bucket and context, equal ones in the order of codes
+        order = np.argsort((bucket << np.uint64(40)) | (own >> np.uint64(24)), kind="stable")
+        own = own[order]
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.back = np.empty(len(by_code), np.int32)
+        self.back[by_code] = place[np.cumsum(new) - 1]
+        self.codes, self.at = codes[order], at[order]
+        self.bucket = bucket[order].astype(np.int32)
+        run = np.ones(len(own), bool)
+        run[1:] = (own[1:] != own[:-1]) | (self.bucket[1:] != self.bucket[:-1])
+        self.runs = np.flatnonzero(run)          # where a bucket's pairs of a context begin
+        self.run = np.cumsum(run) - 1
+
+    def asked(self, block: int) -> pa.RecordBatch:
+        """A row per bucket: its pairs with their counts here, and its contexts with their numbers of pairs."""
+        counts = np.bincount(self.back[self.learnt], minlength=len(self.codes)).astype(np.uint32)
+        below, contexts = self.log[self.at], self.context[self.at[self.runs]]
+        seen, sizes = self.seen[self.at[self.runs]], np.diff(np.r_[self.runs, len(self.codes)]).astype(np.uint32)
+        buckets, starts = np.unique(self.bucket, return_index=True)
+        stops = np.r_[starts[1:], len(self.codes)]
+        first, last = np.searchsorted(self.runs, starts), np.searchsorted(self.runs, stops)
+        alive = self.alive[self.at[self.runs]]
+        return record(_ASKED, buckets, np.full(len(buckets), block), *[
+            [_packed(column[a:b]) for a, b in zip(starts, stops)] for column in (self.codes, counts, below)], *[
+            [_packed(column[a:b]) for a, b in zip(first, last)] for column in (contexts, seen, sizes, alive)])
+
+    def answered(self, answers: list[dict], heads: Heads, plan: Plan) -> None:
+        """Take in the answers to ``asked`` and go on to contexts that are one longer."""
+        answers = sorted(answers, key=lambda a: a["bucket"])
+        totals, rests, lasting = (np.concatenate([_unpacked(a[name], kind) for a in answers])
+                                  for name, kind in (("totals", np.int64), ("rests", np.float64), ("alive", np.bool_)))
+        contexts, seen = self.context[self.at[self.runs]], self.seen[self.at[self.runs]]
+        spread = np.flatnonzero(seen >= plan.head)
+        if len(spread) and len(heads.codes):
+            found = _find(heads.codes, contexts[spread])
+            rests[spread] = np.where(found >= 0, heads.rests[found], np.nan)
+        # a listed symbol's new probability takes the place of the old one, for others a factor comes in
+        change = rests[self.run]
+        to = np.flatnonzero(~np.isnan(change) & (totals >= LEAST))
+        below = self.log[self.at[to]]
+        new = np.log((totals[to] + PRIOR * np.exp(below)) / (seen[self.run[to]] + PRIOR))
+        listed = np.full(len(change), np.nan)
+        listed[to] = new
+        listed, change = listed[self.back], np.nan_to_num(change)[self.back]
+        self.log = np.where(np.isnan(listed), self.log + change, listed)
+        follows = np.zeros(len(self.place), bool)
+        follows[1:] = (self.place[1:] == self.place[:-1] + 1) & (self.doc[1:] == self.doc[:-1])
+        self.context = np.r_[self.context[:1], self.codes[self.back[:-1]]]
+        self.seen = np.where(follows, np.r_[self.seen[:1], totals[self.back[:-1]]], 0)
+        self.alive = self.alive & lasting[self.run][self.back]
+        for name in ("back", "codes", "at", "bucket", "runs", "run"):
+            delattr(self, name)
+        # open are those up to the last that is alive of neighbours that are all candidates
+        open_ = self.seen >= FLOOR
+        chain = np.cumsum(~(open_ & np.r_[False, open_[:-1]] & follows))
+        last = np.full(len(open_) + 1, -1)
+        alive = np.flatnonzero(open_ & self.alive)
+        last[chain[alive]] = alive
+        self._close(open_ & (np.arange(len(open_)) <= last[chain]))
+
+
+_DOCS = {"doc_ids": pa.int64(), "held": pa.bool_(), "sizes": pa.int32(), "known": pa.int64(), "base": pa.float64(),
+         "sums": pa.float64()}
+_OPEN = pa.schema([("block", pa.int64()), *[(n, pa.list_(t)) for n, t in _DOCS.items()],
+                   *[(n, pa.binary()) for n in Walk.OPEN]])
+_OPEN_SQL = ("block long, doc_ids array<long>, held array<boolean>, sizes array<int>, known array<long>, base array<double>, "
+             "sums array<double>, " + ", ".join(f"{n} binary" for n in Walk.OPEN))
+
+
+def _walks(batches, root: Root, levels: dict[int, Heads], plan: Plan):
+    """(block, columns of its documents, the walk through ``levels`` after those that it has behind it) of each block."""
+    for batch in batches:
+        if "tokens" in batch.schema.names:
+            rows = _begun(batch, root)
+        else:
+            rows = _opened(batch)
+        for i, (docs, walk) in enumerate(rows):
+            for k, heads in levels.items():
+                answers = batch.column(f"level_{k}")[i].as_py()
+                if answers:
+                    walk.pairs(plan)
+                    walk.answered(answers, heads, plan)
+            yield batch.column("block")[i].as_py(), docs, walk
+
+
+def _begun(batch: pa.RecordBatch, root: Root):
+    for ids, held, sizes, tokens, hashes, totals in _rows(batch):
+        first = np.cumsum(sizes) - sizes
+        known = np.add.reduceat((totals > 0)[tokens].astype(np.int64), first)
+        base = np.add.reduceat(root.base_log10(totals)[tokens], first)
+        yield (ids, held, sizes, known, base), Walk.begun(sizes, held, tokens, hashes, totals, root)
+
+
+def _opened(batch: pa.RecordBatch):
+    for i in range(batch.num_rows):
+        docs = [batch.column(n)[i].values for n in _DOCS]
+        docs[1:] = [d.to_numpy(zero_copy_only=False) for d in docs[1:]]
+        yield tuple(docs[:-1]), Walk(docs[-1], **{n: np.frombuffer(batch.column(n)[i].as_buffer(), t)
+                                                  for n, t in Walk.OPEN.items()})
+
+
+def _open_kernel(root: Root, levels: dict[int, Heads], plan: Plan):
+    def kernel(batches):
+        for block, (ids, *docs), walk in _walks(batches, root, levels, plan):
+            yield record(_OPEN, [block], [ids], *[[d] for d in docs], [walk.sums],
+                         *[[getattr(walk, n).tobytes()] for n in Walk.OPEN])
+    return kernel
+
+
+def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Table:
+    """A bucket's totals and tests, as one row for each that came in; without block, sums of spread contexts.
+
+    A context stays alive if one of the longer contexts that it ends might still pass. Of these none has more of a symbol,
+    and the least that a test costs is known. With n of a symbol of probability b a context gains
+    n log((n + PRIOR b) / ((N + PRIOR) b)), so never more than with N = n, which grows with n; symbols that
+    cannot be listed count as one. The sum of that is what a longer context can gain at most.
+    """
+    def whole(name, dtype=np.int64):
+        parts = [_unpacked(b.as_buffer(), dtype) for b in asked[name]]
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+
+    (pairs, ends), (counts, _), (below, _) = whole("pairs", np.uint64), whole("counts", np.uint32), whole("below", float)
+    (contexts, last), (seen, _), (sizes, _) = whole("contexts", np.uint64), whole("seen"), whole("sizes", np.uint32)
+    living, _ = whole("alive", np.bool_)
+    pairs, at, back = np.unique(pairs, return_index=True, return_inverse=True)
+    totals = np.bincount(back, counts, len(pairs)).astype(np.int64)
+    run = np.repeat(np.arange(len(sizes)), sizes)[at]
+    listed = np.flatnonzero(totals >= LEAST)
+    own, run_at, of = np.unique(contexts[run[listed]], return_index=True, return_inverse=True)
+    often = seen[run[listed][run_at]]
+    n, below = totals[listed], np.exp(below[at[listed]])
+    smooth = (n + PRIOR * below) / (often[of] + PRIOR)
+    sums = [np.bincount(of, v, len(own)) for v in (np.ones(len(of)), n, smooth, below, n * (np.log(smooth) - np.log(below)))]
+    kept, rest = _judged(often, *sums, depth, candidates)
+    # counts of contexts that are not alive need not be whole
+    spread = (often >= plan.head) & living[run[listed][run_at]]
+    kept &= (often < plan.head) & living[run[listed][run_at]]
+    after, others = np.where(kept[of], smooth, below), np.maximum(0, often - sums[1])
+    other = np.maximum(1e-12, 1 - np.where(kept, sums[2], sums[3]))
+    most = np.bincount(of, n * np.log((n + PRIOR * after) / ((n + PRIOR) * after)), len(own))
+    most += others * np.log((others + PRIOR * other) / ((others + PRIOR) * other))
+    least = 0.5 * math.log(FLOOR) + (math.log(candidates) if depth > 1 else 0)
+    found = _find(own, contexts)
+    rests, alive = np.full(len(contexts), np.nan), seen >= plan.head
+    if len(own):
+        rests = np.where(found >= 0, np.where(kept, rest, np.nan)[found], np.nan)
+        alive |= (found >= 0) & (most > least)[found]
+    alive &= living
+    longer = int(((totals >= FLOOR) & (pairs & np.uint64(1) == 0)).sum())
+    rows, heads = asked.num_rows, int(spread.sum())
+    per_pair = totals[back]
+    zeros = np.zeros(rows - 1 + heads, np.int64)
+    return pa.table([
+        pa.array([*asked["block"].to_pylist(), *[None] * heads], pa.int64()),
+        pa.array([*asked["bucket"].to_pylist(), *[None] * heads], pa.int32()),
+        pa.array([*[_packed(per_pair[a:b]) for a, b in zip(ends[:-1], ends[1:])], *[None] * heads], pa.binary()),
+        pa.array([*[_packed(rests[a:b]) for a, b in zip(last[:-1], last[1:])], *[None] * heads], pa.binary()),
+        pa.array([*[_packed(alive[a:b]) for a, b in zip(last[:-1], last[1:])], *[None] * heads], pa.binary()),
+        pa.array(np.r_[int(kept.sum()), zeros]), pa.array(np.r_[longer, zeros]),
+        pa.array([*[None] * rows, *own[spread].view(np.int64).tolist()], pa.int64()),
+        pa.array([*[None] * rows, *np.stack([often, *sums], 1)[spread].tolist()], pa.list_(pa.float64()))], schema=_ANSWERED)
+
+
+def _ask_kernel(root: Root, levels: dict[int, Heads], plan: Plan):
+    def kernel(batches):
+        for block, _, walk in _walks(batches, root, levels, plan):
+            walk.pairs(plan)
+            if len(walk.codes):
+                yield walk.asked(block)
+    return kernel
+
+
+def _answer_kernel(depth: int, candidates: int, plan: Plan):
+    def kernel(asked: pa.Table) -> pa.Table:
+        try:
+            return _answer(asked, depth, candidates, plan)
+        finally:
+            give_back()
+    return kernel
+
+
+def joined(blocks: DataFrame, root: Root, buckets: int) -> DataFrame:
+    """The scores by a model that is learnt by joins.
+
+    Levels are as in ``learn``; contexts are coded by 64-bit hashes. The tasks of the second level go through the first
+    again. After it few tokens are open, and each level leaves what it has come to for the next, which then frees it.
+    """
+    spark = blocks.sparkSession
+    plan = Plan(max(4 * buckets, math.ceil(root.tokens / BUCKET_TOKENS)), max(FLOOR, HEAD_SHARE * root.tokens))
+    levels: dict[int, Heads] = {}
+    depth, longer, candidates, done = 1, 1, 0, []
+    while longer:
+        asked = map_arrow(blocks, _ask_kernel(root, dict(levels), plan), "bucket int, block long, pairs binary, counts binary, "
+                                                                         "below binary, contexts binary, seen binary, sizes binary, alive binary")
+        got, folder = _bucketed(asked.groupBy("bucket").applyInArrow(
+            _answer_kernel(depth, candidates, plan), "block long, bucket int, totals binary, rests binary, alive binary, states long, longer long, "
+                                                "head long, sums array<double>"), f"suffix_level_{depth}", buckets, placed=False)
+        found = got.select("head", "sums", "states", "longer").groupBy("head").agg(   # 1 / HEAD_SHARE rows at most, and one
+            F.sum("states").alias("states"), F.sum("longer").alias("longer"),
+            *[(F.sum if k else F.max)(F.col("sums")[k]).alias(f"s{k}") for k in range(6)]).toArrow()
+        states, longer = (sum(found[c].to_pylist()) for c in ("states", "longer"))
+        spread = found.filter(pc.field("head").is_valid())
+        kept, rests = _judged(*[spread[f"s{k}"].to_numpy() for k in range(6)], depth, candidates)
+        if depth > 1 and not states and not kept.any():
+            break
+        codes = spread["head"].to_numpy()[kept].view(np.uint64)
+        order = np.argsort(codes)
+        levels[depth] = Heads(codes[order], rests[kept][order])
+        answers = (got.where("block is not null").groupBy("block")
+                   .agg(F.collect_list(F.struct("bucket", "totals", "rests", "alive")).alias(f"level_{depth}")))
+        blocks = blocks.join(answers, "block", "left")
+        done.append(folder)
+        if depth > 1:
+            blocks, folder = _bucketed(map_arrow(blocks, _open_kernel(root, levels, plan), _OPEN_SQL), f"suffix_open_{depth}",
+                                       buckets, placed=True)
+            levels = {}
+            for old in done:
+                delete_path(spark, old)
+            done = [folder]
+        candidates = longer if depth == 1 else candidates
+        depth += 1
+        del asked, got, answers
+        release(spark)
+    return map_arrow(blocks, _walk_kernel(root, levels, plan), _SCORED_SQL)
+
+
+def _walk_kernel(root: Root, levels: dict[int, Heads], plan: Plan):
+    def kernel(batches):
+        for _, (ids, held, sizes, known, base), walk in _walks(batches, root, levels, plan):
+            yield record(_SCORED, ids, held, sizes, known, np.full(len(sizes), root.tokens), base, walk.logs() / math.log(10))
+    return kernel
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """Score ``docs(doc_id, text)`` with a tree learnt from those whose crc32(doc_id) mod 10 is not 0.
 
@@ -352,19 +713,19 @@ def scored(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    blocks = _bucketed(map_arrow(rows, _block_kernel, _BLOCK_SQL), "token_blocks", buckets, placed=True)
+    blocks, _ = _bucketed(map_arrow(rows, _block_kernel, _BLOCK_SQL), "token_blocks", buckets, placed=True)
     entries = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("entry", "e"))
     entries = entries.select("block", "entry", F.col("e.hashes").alias("hash"), F.col("e.counts").alias("n"))
     words = saved(entries.groupBy("hash").agg(F.sum("n").alias("total")), "words")
     back = (entries.join(words, "hash").groupBy("block")
             .agg(F.collect_list(F.struct("entry", "total")).alias("totals")))
-    totals = _bucketed(back, "block_totals", buckets, placed=False)
+    totals, _ = _bucketed(back, "block_totals", buckets, placed=False)
     release(spark)
-    blocks = blocks.drop("counts").join(totals, "block")
-    root, tree = learn(blocks.select("doc_ids", "held", "sizes", "tokens", "hashes", "totals"), words)
-    return map_arrow(blocks.select("doc_ids", "held", "sizes", "tokens", "hashes", "totals"), _score_kernel(tree, root),
-                     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                     "base_score double, score double")
+    blocks = blocks.drop("counts").join(totals, "block").select("block", "doc_ids", "held", "sizes", "tokens", "hashes", "totals")
+    root = root_of(words)
+    if root.tokens > SMALL:
+        return joined(blocks, root, buckets)
+    return map_arrow(blocks, _score_kernel(learn(blocks, words, root), root), _SCORED_SQL)
 
 
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,3 +123,37 @@ def test_a_symbol_that_only_its_three_before_tell(spark):
     held = [r for r in got if r.held_out]
     per_group = -sum(r.score for r in held) / sum(r.n_tokens for r in held) * 4 / math.log10(2)
     assert per_group < 3.7
+
+
+def test_rare_contexts_of_a_large_training_are_states(spark):
+    """A name that follows its five words every time, in 3e-5 of training: no share of training keeps it out."""
+    rng = np.random.default_rng(11)
+    texts = [(i, " ".join(f"w{k}" for k in rng.integers(0, 60, 1000))) for i in range(400)]
+    texts += [(1000 + i, " ".join(["rare sign name"] * 2)) for i in range(9)]
+    got = {r.doc_id: r for r in st.scored(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    rare = [got[1000 + i] for i in range(9)]
+    # "name" after "rare sign" or "sign" costs little: the words alone are worth -25 each way
+    assert all(r.score > r.base_score + 3 for r in rare)
+
+
+def test_a_model_by_joins_is_the_model_sent_whole(spark, monkeypatch):
+    """Equal scores whether the tree is sent whole or joined by context, with and without spread contexts."""
+    docs = table(spark, SF, "documents").unionByName(odd.documents(spark), allowMissingColumns=True)
+    docs = docs.select("doc_id", "text")
+    # phrases that come often, so that there are levels of three symbols and more
+    often = spark.range(5000, 5200).selectExpr(
+        "id as doc_id", "concat('once upon a time in a land far ', id % 7, ' lived a ', id % 3, ' king of old times') as text")
+    docs = docs.unionByName(often)
+    whole, joined, key = st.scored(docs).collect(), {}, lambda r: (str(r.doc_id), r.n_tokens, round(r.base_score, 6), r.score)
+    spread, heads = [], st.Heads
+    monkeypatch.setattr(st, "Heads", lambda codes, rests: spread[-1].append(len(codes)) or heads(codes, rests))
+    for share in (1.0, 1e-3):
+        spread.append([])
+        for name, value in (("SMALL", 0), ("BLOCK_BYTES", 300_000), ("HEAD_SHARE", share)):
+            monkeypatch.setattr(st, name, value)
+        got = st.scored(docs).collect()
+        assert len(got) == len(whole)
+        for a, b in zip(sorted(whole, key=key), sorted(got, key=key)):
+            assert (a.doc_id, a.n_tokens, a.n_known, a.held_out) == (b.doc_id, b.n_tokens, b.n_known, b.held_out)
+            assert abs(a.score - b.score) < 1e-6 * max(1, abs(a.score))
+    assert len(spread[0]) >= 3 and not any(spread[0]) and any(spread[1])

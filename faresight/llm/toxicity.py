@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.common import bytes_of, map_arrow, record, saved, ship, slices, table, text_of
+from faresight.llm.common import bytes_of, map_arrow, record, release, saved, ship, slices, table, text_of
 
 #: Contract of the registered query.
 THRESHOLD = 0.7
@@ -439,6 +439,7 @@ def carried_on(start: Model | None, rows: DataFrame) -> Model:
              .groupBy("key").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).toArrow())   # BUCKETS rows at most
     held = np.zeros((2, BUCKETS))
     held[:, found["key"].to_numpy()] = found["n"].to_numpy(), found["p"].to_numpy()
+    release(rows.sparkSession)
     odds = odds_of(*held, others, toxic)
     net = start.net if start and start.net else Net(odds)
     # the odds of all rows in the place of those that the start began with; what it learnt besides stays
@@ -459,6 +460,7 @@ def carried_on(start: Model | None, rows: DataFrame) -> Model:
         change = np.zeros(_flat(net).shape, np.float32)
         change[got["key"].to_numpy()] = np.stack([got[c].to_numpy() for c in names], 1)
         _moved(net, change)
+        release(rows.sparkSession)   # a round shuffles all texts
 
     schema = pa.schema([("cell", pa.int32()), ("spoken", pa.int32()), ("y", pa.int32())])
 
@@ -485,8 +487,9 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("y")))
-    ids = (docs.where(F.col("doc_id").isNotNull() & ~held_out)
-           .select(F.col("doc_id").cast("long").alias("id"), F.octet_length(text_of()).alias("size"))
+    # rows that are never used are left out here, before their texts would be shuffled
+    docs = docs.where(F.col("doc_id").isNotNull() & ~held_out)
+    ids = (docs.select(F.col("doc_id").cast("long").alias("id"), F.octet_length(text_of()).alias("size"))
            .groupBy("id").agg(F.max("size").alias("size")))
     ids = saved(ids.join(known, "id").withColumn("h", F.xxhash64(F.lit(13), "id")), "training-ids")
     order, chosen = ["h", "id"], []
@@ -511,14 +514,17 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     # what the start was trained on sets no thresholds
     told = spark.createDataFrame(list(zip(first.values(), set_apart(toxic).tolist())), "id long, told boolean")
     shards = -(-size // SHARD_BYTES)
-    every = (docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).join(ids, "id")
-             .groupBy("id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-             .groupBy(F.sha2("text", 256)).agg(F.min(F.struct("h", "id")).alias("first"), F.max("y").alias("y"),
+    labelled = saved(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).join(ids, "id")
+                     .groupBy("id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled-texts")
+    release(spark)   # the texts of rows without label too were shuffled
+    every = (labelled.groupBy(F.sha2("text", 256)).agg(F.min(F.struct("h", "id")).alias("first"), F.max("y").alias("y"),
                                                F.any_value("text").alias("text"))
              .select("first.*", "y", "text").join(F.broadcast(told), "id", "left")
              .select("id", "h", "y", "text", F.coalesce("told", F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(4)) == 3).alias("apart"),
                      F.pmod("h", F.lit(max(1, shards))).alias("shard")))
-    return carried_on(start, saved(every, "training-texts"))
+    every = saved(every, "training-texts")
+    release(spark)
+    return carried_on(start, every)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

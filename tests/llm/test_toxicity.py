@@ -166,3 +166,16 @@ def test_threshold_of_scores_that_stand_for_many():
     z, y = rng.normal(0, 1, 200).round(1), rng.integers(0, 2, 200)
     cells, times = np.unique(np.c_[z, y], axis=0, return_counts=True)
     assert np.isclose(toxicity.threshold(z, y), toxicity.threshold(cells[:, 0], cells[:, 1].astype(int), times))
+
+
+def test_training_reads_no_text_of_held_out_rows_and_frees_each_round(spark, monkeypatch):
+    """Texts of rows that are never used are not shuffled; they fail here if read."""
+    freed, release = [], toxicity.release
+    monkeypatch.setattr(toxicity, "release", lambda s: freed.append(1) or release(s))
+    for name, most in (("TOXIC", 4), ("OTHERS", 12), ("SHARD_BYTES", 3_000)):
+        monkeypatch.setattr(toxicity, name, most)
+    held = F.col("doc_id") % 5 == 0
+    text = F.when(held, F.raise_error(F.lit("read")).cast("string")).otherwise(F.concat(F.lit("some text "), F.col("doc_id").cast("string")))
+    rows = spark.range(200).select(F.col("id").alias("doc_id"))
+    toxicity.learn(rows.select("doc_id", text.alias("text")), rows.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic")), held)
+    assert len(freed) > toxicity.ROUNDS

@@ -70,8 +70,10 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(specials) or r"(?!)")
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.pieces: dict[str, list[int]] = {}
         # entry 0 is the end of a document; splitting never gives an empty word
@@ -84,17 +86,19 @@ class WordEncoder(dict):
         return at
 
     def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            mapped = piece if piece.isascii() else self.as_bytes.pre_tokenize_str(piece)[0][0]
-            ids = [t.id for t in self.model.tokenize(mapped)]
-            if len(self.pieces) < CACHED_WORDS:
-                self.pieces[piece] = ids
+        """Ids of a piece that is not kept."""
+        mapped = piece if piece.isascii() else piece.translate(self.as_bytes)
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        if len(self.pieces) < CACHED_WORDS:
+            self.pieces[piece] = ids
         return ids
 
     def word(self, word: str) -> list[int]:
-        if self.PLAIN.fullmatch(word) and not any(s in word for s in self.specials):
-            return [i for piece in self.PIECES.findall(word.lower()) for i in self._piece(piece)]
+        if self.PLAIN.fullmatch(word) and not self.special.search(word):
+            known, pieces = self.pieces, self.PIECES.findall(word.lower())
+            if len(pieces) == 1:
+                return known.get(pieces[0]) or self._piece(pieces[0])
+            return [i for piece in pieces for i in known.get(piece) or self._piece(piece)]
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +107,7 @@ class WordEncoder(dict):
         words = [[*map(look, t.split()), 0] for t in texts]
         if self.pending:
             new = [self.word(w.decode()) for w in self.pending]
-            self.flat = np.r_[self.flat, np.array([i for ids in new for i in ids], self.dtype)]
+            self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(new), self.dtype)]
             self.lengths = np.r_[self.lengths, [len(ids) for ids in new]]
         ends = np.cumsum([len(w) for w in words])
         index = np.fromiter(chain.from_iterable(words), np.int64, ends[-1])

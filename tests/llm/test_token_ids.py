@@ -63,3 +63,15 @@ def test_foreign_keys_are_rejected(spark, workdir):
 
 def test_empty_table(spark):
     assert token_ids.encoded(odd.nothing(spark)).count() == 0
+
+
+def test_kept_pieces_are_not_asked_for_again(monkeypatch):
+    """A piece that is kept costs one look-up, also as a part of new words."""
+    asked, piece = [], token_ids.WordEncoder._piece
+    monkeypatch.setattr(token_ids.WordEncoder, "_piece", lambda self, p: asked.append(p) or piece(self, p))
+    encoder = token_ids.WordEncoder(token_ids.public_tokenizers.path(token_ids.VOCABULARY), token_ids.END_ID)
+    texts = [f"one-{a} Two,{b} (three)" for a in range(10) for b in range(10)]
+    ids, counts = encoder.encode([t.encode() for t in texts])
+    whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, token_ids.END_ID] for t in texts]
+    assert ids.tolist() == [i for w in whole for i in w] and counts.tolist() == [*map(len, whole)]
+    assert len(asked) == len(set(asked))

@@ -205,18 +205,28 @@ class Net:
         """Of every text, in runs of texts with about ``RUN`` words."""
         n = len(w.ends) - 1
         out, first = np.full(n, float(self.constant)), 0
+        # of the different words, and last of a padded place
+        vectors = self.vectors(np.concatenate([w.features, np.zeros((1, FEATURES), w.features.dtype)]))
         while first < n:
             last = max(first + 1, int(np.searchsorted(w.ends, w.ends[first] + RUN, "right")) - 1)
             place, starts, valid = padded(w, np.arange(first, min(last, n)))
-            own, back = np.unique(place, return_inverse=True)
-            v = self.vectors(np.where(own[:, None] >= 0, w.features[own], 0) if len(w.features) else
-                             np.zeros((len(own), FEATURES), np.int64))
-            tops, _ = pooled(self.responses(v[back], valid), starts)
+            tops = largest(self.responses(vectors[place], valid), starts)
             out[first:last] += np.einsum("kdf,kf->d", tops, self.unit)
             first = last
         return out
 
 
+def largest(z: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The ``TOPS`` largest values of each column in each run of rows, falling."""
+    columns = np.ascontiguousarray(z.T)
+    tops = np.empty((TOPS, len(starts), len(columns)), z.dtype)
+    for i, (a, b) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(z)])):
+        own = np.partition(columns[:, a:b], b - a - TOPS, axis=1)[:, b - a - TOPS:]
+        own.sort(axis=1)
+        tops[:, i] = own[:, ::-1].T
+    return tops
+
+
 def pooled(z: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ``TOPS`` largest values of each column in each run of rows, and their rows; ``z`` is changed."""
     sizes = np.diff(np.r_[starts, len(z)])
@@ -514,14 +524,22 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     # what the start was trained on sets no thresholds
     told = spark.createDataFrame(list(zip(first.values(), set_apart(toxic).tolist())), "id long, told boolean")
     shards = -(-size // SHARD_BYTES)
-    labelled = saved(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).join(ids, "id")
-                     .groupBy("id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled-texts")
-    release(spark)   # the texts of rows without label too were shuffled
-    every = (labelled.groupBy(F.sha2("text", 256)).agg(F.min(F.struct("h", "id")).alias("first"), F.max("y").alias("y"),
-                                               F.any_value("text").alias("text"))
-             .select("first.*", "y", "text").join(F.broadcast(told), "id", "left")
-             .select("id", "h", "y", "text", F.coalesce("told", F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(4)) == 3).alias("apart"),
-                     F.pmod("h", F.lit(max(1, shards))).alias("shard")))
+    # digests tell which rows train, so that texts are shuffled once here and only those that train are written
+    told_by = docs.select(F.col("doc_id").cast("long").alias("id"), F.sha2(text_of(), 256).alias("digest"),
+                          F.xxhash64(text_of()).alias("order"))
+    training = (told_by.join(ids, "id").groupBy("id", "h", "y").agg(F.min_by("digest", "order").alias("digest"))
+                .groupBy("digest").agg(F.min(F.struct("h", "id")).alias("first"), F.max("y").alias("y"))
+                .select("first.*", "y", "digest").join(F.broadcast(told), "id", "left")
+                .select("id", "digest", "h", "y",
+                        F.coalesce("told", F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(4)) == 3).alias("apart"),
+                        F.pmod("h", F.lit(max(1, shards))).alias("shard")))
+    training = saved(training, "training-rows")
+    release(spark)
+    # a row may come twice, with the same text; grouped as joined, texts are neither shuffled nor sorted again
+    every = (docs.select(F.col("doc_id").cast("long").alias("id"), F.sha2(text_of(), 256).alias("digest"),
+                         text_of().alias("text")).join(training, ["id", "digest"])
+             .groupBy("id", "digest").agg(*[F.any_value(c).alias(c) for c in ("h", "y", "text", "apart", "shard")])
+             .select("id", "h", "y", "text", "apart", "shard"))
     every = saved(every, "training-texts")
     release(spark)
     return carried_on(start, every)

@@ -179,3 +179,25 @@ def test_training_reads_no_text_of_held_out_rows_and_frees_each_round(spark, mon
     rows = spark.range(200).select(F.col("id").alias("doc_id"))
     toxicity.learn(rows.select("doc_id", text.alias("text")), rows.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic")), held)
     assert len(freed) > toxicity.ROUNDS
+
+
+def test_the_largest_responses_are_those_that_training_pools():
+    rng = np.random.default_rng(3)
+    sizes = np.r_[toxicity.TOPS, toxicity._PAD, rng.integers(toxicity.TOPS, 90, 40)]
+    z = np.maximum(rng.normal(0, 1, (sizes.sum(), 24)).round(1), 0).astype(np.float32)   # with ties
+    starts = np.cumsum(sizes) - sizes
+    assert np.array_equal(toxicity.largest(z, starts), toxicity.pooled(z.copy(), starts)[0])
+
+
+def test_only_texts_that_train_are_written(spark, monkeypatch):
+    """Copies of a text, and texts without label, are left out by digests before any text is written."""
+    written, saved = [], toxicity.saved
+    monkeypatch.setattr(toxicity, "saved", lambda df, label: written.append(saved(df, label)) or written[-1])
+    for name, most in (("TOXIC", 4), ("OTHERS", 12), ("SHARD_BYTES", 3_000)):
+        monkeypatch.setattr(toxicity, name, most)
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), (F.col("id") % 90).cast("string")).alias("text"))
+    docs = rows.unionByName(rows.where("doc_id < 20")).unionByName(rows.where("doc_id < 9").withColumn("text", F.lit("another")))
+    labels = rows.where("doc_id < 300").select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    toxicity.learn(docs, labels, F.lit(False))
+    texts = [r.text for df in written if "text" in df.columns for r in df.select("text").collect()]
+    assert len(texts) == len(set(texts)) and {f"some text {i}" for i in range(20, 90)} <= set(texts)

@@ -206,3 +206,17 @@ def test_ids_made_from_trips_have_no_entries(spark, workdir):
     _ingest(spark, paths, [_trip("tlc_abc", 1, fare=6.0), _trip("tlc_abe", 3)], "b2", 2)
     result = job.run_transforms_incremental(spark, paths)
     assert result.silver_rows == 3 and result.rewritten_dates == 2
+
+
+def test_new_entries_are_computed_once(spark, workdir):
+    """Adding a batch's ids to the table evaluates its trips once; an append without new entries does not count."""
+    held = spark.createDataFrame([(f"t{i}", date(2025, 1, 1)) for i in range(6)], tripdates.PAIRS_SCHEMA)
+    table = tripdates.rebuild(spark, f"{workdir}/silver", held, 6)
+    seen = spark.sparkContext.accumulator(0)
+    name = F.udf(lambda x: seen.add(1) or f"t{x}", "string").asNondeterministic()
+    batch = spark.range(0, 10, 1, 2).select(name("id").alias("trip_id"), F.lit(date(2025, 1, 2)).alias("pickup_date"))
+    grown = table.with_trips(batch, held)
+    assert seen.value == 10 and grown.appends == 1
+    assert _same(grown.rows().select("trip_id", "pickup_date"),
+                 held.unionByName(spark.createDataFrame([(f"t{i}", date(2025, 1, 2)) for i in range(10)], tripdates.PAIRS_SCHEMA)))
+    assert grown.with_trips(held, held) == grown

@@ -24,7 +24,9 @@ the tasks (``learn``). A larger one is nowhere whole (``joined``): for every
 level, each block sends its different pairs of a candidate and a symbol to
 buckets by context, where counts of all blocks meet and the test is made; the
 counts and what states leave to the shorter one go back to the block, which
-knows with them the probabilities that the next level starts from. The pairs of
+knows with them the probabilities that the next level starts from. Frequent
+words are sent as numbers of two bytes, and a symbol that a context has not
+listed is no longer counted in the contexts that end with it. The pairs of
 contexts with at least ``HEAD_SHARE`` of training, 1 / HEAD_SHARE a level at
 most, are dealt to buckets by pair instead, and their test is made on the sums
 of all buckets.
@@ -35,7 +37,8 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.common import bytes_of, give_back, map_arrow, record, release, saved, slices, table, text_of
+from faresight.llm.common import give_back, map_arrow, record, release, saved, slices, table, text_of
 from faresight.session import delete_path, fresh_path
 
 #: Least count of a context that is a candidate, and of a symbol that is listed after it.
@@ -55,9 +58,17 @@ SMALL = 1_000_000
 HEAD_SHARE = 2e-4
 #: Training tokens for each bucket of pairs.
 BUCKET_TOKENS = 1_000_000
+#: Different pairs, all blocks' together, for each bucket of a level after the first.
+BUCKET_PAIRS = 500_000
+#: Passes over the blocks in which the pairs of a level are sent, a share of the buckets each. The second level's
+#: lie beside blocks, first answers and own answers.
+PASSES = {2: 2}
 #: Weight, in counts, of the shorter state in a state's distribution.
 PRIOR = 20.0
 
+#: Most words that are sent as numbers of two bytes, and the number of all others.
+NUMBERED = (1 << 16) - 1
+
 BLOCK_BYTES = 4 << 20
 
 #: Hashes of any symbol that cannot be listed, the end symbol and a text's beginning; words hash to XXH64 with seed 42.
@@ -70,12 +81,6 @@ _BLOCK_SQL = ("block long, doc_ids array<long>, held array<boolean>, sizes array
               "hashes array<long>, counts array<int>")
 
 
-class _Vocabulary(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self)
-        return at
-
-
 def _is_held(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 10 == 0
 
@@ -83,14 +88,18 @@ def _is_held(doc_id: int | None) -> bool:
 def _block_kernel(batches):
     """One row per block. Token 0 of every vocabulary is the end symbol."""
     for batch in slices(batches, limit=BLOCK_BYTES):
-        data, ends = bytes_of(batch.column(1))
         ids = batch.column(0).to_pylist()
         held = np.array([_is_held(i) for i in ids])
-        words = _Vocabulary({b"": 0})
-        look, raw = words.__getitem__, data.tobytes().lower()
-        texts = [np.fromiter(map(look, [*raw[a:b].split(), b""]), np.uint32) for a, b in zip(ends[:-1], ends[1:])]
-        sizes = np.array([len(t) for t in texts], np.int32)
-        tokens = np.concatenate(texts)
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(batch.column(1)))
+        flat, ends = parts.flatten(), np.cumsum(pc.list_value_length(parts).to_numpy())
+        real = pc.binary_length(flat).to_numpy() > 0    # space at either end leaves an empty part
+        sizes = np.diff(np.r_[0, np.cumsum(real)[ends - 1]]).astype(np.int32) + np.int32(1)
+        coded = flat.filter(pa.array(real)).dictionary_encode()
+        tokens = np.zeros(int(sizes.sum()), np.uint32)
+        word = np.ones(len(tokens), bool)
+        word[np.cumsum(sizes) - 1] = False
+        tokens[word] = coded.indices.to_numpy() + 1
+        words = [b"", *coded.dictionary.cast(pa.binary()).to_pylist()]
         learnt = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(words))
         hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
         hashes[hashes <= BEGIN] += np.uint64(BEGIN + 1)
@@ -99,17 +108,21 @@ def _block_kernel(batches):
                      [hashes.view(np.int64)], [learnt.astype(np.int32)])
 
 
-def _bucketed(df: DataFrame, label: str, buckets: int, placed: bool) -> tuple[DataFrame, str]:
-    """``df`` as a table bucketed by block, so that joins on block read it in place; and its folder.
+def _bucketed(parts: Iterable[DataFrame], spark: SparkSession, label: str, buckets: int, placed: bool) -> tuple[DataFrame, str]:
+    """``parts`` as one table bucketed by block, so that joins on block read it in place; and its folder.
 
     ``placed``: rows are few and large and are written from where they are;
-    else they are gathered by bucket first.
+    else they are gathered by bucket first. What a part shuffles is freed before the next.
     """
-    spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
-    rows = df if placed else df.repartition(buckets, "block")
     folder = fresh_path(spark, label)
-    rows.write.bucketBy(buckets, "block").option("path", folder).option("compression", "zstd").saveAsTable(name)
+    for k, df in enumerate(parts):
+        if k:
+            release(spark)
+        rows = df if placed else df.repartition(buckets, "block")
+        writer = rows.write.mode("append") if k else rows.write
+        writer.bucketBy(buckets, "block").option("path", folder).option("compression", "zstd").saveAsTable(name)
+        del df, rows, writer
     return spark.table(name), folder
 
 
@@ -374,19 +387,46 @@ def _score_kernel(tree: Tree, root: Root):
 
 # --- a model that is nowhere whole ------------------------------------------------------------
 
-_ASKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary()),
-                    ("below", pa.binary()), ("contexts", pa.binary()), ("seen", pa.binary()), ("sizes", pa.binary()),
-                    ("alive", pa.binary())])
+_ASKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *[(n, pa.binary()) for n in (
+    "symbols", "other_symbols", "counts", "below", "contexts", "other_contexts", "seen", "sizes", "alive")]])
+_ASKED_SQL = "bucket int, block long, " + ", ".join(f"{n} binary" for n in _ASKED.names[2:])
 _ANSWERED = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("totals", pa.binary()), ("rests", pa.binary()), ("alive", pa.binary()),
-                       ("states", pa.int64()), ("longer", pa.int64()), ("head", pa.int64()), ("sums", pa.list_(pa.float64()))])
+                       ("states", pa.int64()), ("longer", pa.int64()), ("pairs", pa.int64()), ("head", pa.int64()), ("sums", pa.list_(pa.float64()))])
 
 
 @dataclass(frozen=True)
 class Plan:
-    """How pairs are dealt: the number of buckets, and the count from which a context is spread over them."""
+    """How pairs are dealt: the number of buckets, and the count from which a context is spread over them.
+    Of words that are sent as numbers: hashes, ascending, and log probabilities in the root."""
 
     buckets: int
     head: float
+    words: np.ndarray
+    logs: np.ndarray
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        found = _find(self.words, hashes)
+        return np.where(found < 0, NUMBERED, found).astype(np.uint16)
+
+    def hashes(self, numbers: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """What ``numbers`` was given; ``others``: those without a number."""
+        out = self.words[np.minimum(numbers, len(self.words) - 1)]
+        out[numbers == NUMBERED] = others
+        return out
+
+
+def plan_of(words: DataFrame, root: Root, buckets: int) -> Plan:
+    """``words`` as for ``root_of``: those from a frequency on that ``NUMBERED`` at most reach have numbers."""
+    step = F.floor(F.log2("total") * 16)
+    steps = sorted(words.where(F.col("total") >= LEAST).groupBy(step.alias("step")).count().collect(), reverse=True)
+    reached = np.cumsum([n for _, n in steps]) <= NUMBERED - 2
+    named = {RARE: 0, BEGIN: 0}
+    if reached.any():
+        own = words.where((F.col("total") >= LEAST) & (step >= steps[int(reached.sum()) - 1][0])).toArrow()
+        named |= zip(own["hash"].to_numpy().view(np.uint64).tolist(), own["total"].to_pylist())
+    hashes = np.array(sorted(named), np.uint64)
+    return Plan(max(4 * buckets, math.ceil(root.tokens / BUCKET_TOKENS)), max(FLOOR, HEAD_SHARE * root.tokens),
+                hashes, root.log(np.array([named[h] for h in hashes.tolist()])))
 
 
 @dataclass(frozen=True)
@@ -397,6 +437,10 @@ class Heads:
     rests: np.ndarray
 
 
+#: Of levels that a walk has before it: what is spread, and how pairs were dealt.
+Levels = dict[int, tuple[Heads, Plan]]
+
+
 def _mixed(keys: np.ndarray) -> np.ndarray:
     x = keys + np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -404,6 +448,11 @@ def _mixed(keys: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _coded(contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """A pair's code is that of the context which it makes together, and odd where it ends a text."""
+    return (_mixed(_mixed(contexts) ^ symbols) & ~np.uint64(1)) | (symbols == END)
+
+
 def _packed(values: np.ndarray) -> bytes:
     return len(values).to_bytes(4, "little") + pa.compress(values.tobytes(), codec="zstd", asbytes=True)
 
@@ -416,12 +465,12 @@ def _unpacked(data, kind: type) -> np.ndarray:
 
 class Walk:
     """The tokens of a block, level by level. Those whose next longer context is a candidate are open: ``place`` and
-    ``doc`` in the block, ``symbol``, whether it is ``learnt``, ``log`` probability in the longest suffix state so far,
+    ``doc`` in the block, ``symbol`` and its ``number`` in the plan, whether it is ``learnt``, ``log`` probability in the longest suffix state so far,
     code of the ``context`` before it, how often training has ``seen`` that, and whether it is ``alive``: it, or a longer
     one that it ends, may be a state (``_answer``). Others are open if the context of an open token after them
     needs their counts. ``sums``: logs of the closed by document."""
 
-    OPEN = {"place": np.int32, "doc": np.int32, "symbol": np.uint64, "learnt": np.bool_, "log": np.float64,
+    OPEN = {"place": np.int32, "doc": np.int32, "symbol": np.uint64, "number": np.uint16, "learnt": np.bool_, "log": np.float64,
             "context": np.uint64, "seen": np.int64, "alive": np.bool_}
 
     def __init__(self, sums: np.ndarray, **opened: np.ndarray):
@@ -431,16 +480,17 @@ class Walk:
 
     @classmethod
     def begun(cls, sizes: np.ndarray, held: np.ndarray, tokens: np.ndarray, hashes: np.ndarray, totals: np.ndarray,
-              root: Root) -> Walk:
-        hashes = hashes.view(np.uint64)
+              root: Root, plan: Plan) -> Walk:
         rare = totals < LEAST   # needs no counts: it cannot be listed
+        hashes = hashes.view(np.uint64)
+        symbols = np.where(rare, np.uint64(RARE), hashes)
         first = np.cumsum(sizes) - sizes
         context, seen = np.r_[hashes[:1], hashes[tokens[:-1]]], np.r_[0, totals[tokens[:-1]]]
         # entry 0 is the end symbol; as a context, the beginning stands for the end before it
         context[first], seen[first] = BEGIN, totals[0]
         walk = cls(np.zeros(len(sizes)), place=np.arange(len(tokens), dtype=np.int32),
                    doc=np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-                   symbol=np.where(rare, np.uint64(RARE), hashes)[tokens],
+                   symbol=symbols[tokens], number=plan.numbers(symbols)[tokens],
                    learnt=np.repeat(~held, sizes) & ~rare[tokens], log=root.log(totals)[tokens], context=context, seen=seen,
                    alive=np.ones(len(tokens), np.bool_))
         walk._close(seen >= FLOOR)
@@ -456,9 +506,8 @@ class Walk:
         return self.sums + np.bincount(self.doc, self.log, len(self.sums))
 
     def pairs(self, plan: Plan) -> None:
-        """Number the different pairs of a context and the symbol after it by bucket, context and code.
-        A pair's code is that of the context which it makes together, and odd where it ends a text."""
-        codes = (_mixed(_mixed(self.context) ^ self.symbol) & ~np.uint64(1)) | (self.symbol == END)
+        """Number the different pairs of a context and the symbol after it by bucket, context and code."""
+        codes = _coded(self.context, self.symbol)
         by_code = np.argsort(codes)
         codes = codes[by_code]
         new = np.ones(len(codes), bool)
@@ -480,18 +529,33 @@ class Walk:
         self.runs = np.flatnonzero(run)          # where a bucket's pairs of a context begin
         self.run = np.cumsum(run) - 1
 
-    def asked(self, block: int) -> pa.RecordBatch:
-        """A row per bucket: its pairs with their counts here, and its contexts with their numbers of pairs."""
+    def asked(self, block: int, plan: Plan, depth: int, share: int, shares: int) -> pa.RecordBatch:
+        """A row per bucket of this share: its pairs' symbols with their counts here, and its contexts with their numbers of pairs.
+        On the first level, only symbols without a number come with their probability."""
         counts = np.bincount(self.back[self.learnt], minlength=len(self.codes)).astype(np.uint32)
-        below, contexts = self.log[self.at], self.context[self.at[self.runs]]
+        symbols, below, contexts = self.symbol[self.at], self.log[self.at], self.context[self.at[self.runs]]
         seen, sizes = self.seen[self.at[self.runs]], np.diff(np.r_[self.runs, len(self.codes)]).astype(np.uint32)
         buckets, starts = np.unique(self.bucket, return_index=True)
         stops = np.r_[starts[1:], len(self.codes)]
+        own = buckets % shares == share
+        buckets, starts, stops = buckets[own], starts[own], stops[own]
         first, last = np.searchsorted(self.runs, starts), np.searchsorted(self.runs, stops)
         alive = self.alive[self.at[self.runs]]
-        return record(_ASKED, buckets, np.full(len(buckets), block), *[
-            [_packed(column[a:b]) for a, b in zip(starts, stops)] for column in (self.codes, counts, below)], *[
-            [_packed(column[a:b]) for a, b in zip(first, last)] for column in (contexts, seen, sizes, alive)])
+
+        def packed(column: np.ndarray, a: np.ndarray, b: np.ndarray, kept: np.ndarray | None = None) -> list[bytes]:
+            if kept is not None:
+                column, before = column[kept], np.r_[0, np.cumsum(kept)]
+                a, b = before[a], before[b]
+            return [_packed(column[x:y]) for x, y in zip(a.tolist(), b.tolist())]
+
+        numbers = self.number[self.at]
+        context_numbers = plan.numbers(contexts) if depth == 1 else np.full(len(contexts), NUMBERED, np.uint16)
+        other, other_context = numbers == NUMBERED, context_numbers == NUMBERED
+        return record(_ASKED, buckets, np.full(len(buckets), block), packed(numbers, starts, stops),
+                      packed(symbols, starts, stops, other), packed(counts, starts, stops),
+                      packed(below, starts, stops, other if depth == 1 else None), packed(context_numbers, first, last),
+                      packed(contexts, first, last, other_context),
+                      *[packed(column, first, last) for column in (seen, sizes, alive)])
 
     def answered(self, answers: list[dict], heads: Heads, plan: Plan) -> None:
         """Take in the answers to ``asked`` and go on to contexts that are one longer."""
@@ -517,6 +581,10 @@ class Walk:
         self.context = np.r_[self.context[:1], self.codes[self.back[:-1]]]
         self.seen = np.where(follows, np.r_[self.seen[:1], totals[self.back[:-1]]], 0)
         self.alive = self.alive & lasting[self.run][self.back]
+        # no longer context has more of a symbol, so that these need no counts from here on
+        few = (totals < LEAST)[self.back]
+        self.symbol, self.learnt = np.where(few, np.uint64(RARE), self.symbol), self.learnt & ~few
+        self.number = np.where(few, plan.numbers(np.array([RARE], np.uint64)), self.number)
         for name in ("back", "codes", "at", "bucket", "runs", "run"):
             delattr(self, name)
         # open are those up to the last that is alive of neighbours that are all candidates
@@ -536,28 +604,28 @@ _OPEN_SQL = ("block long, doc_ids array<long>, held array<boolean>, sizes array<
              "sums array<double>, " + ", ".join(f"{n} binary" for n in Walk.OPEN))
 
 
-def _walks(batches, root: Root, levels: dict[int, Heads], plan: Plan):
+def _walks(batches, root: Root, levels: Levels, plan: Plan):
     """(block, columns of its documents, the walk through ``levels`` after those that it has behind it) of each block."""
     for batch in batches:
         if "tokens" in batch.schema.names:
-            rows = _begun(batch, root)
+            rows = _begun(batch, root, plan)
         else:
             rows = _opened(batch)
         for i, (docs, walk) in enumerate(rows):
-            for k, heads in levels.items():
+            for k, (heads, dealt) in levels.items():
                 answers = batch.column(f"level_{k}")[i].as_py()
                 if answers:
-                    walk.pairs(plan)
-                    walk.answered(answers, heads, plan)
+                    walk.pairs(dealt)
+                    walk.answered(answers, heads, dealt)
             yield batch.column("block")[i].as_py(), docs, walk
 
 
-def _begun(batch: pa.RecordBatch, root: Root):
+def _begun(batch: pa.RecordBatch, root: Root, plan: Plan):
     for ids, held, sizes, tokens, hashes, totals in _rows(batch):
         first = np.cumsum(sizes) - sizes
         known = np.add.reduceat((totals > 0)[tokens].astype(np.int64), first)
         base = np.add.reduceat(root.base_log10(totals)[tokens], first)
-        yield (ids, held, sizes, known, base), Walk.begun(sizes, held, tokens, hashes, totals, root)
+        yield (ids, held, sizes, known, base), Walk.begun(sizes, held, tokens, hashes, totals, root, plan)
 
 
 def _opened(batch: pa.RecordBatch):
@@ -568,7 +636,7 @@ def _opened(batch: pa.RecordBatch):
                                                   for n, t in Walk.OPEN.items()})
 
 
-def _open_kernel(root: Root, levels: dict[int, Heads], plan: Plan):
+def _open_kernel(root: Root, levels: Levels, plan: Plan):
     def kernel(batches):
         for block, (ids, *docs), walk in _walks(batches, root, levels, plan):
             yield record(_OPEN, [block], [ids], *[[d] for d in docs], [walk.sums],
@@ -588,9 +656,14 @@ def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Tabl
         parts = [_unpacked(b.as_buffer(), dtype) for b in asked[name]]
         return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
-    (pairs, ends), (counts, _), (below, _) = whole("pairs", np.uint64), whole("counts", np.uint32), whole("below", float)
-    (contexts, last), (seen, _), (sizes, _) = whole("contexts", np.uint64), whole("seen"), whole("sizes", np.uint32)
+    (numbers, ends), (counts, _), (below, _) = whole("symbols", np.uint16), whole("counts", np.uint32), whole("below", float)
+    (contexts, last), (seen, _), (sizes, _) = whole("contexts", np.uint16), whole("seen"), whole("sizes", np.uint32)
     living, _ = whole("alive", np.bool_)
+    contexts = plan.hashes(contexts, whole("other_contexts", np.uint64)[0])
+    pairs = _coded(np.repeat(contexts, sizes), plan.hashes(numbers, whole("other_symbols", np.uint64)[0]))
+    if depth == 1:
+        other, below = below, plan.logs[np.minimum(numbers, len(plan.logs) - 1)]
+        below[numbers == NUMBERED] = other
     pairs, at, back = np.unique(pairs, return_index=True, return_inverse=True)
     totals = np.bincount(back, counts, len(pairs)).astype(np.int64)
     run = np.repeat(np.arange(len(sizes)), sizes)[at]
@@ -625,17 +698,17 @@ def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Tabl
         pa.array([*[_packed(per_pair[a:b]) for a, b in zip(ends[:-1], ends[1:])], *[None] * heads], pa.binary()),
         pa.array([*[_packed(rests[a:b]) for a, b in zip(last[:-1], last[1:])], *[None] * heads], pa.binary()),
         pa.array([*[_packed(alive[a:b]) for a, b in zip(last[:-1], last[1:])], *[None] * heads], pa.binary()),
-        pa.array(np.r_[int(kept.sum()), zeros]), pa.array(np.r_[longer, zeros]),
+        pa.array(np.r_[int(kept.sum()), zeros]), pa.array(np.r_[longer, zeros]), pa.array(np.r_[len(back), zeros]),
         pa.array([*[None] * rows, *own[spread].view(np.int64).tolist()], pa.int64()),
         pa.array([*[None] * rows, *np.stack([often, *sums], 1)[spread].tolist()], pa.list_(pa.float64()))], schema=_ANSWERED)
 
 
-def _ask_kernel(root: Root, levels: dict[int, Heads], plan: Plan):
+def _ask_kernel(root: Root, levels: Levels, plan: Plan, depth: int, share: int, shares: int):
     def kernel(batches):
         for block, _, walk in _walks(batches, root, levels, plan):
             walk.pairs(plan)
             if len(walk.codes):
-                yield walk.asked(block)
+                yield walk.asked(block, plan, depth, share, shares)
     return kernel
 
 
@@ -648,52 +721,60 @@ def _answer_kernel(depth: int, candidates: int, plan: Plan):
     return kernel
 
 
-def joined(blocks: DataFrame, root: Root, buckets: int) -> DataFrame:
+def _answers(blocks: DataFrame, root: Root, levels: Levels, plan: Plan, depth: int, candidates: int, share: int,
+             shares: int) -> DataFrame:
+    """What the buckets of a share say to the blocks."""
+    asked = map_arrow(blocks, _ask_kernel(root, dict(levels), plan, depth, share, shares), _ASKED_SQL)
+    return asked.groupBy("bucket").applyInArrow(
+        _answer_kernel(depth, candidates, plan), "block long, bucket int, totals binary, rests binary, alive binary, states long, "
+                                                 "longer long, pairs long, head long, sums array<double>")
+
+
+def joined(blocks: DataFrame, root: Root, plan: Plan, buckets: int) -> DataFrame:
     """The scores by a model that is learnt by joins.
 
     Levels are as in ``learn``; contexts are coded by 64-bit hashes. The tasks of the second level go through the first
     again. After it few tokens are open, and each level leaves what it has come to for the next, which then frees it.
     """
     spark = blocks.sparkSession
-    plan = Plan(max(4 * buckets, math.ceil(root.tokens / BUCKET_TOKENS)), max(FLOOR, HEAD_SHARE * root.tokens))
-    levels: dict[int, Heads] = {}
+    levels: Levels = {}
     depth, longer, candidates, done = 1, 1, 0, []
     while longer:
-        asked = map_arrow(blocks, _ask_kernel(root, dict(levels), plan), "bucket int, block long, pairs binary, counts binary, "
-                                                                         "below binary, contexts binary, seen binary, sizes binary, alive binary")
-        got, folder = _bucketed(asked.groupBy("bucket").applyInArrow(
-            _answer_kernel(depth, candidates, plan), "block long, bucket int, totals binary, rests binary, alive binary, states long, longer long, "
-                                                "head long, sums array<double>"), f"suffix_level_{depth}", buckets, placed=False)
-        found = got.select("head", "sums", "states", "longer").groupBy("head").agg(   # 1 / HEAD_SHARE rows at most, and one
-            F.sum("states").alias("states"), F.sum("longer").alias("longer"),
+        shares = PASSES.get(depth, 1)
+        got, folder = _bucketed((_answers(blocks, root, levels, plan, depth, candidates, k, shares) for k in range(shares)),
+                                spark, f"suffix_level_{depth}", buckets, placed=False)
+        found = got.select("head", "sums", "states", "longer", "pairs").groupBy("head").agg(   # 1 / HEAD_SHARE rows at most, and one
+            F.sum("states").alias("states"), F.sum("longer").alias("longer"), F.sum("pairs").alias("pairs"),
             *[(F.sum if k else F.max)(F.col("sums")[k]).alias(f"s{k}") for k in range(6)]).toArrow()
-        states, longer = (sum(found[c].to_pylist()) for c in ("states", "longer"))
+        states, longer, pairs = (sum(found[c].to_pylist()) for c in ("states", "longer", "pairs"))
         spread = found.filter(pc.field("head").is_valid())
         kept, rests = _judged(*[spread[f"s{k}"].to_numpy() for k in range(6)], depth, candidates)
         if depth > 1 and not states and not kept.any():
             break
         codes = spread["head"].to_numpy()[kept].view(np.uint64)
         order = np.argsort(codes)
-        levels[depth] = Heads(codes[order], rests[kept][order])
+        levels[depth] = Heads(codes[order], rests[kept][order]), plan
         answers = (got.where("block is not null").groupBy("block")
                    .agg(F.collect_list(F.struct("bucket", "totals", "rests", "alive")).alias(f"level_{depth}")))
         blocks = blocks.join(answers, "block", "left")
         done.append(folder)
         if depth > 1:
-            blocks, folder = _bucketed(map_arrow(blocks, _open_kernel(root, levels, plan), _OPEN_SQL), f"suffix_open_{depth}",
-                                       buckets, placed=True)
+            blocks, folder = _bucketed([map_arrow(blocks, _open_kernel(root, levels, plan), _OPEN_SQL)], spark,
+                                       f"suffix_open_{depth}", buckets, placed=True)
             levels = {}
             for old in done:
                 delete_path(spark, old)
             done = [folder]
         candidates = longer if depth == 1 else candidates
+        # fewer tokens are open on each level
+        plan = replace(plan, buckets=min(plan.buckets, max(buckets, math.ceil(pairs / BUCKET_PAIRS))))
         depth += 1
-        del asked, got, answers
+        del got, answers
         release(spark)
     return map_arrow(blocks, _walk_kernel(root, levels, plan), _SCORED_SQL)
 
 
-def _walk_kernel(root: Root, levels: dict[int, Heads], plan: Plan):
+def _walk_kernel(root: Root, levels: Levels, plan: Plan):
     def kernel(batches):
         for _, (ids, held, sizes, known, base), walk in _walks(batches, root, levels, plan):
             yield record(_SCORED, ids, held, sizes, known, np.full(len(sizes), root.tokens), base, walk.logs() / math.log(10))
@@ -713,18 +794,18 @@ def scored(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    blocks, _ = _bucketed(map_arrow(rows, _block_kernel, _BLOCK_SQL), "token_blocks", buckets, placed=True)
+    blocks, _ = _bucketed([map_arrow(rows, _block_kernel, _BLOCK_SQL)], spark, "token_blocks", buckets, placed=True)
     entries = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("entry", "e"))
     entries = entries.select("block", "entry", F.col("e.hashes").alias("hash"), F.col("e.counts").alias("n"))
     words = saved(entries.groupBy("hash").agg(F.sum("n").alias("total")), "words")
     back = (entries.join(words, "hash").groupBy("block")
             .agg(F.collect_list(F.struct("entry", "total")).alias("totals")))
-    totals, _ = _bucketed(back, "block_totals", buckets, placed=False)
+    totals, _ = _bucketed([back], spark, "block_totals", buckets, placed=False)
     release(spark)
     blocks = blocks.drop("counts").join(totals, "block").select("block", "doc_ids", "held", "sizes", "tokens", "hashes", "totals")
     root = root_of(words)
     if root.tokens > SMALL:
-        return joined(blocks, root, buckets)
+        return joined(blocks, root, plan_of(words, root, buckets), buckets)
     return map_arrow(blocks, _score_kernel(learn(blocks, words, root), root), _SCORED_SQL)
 
 

@@ -157,3 +157,49 @@ def test_a_model_by_joins_is_the_model_sent_whole(spark, monkeypatch):
             assert (a.doc_id, a.n_tokens, a.n_known, a.held_out) == (b.doc_id, b.n_tokens, b.n_known, b.held_out)
             assert abs(a.score - b.score) < 1e-6 * max(1, abs(a.score))
     assert len(spread[0]) >= 3 and not any(spread[0]) and any(spread[1])
+
+
+def block_of(texts):
+    """A block's columns, and a plan in which the ten most frequent words have numbers."""
+    batch = st.pa.record_batch({"doc_id": st.pa.array(range(1, len(texts) + 1)), "text": st.pa.array(texts)})
+    (row,) = st._block_kernel([batch])
+    hashes, totals = (row.column(n)[0].values.to_numpy().astype(np.int64) for n in ("hashes", "counts"))
+    root = st.Root(int(totals.sum()), int((totals > 0).sum()), 0.5)
+    top = np.argsort(-totals)[:10]
+    known = {int(h): int(n) for h, n in zip(hashes[top].view(np.uint64), totals[top])} | {st.RARE: 0, st.BEGIN: 0}
+    names = np.array(sorted(known), np.uint64)
+    plan = st.Plan(3, 1e9, names, root.log(np.array([known[h] for h in names.tolist()])))
+    tokens = np.frombuffer(row.column("tokens")[0].as_buffer(), np.uint32).astype(np.int64)
+    sizes = row.column("sizes")[0].values.to_numpy().astype(np.int64)
+    held = row.column("held")[0].values.to_numpy(zero_copy_only=False)
+    return sizes, st.Walk.begun(sizes, held, tokens, hashes, totals, root, plan), plan
+
+
+def test_pairs_of_frequent_words_are_sent_in_few_bytes():
+    rng = np.random.default_rng(3)
+    _, walk, plan = block_of([" ".join(f"w{k}" for k in np.minimum(rng.geometric(.01, 100), 900)) for _ in range(600)])
+    every = [f"w{k}" for k in range(1, 901)]
+    known = np.array(sorted({st.RARE: 0, st.BEGIN: 0} | {st.xxhash.xxh64_intdigest(w, 42): 1 for w in every}), np.uint64)
+    plan = st.replace(plan, words=known, logs=np.zeros(len(known)))
+    walk.number = plan.numbers(walk.symbol)
+    walk.pairs(plan)
+    assert walk.asked(1, plan, 1, 0, 1).nbytes < 5 * len(walk.codes)   # 8 bytes of a hash alone before
+
+
+def test_shares_of_the_buckets_are_all_that_is_asked_and_decode_to_it():
+    rng = np.random.default_rng(4)
+    _, walk, plan = block_of([" ".join(f"w{k}" for k in rng.integers(0, 40, 50)) for _ in range(40)])
+    walk.pairs(plan)
+    parts = [walk.asked(1, plan, 1, k, 2) for k in range(2)]
+    whole = walk.asked(1, plan, 1, 0, 1)
+    assert sorted(b for p in parts for b in p["bucket"].to_pylist()) == whole["bucket"].to_pylist() == [0, 1, 2]
+    answer = st._answer(st.pa.Table.from_batches([whole]), 1, 0, plan)
+    totals = np.concatenate([st._unpacked(x.as_buffer(), np.int64) for x in answer["totals"]])
+    counts = Counter(zip(walk.context[walk.learnt].tolist(), walk.symbol[walk.learnt].tolist()))
+    assert totals.tolist() == [counts[c, s] for c, s in zip(walk.context[walk.at].tolist(), walk.symbol[walk.at].tolist())]
+
+
+def test_words_are_cut_at_ascii_space_only():
+    texts = ["\t A\x0bb\x0c", "", " ", "caf\u00e9\u00a0X \u2003y\x1cz", "end\r\n"]
+    sizes, walk, _ = block_of(texts)
+    assert sizes.tolist() == [len(words(t)) for t in texts]

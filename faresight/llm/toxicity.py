@@ -27,6 +27,7 @@ all rows; then scores to set thresholds by are rounded to 1 / ``STEPS``.
 from __future__ import annotations
 
 import copy
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,6 +85,22 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to ``n`` of the base and of its inverse."""
+    power, unpower = (np.cumprod(np.r_[np.uint64(1), np.full(n, base, np.uint64)]) for base in (_BASE, _UNBASE))
+    return power, unpower
+
+
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers_to(PIECE)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    power, unpower = _kept_powers() if n < len(_kept_powers()[0]) else _powers_to(n)
+    return power[:n + 1], unpower[:n + 1]
+
+
 @dataclass(frozen=True)
 class Words:
     """Words of some texts: ``at`` numbers the different ones along all texts, ``ends`` bounds each text's
@@ -105,9 +122,8 @@ def words(data: np.ndarray, ends: np.ndarray) -> Words:
     starts = np.flatnonzero(inside & (np.r_[True, ~inside[:-1]] | border[:-1])) if n else np.zeros(0, np.int64)
     stops = np.flatnonzero(inside & (np.r_[~inside[1:], True] | border[1:])) + 1 if n else np.zeros(0, np.int64)
     # a run's hash is a difference of running sums, divided by the power at its start
-    power = np.cumprod(np.r_[np.uint64(1), np.full(n, _BASE, np.uint64)])
+    power, unpower = _powers(n)
     sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n])]
-    unpower = np.cumprod(np.r_[np.uint64(1), np.full(n, _UNBASE, np.uint64)])
 
     def run(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (sums[b] - sums[a]) * unpower[a]
@@ -218,28 +234,24 @@ class Net:
 
 def largest(z: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The ``TOPS`` largest values of each column in each run of rows, falling."""
-    columns = np.ascontiguousarray(z.T)
-    tops = np.empty((TOPS, len(starts), len(columns)), z.dtype)
-    for i, (a, b) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(z)])):
-        own = np.partition(columns[:, a:b], b - a - TOPS, axis=1)[:, b - a - TOPS:]
-        own.sort(axis=1)
-        tops[:, i] = own[:, ::-1].T
-    return tops
+    return pooled(z, starts)[0]
 
 
 def pooled(z: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ``TOPS`` largest values of each column in each run of rows, and their rows; ``z`` is changed."""
-    sizes = np.diff(np.r_[starts, len(z)])
-    run = np.repeat(np.arange(len(starts)), sizes)
-    row = np.arange(len(z), dtype=np.int32)[:, None]
-    tops, at = [], []
-    for _ in range(TOPS):
-        top = np.maximum.reduceat(z, starts, axis=0)
-        first = np.minimum.reduceat(np.where(z == top[run], row, np.int32(len(z))), starts, axis=0)
-        tops.append(top)
-        at.append(first)
-        z[first, np.arange(z.shape[1])] = -1
-    return np.stack(tops), np.stack(at)
+    """The ``TOPS`` largest values of each column in each run of rows, falling, and their rows, the first of equal ones.
+    No value is negative."""
+    columns = z.T.copy()
+    every = np.arange(len(columns))
+    tops = np.empty((TOPS, len(starts), len(columns)), z.dtype)
+    at = np.empty(tops.shape, np.int32)
+    for i, (a, b) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(z)])):
+        own = columns[:, a:b]
+        for k in range(TOPS):
+            first = own.argmax(1)
+            tops[k, i] = own[every, first]
+            at[k, i] = first + a
+            own[every, first] = -1
+    return tops, at
 
 
 def log_odds(w: Words, toxic: np.ndarray) -> np.ndarray:
@@ -256,7 +268,8 @@ def held_by(w: Words, toxic: np.ndarray) -> list[np.ndarray]:
     for kind in (0, 1):
         own_kind = toxic[text] == kind
         for column in range(FEATURES):
-            pairs = np.unique(text[own_kind] * BUCKETS + w.features[word[own_kind], column])
+            pairs = np.sort(text[own_kind] * BUCKETS + w.features[word[own_kind], column])
+            pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]][:len(pairs)]]
             held[kind] += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
     return held
 
@@ -285,15 +298,20 @@ def descend(net: Net, chosen: Words, toxic: np.ndarray, epochs: int, heavy: floa
     """Train ``net`` on all texts; each step follows the gradient, scaled by the root of its past squares."""
     parts = [net.embedding, *net.filters, net.bias, net.unit]
     squares = [np.full(p.shape, 0.1, np.float32) for p in parts]
+    # a last row for padded places, which have no features
+    every = np.concatenate([chosen.features, np.zeros((1, FEATURES), np.int32)])
+    own_row = np.empty(len(every), np.int32)
     constant_squares = 0.1
     rng = np.random.default_rng(17)
     for _ in range(epochs):
         for batch in np.array_split(rng.permutation(len(toxic)), max(1, len(toxic) // BATCH)):
             y = toxic[batch]
             place, starts, valid = padded(chosen, batch)
-            features = np.where(place[:, None] >= 0, chosen.features[place], 0) if len(chosen.features) else \
-                np.zeros((len(place), FEATURES), np.int32)
-            v = net.vectors(features)
+            here = np.zeros(len(every), bool)
+            here[place] = True
+            kinds = np.flatnonzero(here)   # each different word has its vector summed once
+            own_row[kinds] = np.arange(len(kinds))
+            v = net.vectors(every[kinds])[own_row[place]]
             tops, at = pooled(net.responses(v, valid), starts)
             z = np.einsum("kdf,kf->d", tops, net.unit) + net.constant
             d = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * np.where(y == 1, heavy, 1) / len(y)).astype(np.float32)
@@ -315,8 +333,8 @@ def descend(net: Net, chosen: Words, toxic: np.ndarray, epochs: int, heavy: floa
             places, back = np.unique(where, return_inverse=True)
             by_place = np.zeros((len(places), NUMBERS), np.float32)
             np.add.at(by_place, back, pull)
-            there = places < len(features)
-            buckets = features[places[there]]
+            there = places < len(place)
+            buckets = every[place[places[there]]]
             ids, slot = np.unique(buckets, return_inverse=True)
             moved = np.zeros((len(ids), NUMBERS), np.float32)
             np.add.at(moved, slot.ravel(), np.repeat(by_place[there], FEATURES, axis=0))

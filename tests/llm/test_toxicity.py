@@ -201,3 +201,45 @@ def test_only_texts_that_train_are_written(spark, monkeypatch):
     toxicity.learn(docs, labels, F.lit(False))
     texts = [r.text for df in written if "text" in df.columns for r in df.select("text").collect()]
     assert len(texts) == len(set(texts)) and {f"some text {i}" for i in range(20, 90)} <= set(texts)
+
+
+def test_pooling_takes_the_first_of_equal_values():
+    rng = np.random.default_rng(3)
+    z = rng.integers(0, 3, (40, 5)).astype(np.float32)
+    starts = np.array([0, 7, 20])
+    tops, at = toxicity.pooled(z.copy(), starts)
+    for i, (a, b) in enumerate(zip(starts, [7, 20, 40])):
+        for column in range(5):
+            order = sorted(range(a, b), key=lambda row: (-z[row, column], row))[:toxicity.TOPS]
+            assert at[:, i, column].tolist() == order
+            assert tops[:, i, column].tolist() == [z[row, column] for row in order]
+
+
+def test_training_sums_the_vector_of_a_word_once_for_each_batch(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"word{k}" for k in rng.integers(0, 30, 200)).encode() for _ in range(80)] + [b""]
+    w = toxicity.words_of(texts)
+    toxic = (np.arange(len(texts)) % 3 == 0).astype(np.int64)
+    net = toxicity.Net(toxicity.log_odds(w, toxic))
+    rows, vectors = [], toxicity.Net.vectors
+    monkeypatch.setattr(toxicity.Net, "vectors", lambda self, f: (rows.append(len(f)), vectors(self, f))[1])
+    toxicity.descend(net, w, toxic, 1, 1.0)
+    assert rows and max(rows) <= len(w.hashes) + 1   # the padding too
+
+
+def test_a_bucket_counts_a_text_once():
+    texts = [b"alpha alpha beta", b"alpha", b"gamma beta", b""]
+    w = toxicity.words_of(texts)
+    toxic = np.array([1, 0, 1, 0])
+    others, toxics = toxicity.held_by(w, toxic)
+    feature = {name: w.features[np.flatnonzero(w.hashes == toxicity._hash_of(name))[0], 0] for name in ("alpha", "beta", "gamma")}
+    assert [(others[feature[n]], toxics[feature[n]]) for n in feature] == [(1, 1), (0, 2), (0, 1)]
+
+
+def test_a_text_longer_than_the_kept_powers(monkeypatch):
+    text = b"some words of a text " * 9
+    ends = np.array([0, len(text)])
+    whole = toxicity.words(np.frombuffer(text, np.uint8), ends)
+    monkeypatch.setattr(toxicity, "_kept_powers", lambda: toxicity._powers_to(20))
+    cut = toxicity.words(np.frombuffer(text, np.uint8), ends)
+    assert np.array_equal(whole.hashes, cut.hashes) and np.array_equal(whole.features, cut.features)

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.common import give_back, map_arrow, record, release, saved, slices, table, text_of
+from faresight.llm.common import bytes_of, give_back, map_arrow, record, release, slices, table, text_of
 from faresight.session import delete_path, fresh_path
 
 #: Least count of a context that is a candidate, and of a symbol that is listed after it.
@@ -60,9 +60,12 @@ HEAD_SHARE = 2e-4
 BUCKET_TOKENS = 1_000_000
 #: Different pairs, all blocks' together, for each bucket of a level after the first.
 BUCKET_PAIRS = 500_000
-#: Passes over the blocks in which the pairs of a level are sent, a share of the buckets each. The second level's
-#: lie beside blocks, first answers and own answers.
-PASSES = {2: 2}
+#: Passes over the blocks in which the pairs of a level are sent, a share of the buckets each: one where nothing is said.
+PASSES: dict[int, int] = {}
+#: Level from which buckets go on alone, and how often a context may occur then at most. The symbols that they are sent in the
+#: first round, four times as many in each round after, and tokens for each bucket.
+DEEP, CROWD = 4, 1_000_000
+WINDOW, ROUND_ROWS = 10, 200_000
 #: Weight, in counts, of the shorter state in a state's distribution.
 PRIOR = 20.0
 
@@ -76,9 +79,9 @@ RARE, END, BEGIN = 0, 1, 2
 
 _BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
                     ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary()), ("hashes", pa.list_(pa.int64())),
-                    ("counts", pa.list_(pa.int32()))])
+                    ("counts", pa.list_(pa.int32())), ("entries", pa.int64())])
 _BLOCK_SQL = ("block long, doc_ids array<long>, held array<boolean>, sizes array<int>, tokens binary, "
-              "hashes array<long>, counts array<int>")
+              "hashes array<long>, counts array<int>, entries long")
 
 
 def _is_held(doc_id: int | None) -> bool:
@@ -86,7 +89,7 @@ def _is_held(doc_id: int | None) -> bool:
 
 
 def _block_kernel(batches):
-    """One row per block. Token 0 of every vocabulary is the end symbol."""
+    """One row per block. Its vocabulary ascends by hash, so that token 0 is the end symbol."""
     for batch in slices(batches, limit=BLOCK_BYTES):
         ids = batch.column(0).to_pylist()
         held = np.array([_is_held(i) for i in ids])
@@ -99,13 +102,17 @@ def _block_kernel(batches):
         word = np.ones(len(tokens), bool)
         word[np.cumsum(sizes) - 1] = False
         tokens[word] = coded.indices.to_numpy() + 1
-        words = [b"", *coded.dictionary.cast(pa.binary()).to_pylist()]
-        learnt = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(words))
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
+        data, ends = bytes_of(coded.dictionary)
+        data, ends = data.tobytes(), ends.tolist()
+        learnt = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(ends))
+        hashes = np.fromiter((xxhash.xxh64_intdigest(data[a:b], 42) for a, b in zip([0, *ends], ends)), np.uint64, len(ends))
         hashes[hashes <= BEGIN] += np.uint64(BEGIN + 1)
         hashes[0] = END
-        yield record(_BLOCK, [uuid.uuid4().int >> 65], [ids], [held.tolist()], [sizes], [tokens.tobytes()],
-                     [hashes.view(np.int64)], [learnt.astype(np.int32)])
+        order = np.argsort(hashes)
+        entry = np.empty(len(order), np.uint32)
+        entry[order] = np.arange(len(order), dtype=np.uint32)
+        yield record(_BLOCK, [uuid.uuid4().int >> 65], [ids], [held.tolist()], [sizes], [entry[tokens].tobytes()],
+                     [hashes[order].view(np.int64)], [learnt[order].astype(np.int32)], [len(order)])
 
 
 def _bucketed(parts: Iterable[DataFrame], spark: SparkSession, label: str, buckets: int, placed: bool) -> tuple[DataFrame, str]:
@@ -177,9 +184,7 @@ def _rows(batch: pa.RecordBatch):
     for i in range(batch.num_rows):
         value = {n: batch.column(n)[i] for n in batch.schema.names}
         hashes = value["hashes"].values.to_numpy(zero_copy_only=False)
-        totals = np.zeros(len(hashes), np.int64)
-        entries = value["totals"].values
-        totals[entries.field("entry").to_numpy(zero_copy_only=False)] = entries.field("total").to_numpy(zero_copy_only=False)
+        totals = _whole(_told(value["totals"]).field("totals"), np.int64)
         yield (value["doc_ids"].values, value["held"].values.to_numpy(zero_copy_only=False),
                value["sizes"].values.to_numpy(zero_copy_only=False).astype(np.int64),
                np.frombuffer(value["tokens"].as_buffer(), np.uint32).astype(np.int64), hashes, totals)
@@ -388,21 +393,26 @@ def _score_kernel(tree: Tree, root: Root):
 # --- a model that is nowhere whole ------------------------------------------------------------
 
 _ASKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *[(n, pa.binary()) for n in (
-    "symbols", "other_symbols", "counts", "below", "contexts", "other_contexts", "seen", "sizes", "alive")]])
+    "symbols", "other_symbols", "counts", "below", "last", "contexts", "near", "other_contexts", "seen", "sizes", "alive")]])
 _ASKED_SQL = "bucket int, block long, " + ", ".join(f"{n} binary" for n in _ASKED.names[2:])
 _ANSWERED = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("totals", pa.binary()), ("rests", pa.binary()), ("alive", pa.binary()),
-                       ("states", pa.int64()), ("longer", pa.int64()), ("pairs", pa.int64()), ("head", pa.int64()), ("sums", pa.list_(pa.float64()))])
+                       ("states", pa.int64()), ("longer", pa.int64()), ("pairs", pa.int64()), ("hottest", pa.int64()), ("head", pa.int64()),
+                       ("sums", pa.list_(pa.float64())), ("named", pa.binary()), ("named_rests", pa.binary())])
 
 
 @dataclass(frozen=True)
 class Plan:
     """How pairs are dealt: the number of buckets, and the count from which a context is spread over them.
-    Of words that are sent as numbers: hashes, ascending, and log probabilities in the root."""
+    Of words that are sent as numbers: hashes, ascending, log probabilities in the root, how often they occur as contexts
+    and, after the first level, what a state of theirs leaves to the root, else nan."""
 
     buckets: int
     head: float
     words: np.ndarray
     logs: np.ndarray
+    root: Root = Root(0, 0, 0.5)
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    rests: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         found = _find(self.words, hashes)
@@ -419,14 +429,17 @@ def plan_of(words: DataFrame, root: Root, buckets: int) -> Plan:
     """``words`` as for ``root_of``: those from a frequency on that ``NUMBERED`` at most reach have numbers."""
     step = F.floor(F.log2("total") * 16)
     steps = sorted(words.where(F.col("total") >= LEAST).groupBy(step.alias("step")).count().collect(), reverse=True)
-    reached = np.cumsum([n for _, n in steps]) <= NUMBERED - 2
-    named = {RARE: 0, BEGIN: 0}
+    reached = np.cumsum([n for _, n in steps]) <= NUMBERED - 3
+    named, often = {RARE: 0, BEGIN: 0}, F.col("hash") == END
     if reached.any():
-        own = words.where((F.col("total") >= LEAST) & (step >= steps[int(reached.sum()) - 1][0])).toArrow()
-        named |= zip(own["hash"].to_numpy().view(np.uint64).tolist(), own["total"].to_pylist())
+        often |= (F.col("total") >= LEAST) & (step >= steps[int(reached.sum()) - 1][0])
+    own = words.where(often).toArrow()
+    named |= zip(own["hash"].to_numpy().view(np.uint64).tolist(), own["total"].to_pylist())
     hashes = np.array(sorted(named), np.uint64)
-    return Plan(max(4 * buckets, math.ceil(root.tokens / BUCKET_TOKENS)), max(FLOOR, HEAD_SHARE * root.tokens),
-                hashes, root.log(np.array([named[h] for h in hashes.tolist()])))
+    totals = np.array([named[h] for h in hashes.tolist()])
+    # as a context, the beginning stands for the end before it
+    return Plan(max(buckets, math.ceil(root.tokens / BUCKET_TOKENS)), max(FLOOR, HEAD_SHARE * root.tokens), hashes, root.log(totals),
+                root, np.where(hashes == BEGIN, named.get(END, 0), totals))
 
 
 @dataclass(frozen=True)
@@ -437,8 +450,8 @@ class Heads:
     rests: np.ndarray
 
 
-#: Of levels that a walk has before it: what is spread, and how pairs were dealt.
-Levels = dict[int, tuple[Heads, Plan]]
+#: Of levels that a walk has before it: what is spread, how pairs were dealt, and how many levels come after it, as far as it is known.
+Levels = dict[int, tuple[Heads, Plan, int | None]]
 
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
@@ -453,14 +466,101 @@ def _coded(contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return (_mixed(_mixed(contexts) ^ symbols) & ~np.uint64(1)) | (symbols == END)
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return len(values).to_bytes(4, "little") + pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+class Cells:
+    """Where runs of a column begin and end, one run per row that is sent; runs follow each other."""
+
+    def __init__(self, starts: np.ndarray, stops: np.ndarray):
+        self.edges = np.r_[starts, stops[-1:]] if len(starts) else np.zeros(1, np.int64)
+
+    def of(self, kept: np.ndarray) -> Cells:
+        """The same runs of what is left where ``kept`` holds."""
+        out = Cells(self.edges[:0], self.edges[:0])
+        out.edges = np.r_[0, np.cumsum(kept)][self.edges]
+        return out
+
+    def packed(self, values: np.ndarray) -> pa.Array:
+        """A binary value per run. Signed integers, none negative, take a byte for seven bits, others all their bytes."""
+        first, last = int(self.edges[0]), int(self.edges[-1])
+        values, at = values[first:last], self.edges - first
+        if values.dtype == np.int64:
+            data, ends = _varied(values)
+            at = ends[at]
+        else:
+            data, at = np.ascontiguousarray(values), at * values.dtype.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _varied(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seven bits a byte, low ones first, the last byte below 128; and where each number begins, one more."""
+    values, size = values.astype(np.uint64), np.ones(len(values), np.int64)
+    more = np.flatnonzero(values > 127)
+    left = values[more] >> np.uint64(7)
+    while len(more):
+        size[more] += 1
+        more, left = more[left > 127], left[left > 127] >> np.uint64(7)
+    ends = np.r_[0, np.cumsum(size)]
+    out = np.empty(int(ends[-1]), np.uint8)
+    more, left, at = size > 1, values, ends[:-1]
+    while len(at):
+        out[at] = (left & np.uint64(127)).astype(np.uint8) | (more.astype(np.uint8) << 7)
+        at, left, size = at[more] + 1, left[more] >> np.uint64(7), (size[more] - 1)
+        more = size > 1
+    return out, ends
 
 
 def _unpacked(data, kind: type) -> np.ndarray:
-    data = memoryview(data)
-    size = int.from_bytes(data[:4], "little") * np.dtype(kind).itemsize
-    return np.frombuffer(pa.decompress(data[4:], decompressed_size=size, codec="zstd"), kind)
+    """Values of one packed run, or of several that follow each other."""
+    data = np.frombuffer(data, np.uint8)
+    if kind is not np.int64:
+        return data.view(kind)
+    ends = np.flatnonzero(data < 128)
+    at = np.r_[0, ends[:-1] + 1] if len(ends) else ends
+    out = (data[at] & 127).astype(np.int64)
+    more, bits = np.flatnonzero(ends > at), 7
+    at, ends = at[more] + 1, ends[more]
+    while len(more):
+        out[more] |= (data[at] & 127).astype(np.int64) << bits
+        on = ends > at
+        more, at, ends, bits = more[on], at[on] + 1, ends[on], bits + 7
+    return out
+
+
+def _whole(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Values of all rows of a packed column, one after the other."""
+    if isinstance(column, pa.ChunkedArray):
+        return np.concatenate([_whole(c, kind) for c in column.chunks] or [np.zeros(0, kind)])
+    return _unpacked(bytes_of(column)[0], kind)
+
+
+def _lengths(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Number of values of each row of a packed column that is not of signed integers."""
+    return pc.binary_length(column).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+
+
+def _told(answers: pa.ListScalar) -> pa.StructArray:
+    """What buckets have told a block, in the order of buckets."""
+    rows = answers.values
+    return rows.take(pa.array(np.argsort(rows.field("bucket").to_numpy(zero_copy_only=False))))
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Places of ascending 64-bit keys, equal ones in the order of places."""
+    # numbers sort faster than places by numbers: the low bits of the keys give way to the places
+    low = np.uint64((1 << max(1, len(keys)).bit_length()) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    found = keys[order]
+    return np.argsort(keys, kind="stable") if (found[1:] < found[:-1]).any() else order
+
+
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different codes ascending, a place of each, and the number of each place's code."""
+    order = _order(codes)
+    codes = codes[order]
+    new = np.ones(len(codes), bool)
+    new[1:] = codes[1:] != codes[:-1]
+    back = np.empty(len(codes), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return codes[new], order[new], back
 
 
 class Walk:
@@ -468,11 +568,15 @@ class Walk:
     ``doc`` in the block, ``symbol`` and its ``number`` in the plan, whether it is ``learnt``, ``log`` probability in the longest suffix state so far,
     code of the ``context`` before it, how often training has ``seen`` that, and whether it is ``alive``: it, or a longer
     one that it ends, may be a state (``_answer``). Others are open if the context of an open token after them
-    needs their counts. ``sums``: logs of the closed by document."""
+    needs their counts. ``sums``: logs of the closed by document. On the first level also ``total`` of the symbol and
+    number of the word ``near`` before it; on the second the one ``far`` before that, and the ``last`` level's count of
+    the symbol if it has come to be listed."""
 
     OPEN = {"place": np.int32, "doc": np.int32, "symbol": np.uint64, "number": np.uint16, "learnt": np.bool_, "log": np.float64,
             "context": np.uint64, "seen": np.int64, "alive": np.bool_}
 
+    EARLY = ("total", "near", "far", "last")
+
     def __init__(self, sums: np.ndarray, **opened: np.ndarray):
         self.sums = sums
         for name, values in opened.items():
@@ -488,18 +592,22 @@ class Walk:
         context, seen = np.r_[hashes[:1], hashes[tokens[:-1]]], np.r_[0, totals[tokens[:-1]]]
         # entry 0 is the end symbol; as a context, the beginning stands for the end before it
         context[first], seen[first] = BEGIN, totals[0]
+        numbers = plan.numbers(hashes)
+        near = np.r_[numbers[:1], numbers[tokens[:-1]]]
+        near[first] = plan.numbers(np.array([BEGIN], np.uint64))
         walk = cls(np.zeros(len(sizes)), place=np.arange(len(tokens), dtype=np.int32),
                    doc=np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-                   symbol=symbols[tokens], number=plan.numbers(symbols)[tokens],
+                   symbol=symbols[tokens], number=np.where(rare, plan.numbers(np.zeros(1, np.uint64)), numbers)[tokens],
                    learnt=np.repeat(~held, sizes) & ~rare[tokens], log=root.log(totals)[tokens], context=context, seen=seen,
-                   alive=np.ones(len(tokens), np.bool_))
+                   alive=np.ones(len(tokens), np.bool_), total=totals[tokens], near=near)
         walk._close(seen >= FLOOR)
         return walk
 
     def _close(self, open_: np.ndarray) -> None:
         self.sums = self.sums + np.bincount(self.doc[~open_], self.log[~open_], len(self.sums))
-        for name in self.OPEN:
-            setattr(self, name, getattr(self, name)[open_])
+        for name in (*self.OPEN, *self.EARLY):
+            if hasattr(self, name):
+                setattr(self, name, getattr(self, name)[open_])
 
     def logs(self) -> np.ndarray:
         """Log probability of each document."""
@@ -508,7 +616,7 @@ class Walk:
     def pairs(self, plan: Plan) -> None:
         """Number the different pairs of a context and the symbol after it by bucket, context and code."""
         codes = _coded(self.context, self.symbol)
-        by_code = np.argsort(codes)
+        by_code = _order(codes)
         codes = codes[by_code]
         new = np.ones(len(codes), bool)
         new[1:] = codes[1:] != codes[:-1]
@@ -516,7 +624,8 @@ class Walk:
         own = _mixed(self.context[at])
         bucket = (np.where(self.seen[at] >= plan.head, codes, own) >> np.uint64(32)) * np.uint64(plan.buckets) >> np.uint64(32)
         # by bucket and context, equal ones in the order of codes
-        order = np.argsort((bucket << np.uint64(40)) | (own >> np.uint64(24)), kind="stable")
+        order = _order(own)
+        order = order[np.argsort(bucket[order].astype(np.min_scalar_type(plan.buckets)), kind="stable")]
         own = own[order]
         place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order), dtype=np.int32)
@@ -531,77 +640,109 @@ class Walk:
 
     def asked(self, block: int, plan: Plan, depth: int, share: int, shares: int) -> pa.RecordBatch:
         """A row per bucket of this share: its pairs' symbols with their counts here, and its contexts with their numbers of pairs.
-        On the first level, only symbols without a number come with their probability."""
-        counts = np.bincount(self.back[self.learnt], minlength=len(self.codes)).astype(np.uint32)
+        Probabilities are sent if they do not follow from numbers: on the first level the total does for symbols without
+        a number, on the second the last level's count if the symbol and the word before it have numbers."""
+        counts = np.bincount(self.back[self.learnt], minlength=len(self.codes))
         symbols, below, contexts = self.symbol[self.at], self.log[self.at], self.context[self.at[self.runs]]
-        seen, sizes = self.seen[self.at[self.runs]], np.diff(np.r_[self.runs, len(self.codes)]).astype(np.uint32)
-        buckets, starts = np.unique(self.bucket, return_index=True)
-        stops = np.r_[starts[1:], len(self.codes)]
-        own = buckets % shares == share
-        buckets, starts, stops = buckets[own], starts[own], stops[own]
-        first, last = np.searchsorted(self.runs, starts), np.searchsorted(self.runs, stops)
+        seen, sizes = self.seen[self.at[self.runs]], np.diff(np.r_[self.runs, len(self.codes)])
         alive = self.alive[self.at[self.runs]]
-
-        def packed(column: np.ndarray, a: np.ndarray, b: np.ndarray, kept: np.ndarray | None = None) -> list[bytes]:
-            if kept is not None:
-                column, before = column[kept], np.r_[0, np.cumsum(kept)]
-                a, b = before[a], before[b]
-            return [_packed(column[x:y]) for x, y in zip(a.tolist(), b.tolist())]
-
+        # a share is a range of buckets, so that its pairs follow each other
+        edges = np.searchsorted(self.bucket, [-(-plan.buckets * k // shares) for k in (share, share + 1)])
+        buckets, starts = np.unique(self.bucket[edges[0]:edges[1]], return_index=True)
+        starts += edges[0]
+        stops = np.r_[starts[1:], edges[1:]][:len(starts)]
+        pairs, runs = Cells(starts, stops), Cells(*np.searchsorted(self.runs, [starts, stops]))
         numbers = self.number[self.at]
-        context_numbers = plan.numbers(contexts) if depth == 1 else np.full(len(contexts), NUMBERED, np.uint16)
-        other, other_context = numbers == NUMBERED, context_numbers == NUMBERED
-        return record(_ASKED, buckets, np.full(len(buckets), block), packed(numbers, starts, stops),
-                      packed(symbols, starts, stops, other), packed(counts, starts, stops),
-                      packed(below, starts, stops, other if depth == 1 else None), packed(context_numbers, first, last),
-                      packed(contexts, first, last, other_context),
-                      *[packed(column, first, last) for column in (seen, sizes, alive)])
-
-    def answered(self, answers: list[dict], heads: Heads, plan: Plan) -> None:
-        """Take in the answers to ``asked`` and go on to contexts that are one longer."""
-        answers = sorted(answers, key=lambda a: a["bucket"])
-        totals, rests, lasting = (np.concatenate([_unpacked(a[name], kind) for a in answers])
-                                  for name, kind in (("totals", np.int64), ("rests", np.float64), ("alive", np.bool_)))
-        contexts, seen = self.context[self.at[self.runs]], self.seen[self.at[self.runs]]
-        spread = np.flatnonzero(seen >= plan.head)
-        if len(spread) and len(heads.codes):
-            found = _find(heads.codes, contexts[spread])
-            rests[spread] = np.where(found >= 0, heads.rests[found], np.nan)
-        # a listed symbol's new probability takes the place of the old one, for others a factor comes in
-        change = rests[self.run]
-        to = np.flatnonzero(~np.isnan(change) & (totals >= LEAST))
-        below = self.log[self.at[to]]
-        new = np.log((totals[to] + PRIOR * np.exp(below)) / (seen[self.run[to]] + PRIOR))
-        listed = np.full(len(change), np.nan)
-        listed[to] = new
-        listed, change = listed[self.back], np.nan_to_num(change)[self.back]
-        self.log = np.where(np.isnan(listed), self.log + change, listed)
+        other = given = numbers == NUMBERED
+        context_numbers, near, last = np.full(len(contexts), NUMBERED, np.uint16), np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        if depth == 1:
+            context_numbers, last = plan.numbers(contexts), self.total[self.at]
+            below, last = below[:0], last[other]
+        elif depth == 2:
+            near, far = self.near[self.at[self.runs]], self.far[self.at[self.runs]]
+            context_numbers = np.where(near == NUMBERED, near, far)
+            given = other | (near == NUMBERED)[self.run]
+            below, last = below[given], self.last[self.at[~given]]
+        other_context = context_numbers == NUMBERED
+        none = pairs.of(np.zeros(len(other), bool))
+        return record(_ASKED, buckets, np.full(len(buckets), block), pairs.packed(numbers),
+                      pairs.of(other).packed(symbols[other]), pairs.packed(counts),
+                      none.packed(below) if depth == 1 else pairs.of(given).packed(below) if depth == 2 else pairs.packed(below),
+                      pairs.of(other).packed(last) if depth == 1 else pairs.of(~given).packed(last) if depth == 2 else none.packed(last),
+                      runs.packed(context_numbers), (runs if depth == 2 else none).packed(near), runs.of(other_context).packed(contexts[other_context]),
+                      *[runs.packed(column) for column in (seen, sizes, alive)])
+
+    def answered(self, answers: pa.StructArray, heads: Heads, plan: Plan, ends: bool = False) -> None:
+        """Take in the answers to ``asked``, in the order of buckets, and go on to contexts that are one longer.
+
+        ``ends``: the next level is the last of the walk, so that only what is alive stays open."""
+        totals, lasting = self._taken(answers, heads, plan)
         follows = np.zeros(len(self.place), bool)
         follows[1:] = (self.place[1:] == self.place[:-1] + 1) & (self.doc[1:] == self.doc[:-1])
         self.context = np.r_[self.context[:1], self.codes[self.back[:-1]]]
-        self.seen = np.where(follows, np.r_[self.seen[:1], totals[self.back[:-1]]], 0)
-        self.alive = self.alive & lasting[self.run][self.back]
+        self.seen = np.where(follows, np.r_[self.seen[:1], totals[:-1]], 0)
+        self.alive = self.alive & lasting
         # no longer context has more of a symbol, so that these need no counts from here on
-        few = (totals < LEAST)[self.back]
+        few = totals < LEAST
         self.symbol, self.learnt = np.where(few, np.uint64(RARE), self.symbol), self.learnt & ~few
         self.number = np.where(few, plan.numbers(np.array([RARE], np.uint64)), self.number)
         for name in ("back", "codes", "at", "bucket", "runs", "run"):
             delattr(self, name)
         # open are those up to the last that is alive of neighbours that are all candidates
         open_ = self.seen >= FLOOR
+        if ends:
+            self._close(open_ & self.alive)
+            return
         chain = np.cumsum(~(open_ & np.r_[False, open_[:-1]] & follows))
         last = np.full(len(open_) + 1, -1)
         alive = np.flatnonzero(open_ & self.alive)
         last[chain[alive]] = alive
         self._close(open_ & (np.arange(len(open_)) <= last[chain]))
 
+    def _taken(self, answers: pa.StructArray, heads: Heads, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+        """Logs as the answers change them; each token's count of its pair, and whether its context stays alive."""
+        totals, told, flags = (_whole(answers.field(name), kind)
+                               for name, kind in (("totals", np.int64), ("rests", np.float64), ("alive", np.uint8)))
+        rests = np.where(flags & 2, 0.0, np.nan)
+        rests[flags & 4 > 0] = told
+        contexts, seen = self.context[self.at[self.runs]], self.seen[self.at[self.runs]]
+        spread = np.flatnonzero(seen >= plan.head)
+        if len(spread) and len(heads.codes):
+            found = _find(heads.codes, contexts[spread])
+            rests[spread] = np.where(found >= 0, heads.rests[found], np.nan)
+        # a listed symbol's new probability takes the place of the old one, for others a factor comes in
+        change = rests[self.run]
+        to = np.flatnonzero(~np.isnan(change) & (totals >= LEAST))
+        below = self.log[self.at[to]]
+        new = np.log((totals[to] + PRIOR * np.exp(below)) / (seen[self.run[to]] + PRIOR))
+        listed = np.full(len(change), np.nan)
+        listed[to] = new
+        if hasattr(self, "total"):
+            self.far = np.r_[self.near[:1], self.near[:-1]]
+            self.last = np.where(np.isnan(listed), 0, totals)[self.back]
+            del self.total
+        elif hasattr(self, "far"):
+            del self.near, self.far, self.last
+        listed, change = listed[self.back], np.nan_to_num(change)[self.back]
+        self.log = np.where(np.isnan(listed), self.log + change, listed)
+        return totals[self.back], (flags & 1 > 0)[self.run][self.back]
+
+    def left(self, answers: pa.StructArray, heads: Heads, plan: Plan) -> None:
+        """Take in the last answers: alive is what has a longer context, of which it is not known that it is no candidate."""
+        totals, lasting = self._taken(answers, heads, plan)
+        known = np.zeros(len(self.place), bool)
+        known[1:] = (self.place[1:] == self.place[:-1] + 1) & (self.doc[1:] == self.doc[:-1]) & (totals[:-1] < FLOOR)
+        self.alive = lasting & ~known
+
 
 _DOCS = {"doc_ids": pa.int64(), "held": pa.bool_(), "sizes": pa.int32(), "known": pa.int64(), "base": pa.float64(),
          "sums": pa.float64()}
-_OPEN = pa.schema([("block", pa.int64()), *[(n, pa.list_(t)) for n, t in _DOCS.items()],
-                   *[(n, pa.binary()) for n in Walk.OPEN]])
+#: Of open tokens: steps from one's place to the next one's, hashes of symbols without a number, and the rest of ``Walk.OPEN``.
+_SENT = {"steps": np.int64, "number": np.uint16, "others": np.uint64, "learnt": np.bool_, "log": np.float64, "context": np.uint64,
+         "seen": np.int64, "alive": np.bool_}
+_OPEN = pa.schema([("block", pa.int64()), *[(n, pa.list_(t)) for n, t in _DOCS.items()], *[(n, pa.binary()) for n in _SENT]])
 _OPEN_SQL = ("block long, doc_ids array<long>, held array<boolean>, sizes array<int>, known array<long>, base array<double>, "
-             "sums array<double>, " + ", ".join(f"{n} binary" for n in Walk.OPEN))
+             "sums array<double>, " + ", ".join(f"{n} binary" for n in _SENT))
 
 
 def _walks(batches, root: Root, levels: Levels, plan: Plan):
@@ -610,13 +751,16 @@ def _walks(batches, root: Root, levels: Levels, plan: Plan):
         if "tokens" in batch.schema.names:
             rows = _begun(batch, root, plan)
         else:
-            rows = _opened(batch)
+            rows = _opened(batch, plan)
         for i, (docs, walk) in enumerate(rows):
-            for k, (heads, dealt) in levels.items():
-                answers = batch.column(f"level_{k}")[i].as_py()
-                if answers:
+            for k, (heads, dealt, more) in levels.items():
+                answers = batch.column(f"level_{k}")[i]
+                if answers.is_valid and len(answers):
                     walk.pairs(dealt)
-                    walk.answered(answers, heads, dealt)
+                    if more == 0:
+                        walk.left(_told(answers), heads, dealt)
+                    else:
+                        walk.answered(_told(answers), heads, dealt, more == 1)
             yield batch.column("block")[i].as_py(), docs, walk
 
 
@@ -628,79 +772,318 @@ def _begun(batch: pa.RecordBatch, root: Root, plan: Plan):
         yield (ids, held, sizes, known, base), Walk.begun(sizes, held, tokens, hashes, totals, root, plan)
 
 
-def _opened(batch: pa.RecordBatch):
+def _opened(batch: pa.RecordBatch, plan: Plan):
     for i in range(batch.num_rows):
         docs = [batch.column(n)[i].values for n in _DOCS]
         docs[1:] = [d.to_numpy(zero_copy_only=False) for d in docs[1:]]
-        yield tuple(docs[:-1]), Walk(docs[-1], **{n: np.frombuffer(batch.column(n)[i].as_buffer(), t)
-                                                  for n, t in Walk.OPEN.items()})
+        sent = {n: _unpacked(batch.column(n)[i].as_buffer(), t) for n, t in _SENT.items()}
+        place = np.cumsum(sent.pop("steps"))
+        yield tuple(docs[:-1]), Walk(docs[-1], place=place.astype(np.int32), symbol=plan.hashes(sent["number"], sent.pop("others")),
+                                     doc=np.searchsorted(np.cumsum(docs[2]), place, "right").astype(np.int32), **sent)
 
 
 def _open_kernel(root: Root, levels: Levels, plan: Plan):
     def kernel(batches):
         for block, (ids, *docs), walk in _walks(batches, root, levels, plan):
+            sent = [np.diff(walk.place, prepend=0).astype(np.int64), walk.number, walk.symbol[walk.number == NUMBERED], walk.learnt,
+                    walk.log, walk.context, walk.seen, walk.alive]
             yield record(_OPEN, [block], [ids], *[[d] for d in docs], [walk.sums],
-                         *[[getattr(walk, n).tobytes()] for n in Walk.OPEN])
+                         *[Cells(np.zeros(1, np.int64), np.full(1, len(c))).packed(c) for c in sent])
     return kernel
 
 
-def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Table:
-    """A bucket's totals and tests, as one row for each that came in; without block, sums of spread contexts.
+# --- contexts of which a bucket holds all that a longer one needs ---------------------------
+
+_ROWS_SQL = ("block long, doc_ids array<long>, held array<boolean>, sizes array<int>, known array<long>, base array<double>, "
+             "sums array<double>, rows long, ends array<struct<bucket int, places binary, keys binary, logs binary>>")
+_END = pa.struct([("bucket", pa.int32()), ("places", pa.binary()), ("keys", pa.binary()), ("logs", pa.binary())])
+_ROWS = pa.schema([("block", pa.int64()), *[(n, pa.list_(t)) for n, t in _DOCS.items()], ("rows", pa.int64()), ("ends", pa.list_(_END))])
+_WINDOWS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *[(n, pa.binary()) for n in (
+    "places", "keys", "logs", "numbers", "others", "trained", "windows", "other_words")]])
+_WINDOWS_SQL = "bucket int, block long, " + ", ".join(f"{n} binary" for n in _WINDOWS.names[2:])
+_GROWN = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("changed", pa.binary()), ("depths", pa.binary()), ("changes", pa.binary()),
+                    ("places", pa.binary()), ("keys", pa.binary()), ("logs", pa.binary()), ("rows", pa.int64()), ("states", pa.list_(pa.int64()))])
+_GROWN_SQL = ("block long, bucket int, changed binary, depths binary, changes binary, places binary, keys binary, logs binary, "
+              "rows long, states array<long>")
+
+
+def _rows_kernel(root: Root, levels: Levels, plan: Plan):
+    """Documents with the sums of all their logs, and the tokens that are alive."""
+    def kernel(batches):
+        for block, (ids, *docs), walk in _walks(batches, root, levels, plan):
+            own = np.flatnonzero(walk.alive)
+            cell = Cells(np.zeros(1, np.int64), np.full(1, len(own)))
+            ends = pa.StructArray.from_arrays([pa.array([0], pa.int32()), cell.packed(walk.place[own]), cell.packed(walk.context[own]),
+                                               cell.packed(walk.log[own])], fields=list(_END))
+            yield record(_ROWS, [block], [ids], *[[d] for d in docs], [walk.logs()], [len(own)],
+                         pa.ListArray.from_arrays(pa.array([0, 1], pa.int32()), ends))
+    return kernel
+
+
+def _window_kernel(plan: Plan, depth: int, window: int, buckets: int):
+    """A row per bucket of a block's open tokens, dealt by the context before each that is shorter than ``depth`` by a symbol:
+    with the ``window`` symbols before that context, the nearest first, as far as training holds them ``FLOOR`` times."""
+    stop = plan.numbers(np.array([RARE], np.uint64))[0]
+    begin = plan.numbers(np.array([BEGIN], np.uint64))[0]
+
+    def kernel(batches):
+        for batch in batches:
+            for i, (_, held, sizes, tokens, hashes, totals) in enumerate(_rows(batch)):
+                ends = _told(batch.column("ends")[i])
+                place, keys, logs = (_whole(ends.field(n), t) for n, t in (("places", np.int32), ("keys", np.uint64), ("logs", np.float64)))
+                bucket = ((_mixed(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+                order = np.lexsort((place, bucket))
+                bucket, place, keys, logs = bucket[order], place[order], keys[order], logs[order]
+                hashes = hashes.view(np.uint64)
+                numbers = plan.numbers(hashes)
+                firsts = np.cumsum(sizes) - sizes
+                doc = np.searchsorted(firsts, place, "right") - 1
+                at = place[:, None] - depth - np.arange(window)
+                entry = tokens[np.maximum(at, 0)]
+                first = firsts[doc][:, None]
+                words = np.where(at >= first, np.where(totals >= FLOOR, numbers, stop)[entry], np.where(at == first - 1, begin, stop))
+                words[np.logical_or.accumulate(words == stop, axis=1)] = stop
+                own, starts = np.unique(bucket, return_index=True)
+                cells = Cells(starts, np.r_[starts[1:], len(bucket)])
+                wide = Cells(*[np.asarray(e) * window for e in (starts, np.r_[starts[1:], len(bucket)])])
+                words, other = words.ravel(), words.ravel() == NUMBERED
+                symbols = np.where(totals < LEAST, np.uint64(RARE), hashes)[tokens[place]]
+                named = np.where(totals < LEAST, stop, numbers)[tokens[place]]
+                unnamed = named == NUMBERED
+                yield record(_WINDOWS, own, np.full(len(own), batch.column("block")[i].as_py()), cells.packed(place.astype(np.int32)),
+                             cells.packed(keys), cells.packed(logs), cells.packed(named), cells.of(unnamed).packed(symbols[unnamed]),
+                             cells.packed(~held[doc]), wide.packed(words), wide.of(other).packed(hashes[entry.ravel()[other]]))
+    return kernel
+
 
-    A context stays alive if one of the longer contexts that it ends might still pass. Of these none has more of a symbol,
+def _grown(sent: pa.Table, depth: int, window: int, candidates: int, plan: Plan) -> pa.Table:
+    """The levels from ``depth`` on of the contexts that end with a bucket's, which are a symbol shorter: as many as ``window``.
+
+    One row for each that came in: the changes of its tokens' logs by level, and what is open after the last level.
+    The first has the numbers of states. Tests are those of ``_answer``.
+    """
+    def whole(name, kind):
+        return _whole(sent[name], kind)
+
+    place, code, log, trained = whole("places", np.int32), whole("keys", np.uint64), whole("logs", np.float64), whole("trained", np.bool_)
+    lengths = _lengths(sent["places"], np.int32)
+    cell = np.repeat(np.arange(len(lengths)), lengths)
+    symbol = plan.hashes(whole("numbers", np.uint16), whole("others", np.uint64))
+    words, other_words = whole("windows", np.uint16).reshape(len(place), window), whole("other_words", np.uint64)
+    stop = plan.numbers(np.array([RARE], np.uint64))[0]
+    # where the next of a token's words without a number is
+    next_ = np.r_[0, np.cumsum((words == NUMBERED).sum(1))[:-1]] if len(place) else np.zeros(0, np.int64)
+    listable = trained & (symbol != RARE)
+    row, states, changes = np.arange(len(place)), np.zeros(window, np.int64), []
+
+    def candidate():
+        """Drop what follows contexts that training holds less than ``FLOOR`` times; of the others the counts and each token's."""
+        nonlocal row, code, log
+        own, _, of = _distinct(code)
+        often = np.bincount(of, trained[row], len(own)).astype(np.int64)
+        kept = often >= FLOOR
+        use = kept[of]
+        row, code, log = row[use], code[use], log[use]
+        return often[kept], (np.cumsum(kept) - 1)[of[use]]
+
+    for k in range(window):
+        word = words[row, k]
+        use = word != stop
+        row, code, log, word = row[use], code[use], log[use], word[use]
+        other, before = word == NUMBERED, plan.words[np.minimum(word, len(plan.words) - 1)]
+        before[other] = other_words[next_[row[other]]]
+        next_[row[other]] += 1
+        code = _mixed(_mixed(code) ^ before)
+        often, of = candidate()
+        if not len(row):
+            break
+        pairs, at, back = _distinct(_coded(code, symbol[row]))
+        totals = np.bincount(back, listable[row], len(pairs)).astype(np.int64)
+        listed = np.flatnonzero(totals >= LEAST)
+        n, below, context = totals[listed], np.exp(log[at[listed]]), of[at[listed]]
+        smooth, sums = _gains(often, context, n, below)
+        kept, rest = _judged(often, *sums, depth + k, candidates)
+        lasting = (sums[0] > 0) & _lasting(often, context, n, below, smooth, sums, kept, depth + k, candidates)
+        states[k] = kept.sum()
+        new = np.full(len(pairs), np.nan)
+        new[listed] = np.log(smooth)
+        new = np.where(np.isnan(new[back]), log + rest[of], new[back])
+        to = np.flatnonzero(kept[of])
+        changes.append((row[to], np.full(len(to), depth + k), new[to] - log[to]))
+        log = np.where(kept[of], new, log)
+        use = lasting[of]
+        row, code, log = row[use], code[use], log[use]
+    changed, depths, change = (np.concatenate(c) for c in zip(*changes)) if changes else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+    order = np.argsort(cell[changed], kind="stable")
+    changed, depths, change = changed[order], depths[order], change[order]
+    order = np.argsort(row)
+    row, code, log = row[order], code[order], log[order]
+
+    def cells(rows):
+        edges = np.searchsorted(cell[rows], np.arange(len(lengths) + 1))
+        return Cells(edges[:-1], edges[1:]), np.diff(edges)
+
+    told, (left, rows) = cells(changed)[0], cells(row)
+    return pa.table([
+        sent["block"], sent["bucket"], told.packed(place[changed]), told.packed(depths), told.packed(change),
+        left.packed(place[row]), left.packed(code), left.packed(log), pa.array(rows, pa.int64()),
+        pa.array([states.tolist(), *[None] * (len(rows) - 1)], pa.list_(pa.int64()))], schema=_GROWN)
+
+
+def _grown_kernel(depth: int, window: int, candidates: int, plan: Plan):
+    def kernel(sent: pa.Table) -> pa.Table:
+        try:
+            return _grown(sent, depth, window, candidates, plan)
+        finally:
+            give_back()
+    return kernel
+
+
+def _changed_kernel(root: Root, told: list[str], end: int | None):
+    """Scores. ``told``: columns of changes, of which those of the level ``end`` and after it do not count."""
+    def kernel(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, held, sizes, known, base, sums = (batch.column(n)[i].values for n in _DOCS)
+                sizes, sums = (c.to_numpy(zero_copy_only=False) for c in (sizes, sums))
+                for name in told:
+                    if batch.column(name)[i].is_valid:
+                        rows = _told(batch.column(name)[i])
+                        place, depths, change = (_whole(rows.field(n), t) for n, t in (("changed", np.int32), ("depths", np.int64),
+                                                                                      ("changes", np.float64)))
+                        use = depths < end if end else np.ones(len(place), bool)
+                        doc = np.searchsorted(np.cumsum(sizes), place[use], "right")
+                        sums = sums + np.bincount(doc, change[use], len(sums))
+                yield record(_SCORED, ids, held, sizes.astype(np.int64), known, np.full(len(sizes), root.tokens), base, sums / math.log(10))
+    return kernel
+
+
+def _deep(blocks: DataFrame, docs: DataFrame, root: Root, plan: Plan, depth: int, candidates: int, buckets: int) -> DataFrame:
+    """The scores with the levels from ``depth`` on, in rounds of several levels.
+
+    ``docs``: as by ``_rows_kernel``. Contexts that end with the same one of the level before meet in one bucket, so that
+    it can go on alone for as many levels as it has been sent symbols; what is alive then starts the next round, with more.
+    """
+    spark = blocks.sparkSession
+    scores, ends, window, told, end = docs.drop("rows", "ends"), docs.where("rows > 0").select("block", "rows", "ends"), WINDOW, [], None
+    while end is None:
+        rows = ends.agg(F.sum("rows")).first()[0]
+        if not rows:
+            break
+        dealt = max(math.ceil(rows / ROUND_ROWS), min(buckets, math.ceil(rows / (ROUND_ROWS >> 1))))
+        sent = map_arrow(blocks.join(ends, "block"), _window_kernel(plan, depth, window, dealt), _WINDOWS_SQL)
+        got, _ = _bucketed([sent.groupBy("bucket").applyInArrow(_grown_kernel(depth, window, candidates, plan), _GROWN_SQL)], spark,
+                           f"suffix_round_{depth}", buckets, placed=False)
+        name = f"told_{depth}"
+        changes = got.groupBy("block").agg(F.collect_list(F.struct("bucket", "changed", "depths", "changes")).alias(name))
+        scores = scores.join(changes, "block", "left")
+        told.append(name)
+        states = got.where("states is not null").agg(*[F.sum(F.col("states")[k]) for k in range(window)]).first()
+        end = next((depth + k for k, n in enumerate(states) if not n), None)
+        ends = got.where("rows > 0").groupBy("block").agg(
+            F.sum("rows").alias("rows"), F.collect_list(F.struct("bucket", "places", "keys", "logs")).alias("ends"))
+        depth, window = depth + window, 4 * window
+        release(spark)
+    return map_arrow(scores, _changed_kernel(root, told, end), _SCORED_SQL)
+
+
+def _gains(often: np.ndarray, of: np.ndarray, n: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Smoothed probabilities of listed symbols, and by context the sums that ``_judged`` takes.
+
+    ``often``: how often each context occurs. Of listed symbols: ``of`` the number of its context, ``n`` the count,
+    ``below`` the probability in the shorter state.
+    """
+    smooth = (n + PRIOR * below) / (often[of] + PRIOR)
+    return smooth, [np.bincount(of, v, len(often)) for v in (np.ones(len(of)), n, smooth, below,
+                                                             n * (np.log(smooth) - np.log(below)))]
+
+
+def _lasting(often: np.ndarray, of: np.ndarray, n: np.ndarray, below: np.ndarray, smooth: np.ndarray, sums: list[np.ndarray],
+             kept: np.ndarray, depth: int, candidates: int) -> np.ndarray:
+    """Which contexts stay alive: one of the longer contexts that they end might still pass.
+
+    Of these none has more of a symbol,
     and the least that a test costs is known. With n of a symbol of probability b a context gains
     n log((n + PRIOR b) / ((N + PRIOR) b)), so never more than with N = n, which grows with n; symbols that
     cannot be listed count as one. The sum of that is what a longer context can gain at most.
     """
-    def whole(name, dtype=np.int64):
-        parts = [_unpacked(b.as_buffer(), dtype) for b in asked[name]]
-        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
-
-    (numbers, ends), (counts, _), (below, _) = whole("symbols", np.uint16), whole("counts", np.uint32), whole("below", float)
-    (contexts, last), (seen, _), (sizes, _) = whole("contexts", np.uint16), whole("seen"), whole("sizes", np.uint32)
-    living, _ = whole("alive", np.bool_)
-    contexts = plan.hashes(contexts, whole("other_contexts", np.uint64)[0])
-    pairs = _coded(np.repeat(contexts, sizes), plan.hashes(numbers, whole("other_symbols", np.uint64)[0]))
+    after, others = np.where(kept[of], smooth, below), np.maximum(0, often - sums[1])
+    other = np.maximum(1e-12, 1 - np.where(kept, sums[2], sums[3]))
+    most = np.bincount(of, n * np.log((n + PRIOR * after) / ((n + PRIOR) * after)), len(often))
+    most += others * np.log((others + PRIOR * other) / ((others + PRIOR) * other))
+    return most > 0.5 * math.log(FLOOR) + (math.log(candidates) if depth > 1 else 0)
+
+
+def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Table:
+    """A bucket's totals and tests, as one row for each that came in; without block, sums of spread contexts.
+    """
+    def whole(name, kind=np.int64):
+        return _whole(asked[name], kind)
+
+    numbers, counts, below, last_ = whole("symbols", np.uint16), whole("counts"), whole("below", np.float64), whole("last")
+    named, near = whole("contexts", np.uint16), whole("near", np.uint16)
+    seen, sizes, living = whole("seen"), whole("sizes"), whole("alive", np.bool_)
+    ends, last = _lengths(asked["symbols"], np.uint16), _lengths(asked["contexts"], np.uint16)
+    contexts = plan.hashes(named, whole("other_contexts", np.uint64))
+    run = np.repeat(np.arange(len(sizes)), sizes)
     if depth == 1:
-        other, below = below, plan.logs[np.minimum(numbers, len(plan.logs) - 1)]
+        other, below = plan.root.log(last_), plan.logs[np.minimum(numbers, len(plan.logs) - 1)]
         below[numbers == NUMBERED] = other
-    pairs, at, back = np.unique(pairs, return_index=True, return_inverse=True)
+    elif depth == 2:
+        both = named != NUMBERED
+        contexts[both] = _coded(contexts[both], plan.words[near[both]])
+        given = (numbers == NUMBERED) | (near == NUMBERED)[run]
+        sent, below = below, np.empty(len(numbers))
+        below[given] = sent
+        to = np.flatnonzero(~given)
+        logs, word = plan.logs[numbers[to]], near[run[to]]
+        change = np.nan_to_num(plan.rests[word])
+        below[to] = np.where(last_ >= LEAST, np.log((last_ + PRIOR * np.exp(logs)) / (plan.seen[word] + PRIOR)), logs + change)
+    pairs = _coded(contexts[run], plan.hashes(numbers, whole("other_symbols", np.uint64)))
+    pairs, at, back = _distinct(pairs)
     totals = np.bincount(back, counts, len(pairs)).astype(np.int64)
-    run = np.repeat(np.arange(len(sizes)), sizes)[at]
+    # what is not listed has to know what is left to the shorter state
+    lacks = np.bincount(run, totals[back] < LEAST, len(sizes)) > 0
+    run = run[at]
     listed = np.flatnonzero(totals >= LEAST)
-    own, run_at, of = np.unique(contexts[run[listed]], return_index=True, return_inverse=True)
+    own, run_at, of = _distinct(contexts[run[listed]])
     often = seen[run[listed][run_at]]
     n, below = totals[listed], np.exp(below[at[listed]])
-    smooth = (n + PRIOR * below) / (often[of] + PRIOR)
-    sums = [np.bincount(of, v, len(own)) for v in (np.ones(len(of)), n, smooth, below, n * (np.log(smooth) - np.log(below)))]
+    smooth, sums = _gains(often, of, n, below)
     kept, rest = _judged(often, *sums, depth, candidates)
     # counts of contexts that are not alive need not be whole
     spread = (often >= plan.head) & living[run[listed][run_at]]
     kept &= (often < plan.head) & living[run[listed][run_at]]
-    after, others = np.where(kept[of], smooth, below), np.maximum(0, often - sums[1])
-    other = np.maximum(1e-12, 1 - np.where(kept, sums[2], sums[3]))
-    most = np.bincount(of, n * np.log((n + PRIOR * after) / ((n + PRIOR) * after)), len(own))
-    most += others * np.log((others + PRIOR * other) / ((others + PRIOR) * other))
-    least = 0.5 * math.log(FLOOR) + (math.log(candidates) if depth > 1 else 0)
+    lasting = _lasting(often, of, n, below, smooth, sums, kept, depth, candidates)
     found = _find(own, contexts)
     rests, alive = np.full(len(contexts), np.nan), seen >= plan.head
     if len(own):
         rests = np.where(found >= 0, np.where(kept, rest, np.nan)[found], np.nan)
-        alive |= (found >= 0) & (most > least)[found]
+        alive |= (found >= 0) & lasting[found]
     alive &= living
-    longer = int(((totals >= FLOOR) & (pairs & np.uint64(1) == 0)).sum())
+    state = ~np.isnan(rests)
+    told = state & lacks
+    flags, rests = alive + np.uint8(2) * state + np.uint8(4) * told, rests[told]
+    by_name = plan.numbers(own) if depth == 1 else np.full(len(own), NUMBERED, np.uint16)
+    given = np.flatnonzero(kept & (by_name != NUMBERED))
+    one = Cells(np.zeros(1, np.int64), np.full(1, len(given)))
+    longer = (totals >= FLOOR) & (pairs & np.uint64(1) == 0)
+    hottest = int(totals[longer & alive[run]].max(initial=0))
     rows, heads = asked.num_rows, int(spread.sum())
     per_pair = totals[back]
     zeros = np.zeros(rows - 1 + heads, np.int64)
+    ends, last = (Cells(np.r_[0, np.cumsum(k)[:-1]], np.cumsum(k)) for k in (ends, last))
+    first = pa.nulls(len(zeros), pa.binary())
+    none = pa.nulls(heads, pa.binary())
     return pa.table([
         pa.array([*asked["block"].to_pylist(), *[None] * heads], pa.int64()),
         pa.array([*asked["bucket"].to_pylist(), *[None] * heads], pa.int32()),
-        pa.array([*[_packed(per_pair[a:b]) for a, b in zip(ends[:-1], ends[1:])], *[None] * heads], pa.binary()),
-        pa.array([*[_packed(rests[a:b]) for a, b in zip(last[:-1], last[1:])], *[None] * heads], pa.binary()),
-        pa.array([*[_packed(alive[a:b]) for a, b in zip(last[:-1], last[1:])], *[None] * heads], pa.binary()),
-        pa.array(np.r_[int(kept.sum()), zeros]), pa.array(np.r_[longer, zeros]), pa.array(np.r_[len(back), zeros]),
+        pa.concat_arrays([ends.packed(per_pair), none]), pa.concat_arrays([last.of(told).packed(rests), none]),
+        pa.concat_arrays([last.packed(flags.astype(np.uint8)), none]),
+        *[pa.array(np.r_[int(k), zeros]) for k in (kept.sum(), longer.sum(), len(back), hottest)],
         pa.array([*[None] * rows, *own[spread].view(np.int64).tolist()], pa.int64()),
-        pa.array([*[None] * rows, *np.stack([often, *sums], 1)[spread].tolist()], pa.list_(pa.float64()))], schema=_ANSWERED)
+        pa.array([*[None] * rows, *np.stack([often, *sums], 1)[spread].tolist()], pa.list_(pa.float64())),
+        pa.concat_arrays([one.packed(by_name[given]), first]), pa.concat_arrays([one.packed(rest[given]), first])], schema=_ANSWERED)
 
 
 def _ask_kernel(root: Root, levels: Levels, plan: Plan, depth: int, share: int, shares: int):
@@ -727,7 +1110,18 @@ def _answers(blocks: DataFrame, root: Root, levels: Levels, plan: Plan, depth: i
     asked = map_arrow(blocks, _ask_kernel(root, dict(levels), plan, depth, share, shares), _ASKED_SQL)
     return asked.groupBy("bucket").applyInArrow(
         _answer_kernel(depth, candidates, plan), "block long, bucket int, totals binary, rests binary, alive binary, states long, "
-                                                 "longer long, pairs long, head long, sums array<double>")
+                                                 "longer long, pairs long, hottest long, head long, sums array<double>, "
+                                                 "named binary, named_rests binary")
+
+
+def _named(got: DataFrame, heads: Heads, plan: Plan) -> np.ndarray:
+    """By number of a word, what the states of the first level leave to the root, nan if there is none."""
+    out = np.full(len(plan.words), np.nan)
+    told = got.where("named is not null").select("named", "named_rests").toArrow()   # a row per bucket, each number once at most
+    out[_whole(told["named"], np.uint16)] = _whole(told["named_rests"], np.float64)
+    at = _find(plan.words, heads.codes)
+    out[at[at >= 0]] = heads.rests[at >= 0]
+    return out
 
 
 def joined(blocks: DataFrame, root: Root, plan: Plan, buckets: int) -> DataFrame:
@@ -735,16 +1129,17 @@ def joined(blocks: DataFrame, root: Root, plan: Plan, buckets: int) -> DataFrame
 
     Levels are as in ``learn``; contexts are coded by 64-bit hashes. The tasks of the second level go through the first
     again. After it few tokens are open, and each level leaves what it has come to for the next, which then frees it.
+    From level ``DEEP`` on, buckets go on alone (``_deep``), but not before each context occurs ``CROWD`` times at most.
     """
-    spark = blocks.sparkSession
+    spark, tokens = blocks.sparkSession, blocks
     levels: Levels = {}
-    depth, longer, candidates, done = 1, 1, 0, []
+    depth, longer, candidates, done, more = 1, 1, 0, [], None
     while longer:
         shares = PASSES.get(depth, 1)
         got, folder = _bucketed((_answers(blocks, root, levels, plan, depth, candidates, k, shares) for k in range(shares)),
                                 spark, f"suffix_level_{depth}", buckets, placed=False)
-        found = got.select("head", "sums", "states", "longer", "pairs").groupBy("head").agg(   # 1 / HEAD_SHARE rows at most, and one
-            F.sum("states").alias("states"), F.sum("longer").alias("longer"), F.sum("pairs").alias("pairs"),
+        found = got.drop("block", "bucket", "totals", "rests", "alive").groupBy("head").agg(   # 1 / HEAD_SHARE rows at most, and one
+            F.sum("states").alias("states"), F.sum("longer").alias("longer"), F.sum("pairs").alias("pairs"), F.max("hottest").alias("hottest"),
             *[(F.sum if k else F.max)(F.col("sums")[k]).alias(f"s{k}") for k in range(6)]).toArrow()
         states, longer, pairs = (sum(found[c].to_pylist()) for c in ("states", "longer", "pairs"))
         spread = found.filter(pc.field("head").is_valid())
@@ -753,24 +1148,32 @@ def joined(blocks: DataFrame, root: Root, plan: Plan, buckets: int) -> DataFrame
             break
         codes = spread["head"].to_numpy()[kept].view(np.uint64)
         order = np.argsort(codes)
-        levels[depth] = Heads(codes[order], rests[kept][order]), plan
+        heads = Heads(codes[order], rests[kept][order])
+        candidates = longer if depth == 1 else candidates
+        crowded = max(found["hottest"].to_pylist()) > CROWD
+        more = 0 if more == 1 else 1 if depth >= DEEP - 2 and not crowded else None
+        levels[depth] = heads, plan, more
         answers = (got.where("block is not null").groupBy("block")
                    .agg(F.collect_list(F.struct("bucket", "totals", "rests", "alive")).alias(f"level_{depth}")))
         blocks = blocks.join(answers, "block", "left")
         done.append(folder)
         if depth > 1:
-            blocks, folder = _bucketed([map_arrow(blocks, _open_kernel(root, levels, plan), _OPEN_SQL)], spark,
-                                       f"suffix_open_{depth}", buckets, placed=True)
+            kernel, schema = (_rows_kernel, _ROWS_SQL) if more == 0 else (_open_kernel, _OPEN_SQL)
+            blocks, folder = _bucketed([map_arrow(blocks, kernel(root, levels, plan), schema)], spark, f"suffix_open_{depth}", buckets,
+                                       placed=True)
             levels = {}
             for old in done:
                 delete_path(spark, old)
             done = [folder]
-        candidates = longer if depth == 1 else candidates
         # fewer tokens are open on each level
+        if depth == 1:
+            plan = replace(plan, rests=_named(got, heads, plan))
         plan = replace(plan, buckets=min(plan.buckets, max(buckets, math.ceil(pairs / BUCKET_PAIRS))))
         depth += 1
         del got, answers
         release(spark)
+        if more == 0:
+            return _deep(tokens, blocks, root, plan, depth, candidates, buckets)
     return map_arrow(blocks, _walk_kernel(root, levels, plan), _SCORED_SQL)
 
 
@@ -781,6 +1184,60 @@ def _walk_kernel(root: Root, levels: Levels, plan: Plan):
     return kernel
 
 
+_HASHES = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+_TOTALS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("totals", pa.binary()), ("hashes", pa.binary())])
+_WORDS = pa.schema([("hash", pa.int64()), ("total", pa.int64())])
+
+
+def _hashes_kernel(buckets: int):
+    """A row per bucket of a block's vocabulary."""
+    def kernel(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                hashes = batch.column("hashes")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                counts = batch.column("counts")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+                bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+                own, starts = np.unique(bucket, return_index=True)
+                cells = Cells(starts, np.r_[starts[1:], len(hashes)])
+                yield record(_HASHES, own, np.full(len(own), batch.column("block")[i].as_py()), cells.packed(hashes), cells.packed(counts))
+    return kernel
+
+
+def _totals_kernel(sent: pa.Table) -> pa.Table:
+    """Each row's totals; and all of the bucket's words, as a row that no block has the number of."""
+    try:
+        ends = _lengths(sent["hashes"], np.uint64)
+        hashes, _, back = _distinct(_whole(sent["hashes"], np.uint64))
+        totals = np.bincount(back, _whole(sent["counts"], np.int64), len(hashes)).astype(np.int64)
+        cells, whole = Cells(np.r_[0, np.cumsum(ends)[:-1]], np.cumsum(ends)), Cells(np.zeros(1, np.int64), np.full(1, len(hashes)))
+        bucket = sent["bucket"].to_pylist()
+        return pa.table([pa.array([*sent["block"].to_pylist(), -1 - bucket[0]], pa.int64()), pa.array([*bucket, bucket[0]], pa.int32()),
+                         pa.concat_arrays([cells.packed(totals[back]), whole.packed(totals)]),
+                         pa.concat_arrays([pa.nulls(len(bucket), pa.binary()), whole.packed(hashes)])], schema=_TOTALS)
+    finally:
+        give_back()
+
+
+def _words_kernel(batches):
+    for batch in batches:
+        if batch.num_rows:
+            yield record(_WORDS, _whole(batch.column("hashes"), np.uint64).view(np.int64),
+                         _whole(batch.column("totals"), np.int64))
+
+
+def counted(blocks: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """(block, totals): the training counts of each block's vocabulary, as the word buckets tell them; and (hash, total) of all words."""
+    spark = blocks.sparkSession
+    entries = blocks.agg(F.sum("entries")).first()[0] or 0
+    sent = map_arrow(blocks.select("block", "hashes", "counts"),
+                     _hashes_kernel(max(buckets, math.ceil(entries / BUCKET_TOKENS))), "bucket int, block long, hashes binary, counts binary")
+    got, _ = _bucketed([sent.groupBy("bucket").applyInArrow(_totals_kernel, "block long, bucket int, totals binary, hashes binary")],
+                       spark, "block_totals", buckets, placed=False)
+    words = map_arrow(got.where("block < 0").select("hashes", "totals"), _words_kernel, "hash long, total long")
+    totals = got.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("totals"))
+    return totals, words
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """Score ``docs(doc_id, text)`` with a tree learnt from those whose crc32(doc_id) mod 10 is not 0.
 
@@ -795,14 +1252,9 @@ def scored(docs: DataFrame) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     blocks, _ = _bucketed([map_arrow(rows, _block_kernel, _BLOCK_SQL)], spark, "token_blocks", buckets, placed=True)
-    entries = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("entry", "e"))
-    entries = entries.select("block", "entry", F.col("e.hashes").alias("hash"), F.col("e.counts").alias("n"))
-    words = saved(entries.groupBy("hash").agg(F.sum("n").alias("total")), "words")
-    back = (entries.join(words, "hash").groupBy("block")
-            .agg(F.collect_list(F.struct("entry", "total")).alias("totals")))
-    totals, _ = _bucketed([back], spark, "block_totals", buckets, placed=False)
+    totals, words = counted(blocks, buckets)
     release(spark)
-    blocks = blocks.drop("counts").join(totals, "block").select("block", "doc_ids", "held", "sizes", "tokens", "hashes", "totals")
+    blocks = blocks.join(totals, "block").select("block", "doc_ids", "held", "sizes", "tokens", "hashes", "totals")
     root = root_of(words)
     if root.tokens > SMALL:
         return joined(blocks, root, plan_of(words, root, buckets), buckets)

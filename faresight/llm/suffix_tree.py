@@ -60,8 +60,6 @@ HEAD_SHARE = 2e-4
 BUCKET_TOKENS = 1_000_000
 #: Different pairs, all blocks' together, for each bucket of a level after the first.
 BUCKET_PAIRS = 500_000
-#: Passes over the blocks in which the pairs of a level are sent, a share of the buckets each: one where nothing is said.
-PASSES: dict[int, int] = {}
 #: Level from which buckets go on alone, and how often a context may occur then at most. The symbols that they are sent in the
 #: first round, four times as many in each round after, and tokens for each bucket.
 DEEP, CROWD = 4, 1_000_000
@@ -873,8 +871,19 @@ def _grown(sent: pa.Table, depth: int, window: int, candidates: int, plan: Plan)
     stop = plan.numbers(np.array([RARE], np.uint64))[0]
     # where the next of a token's words without a number is
     next_ = np.r_[0, np.cumsum((words == NUMBERED).sum(1))[:-1]] if len(place) else np.zeros(0, np.int64)
-    listable = trained & (symbol != RARE)
-    row, states, changes = np.arange(len(place)), np.zeros(window, np.int64), []
+    # tokens with the same symbol and the same symbols before it go through the levels as one
+    lasts = np.r_[next_[1:], len(other_words)] if len(place) else next_
+    alike = _mixed(code) ^ symbol
+    for k in range(0, window, 4):
+        four = np.zeros((len(place), 4), np.uint16)
+        four[:, :min(4, window - k)] = words[:, k:k + 4]
+        alike = _mixed(alike ^ four.view(np.uint64)[:, 0])
+    mixed = np.r_[np.uint64(0), np.cumsum(_mixed(other_words ^ (np.arange(len(other_words), dtype=np.uint64) - np.repeat(
+        next_, lasts - next_).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)]
+    _, first, alike = _distinct(alike + mixed[lasts] - mixed[next_])
+    trained, listable = (np.bincount(alike, v, len(first)) for v in (trained, trained & (symbol != RARE)))
+    code, log, symbol, words, next_ = (c[first] for c in (code, log, symbol, words, next_))
+    row, states, changes = np.arange(len(first)), np.zeros(window, np.int64), []
 
     def candidate():
         """Drop what follows contexts that training holds less than ``FLOOR`` times; of the others the counts and each token's."""
@@ -914,10 +923,20 @@ def _grown(sent: pa.Table, depth: int, window: int, candidates: int, plan: Plan)
         use = lasting[of]
         row, code, log = row[use], code[use], log[use]
     changed, depths, change = (np.concatenate(c) for c in zip(*changes)) if changes else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-    order = np.argsort(cell[changed], kind="stable")
-    changed, depths, change = changed[order], depths[order], change[order]
-    order = np.argsort(row)
-    row, code, log = row[order], code[order], log[order]
+    # back from each to its tokens, which are in the order of cells
+    members, edges = np.argsort(alike, kind="stable"), np.r_[0, np.cumsum(np.bincount(alike, minlength=len(first)))]
+
+    def tokens(rows):
+        n = edges[rows + 1] - edges[rows]
+        at = np.repeat(np.arange(len(rows)), n)
+        token = members[np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + edges[rows][at]]
+        order = np.argsort(token, kind="stable")
+        return token[order], at[order]
+
+    changed, at = tokens(changed)
+    depths, change = depths[at], change[at]
+    row, at = tokens(row)
+    code, log = code[at], log[at]
 
     def cells(rows):
         edges = np.searchsorted(cell[rows], np.arange(len(lengths) + 1))
@@ -1086,12 +1105,12 @@ def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Tabl
         pa.concat_arrays([one.packed(by_name[given]), first]), pa.concat_arrays([one.packed(rest[given]), first])], schema=_ANSWERED)
 
 
-def _ask_kernel(root: Root, levels: Levels, plan: Plan, depth: int, share: int, shares: int):
+def _ask_kernel(root: Root, levels: Levels, plan: Plan, depth: int):
     def kernel(batches):
         for block, _, walk in _walks(batches, root, levels, plan):
             walk.pairs(plan)
             if len(walk.codes):
-                yield walk.asked(block, plan, depth, share, shares)
+                yield walk.asked(block, plan, depth, 0, 1)
     return kernel
 
 
@@ -1104,10 +1123,9 @@ def _answer_kernel(depth: int, candidates: int, plan: Plan):
     return kernel
 
 
-def _answers(blocks: DataFrame, root: Root, levels: Levels, plan: Plan, depth: int, candidates: int, share: int,
-             shares: int) -> DataFrame:
-    """What the buckets of a share say to the blocks."""
-    asked = map_arrow(blocks, _ask_kernel(root, dict(levels), plan, depth, share, shares), _ASKED_SQL)
+def _answers(blocks: DataFrame, root: Root, levels: Levels, plan: Plan, depth: int, candidates: int) -> DataFrame:
+    """What the buckets say to the blocks."""
+    asked = map_arrow(blocks, _ask_kernel(root, dict(levels), plan, depth), _ASKED_SQL)
     return asked.groupBy("bucket").applyInArrow(
         _answer_kernel(depth, candidates, plan), "block long, bucket int, totals binary, rests binary, alive binary, states long, "
                                                  "longer long, pairs long, hottest long, head long, sums array<double>, "
@@ -1135,9 +1153,8 @@ def joined(blocks: DataFrame, root: Root, plan: Plan, buckets: int) -> DataFrame
     levels: Levels = {}
     depth, longer, candidates, done, more = 1, 1, 0, [], None
     while longer:
-        shares = PASSES.get(depth, 1)
-        got, folder = _bucketed((_answers(blocks, root, levels, plan, depth, candidates, k, shares) for k in range(shares)),
-                                spark, f"suffix_level_{depth}", buckets, placed=False)
+        got, folder = _bucketed([_answers(blocks, root, levels, plan, depth, candidates)], spark, f"suffix_level_{depth}", buckets,
+                                placed=False)
         found = got.drop("block", "bucket", "totals", "rests", "alive").groupBy("head").agg(   # 1 / HEAD_SHARE rows at most, and one
             F.sum("states").alias("states"), F.sum("longer").alias("longer"), F.sum("pairs").alias("pairs"), F.max("hottest").alias("hottest"),
             *[(F.sum if k else F.max)(F.col("sums")[k]).alias(f"s{k}") for k in range(6)]).toArrow()

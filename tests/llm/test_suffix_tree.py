@@ -203,3 +203,25 @@ def test_words_are_cut_at_ascii_space_only():
     texts = ["\t A\x0bb\x0c", "", " ", "caf\u00e9\u00a0X \u2003y\x1cz", "end\r\n"]
     sizes, walk, _ = block_of(texts)
     assert sizes.tolist() == [len(words(t)) for t in texts]
+
+
+def test_deep_levels_are_grown_in_rounds_and_not_one_by_one(spark, monkeypatch):
+    """Runs of a word that end with a word of their length: a state on each of many levels. Also if no round may begin, for
+    crowded contexts. Equal scores; the levels take a few tables."""
+    rng = np.random.default_rng(5)
+    texts = [(i, " ".join(" ".join(["a"] * k + [f"z{k}", f"w{rng.integers(40)}"]) for k in rng.integers(1, 24, 8))) for i in range(500)]
+    texts += [(1000 + i, "the same long passage of many words that all texts of a kind hold from its first to its last word " * 2)
+              for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    caught, whole = learnt_and_scored(docs)
+    assert len(caught["tree"].levels) > 12
+    tables, bucketed = [], st._bucketed
+    monkeypatch.setattr(st, "_bucketed", lambda parts, spark, label, *a, **b: tables.append(label) or bucketed(parts, spark, label, *a, **b))
+    for name, value in (("SMALL", 0), ("BLOCK_BYTES", 30_000), ("WINDOW", 3)):
+        monkeypatch.setattr(st, name, value)
+    for crowd in (st.CROWD, 0):
+        monkeypatch.setattr(st, "CROWD", crowd)
+        tables.clear()
+        got = {r.doc_id: r.score for r in st.scored(docs).collect()}
+        assert len(got) == len(whole) and all(abs(got[r.doc_id] - r.score) < 1e-6 * abs(r.score) for r in whole)
+        assert (len(tables) < 12) == (crowd > 0)   # one or two a level before

@@ -20,16 +20,20 @@ block. Counts of a vocabulary entry meet by the word's 64-bit hash and go back
 to their block, so that what is shuffled is a row per block and word, never a
 row per token. Words are counted over all training texts; context counts too,
 level by level. The model of up to ``SMALL`` training tokens is sent whole to
-the tasks (``learn``). A larger one is nowhere whole (``joined``): for every
-level, each block sends its different pairs of a candidate and a symbol to
+the tasks (``learn``). A larger one is nowhere whole (``joined``): for each of
+the first levels, each block sends its different pairs of a candidate and a symbol to
 buckets by context, where counts of all blocks meet and the test is made; the
 counts and what states leave to the shorter one go back to the block, which
 knows with them the probabilities that the next level starts from. Frequent
-words are sent as numbers of two bytes, and a symbol that a context has not
+words are sent as numbers of two bytes, probabilities only where they do not
+follow from counts, and a symbol that a context has not
 listed is no longer counted in the contexts that end with it. The pairs of
 contexts with at least ``HEAD_SHARE`` of training, 1 / HEAD_SHARE a level at
 most, are dealt to buckets by pair instead, and their test is made on the sums
-of all buckets.
+of all buckets. What a longer context needs is all with those that end alike, so
+that from level ``DEEP`` on (``_deep``) each token that is still alive is sent once, with the symbols
+before it, to the bucket of its context, which goes on alone for many levels;
+tokens that outlive the symbols sent start another round, with four times as many.
 """
 
 from __future__ import annotations
@@ -1034,8 +1038,7 @@ def _lasting(often: np.ndarray, of: np.ndarray, n: np.ndarray, below: np.ndarray
 
 
 def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Table:
-    """A bucket's totals and tests, as one row for each that came in; without block, sums of spread contexts.
-    """
+    """A bucket's totals and tests, as one row for each that came in; and sums of spread contexts, as rows of a number that no block has."""
     def whole(name, kind=np.int64):
         return _whole(asked[name], kind)
 
@@ -1095,7 +1098,7 @@ def _answer(asked: pa.Table, depth: int, candidates: int, plan: Plan) -> pa.Tabl
     first = pa.nulls(len(zeros), pa.binary())
     none = pa.nulls(heads, pa.binary())
     return pa.table([
-        pa.array([*asked["block"].to_pylist(), *[None] * heads], pa.int64()),
+        pa.array([*asked["block"].to_pylist(), *[-1 - asked["bucket"][0].as_py()] * heads], pa.int64()),
         pa.array([*asked["bucket"].to_pylist(), *[None] * heads], pa.int32()),
         pa.concat_arrays([ends.packed(per_pair), none]), pa.concat_arrays([last.of(told).packed(rests), none]),
         pa.concat_arrays([last.packed(flags.astype(np.uint8)), none]),
@@ -1170,7 +1173,7 @@ def joined(blocks: DataFrame, root: Root, plan: Plan, buckets: int) -> DataFrame
         crowded = max(found["hottest"].to_pylist()) > CROWD
         more = 0 if more == 1 else 1 if depth >= DEEP - 2 and not crowded else None
         levels[depth] = heads, plan, more
-        answers = (got.where("block is not null").groupBy("block")
+        answers = (got.where("block >= 0").groupBy("block")
                    .agg(F.collect_list(F.struct("bucket", "totals", "rests", "alive")).alias(f"level_{depth}")))
         blocks = blocks.join(answers, "block", "left")
         done.append(folder)
